@@ -25,6 +25,12 @@ DEFAULT_MAX_ROWS = 5_000_000
 
 KINDS = ("max", "min", "first", "last", "sum", "count")
 
+# No group is cut into more parts than this, which bounds the cuts one row is compared with.
+MAX_PARTS = 4096
+
+# Text has no quantile sketch; its cuts come from this many sampled values per part.
+_SAMPLED_PER_PART = 20
+
 _PART = "__part"
 
 
@@ -47,7 +53,7 @@ class Split:
 
     keys: tuple[str, ...]
     bounds: DataFrame | None  # key columns + __bounds, __coarse; None when there are no keys
-    constants: tuple = ()
+    constants: tuple = ()  # the bounds, without keys
     step: int = 1
 
 
@@ -55,8 +61,8 @@ def _check_order(df: DataFrame, order_by: Sequence[str]) -> None:
     if not order_by:
         raise ValueError("order_by is required: Spark rows have no arrival order")
     kind = df.schema[order_by[0]].dataType
-    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        raise TypeError(f"order column {order_by[0]!r} must be numeric, a date or a timestamp, not {kind.simpleString()}")
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)):
+        raise TypeError(f"order column {order_by[0]!r} must be numeric, a date, a timestamp or text, not {kind.simpleString()}")
 
 
 def same_keys(left: Sequence[Column], right: Sequence[Column]) -> Column:
@@ -73,10 +79,15 @@ def plan_split(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], max_
     order = F.col(order_by[0])
     spark = df.sparkSession
 
+    kind = df.schema[order_by[0]].dataType
     if not keys:
         rows = df.count()
         pieces = max(math.ceil(rows / (max_rows or DEFAULT_MAX_ROWS)), min(spark.sparkContext.defaultParallelism, rows), 1)
-        bounds = _quantiles(df, order, pieces)
+        pieces = min(pieces, MAX_PARTS)
+        bounds = []
+        if pieces > 1:
+            found = _cuts(df.select(order.alias("__o")), [], kind, pieces, rows / pieces).collect()
+            bounds = _spread(found[0]["__cuts"], pieces) if found else []
         return Split((), None, tuple(bounds), _step(len(bounds)))
 
     if max_rows is None:
@@ -85,22 +96,18 @@ def plan_split(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], max_
     found = large.collect()  # at most rows / max_rows of them
     if not found:
         return None
-    pieces = math.ceil(max(r["__n"] for r in found) / max_rows)
+    pieces = min(math.ceil(max(r["__n"] for r in found) / max_rows), MAX_PARTS)
     names = [f"__k{i}" for i in range(len(keys))]
-    chosen = spark.createDataFrame([tuple(r)[:-1] for r in found], _key_schema(df, keys, names))
-    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], order.alias("__o"))
+    key_fields = [T.StructField(n, df.schema[k].dataType, True) for k, n in zip(keys, names)]
     chosen_names = [f"{n}c" for n in names]
-    rows = rows.join(
-        F.broadcast(chosen.toDF(*chosen_names)),
-        same_keys([F.col(n) for n in names], [F.col(c) for c in chosen_names]),
-        "left_semi",
+    chosen = spark.createDataFrame([tuple(r)[:-1] for r in found], T.StructType(key_fields)).toDF(*chosen_names)
+    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], order.alias("__o")).join(
+        F.broadcast(chosen), same_keys([F.col(n) for n in names], [F.col(c) for c in chosen_names]), "left_semi"
     )
-    cuts = rows.groupBy(*names).agg(_percentiles(F.col("__o"), pieces).alias("__bounds")).collect()
-    kind = _order_type(df, order_by)
-    schema = T.StructType(_key_schema(df, keys, names).fields + [T.StructField("__bounds", T.ArrayType(kind))])
-    local = [(*tuple(r)[:-1], sorted(set(x for x in r["__bounds"] if x is not None))) for r in cuts]
-    step = _step(max(len(r[-1]) for r in local))
-    bounds = spark.createDataFrame(local, schema)
+    cuts = _cuts(rows, names, kind, pieces, max_rows).collect()
+    local = [(*tuple(r)[:-1], _spread(r["__cuts"], pieces)) for r in cuts]
+    step = _step(max((len(r[-1]) for r in local), default=1))
+    bounds = spark.createDataFrame(local, T.StructType([*key_fields, T.StructField("__bounds", T.ArrayType(kind))]))
     bounds = bounds.withColumn("__coarse", F.filter(F.col("__bounds"), lambda _, i: i % step == step - 1))
     return Split(tuple(keys), bounds, (), step)
 
@@ -109,24 +116,25 @@ def _step(count: int) -> int:
     return max(math.isqrt(count), 1)
 
 
-def _order_type(df: DataFrame, order_by: Sequence[str]) -> T.DataType:
-    return df.select(F.percentile_approx(order_by[0], F.array(F.lit(0.5)), F.lit(100)).alias("q")).schema["q"].dataType.elementType
-
-
-def _key_schema(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, df.schema[k].dataType, True) for k, n in zip(keys, names)])
-
-
-def _percentiles(order: Column, pieces: int) -> Column:
+def _cuts(rows: DataFrame, names: Sequence[str], kind: T.DataType, pieces: int, part_rows: float) -> DataFrame:
+    """Ascending values of ``__o`` to cut at, per group; where they lie decides balance only."""
+    order = F.col("__o")
+    if isinstance(kind, T.StringType):
+        # a bounded sample: a fixed expected number of values per part
+        some = rows.where(order.isNotNull()).sample(min(1.0, _SAMPLED_PER_PART / part_rows), 17)
+        return some.groupBy(*names).agg(F.sort_array(F.collect_list(order)).alias("__cuts"))
     grid = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    return F.percentile_approx(order, grid, F.lit(max(10_000, 10 * pieces)))
+    quantiles = F.percentile_approx(order, grid, F.lit(max(10_000, 10 * pieces)))
+    # an exact numeric type: the cuts are compared with the column itself
+    return rows.groupBy(*names).agg(quantiles.cast(T.ArrayType(kind)).alias("__cuts"))
 
 
-def _quantiles(df: DataFrame, order: Column, pieces: int) -> list:
-    if pieces < 2:
-        return []
-    found = df.agg(_percentiles(order, pieces).alias("q")).first()["q"] or []
-    return sorted(set(x for x in found if x is not None))
+def _spread(values: list | None, pieces: int) -> list:
+    """At most ``pieces - 1`` different values, evenly spread, in the given (ascending) order."""
+    values = [v for v in values or [] if v is not None]
+    if len(values) >= pieces:
+        values = [values[len(values) * i // pieces] for i in range(1, pieces)]
+    return list(dict.fromkeys(values))
 
 
 def _place(order: Column, bounds: Column, coarse: Column, step: int) -> Column:
@@ -142,9 +150,10 @@ def _with_part(df: DataFrame, order_by: Sequence[str], split: Split) -> DataFram
     if split.bounds is None:
         if not split.constants:
             return df.withColumn(_PART, F.lit(0))
-        bounds = F.array(*[F.lit(b) for b in split.constants])
-        coarse = F.array(*[F.lit(b) for b in split.constants[split.step - 1::split.step]])
-        return df.withColumn(_PART, F.when(order.isNull(), F.lit(0)).otherwise(_place(order, bounds, coarse, split.step)))
+        kind = T.ArrayType(df.schema[order_by[0]].dataType)
+        bounds, coarse = (F.lit(list(b)).cast(kind) for b in (split.constants, split.constants[split.step - 1::split.step]))
+        place = _place(order, bounds, coarse, split.step)
+        return df.withColumn(_PART, F.when(order.isNull(), F.lit(0)).otherwise(place))
     names = [c for c in split.bounds.columns if c.startswith("__k")]
     joined = df.join(
         F.broadcast(split.bounds),

@@ -160,8 +160,16 @@ def test_fragments(spark, limit):
 
 
 def test_order_column_must_be_splittable(spark):
-    df = spark.createDataFrame([("a", "1")], "k string, pos string")
+    df = spark.createDataFrame([("a", [1])], "k string, pos array<int>")
     with pytest.raises(TypeError):
         plan_split(df, ["k"], ["pos"])
     with pytest.raises(ValueError):
         plan_split(df, ["k"], [])
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+def test_text_order(spark, limit):
+    df = spark.createDataFrame([(f"r{i * 37 % 211:03d}é", "a") for i in range(211)], "o string, k string").repartition(4)
+    for keys in ([], ["k"]):
+        got = number_fragments(df, keys, "o", max_rows=limit).orderBy("o").collect()
+        assert [r["frag_index"] for r in got] == list(range(1, 212))
