@@ -1,0 +1,127 @@
+"""Low-latency forms of the keyed operators on Spark's own state store.
+
+They need the RocksDB state store provider. Rows of a key are sorted inside the micro-batch by
+the caller's order column; across micro-batches the order of arrival counts. State does not
+expire unless ``ttl`` (milliseconds) is set. A micro-batch is bounded by the source's own limits
+(files or offsets per trigger), and with it the rows one call sees; for keys that fill
+a whole batch use :mod:`flowops.streaming.batches`.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from ..operators.state import HOLDING, REPLACE_WHEN
+
+# Which comparison results replace the state under each setting.
+REPLACED_BY = {
+    "Less Than": ("less",),
+    "Greater Than": ("greater",),
+    "Equal To": ("equal",),
+    "Not Equal To": ("less", "greater"),
+    "Never": (),
+}
+
+
+class _Keyed(StatefulProcessor):
+    """One text value of state per key; rows handled in order."""
+
+    def __init__(self, order: str, ttl: int | None):
+        self.order = order
+        self.ttl = ttl
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.cell = handle.getValueState("held", "value string", self.ttl)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
+        before = self.cell.get()[0] if self.cell.exists() else None
+        state = before
+        added = []
+        for row in batch.itertuples(index=False):
+            extra, state = self.one(row, state)
+            added.append(extra)
+        if state is None:
+            if before is not None:
+                self.cell.clear()
+        elif state != before:
+            self.cell.update((state,))
+        for i, name in enumerate(self.outputs):
+            batch[name] = [a[i] for a in added]
+        yield batch
+
+    def close(self) -> None:
+        pass
+
+
+class CheckState(_Keyed):
+    def __init__(self, order: str, replace_when: str, ttl: int | None):
+        super().__init__(order, ttl)
+        self.replaced_by = REPLACED_BY[replace_when]
+        self.outputs = ("previous_state", "route")
+
+    def one(self, row, state):
+        value = row.value_
+        if value is None or value == "":
+            return (None, "empty"), state
+        if not state:
+            return (None, "initial"), value
+        route = "less" if value < state else "greater" if value > state else "equal"
+        return (state, route), value if route in self.replaced_by else state
+
+
+class HoldRelease(_Keyed):
+    def __init__(self, order: str, ttl: int | None):
+        super().__init__(order, ttl)
+        self.outputs = ("route",)
+
+    def one(self, row, state):
+        dup = row.dup_ or None
+        if row.action_ == "release":
+            return ("missing" if state is None else "success",), None
+        if row.action_ != "hold":
+            return ("failure",), state
+        if state is None:
+            return ("success",), dup or HOLDING
+        return ("duplicate" if dup == state else "busy",), state
+
+
+class AssignSequence(_Keyed):
+    def __init__(self, order: str, start: int, increment: int, ttl: int | None):
+        super().__init__(order, ttl)
+        self.start, self.increment = start, increment
+        self.outputs = ("sequence_value",)
+
+    def one(self, row, state):
+        number = self.start if state is None else int(state) + self.increment
+        return (number,), str(number)
+
+
+def _run(stream: DataFrame, key: str, processor: StatefulProcessor, added: str) -> DataFrame:
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
+    return stream.groupBy(key).transformWithStateInPandas(processor, f"{schema}, {added}", "append", "None")
+
+
+def stream_check_state(stream: DataFrame, key: str, value: str, order_by: str, *, replace_when: str = "Greater Than", ttl: int | None = None) -> DataFrame:
+    """:func:`~flowops.operators.state.check_state` on a stream."""
+    if replace_when not in REPLACE_WHEN:
+        raise ValueError(f"replace_when must be one of {REPLACE_WHEN}, not {replace_when!r}")
+    rows = stream.withColumn("value_", F.col(value).cast("string"))
+    return _run(rows, key, CheckState(order_by, replace_when, ttl), "previous_state string, route string").drop("value_")
+
+
+def stream_hold_release(stream: DataFrame, topic: str, key: str, action: str, order_by: str, *, duplicate: str | None = None, ttl: int | None = None) -> DataFrame:
+    """:func:`~flowops.operators.state.hold_release` on a stream, without the holder."""
+    dup = F.col(duplicate).cast("string") if duplicate else F.lit(None).cast("string")
+    rows = stream.withColumns({"lock": F.concat(F.col(topic).cast("string"), F.lit("."), F.col(key).cast("string")), "action_": F.col(action), "dup_": dup})
+    return _run(rows, "lock", HoldRelease(order_by, ttl), "route string").drop("action_", "dup_")
+
+
+def stream_sequence(stream: DataFrame, sequence: str, order_by: str, *, start: int = 1, increment: int = 1, ttl: int | None = None) -> DataFrame:
+    """:func:`~flowops.operators.sequence.assign_sequence` on a stream."""
+    return _run(stream, sequence, AssignSequence(order_by, start, increment, ttl), "sequence_value long")
