@@ -6,7 +6,7 @@ before a map is made, so the operators behave the same under either policy.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,22 +14,28 @@ from pyspark.sql import functions as F
 from .names import literal_map
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def last_wins(keys: Column, values: Column) -> Column:
     """Map from parallel arrays, keys ascending, the last value of a repeated key.
 
     Keys are sorted together with their positions (``n log n``, and values need not be
     orderable); an element survives if its right neighbour has another key.
     """
-    ranked = F.array_sort(F.transform(keys, lambda k, i: F.struct(k.alias("k"), i.alias("i"))))
-    shifted = F.concat(F.slice(ranked, 2, F.size(ranked)), F.array(F.lit(None).cast("struct<k:string,i:int>")))
-    kept = F.filter(
-        F.arrays_zip(ranked.alias("a"), shifted.alias("b")),
-        lambda e: e["b"].isNull() | (e["a"]["k"] != e["b"]["k"]),
-    )
-    return F.map_from_arrays(
-        F.transform(kept, lambda e: e["a"]["k"]),
-        F.transform(kept, lambda e: F.get(values, e["a"]["i"])),
-    )
+    ranked = F.sort_array(F.transform(keys, lambda k, i: F.struct(k.alias("k"), i.alias("i"))))
+
+    def pick(given: Column) -> Column:
+        order = given["order"]
+        kept = F.filter(order, lambda e, i: ~F.coalesce(F.get(order, i + 1)["k"] == e["k"], F.lit(False)))
+        return let(
+            kept,
+            lambda k: F.map_from_arrays(F.transform(k, lambda e: e["k"]), F.transform(k, lambda e: F.get(given["values"], e["i"]))),
+        )
+
+    return let(F.struct(ranked.alias("order"), values.alias("values")), pick)
 
 
 def sorted_json(keys: Column, values: Column) -> Column:

@@ -29,30 +29,31 @@ def parse_lenient(text: Column) -> Column:
     return F.from_json(text, "variant", LENIENT)
 
 
-def is_object(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("OBJECT")
+def as_map(value: Column) -> Column:
+    """Fields of a VARIANT object, null for anything else."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
 
 
-def is_array(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("ARRAY")
+def as_array(value: Column) -> Column:
+    """Elements of a VARIANT array, null for anything else."""
+    return F.try_variant_get(value, "$", "array<variant>")
 
 
-def _records(document: Column) -> Column:
-    """Object elements of an array, or the object itself, as an array of VARIANT."""
-    elements = F.try_variant_get(document, "$", "array<variant>")
-    return F.when(is_array(document), F.filter(elements, is_object)).when(is_object(document), F.array(document))
+def is_nested(value: Column) -> Column:
+    return F.substring(F.schema_of_variant(value), 1, 3).isin("OBJ", "ARR")
 
 
-def attribute_map(
-    keys: Column, values: Column, *, prefix: str, renames: tuple[list[str], list[str]], blanks: Sequence[str]
+def attribute_pairs(
+    pairs: Column, *, prefix: str, renames: tuple[list[str], list[str]], blanks: Sequence[str]
 ) -> Column:
-    """Attributes of a record: names renamed and prefixed, ``blanks`` first and empty."""
+    """Attributes of a record as (k, v) pairs: names renamed and prefixed, ``blanks`` first and empty."""
     rename = rename_map(*renames)
-    names = F.transform(keys, lambda k: F.concat(F.lit(prefix), rename(k)) if prefix else rename(k))
+    named = F.transform(
+        pairs, lambda e: F.struct((F.concat(F.lit(prefix), rename(e["k"])) if prefix else rename(e["k"])).alias("k"), e["v"].alias("v"))
+    )
     if blanks:
-        names = F.concat(F.array(*[F.lit(b) for b in blanks]), names)
-        values = F.concat(F.array(*[F.lit("") for _ in blanks]), values)
-    return last_wins(names, values)
+        named = F.concat(F.array(*[F.struct(F.lit(b).alias("k"), F.lit("").alias("v")) for b in blanks]), named)
+    return named
 
 
 def explode_records(
@@ -106,41 +107,51 @@ def json_to_rows(
         raise ValueError(f"fragments must be one of {FRAGMENTS}, not {fragments!r}")
     old, new = split_list(rename, delimiter), split_list(new_names, delimiter)
     parsed = df.withColumn("__doc", parse_lenient(F.col(quoted(column))))
-    parsed = parsed.withColumn("__records", _records(F.col("__doc")))
-    records = F.col("__records")
-    reason = F.when(F.col("__doc").isNull(), "content is not JSON").otherwise("the supplied JSON is not an array or an object")
-    rows = explode_records(parsed, records, fragment_id(F.col(quoted(column))), records.isNull(), reason, original)
-
-    fields = F.map_entries(F.try_variant_get(F.col("__row.record"), "$", "map<string,variant>"))
-    flat = F.filter(fields, lambda e: ~(is_object(e["value"]) | is_array(e["value"])))
-    if not null_fields:
-        flat = F.filter(flat, lambda e: e["value"].cast("string").isNotNull())
-    rows = rows.withColumn("__flat", flat)
-    attrs = attribute_map(
-        F.transform(F.col("__flat"), lambda e: e["key"]),
-        F.transform(F.col("__flat"), lambda e: F.coalesce(e["value"].cast("string"), F.lit(""))),
-        prefix=prefix,
-        renames=(old, new),
-        blanks=[f"{prefix}{n}" for n in new] if always_add and null_fields else [],
+    document = F.col("__doc")
+    parsed = parsed.withColumns({"__object": as_map(document), "__array": as_array(document)})
+    records = F.when(F.col("__object").isNotNull(), F.array("__object")).otherwise(
+        F.filter(F.transform("__array", as_map), lambda r: r.isNotNull())
+    )
+    parsed = parsed.withColumn("__records", records)
+    failed = F.col("__records").isNull()
+    reason = F.when(document.isNull(), "content is not JSON").otherwise("the supplied JSON is not an array or an object")
+    rows = explode_records(parsed, F.col("__records"), fragment_id(F.col(quoted(column))), failed, reason, original)
+
+    flat = F.filter(F.map_entries(F.col("__row.record")), lambda e: ~is_nested(e["value"]))
+    pairs = F.transform(flat, lambda e: F.struct(e["key"].alias("k"), e["value"].cast("string").alias("v")))
+    if null_fields:
+        pairs = F.transform(pairs, lambda e: F.struct(e["k"].alias("k"), F.coalesce(e["v"], F.lit("")).alias("v")))
+    else:
+        pairs = F.filter(pairs, lambda e: e["v"].isNotNull())
+    attributes = attribute_pairs(
+        pairs, prefix=prefix, renames=(old, new), blanks=[f"{prefix}{n}" for n in new] if always_add and null_fields else []
     )
     ok = F.col(ROUTE) == SUCCESS
     tagged = ok & {
         "Always": F.lit(True),
         "Never": F.lit(False),
-        "JSON Arrays Only": is_array(F.col("__doc")),
+        "JSON Arrays Only": F.col("__array").isNotNull(),
     }[fragments]
-    rows = rows.withColumn("attrs", F.when(ok, attrs))
-    return _finish(rows, df.columns, tagged, names)
+    return _finish(rows.withColumn("__pairs", F.when(ok, attributes)), df.columns, tagged, names)
 
 
 def _finish(rows: DataFrame, keep: Sequence[str], tagged: Column, names: Sequence[str] | None) -> DataFrame:
+    """Result columns from ``__pairs``: one column per wanted name, or a map of all."""
     fragment = {
         "frag_id": F.col("__id"),
         "frag_index": F.col("__row.index"),
         "frag_count": F.col("__count"),
         "frag_size": F.lit("0"),
     }
-    attributes = [F.col("attrs")] if names is None else [F.element_at("attrs", n).alias(n) for n in names]
+    pairs = F.col("__pairs")
+
+    def last(name: str) -> Column:
+        return F.try_element_at(F.filter(pairs, lambda e: e["k"] == name), F.lit(-1))["v"]
+
+    if names is None:
+        attributes = [F.when(pairs.isNotNull(), last_wins(pairs["k"], pairs["v"])).alias("attrs")]
+    else:
+        attributes = [last(n).alias(n) for n in names]
     return rows.select(
         *[F.col(quoted(c)) for c in keep if names is None or c not in names],
         *attributes,
@@ -181,16 +192,17 @@ def json_to_csv(
         return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
 
     document = F.col("__doc")
-    elements = F.when(is_array(document), F.try_variant_get(document, "$", "array<variant>")).when(is_object(document), F.array(document))
+    # an element that is text is read as JSON itself
     unwrapped = F.transform(
-        elements,
-        lambda e: F.when(F.schema_of_variant(e) == "STRING", parse_lenient(e.cast("string"))).otherwise(e),
+        as_array(document),
+        lambda e: F.coalesce(as_map(e), F.when(F.schema_of_variant(e) == "STRING", as_map(parse_lenient(e.cast("string"))))),
     )
-    rows = df.withColumn("__doc", parse_lenient(F.col(quoted(column)))).withColumn("__elements", unwrapped)
-    bad = F.exists(F.col("__elements"), lambda e: ~F.coalesce(is_object(e), F.lit(False)))
+    rows = df.withColumn("__doc", parse_lenient(F.col(quoted(column))))
+    rows = rows.withColumns({"__object": as_map(document), "__array": unwrapped})
+    rows = rows.withColumn("__elements", F.when(F.col("__object").isNotNull(), F.array("__object")).otherwise(F.col("__array")))
+    bad = F.exists(F.col("__elements"), lambda e: e.isNull())
 
-    def line(element: Column) -> Column:
-        fields = F.try_variant_get(element, "$", "map<string,variant>")
+    def line(fields: Column) -> Column:
         cells = [cell(F.coalesce(F.element_at(fields, n).cast("string"), F.lit(""))) for n in names]
         return F.concat_ws(delimiter, *cells)
 

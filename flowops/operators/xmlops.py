@@ -20,13 +20,13 @@ from ..functions.names import split_list
 from ..functions.template import Template, quoted
 from ..routes import FAILURE, REASON, ROUTE, SUCCESS, with_route
 from ..session import shared_dir
-from .jsonops import _finish, attribute_map, explode_records
+from .jsonops import _finish, attribute_pairs, explode_records
 from .sequence import fragment_id
 
 # What a root path stands for.
 PARSE_TYPES = ("table", "record")
 
-_PAIR = pa.struct([("name", pa.string()), ("text", pa.string())])
+_PAIR = pa.struct([("k", pa.string()), ("v", pa.string())])
 _PARSED = pa.struct([("records", pa.list_(pa.list_(_PAIR))), ("problem", pa.string())])
 
 
@@ -35,11 +35,11 @@ def _parse_udf(path: str, children: bool):
         out = []
         for text in batch.to_pylist():
             found, why = xmltree.records(text, path, children)
-            rows = None if found is None else [[{"name": n, "text": t} for n, t in record] for record in found]
+            rows = None if found is None else [[{"k": n, "v": t} for n, t in record] for record in found]
             out.append({"records": rows, "problem": why})
         return pa.array(out, _PARSED)
 
-    kind = "struct<records: array<array<struct<name: string, text: string>>>, problem: string>"
+    kind = "struct<records: array<array<struct<k: string, v: string>>>, problem: string>"
     return F.arrow_udf(parse, kind)
 
 
@@ -81,17 +81,9 @@ def xml_to_rows(
     parsed = df.withColumn("__xml", _parse_udf(xmltree.element_path(root), table)(F.col(quoted(column))))
     records, why = F.col("__xml.records"), F.col("__xml.problem")
     rows = explode_records(parsed, records, fragment_id(F.col(quoted(column))), why.isNotNull(), why, original)
-    record = F.col("__row.record")
-    attrs = attribute_map(
-        F.transform(record, lambda e: e["name"]),
-        F.transform(record, lambda e: e["text"]),
-        prefix=prefix,
-        renames=(old, new),
-        blanks=new if always_add else [],
-    )
+    attributes = attribute_pairs(F.col("__row.record"), prefix=prefix, renames=(old, new), blanks=new if always_add else [])
     ok = F.col(ROUTE) == SUCCESS
-    rows = rows.withColumn("attrs", F.when(ok, attrs))
-    return _finish(rows, df.columns, ok & F.lit(table), names)
+    return _finish(rows.withColumn("__pairs", F.when(ok, attributes)), df.columns, ok & F.lit(table), names)
 
 
 def extract_xml(
