@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .names import literal_map
@@ -19,6 +19,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def materialise(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add costly columns that later steps use several times or filter on.
+
+    Spark copies an expression into every filter that is pushed below its projection; it does
+    not push a filter below a generator, so the columns come out of a one-row one.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.inline(F.array(row)))
+
+
 def last_wins(keys: Column, values: Column) -> Column:
     """Map from parallel arrays, keys ascending, the last value of a repeated key.
 

@@ -7,7 +7,8 @@ template or ``{"value": template, "type": kind, "default": any, "to-type": name}
 * ``HBASE`` / ``HBASE_SCAN`` / ``HBASE_FILTER``: the value is a row-key filter on the cells of
   ``"hbase-table"``: ``RowFilter(=, 'binary:<key>')`` or ``PrefixFilter('<prefix>')``, or both
   on the same text (then the key decides); the result is the last cell of the matching row;
-* ``SQL``: the value is a query, ``${name}`` being a column; the result is its first column.
+* ``SQL``: the value is a query, ``${name}`` being a column; the result is its first column in
+  the row that is first by the result columns ``"order-by"``.
 
 Every lookup becomes one left join with a lookup side of one row per key.
 """
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.template import Template, quoted, template
 from ..functions.values import convert, convert_failed
 from ..routes import FAILURE, REASON, ROUTE, with_route
-from ..sources.sql import lateral
+from ..sources.sql import lateral_first
 from .cells import lookup_cells, scan
 
 TO_ATTRIBUTES = "extract-to-attributes"
@@ -101,15 +102,15 @@ class _Plan:
 
         return self.once(("cells", table, filter_text), build)
 
-    def query(self, sql: str) -> str:
+    def query(self, sql: str, order_by: str | list[str] | None) -> str:
         def build() -> str:
-            joined, labels = lateral(self.frame, sql, outer=True, first=True)
             found = f"__e{len(self.added)}"
-            self.frame = joined.withColumn(found, F.col("__c0").cast("string")).drop(*[f"__c{i}" for i in range(len(labels))])
+            joined = lateral_first(self.frame, sql, order_by)
+            self.frame = joined.withColumn(found, F.col("__first").cast("string")).drop("__first", "__hit")
             self.added.append(found)
             return found
 
-        return self.once(("sql", sql), build)
+        return self.once(("sql", sql, str(order_by)), build)
 
 
 def _entry(plan: _Plan, key: str, entry: Any) -> Column:
@@ -132,7 +133,7 @@ def _entry(plan: _Plan, key: str, entry: Any) -> Column:
                 raise ValueError(f"hbase-table argument missing for {key}")
             found = F.col(plan.cell(entry["hbase-table"], text))
         elif kind == "SQL":
-            found = F.col(plan.query(text))
+            found = F.col(plan.query(text, entry.get("order-by")))
         else:
             found = template(text, plan.names)
     found = F.nullif(found, F.lit(""))

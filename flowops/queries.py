@@ -649,8 +649,9 @@ def sql_scalar(spark, sf_dir):
     orders = view(spark, sf_dir, "orders")
     rows = sql.sql_scalar(
         table(spark, sf_dir, "customer").select("c_custkey"),
-        f"SELECT o_orderpriority FROM {orders} WHERE o_custkey = ${{c_custkey}} ORDER BY o_orderkey",
+        f"SELECT o_orderpriority, o_orderkey FROM {orders} WHERE o_custkey = ${{c_custkey}}",
         "first_priority",
+        order_by="o_orderkey",
     )
     return rows.select("c_custkey", "first_priority", "route")
 

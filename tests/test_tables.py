@@ -134,12 +134,16 @@ def test_sql_rows(spark, emp_view):
 
 
 def test_sql_scalar(emp_view):
-    rows = S.sql_scalar(emp_view, "select f, o from recs where rec = ${id} order by o", "v").orderBy("id").collect()
+    rows = S.sql_scalar(emp_view, "select f, o from recs where rec = ${id}", "v", order_by="o").orderBy("id").collect()
     assert [(r["v"], r["route"]) for r in rows] == [("y", "success"), ("", "success"), (None, "empty")]
-    text = S.sql_scalar(emp_view, "select max(o) from recs where f = '${want}' or concat('${s}', '${') = 'b${' limit 1", "v").orderBy("id")
+    text = S.sql_scalar(emp_view, "select max(o) from recs where f = '${want}' or concat('${s}', '${') = 'b${'", "v").orderBy("id")
     assert [r["v"] for r in text.collect()] == ["5", "5", ""]
     with pytest.raises(ValueError):
         S.sql_scalar(emp_view, "select 1 where 1 = ${nope}", "v")
+    with pytest.raises(ValueError):
+        S.sql_scalar(emp_view, "select f from recs where rec = ${id} Order  By o", "v")
+    with pytest.raises(ValueError):
+        S.sql_scalar(emp_view, "select f from recs where rec = ${id}", "v", order_by="o")
 
 
 def test_sql_to_kv(spark):
@@ -191,7 +195,7 @@ def test_enrich_lookups(spark, cells, table, emp_view):
         "extract-to-json": {
             "c": {"type": "CACHE_KEY", "value": "${k}", "default": -1},
             "e": {"type": "HBASE_FILTER", "hbase-table": "emp", "value": "PrefixFilter('${emp}') AND RowFilter(=, 'binary:${emp}')", "default": None},
-            "s": {"type": "SQL", "value": "SELECT f FROM recs WHERE rec = ${id} ORDER BY o", "default": "dflt", "to-type": "string"},
+            "s": {"type": "SQL", "value": "SELECT f, o FROM recs WHERE rec = ${id}", "order-by": "o", "default": "dflt", "to-type": "string"},
             "n": {"value": "${num}", "default": 0, "to-type": "double"},
         },
     }
