@@ -41,17 +41,6 @@ def _read(parser, text: str) -> None:
     parser.Parse(text, True)
 
 
-def problem(text: str | None) -> str | None:
-    """Why the text is not a well-formed document; null if it is."""
-    if not text:
-        return "no XML"
-    try:
-        _read(_reader(), text)
-    except (expat.ExpatError, Unsafe) as error:
-        return str(error)
-    return None
-
-
 def document(text: str) -> ET.Element:
     """Root element of a document."""
     builder = ET.TreeBuilder()
@@ -85,6 +74,42 @@ def element_path(path: str | None) -> str:
     return found
 
 
+# a path of plain element steps, perhaps to an attribute at the end
+_PLAIN = re.compile(r"^(?P<steps>(?://?(?:[A-Za-z_][\w.-]*|\*))+)(?:/@(?P<attribute>[A-Za-z_][\w.-]*))?$")
+
+
+def plain_path(path: str) -> tuple[str, str | None] | None:
+    """The path as (element path, attribute) if it is an absolute one of plain steps."""
+    found = _PLAIN.match(path.strip())
+    return (f".{found['steps']}", found["attribute"]) if found else None
+
+
+def texts(text: str | None, paths: list[tuple[str, str | None]]) -> tuple[list[str] | None, str | None]:
+    """Text of the first match of every plain path, ``""`` for none, or what is wrong.
+
+    (None, None) leaves the document to a full XPath: it has prefixed names.
+    """
+    if not text:
+        return None, "no XML"
+    try:
+        root = document(text)
+    except (expat.ExpatError, Unsafe) as error:
+        return None, str(error)
+    if any(_STAND_IN in node.tag or any(_COLON in name for name in node.attrib) for node in root.iter()):
+        return None, None
+    outer = ET.Element("outer")
+    outer.append(root)
+    found = []
+    for path, attribute in paths:
+        if attribute is None:
+            node = outer.find(path)
+            found.append("" if node is None else "".join(node.itertext()))
+        else:
+            held = (node.get(attribute) for node in outer.iterfind(path))
+            found.append(next((value for value in held if value is not None), ""))
+    return found, None
+
+
 def records(text: str | None, path: str, children: bool) -> tuple[list | None, str | None]:
     """(name, text) pairs of the child elements of every record node, or the reason for none.
 

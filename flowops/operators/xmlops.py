@@ -1,7 +1,8 @@
 """XML documents: records, XPath extraction, validation.
 
-Spark's XPath functions end the job on malformed text, so documents are first checked in Arrow
-batches; the XPath itself, validation and everything after parsing stay in the JVM.
+Spark's XPath functions end the job on malformed text, so documents are first read in Arrow
+batches, which also answers plain element paths; any other XPath, validation and everything
+after parsing stay in the JVM.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import xmltree
+from ..functions.maps import materialise
 from ..functions.names import split_list
 from ..functions.template import Template, quoted
 from ..routes import FAILURE, REASON, ROUTE, SUCCESS, with_route
@@ -43,13 +45,14 @@ def _parse_udf(path: str, children: bool):
     return F.arrow_udf(parse, kind)
 
 
-def _problem(batch: pa.Array) -> pa.Array:
-    return pa.array([xmltree.problem(text) for text in batch.to_pylist()], pa.string())
+def _texts_udf(paths: list[tuple[str, str | None]]):
+    kind = pa.struct([("texts", pa.list_(pa.string())), ("problem", pa.string())])
 
+    def read(batch: pa.Array) -> pa.Array:
+        found = [xmltree.texts(text, paths) for text in batch.to_pylist()]
+        return pa.array([{"texts": texts, "problem": why} for texts, why in found], kind)
 
-def xml_problem(column: Column) -> Column:
-    """Why a text is not a well-formed document, else null."""
-    return F.arrow_udf(_problem, "string")(column)
+    return F.arrow_udf(read, "struct<texts: array<string>, problem: string>")
 
 
 def xml_to_rows(
@@ -78,7 +81,7 @@ def xml_to_rows(
         raise ValueError(f"parse_type must be one of {PARSE_TYPES}, not {parse_type!r}")
     table = parse_type == "table"
     old, new = split_list(rename, delimiter), split_list(new_names, delimiter)
-    parsed = df.withColumn("__xml", _parse_udf(xmltree.element_path(root), table)(F.col(quoted(column))))
+    parsed = materialise(df, {"__xml": _parse_udf(xmltree.element_path(root), table)(F.col(quoted(column)))})
     records, why = F.col("__xml.records"), F.col("__xml.problem")
     rows = explode_records(parsed, records, fragment_id(F.col(quoted(column))), why.isNotNull(), why, original)
     attributes = attribute_pairs(F.col("__row.record"), prefix=prefix, renames=(old, new), blanks=new if always_add else [])
@@ -113,10 +116,21 @@ def extract_xml(
             raise ValueError(f"an XPath cannot depend on columns: {text!r}")
         bad_path = bad_path or _path_problem(df.sparkSession, path)
         queries[name] = path
-    rows = rows.withColumn("__why", F.lit(bad_path).cast("string") if bad_path else xml_problem(F.col(source)))
-    fine = F.col("__why").isNull()
-    outputs = {n: F.lit(None).cast("string") if bad_path else F.when(fine, F.xpath_string(F.col(source), F.lit(p))) for n, p in queries.items()}
-    rows = with_route(rows, [(~fine, F.col("__why"))])
+    if bad_path:
+        rows = with_route(rows, [(F.lit(True), bad_path)])
+        outputs = {n: F.lit(None).cast("string") for n in queries}
+    else:
+        # the parse that checks a document also answers plain paths, unless names have prefixes
+        plain = {n: xmltree.plain_path(p) for n, p in queries.items()}
+        asked = [n for n in plain if plain[n] is not None]
+        rows = materialise(rows, {"__read": _texts_udf([plain[n] for n in asked])(F.col(source))})
+        why, texts = F.col("__read.problem"), F.col("__read.texts")
+        outputs = {}
+        for name, path in queries.items():
+            full = F.xpath_string(F.col(source), F.lit(path))
+            value = F.when(texts.isNotNull(), F.get(texts, F.lit(asked.index(name)))).otherwise(full) if name in asked else full
+            outputs[name] = F.when(why.isNull(), value)
+        rows = with_route(rows, [(why.isNotNull(), why)])
     keep = [F.col(quoted(c)) for c in df.columns if c not in outputs]
     return rows.select(*keep, *[v.alias(n) for n, v in outputs.items()], ROUTE, REASON)
 
@@ -147,7 +161,7 @@ def validate_xml(
     corrupt = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}
     checked = F.from_xml(text, "__bad string", {**corrupt, "rowValidationXSDPath": schema})
     plain = F.from_xml(text, "__bad string", corrupt)
-    rows = df.withColumns({"__checked": checked})
+    rows = materialise(df, {"__checked": checked})
     missing = text.isNull() | (F.trim(text) == "")
     bad = missing | F.col("__checked")["__bad"].isNotNull()
     reason = F.when(missing, "no XML").when(plain["__bad"].isNotNull(), "malformed XML").otherwise("does not conform to the schema")

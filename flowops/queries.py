@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import cdc, cells, columns, enrich, jsonops, kv, sequence, state, xmlops
-from .session import scratch_path
+from .session import scratch_path, spread
 from .sources import files, sql
 from .streaming import batches
 
@@ -43,7 +43,7 @@ ORDER_OP = "CASE WHEN o_orderpriority = '5-LOW' THEN 'T' WHEN o_orderstatus = 'F
 
 def orders_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trail record per order, the operation chosen by its status and priority."""
-    orders = table(spark, sf_dir, "orders").withColumn("op", F.expr(ORDER_OP))
+    orders = spread(table(spark, sf_dir, "orders")).withColumn("op", F.expr(ORDER_OP))
 
     def image(priority: Column) -> Column:
         return F.struct(F.col("o_orderkey").alias("O_ORDERKEY"), F.col("o_custkey").alias("O_CUSTKEY"), priority.alias("O_ORDERPRIORITY"))
@@ -148,7 +148,7 @@ def cdc_merge_views(spark, sf_dir):
 
 def events_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a change to the customer with the user's number."""
-    return cdc.parse_trail(_event_changes(table(spark, sf_dir, "events")))
+    return cdc.parse_trail(_event_changes(spread(table(spark, sf_dir, "events"))))
 
 
 def _event_changes(events: DataFrame) -> DataFrame:
@@ -263,7 +263,7 @@ def json_rows_original(spark, sf_dir):
 
 @register("json_props", "SELECT event_id, json_extract_string(props, '$.k') AS k, 'success' AS route FROM events")
 def json_props(spark, sf_dir):
-    return jsonops.json_to_rows(table(spark, sf_dir, "events"), "props", names=["k"]).select("event_id", "k", "route")
+    return jsonops.json_to_rows(spread(table(spark, sf_dir, "events")), "props", names=["k"]).select("event_id", "k", "route")
 
 
 @register("json_not_json", "SELECT page_id, 'failure' AS route FROM pages")
@@ -332,7 +332,7 @@ def xml_extract(spark, sf_dir):
     content = F.concat(
         F.lit("<e no='"), text("event_id"), F.lit("'><kind>"), kind, F.lit("</kind>"), F.when(kind == "error", "").otherwise("</e>")
     )
-    rows = table(spark, sf_dir, "events").select("event_id", content.alias("content"))
+    rows = spread(table(spark, sf_dir, "events")).select("event_id", content.alias("content"))
     found = xmlops.extract_xml(rows, {"id": "/e/@no", "kind": '/e/${literal("kind")}', "missing": "//none"})
     return found.select("event_id", "id", "kind", "missing", "route")
 
@@ -359,7 +359,7 @@ def xml_validate(spark, sf_dir):
         F.lit("</cust>"),
         F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise("</o>"),
     )
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", content.alias("content"))
+    rows = spread(table(spark, sf_dir, "orders")).select("o_orderkey", content.alias("content"))
     return xmlops.validate_xml(rows, xsd_text=ORDER_XSD).select("o_orderkey", "route", "reason")
 
 
@@ -412,7 +412,7 @@ def symbols_json(spark, sf_dir):
     SELECT event_id, '{"k":"' || json_extract_string(props, '$.k') || '","none":null,"type":"' || event_type || '"}' AS content FROM events""",
 )
 def symbols_json_map(spark, sf_dir):
-    rows = jsonops.json_to_rows(table(spark, sf_dir, "events"), "props", prefix="p.")
+    rows = jsonops.json_to_rows(spread(table(spark, sf_dir, "events")), "props", prefix="p.")
     made = columns.map_to_json(F.col("attrs"), prefix="p.", names=["none"], constants={"type": F.col("event_type")})
     return rows.select("event_id", made.alias("content"))
 

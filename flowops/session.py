@@ -50,3 +50,13 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give costly per-row work at least one task per core.
+
+    A small file is one split, whatever its rows cost. Inputs with enough splits, as any large
+    table has, are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

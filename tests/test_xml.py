@@ -48,6 +48,12 @@ def test_extract(spark):
     rows = extract_xml(df, {"extracted_name": '/root/${literal("name")}', "n": "/root/n", "cnt": "count(//b)", "no": "//zz", "at": "/root/n/@a"}).orderBy("doc").collect()
     assert rows[0][2:] == ("Dude", "xy", "1", "", "1", "success", None)
     assert [r["route"] for r in rows[1:]] == ["failure"] * len(BAD)
+    # plain paths and full XPath agree, also where names have prefixes
+    texts = ["<a i='1'><b>x</b><b i='2'>y<c>z</c></b><d><b> q </b></d></a>", "<n:a xmlns:n='u' n:i='3'><n:b>p</n:b><b>w</b></n:a>", "<a><![CDATA[<b>]]>&amp;</a>", "<z/>"]
+    paths = ["/a", "/a/b", "//b", "/a/d/b", "/a/@i", "//b/@i", "/*/b", "//c", "/a//b", "/b", "/*/@i"]
+    plain = extract_xml(docs(spark, *texts), {f"p{i}": p for i, p in enumerate(paths)}).orderBy("doc").collect()
+    full = extract_xml(docs(spark, *texts), {f"p{i}": f"string({p})" for i, p in enumerate(paths)}).orderBy("doc").collect()
+    assert plain == full and plain[0]["p1"] == "x" and plain[0]["p5"] == "2"
     bad = extract_xml(df, {"x": "/root["}).collect()
     assert {r["route"] for r in bad} == {"failure"}
     kv = spark.createDataFrame([("k", "<a>1</a>")], "key string, value string")
