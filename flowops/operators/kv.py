@@ -8,7 +8,7 @@ Joins carry no broadcast hint: Spark broadcasts a side it has measured as small.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import DEFAULT_MAX_ROWS, follow_chain, next_match
@@ -52,26 +52,58 @@ def kv_get_and_put_if_absent(table: DataFrame, updates: DataFrame, order_by: str
 
 
 def kv_check_and_put(
-    table: DataFrame, requests: DataFrame, order_by: str, *, max_rows: int | None = DEFAULT_MAX_ROWS
+    table: DataFrame, requests: DataFrame, order_by: str, *, fold_rows: int = 1000, max_rows: int | None = DEFAULT_MAX_ROWS
 ) -> tuple[DataFrame, DataFrame]:
     """Write ``value`` where the current value equals ``expected`` (null = key absent).
 
-    Returns the new table and the requests with ``ok``. Requests on one key form a chain: the
-    first one that expects the stored value succeeds, the next to succeed is the first later
-    one that expects what it wrote, and so on. The links are found by a running aggregate and
-    followed by pointer doubling, so a key may have any number of requests.
+    Returns the new table and the requests (key, expected, value, order) with ``ok``. The
+    requests of a key with at most ``fold_rows`` of them are folded in its one row. Keys with more
+    are solved as chains: the first request that expects the stored value succeeds, the next to
+    succeed is the first later one that expects what it wrote, and so on; the links come from
+    a running aggregate and are followed by pointer doubling, so a key may have any number.
     """
-    order = order_by
+    asked = requests.select("key", "expected", "value", order_by)
     current = table.select("key", F.col("value").alias("__cur"))
-    open_requests = requests.select("key", "value", "expected", order)
-    fits = open_requests.join(current, "key", "left").where(F.col("expected").eqNullSafe(F.col("__cur")))
+    busy = asked.groupBy("key").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > fold_rows).select("key")
+    if busy.isEmpty():
+        writes, results = _fold(asked, current, order_by)
+    else:
+        writes, results = _fold(asked.join(busy, "key", "left_anti"), current, order_by)
+        more_writes, more_results = _chain(asked.join(busy, "key", "left_semi"), current, order_by, max_rows)
+        writes, results = writes.unionByName(more_writes), results.unionByName(more_results)
+    kept = table.select("key", "value").join(writes.select("key"), "key", "left_anti")
+    return kept.unionByName(writes), results
+
+
+def _fold(asked: DataFrame, current: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
+    """(key, value) written last, and the requests with ``ok``, for keys with few requests."""
+    in_order = F.sort_array(F.collect_list(F.struct(order, "expected", "value")))
+    rows = asked.groupBy("key").agg(in_order.alias("__asked")).join(current, "key", "left")
+
+    def step(done: Column, request: Column) -> Column:
+        ok = done["value"].eqNullSafe(request["expected"])
+        return F.struct(
+            F.when(ok, request["value"]).otherwise(done["value"]).alias("value"),
+            F.concat(done["oks"], F.array(ok)).alias("oks"),
+        )
+
+    start = F.struct(F.col("__cur").alias("value"), F.array().cast("array<boolean>").alias("oks"))
+    rows = rows.withColumn("__done", F.aggregate("__asked", start, step))
+    writes = rows.where(F.exists("__done.oks", lambda ok: ok)).select("key", F.col("__done.value").alias("value"))
+    paired = F.arrays_zip(F.col("__asked").alias("asked"), F.col("__done.oks").alias("ok"))
+    results = rows.select("key", F.inline(paired)).select("key", "asked.expected", "asked.value", f"asked.{order}", "ok")
+    return writes, results
+
+
+def _chain(asked: DataFrame, current: DataFrame, order: str, max_rows: int | None) -> tuple[DataFrame, DataFrame]:
+    """The same for keys with any number of requests."""
+    fits = asked.join(current, "key", "left").where(F.col("expected").eqNullSafe(F.col("__cur")))
     heads = fits.groupBy("key").agg(F.min(order).alias(order))
-    links = next_match(open_requests, ["key"], order, "value", "expected", max_rows)
+    links = next_match(asked, ["key"], order, "value", "expected", max_rows)
     done = follow_chain(heads, links, ["key"], order).withColumn("ok", F.lit(True))
-    results = requests.join(done, ["key", order], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
-    results = results.select(*requests.columns, "ok")
-    written = results.where("ok").select("key", "value", order)
-    return kv_put(table, written, order), results
+    results = asked.join(done, ["key", order], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
+    writes = results.where("ok").groupBy("key").agg(F.max_by("value", order).alias("value"))
+    return writes, results.select("key", "expected", "value", order, "ok")
 
 
 def kv_get(df: DataFrame, table: DataFrame, key: str, output: str = "value") -> DataFrame:

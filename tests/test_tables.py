@@ -46,8 +46,8 @@ def test_reads_and_removes(spark, table):
     assert K.duplicate_keys(table.union(table)).count() == 3
 
 
-@pytest.mark.parametrize("limit", [None, 9])
-def test_check_and_put(spark, limit):
+@pytest.mark.parametrize("fold,limit", [(1000, None), (50, None), (50, 9), (0, 9)])
+def test_check_and_put(spark, fold, limit):
     rnd = random.Random(5)
     start = {"hot": "v1", "k1": "v0", "k2": "v2"}
     requests = []
@@ -57,7 +57,7 @@ def test_check_and_put(spark, limit):
         requests.append((i, key, expected, f"v{rnd.randrange(4)}"))
     frame = spark.createDataFrame(requests, "ord long, key string, expected string, value string").repartition(3)
     table = spark.createDataFrame(list(start.items()), "key string, value string")
-    after, results = K.kv_check_and_put(table, frame, "ord", max_rows=limit)
+    after, results = K.kv_check_and_put(table, frame, "ord", fold_rows=fold, max_rows=limit)
     store, want = dict(start), {}
     for i, key, expected, value in requests:
         want[i] = store.get(key) == expected
