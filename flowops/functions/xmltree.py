@@ -110,6 +110,25 @@ def texts(text: str | None, paths: list[tuple[str, str | None]]) -> tuple[list[s
     return found, None
 
 
+def text_at(text: str | None, path: str | None) -> tuple[str | None, str | None]:
+    """Text of the first match of a path that is known per row only, or what is wrong."""
+    if not text:
+        return None, "no XML"
+    try:
+        found = plain_path(path or "")
+        if found is None:
+            found = (element_path(path), None)
+        outer = ET.Element("outer")
+        outer.append(document(text))
+        if found[1] is not None:
+            held = (node.get(found[1]) for node in outer.iterfind(found[0]))
+            return next((value for value in held if value is not None), ""), None
+        node = outer.find(found[0])
+    except (expat.ExpatError, ValueError) as error:
+        return None, str(error)
+    return "" if node is None else "".join(node.itertext()), None
+
+
 def records(text: str | None, path: str, children: bool) -> tuple[list | None, str | None]:
     """(name, text) pairs of the child elements of every record node, or the reason for none.
 

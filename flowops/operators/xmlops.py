@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import xmltree
 from ..functions.maps import materialise
 from ..functions.names import split_list
-from ..functions.template import Template, quoted
+from ..functions.template import Template, quoted, template
 from ..routes import FAILURE, REASON, ROUTE, SUCCESS, with_route
 from ..session import shared_dir
 from .jsonops import _finish, attribute_pairs, explode_records
@@ -55,6 +55,16 @@ def _texts_udf(paths: list[tuple[str, str | None]]):
     return F.arrow_udf(read, "struct<texts: array<string>, problem: string>")
 
 
+def _row_text_udf():
+    kind = pa.struct([("text", pa.string()), ("problem", pa.string())])
+
+    def read(batch: pa.Array, paths: pa.Array) -> pa.Array:
+        found = [xmltree.text_at(text, path) for text, path in zip(batch.to_pylist(), paths.to_pylist())]
+        return pa.array([{"text": value, "problem": why} for value, why in found], kind)
+
+    return F.arrow_udf(read, "struct<text: string, problem: string>")
+
+
 def xml_to_rows(
     df: DataFrame,
     root: str | None = None,
@@ -100,8 +110,10 @@ def extract_xml(
     """One text column per XPath, ``""`` where nothing matches.
 
     The XML is the column or, with ``kv`` and ``cache_key`` (a column), the table's value for
-    that key. ``${literal("x")}`` in a path is filled in when the plan is built. Malformed XML
-    and a path that cannot be read send the row to ``failure``.
+    that key. ``${literal("x")}`` in a path is filled in when the plan is built. A path with
+    ``${column}`` is read row by row and may be an element path with simple predicates
+    (``/a/b[@id='${k}']``) or end in an attribute. Malformed XML and a path that cannot be read
+    send the row to ``failure``.
     """
     rows = df
     source = quoted(column)
@@ -109,16 +121,18 @@ def extract_xml(
         lookup = kv.select(F.col("key").alias("__key"), F.col("value").alias("__text"))
         rows = rows.join(lookup, F.col(quoted(cache_key)) == F.col("__key"), "left")
         source = "__text"
-    queries, bad_path = {}, None
+    queries, by_row, bad_path = {}, [], None
     for name, text in paths.items():
         path = Template.parse(text).constant()
         if path is None:
-            raise ValueError(f"an XPath cannot depend on columns: {text!r}")
+            rows = materialise(rows, {f"__at_{name}": _row_text_udf()(F.col(source), template(text, df.columns))})
+            by_row.append(name)
+            continue
         bad_path = bad_path or _path_problem(df.sparkSession, path)
         queries[name] = path
     if bad_path:
         rows = with_route(rows, [(F.lit(True), bad_path)])
-        outputs = {n: F.lit(None).cast("string") for n in queries}
+        outputs = {n: F.lit(None).cast("string") for n in paths}
     else:
         # the parse that checks a document also answers plain paths, unless names have prefixes
         plain = {n: xmltree.plain_path(p) for n, p in queries.items()}
@@ -130,7 +144,10 @@ def extract_xml(
             full = F.xpath_string(F.col(source), F.lit(path))
             value = F.when(texts.isNotNull(), F.get(texts, F.lit(asked.index(name)))).otherwise(full) if name in asked else full
             outputs[name] = F.when(why.isNull(), value)
-        rows = with_route(rows, [(why.isNotNull(), why)])
+        problems = [why, *[F.col(quoted(f"__at_{n}"))["problem"] for n in by_row]]
+        outputs.update({n: F.when(why.isNull(), F.col(quoted(f"__at_{n}"))["text"]) for n in by_row})
+        outputs = {n: outputs[n] for n in paths}
+        rows = with_route(rows, [(p.isNotNull(), p) for p in problems])
     keep = [F.col(quoted(c)) for c in df.columns if c not in outputs]
     return rows.select(*keep, *[v.alias(n) for n, v in outputs.items()], ROUTE, REASON)
 

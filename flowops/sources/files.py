@@ -10,6 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..routes import REASON, ROUTE, SUCCESS
+
+COMMS_FAILURE = "comms.failure"
+
 # Compression settings, and the extensions that "automatic" understands.
 COMPRESSIONS = ("automatic", "none", "gzip", "bzip2", "deflate")
 EXTENSIONS = (".gz", ".bz2", ".deflate", ".lz4", ".snappy", ".zst")
@@ -62,7 +66,8 @@ def _rows(files: DataFrame, content: Column, directory: str, regex: str | None,
     if cut_extension:
         endings = "|".join(e.replace(".", r"\.") for e in EXTENSIONS)
         name = F.regexp_replace(name, f"({endings})$", "")
-    return files.select(content.alias("content"), F.lit(directory).alias("path"), name.alias("filename"))
+    routes = [F.lit(SUCCESS).alias(ROUTE), F.lit(None).cast("string").alias(REASON)]
+    return files.select(content.alias("content"), F.lit(directory).alias("path"), name.alias("filename"), *routes)
 
 
 def read_files(
@@ -73,9 +78,9 @@ def read_files(
     ignore_dotted: bool = True,
     compression: str = "automatic",
 ) -> DataFrame:
-    """Files directly in ``directory`` as (content, path, filename).
+    """Files directly in ``directory`` as (content, path, filename, route, reason).
 
-    ``regex`` has to match the whole file name. ``automatic`` decompresses by extension and drops
+    A directory that does not exist is one row with route ``comms.failure``. ``regex`` has to match the whole file name. ``automatic`` decompresses by extension and drops
     the extension from ``filename``; ``none`` keeps the bytes; the others decompress every file
     as that format. Spark never lists names that begin with ``_`` or ``.``.
     """
@@ -83,7 +88,9 @@ def read_files(
         raise ValueError(f"compression must be one of {COMPRESSIONS}, not {compression!r}")
     why = missing_directory(spark, directory)
     if why:
-        raise FileNotFoundError(f"{why}: {directory}")
+        return spark.createDataFrame(
+            [(None, directory, None, COMMS_FAILURE, why)], f"content string, path string, filename string, {ROUTE} string, {REASON} string"
+        )
     if compression == "automatic":
         files = spark.read.text(directory, wholetext=True)
         return _rows(files, F.col("value"), directory, regex, ignore_dotted, True)

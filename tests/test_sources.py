@@ -34,8 +34,10 @@ def test_read_files(spark, folder):
     zipped = read_files(spark, folder, regex=".*gz", compression="gzip").first()
     assert (zipped["filename"], zipped["content"]) == ("b.txt", "zipped")
     assert missing_directory(spark, folder + "/no") == "dir_does_not_exist"
-    with pytest.raises(FileNotFoundError):
-        read_files(spark, folder + "/no")
+    missing = read_files(spark, folder + "/no").first()
+    assert (missing["route"], missing["reason"], missing["content"]) == ("comms.failure", "dir_does_not_exist", None)
+    with pytest.raises(ValueError):
+        read_files(spark, folder, compression="rar")
     assert delete_files(spark, folder, ["a.txt", "zz"]) == 1
     assert read_files(spark, folder).count() == 1
 

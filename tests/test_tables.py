@@ -138,6 +138,10 @@ def test_sql_scalar(emp_view):
     assert [(r["v"], r["route"]) for r in rows] == [("y", "success"), ("", "success"), (None, "empty")]
     text = S.sql_scalar(emp_view, "select max(o) from recs where f = '${want}' or concat('${s}', '${') = 'b${'", "v").orderBy("id")
     assert [r["v"] for r in text.collect()] == ["5", "5", ""]
+    same = S.sql_scalar(emp_view, "select f, o from recs", "v", order_by="o").collect()
+    assert [(r["v"], r["route"]) for r in same] == [("", "success")] * 3
+    none = S.sql_scalar(emp_view, "select f from recs where o > 99", "v").collect()
+    assert [(r["v"], r["route"]) for r in none] == [(None, "empty")] * 3
     with pytest.raises(ValueError):
         S.sql_scalar(emp_view, "select 1 where 1 = ${nope}", "v")
     with pytest.raises(ValueError):

@@ -56,6 +56,11 @@ def test_extract(spark):
     assert plain == full and plain[0]["p1"] == "x" and plain[0]["p5"] == "2"
     bad = extract_xml(df, {"x": "/root["}).collect()
     assert {r["route"] for r in bad} == {"failure"}
+    dyn = spark.createDataFrame([("1", "b"), ("2", "c"), ("9", "b"), ("1", "]["), ("2", "@i")], "i string, n string").withColumn("content", F.lit("<a i='A'><b i='1'>x</b><b i='2'>y</b><c i='2'>z</c></a>"))
+    got = extract_xml(dyn, {"v": "/a/${n}[@i='${i}']", "w": "/a/b"}).collect()
+    assert [(r["v"], r["w"], r["route"]) for r in got[:3]] == [("x", "x", "success"), ("z", "x", "success"), ("", "x", "success")]
+    assert got[3]["route"] == "failure" and got[3]["reason"]
+    assert [r["v"] for r in extract_xml(dyn, {"v": "/a/${n}"}).collect()][4] == "A"
     kv = spark.createDataFrame([("k", "<a>1</a>")], "key string, value string")
     keyed = spark.createDataFrame([("k",), ("z",)], "k string")
     got = {r["k"]: (r["v"], r["route"]) for r in extract_xml(keyed.withColumn("content", F.lit("")), {"v": "/a"}, kv=kv, cache_key="k").collect()}
