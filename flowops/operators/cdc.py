@@ -13,6 +13,7 @@ from ..functions.names import apply_case, map_column, override_schema, split_lis
 from ..functions.template import quoted
 from ..functions.values import sql_literal
 from ..routes import REASON, ROUTE, SUCCESS, with_route
+from ..session import measured
 
 # The fields of a trail record and its operation codes.
 TRAIL_SCHEMA = (
@@ -203,9 +204,9 @@ def apply_changes(
     read from ``before`` for updates and deletes and from ``after`` for inserts.
 
     The changes are reduced to one row per key by a single pre-aggregated group-by, so a key
-    with very many changes costs its map tasks little more than any other. The base is then
-    left-joined with that (a broadcast join while Spark sees the reduced changes are small),
-    so it is neither sorted nor windowed.
+    with very many changes costs its map tasks little more than any other. The reduced changes
+    are saved and measured; while they are small the base is only scanned, else both are shuffled
+    once by key.
     """
     fields = {f.name: f.dataType for f in base.schema.fields}
     others = [c for c in fields if c not in keys]
@@ -239,15 +240,13 @@ def apply_changes(
     for i in range(len(others)):
         at = F.when(F.col(f"__has{i}"), F.col("__pos"))
         folds += [F.max(at).alias(f"__at{i}"), F.max_by(f"__v{i}", at).alias(f"__new{i}")]
-    last = flat.groupBy(*key_names).agg(*folds)
+    last, small_side = measured(flat.groupBy(*key_names).agg(*folds), "changes")
 
     def since_anchor(i: int) -> Column:
         return F.col(f"__at{i}") >= F.col("__anchor")
 
     on = [F.col(quoted(k)).eqNullSafe(F.col(n)) for k, n in zip(keys, key_names)]
-    # both tests say the same; with them both uses of the reduced changes need the same columns,
-    # so that Spark computes and shuffles them once
-    kept = base.join(last, on, "left").where(F.col("__anchor").isNull() & F.col("__anchor_op").isNull())
+    kept = base.join(small_side(last), on, "left").where(F.col("__anchor").isNull())
     kept = kept.select(
         *[
             F.col(quoted(c)) if c in keys

@@ -15,11 +15,9 @@ from ..functions.names import attribute_name, split_list
 from ..functions.template import quoted
 from ..plans import DEFAULT_MAX_ROWS
 from ..routes import EMPTY, FAILURE, REASON, ROUTE, SUCCESS
+from ..session import measured
 from .sequence import number_fragments
 
-# Up to this many different keys are sent to every executor to drop other cells at the scan.
-MAX_BROADCAST_KEYS = 1_000_000
-
 CELL_COLUMNS = ("table", "row_key", "family", "qualifier", "value", "ts")
 
 
@@ -118,7 +116,7 @@ def lookup_cells(
     With ``prefix`` the row key has to begin with it. A prefix is made an equality by cutting
     the row keys to the prefix lengths that occur (a short list, read first), and the cells are
     reduced to one row per key or prefix before the join, so matches are never paired up. The
-    keys asked for are counted first; while they are few, other cells are dropped at the scan.
+    keys asked for are measured first; while they are few, other cells are dropped at the scan.
     """
     wanted = F.col(quoted(column))
     key = F.col("row_key")
@@ -130,11 +128,12 @@ def lookup_cells(
         cells = cells.select("*", F.explode(F.transform(cuts, lambda e: e["head"])).alias("__find"))
     else:
         cells = cells.withColumn("__find", key)
-    asked = df.select(wanted.alias("__find")).where(wanted.isNotNull()).distinct()
-    if asked.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS:
+    asked, small_side = measured(df.select(wanted.alias("__find")).where(wanted.isNotNull()).distinct(), "lookups")
+    if small_side is F.broadcast:
         cells = cells.join(F.broadcast(asked), "__find", "left_semi")
     found = cells.groupBy("__find").agg(*_only_row(family, qualifier, output))
-    return _only_row_routes(df.join(found, wanted == F.col("__find"), "left").drop("__find"), output)
+    # one row per key that was asked for, if the cells were narrowed to those
+    return _only_row_routes(df.join(small_side(found), wanted == F.col("__find"), "left").drop("__find"), output)
 
 
 def truncate_cells(cells: DataFrame, tables: str | Sequence[str]) -> DataFrame:

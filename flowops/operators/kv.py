@@ -2,8 +2,9 @@
 
 Requests are DataFrames as well. Writes return a new table; nothing is changed in place. When
 several requests name one key they are taken in the order of ``order_by``, and they are reduced
-per key by pre-aggregated group-bys before they meet the table, which is joined once.
-Joins carry no broadcast hint: Spark broadcasts a side it has measured as small.
+per key by pre-aggregated group-bys before they meet the table. The reduced requests are saved
+and measured: while they are small the table is only scanned, else both sides are shuffled. The
+table has one row per key.
 """
 
 from __future__ import annotations
@@ -12,22 +13,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import DEFAULT_MAX_ROWS, follow_chain, next_match
+from ..session import measured
 
 
 def _first(requests: DataFrame, order_by: str) -> DataFrame:
     return requests.groupBy("key").agg(F.min_by("value", order_by).alias("value"), F.min(order_by).alias("__first"))
 
 
+def _hits(table: DataFrame, keys: DataFrame, small_side) -> DataFrame:
+    """Rows of the table with one of the keys, found without a shuffle of the table if they are few."""
+    return table.select("key", "value").join(small_side(keys.select("key")), "key", "left_semi")
+
+
 def kv_put(table: DataFrame, updates: DataFrame, order_by: str) -> DataFrame:
     """Upsert; the last value of a key in ``updates`` stays."""
-    last = updates.groupBy("key").agg(F.max_by("value", order_by).alias("value"))
-    kept = table.select("key", "value").join(last.select("key"), "key", "left_anti")
+    last, small_side = measured(updates.groupBy("key").agg(F.max_by("value", order_by).alias("value")), "puts")
+    kept = table.select("key", "value").join(small_side(last.select("key")), "key", "left_anti")
     return kept.unionByName(last)
 
 
 def kv_put_if_absent(table: DataFrame, updates: DataFrame, order_by: str) -> DataFrame:
     """Insert only keys that are absent; the first value of a key in ``updates`` stays."""
-    fresh = _first(updates, order_by).select("key", "value").join(table.select("key"), "key", "left_anti")
+    first, small_side = measured(_first(updates, order_by).select("key", "value"), "puts")
+    present = _hits(table, first, small_side).select("key")
+    fresh = first.join(small_side(present), "key", "left_anti")
     return table.select("key", "value").unionByName(fresh)
 
 
@@ -41,11 +50,11 @@ def kv_get_and_put_if_absent(table: DataFrame, updates: DataFrame, order_by: str
 
     The new table is :func:`kv_put_if_absent`.
     """
-    found = _first(updates, order_by).join(
-        table.select("key", F.col("value").alias("__old"), F.lit(True).alias("__hit")), "key", "left"
-    )
+    first, small_side = measured(_first(updates, order_by), "gets")
+    present = _hits(table, first, small_side).select("key", F.col("value").alias("__old"), F.lit(True).alias("__hit"))
+    found = first.join(small_side(present), "key", "left")
     found = found.select("key", F.col("value").alias("__new"), "__first", "__old", F.coalesce("__hit", F.lit(False)).alias("__hit"))
-    rows = updates.join(found, "key", "left")
+    rows = updates.join(small_side(found), "key", "left")
     inserted = ~F.col("__hit") & (F.col(order_by) == F.col("__first"))
     previous = F.when(F.col("__hit"), F.col("__old")).when(~inserted, F.col("__new"))
     return rows.withColumns({"previous": previous, "__inserted": inserted}).select(*updates.columns, "previous", "__inserted")
@@ -63,15 +72,16 @@ def kv_check_and_put(
     a running aggregate and are followed by pointer doubling, so a key may have any number.
     """
     asked = requests.select("key", "expected", "value", order_by)
-    current = table.select("key", F.col("value").alias("__cur"))
-    busy = asked.groupBy("key").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > fold_rows).select("key")
+    counts, small_side = measured(asked.groupBy("key").agg(F.count(F.lit(1)).alias("__n")), "requests")
+    current = small_side(_hits(table, counts, small_side).select("key", F.col("value").alias("__cur")))
+    busy = small_side(counts.where(F.col("__n") > fold_rows).select("key"))
     if busy.isEmpty():
         writes, results = _fold(asked, current, order_by)
     else:
         writes, results = _fold(asked.join(busy, "key", "left_anti"), current, order_by)
         more_writes, more_results = _chain(asked.join(busy, "key", "left_semi"), current, order_by, max_rows)
         writes, results = writes.unionByName(more_writes), results.unionByName(more_results)
-    kept = table.select("key", "value").join(writes.select("key"), "key", "left_anti")
+    kept = table.select("key", "value").join(small_side(writes.select("key")), "key", "left_anti")
     return kept.unionByName(writes), results
 
 
@@ -120,12 +130,15 @@ def kv_contains(df: DataFrame, table: DataFrame, key: str, output: str = "found"
 
 def kv_remove(table: DataFrame, keys: DataFrame) -> DataFrame:
     """The table without the given keys."""
-    return table.join(keys.select("key"), "key", "left_anti")
+    gone, small_side = measured(keys.select("key").distinct(), "removes")
+    return table.join(small_side(gone), "key", "left_anti")
 
 
 def kv_remove_results(table: DataFrame, keys: DataFrame) -> DataFrame:
     """Each distinct key to remove with ``ok``: whether it was there."""
-    return kv_contains(keys.select("key").distinct(), table, "key", "ok")
+    asked, small_side = measured(keys.select("key").distinct(), "removes")
+    present = _hits(table, asked, small_side).select("key", F.lit(True).alias("__hit"))
+    return asked.join(small_side(present), "key", "left").select("key", F.coalesce("__hit", F.lit(False)).alias("ok"))
 
 
 def duplicate_keys(table: DataFrame) -> DataFrame:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -24,15 +26,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_dir: str | None = None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
     A temporary folder is used only where the setting is absent (local tests).
     """
+    global _own_dir
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="flowops-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        path = _own_dir = _own_dir or tempfile.mkdtemp(prefix="flowops-")
     return path.rstrip("/")
 
 
@@ -46,10 +53,33 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
 
     A written table, unlike a local checkpoint, outlives the executors.
     """
+    return _saved(df, scratch_path(df.sparkSession, label))
+
+
+def _saved(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# A side is broadcast only if it has been measured to stay below both.
+MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_FILE_BYTES = 64 * 1024 * 1024
+
+
+def measured(df: DataFrame, label: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Compute ``df`` once, and tell how to join with something as long as it.
+
+    Returns the saved frame and a function for the side of a join that has at most as many rows:
+    it marks that side for broadcast if the saved frame is small, else it leaves it alone, and
+    Spark shuffles both sides.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    saved = _saved(df, path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    small = size <= MAX_BROADCAST_FILE_BYTES and saved.count() <= MAX_BROADCAST_ROWS
+    return saved, F.broadcast if small else lambda side: side
 
 
 def spread(df: DataFrame) -> DataFrame:
