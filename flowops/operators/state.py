@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans import DEFAULT_MAX_ROWS, Running, plan_split, running
+from ..plans import DEFAULT_MAX_ROWS, PART, Running, Split, join_parts, part_groups, plan_split, running, with_part
 from ..routes import EMPTY, FAILURE, REASON, ROUTE, SUCCESS
 
 # The accepted replace settings.
@@ -192,24 +192,55 @@ def _lock_rows(df: DataFrame, topic: str, key: str, action: str, duplicate: str
     )
 
 
-def _with_holder(rows: DataFrame, order: list[str], held: DataFrame | None, split) -> DataFrame:
+def _with_holder(rows: DataFrame, order: list[str], held: DataFrame | None, split: Split | None) -> DataFrame:
     """Add ``holder``: the value the lock holds before each request, null on a free lock.
 
     After any hold the lock is held and after any release it is free, so the last action alone
-    tells whether it is held; the holder is the last value offered to a free lock. Both
-    passes use the same grouping and order, so the data is shuffled and sorted once.
+    tells whether it is held; the holder is the last value offered to a free lock. Both windows
+    use the same grouping and order, so the data is shuffled and sorted once.
     """
-    rows = running(rows, ["lock"], order, [Running("__last", "last", F.col("__action"))], split=split)
-    rows = rows.withColumn("__stored", F.lit(None).cast("string"))
-    if held is not None:
-        rows = rows.drop("__stored").join(
-            held.select(F.col("key").alias("__state_key"), F.col("value").alias("__stored")),
-            F.col("lock") == F.col("__state_key"),
-            "left",
-        )
-    rows = rows.withColumn(
-        "__held", F.coalesce(F.col("__last") == "hold", F.col("__stored").isNotNull())
-    )
+    if held is None:
+        rows = rows.withColumn("__stored", F.lit(None).cast("string"))
+    else:
+        stored = held.select(F.col("key").alias("__state_key"), F.col("value").alias("__stored"))
+        rows = rows.join(stored, F.col("lock") == F.col("__state_key"), "left")
+    if split is None:
+        group = ["lock"]
+        rows = rows.withColumn("__entry", F.col("__stored"))
+    else:
+        group = ["lock", PART]
+        rows = with_part(rows, order, split)
+        rows = join_parts(rows, ["lock"], _holders_at_entry(rows, order))
+        # a lock held from the start stays so until its first release
+        still = F.coalesce("__released", F.lit(0)) == 0
+        rows = rows.withColumn("__entry", F.when(still & F.col("__stored").isNotNull(), F.col("__stored")).otherwise(F.col("__before")))
+    past = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__last", F.last("__action", ignorenulls=True).over(past))
+    rows = rows.withColumn("__held", F.coalesce(F.col("__last") == "hold", F.col("__entry").isNotNull()))
     takes = F.when((F.col("__action") == "hold") & ~F.col("__held"), F.col("__offer"))
-    rows = running(rows, ["lock"], order, [Running("__taken", "last", takes)], split=split)
-    return rows.withColumn("holder", F.when(F.col("__held"), F.coalesce(F.col("__taken"), F.col("__stored"))))
+    rows = rows.withColumn("__takes", takes).withColumn("__taken", F.last("__takes", ignorenulls=True).over(past))
+    return rows.withColumn("holder", F.when(F.col("__held"), F.coalesce("__taken", "__entry")))
+
+
+def _holders_at_entry(rows: DataFrame, order: list[str]) -> DataFrame:
+    """For every part of a large lock: its holder before the part, and how many parts had a release.
+
+    From the rows two pre-aggregated totals per part are enough, the last release and the first
+    hold after it. A part with a release forgets what was before; the holder after a part is the
+    first hold since.
+    """
+    place = F.struct(*[F.col(o) for o in order])
+    cut = rows.where(F.col(PART).isNotNull()).withColumn("__place", place)
+    releases = cut.groupBy(*part_groups(["lock"])).agg(F.max(F.when(F.col("__action") == "release", F.col("__place"))).alias("__free"))
+    holds = (F.col("__action") == "hold") & (F.col("__free").isNull() | (F.col("__place") > F.col("__free")))
+    ends = join_parts(cut, ["lock"], releases).groupBy(*part_groups(["lock"])).agg(
+        F.min_by("__offer", F.when(holds, F.col("__place"))).alias("__end"),
+        F.max(F.col("__free").isNotNull().cast("int")).alias("__frees"),
+    )
+    parts = Window.partitionBy("__c0").orderBy("__p")
+    ends = ends.withColumn("__since", F.sum("__frees").over(parts))
+    since = Window.partitionBy("__c0", "__since").orderBy("__p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = ends.withColumn("__after", F.first("__end", ignorenulls=True).over(since))
+    return ends.select(
+        "__c0", "__p", F.lag("__after").over(parts).alias("__before"), F.lag("__since").over(parts).alias("__released")
+    )

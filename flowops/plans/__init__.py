@@ -1,4 +1,16 @@
 from .chains import follow_chain, next_match
-from .running import DEFAULT_MAX_ROWS, Running, Split, plan_split, running
+from .running import DEFAULT_MAX_ROWS, PART, Running, Split, join_parts, part_groups, plan_split, running, with_part
 
-__all__ = ["DEFAULT_MAX_ROWS", "Running", "Split", "follow_chain", "next_match", "plan_split", "running"]
+__all__ = [
+    "DEFAULT_MAX_ROWS",
+    "PART",
+    "Running",
+    "Split",
+    "follow_chain",
+    "join_parts",
+    "next_match",
+    "part_groups",
+    "plan_split",
+    "running",
+    "with_part",
+]

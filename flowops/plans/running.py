@@ -31,7 +31,7 @@ MAX_PARTS = 4096
 # Text has no quantile sketch; its cuts come from this many sampled values per part.
 _SAMPLED_PER_PART = 20
 
-_PART = "__part"
+PART = "__part"
 
 
 @dataclass(frozen=True)
@@ -144,16 +144,16 @@ def _place(order: Column, bounds: Column, coarse: Column, step: int) -> Column:
     return skipped + F.size(F.filter(stretch, lambda b: b < order))
 
 
-def _with_part(df: DataFrame, order_by: Sequence[str], split: Split) -> DataFrame:
-    """Add ``__part``: null for rows of groups that are not cut."""
+def with_part(df: DataFrame, order_by: Sequence[str], split: Split) -> DataFrame:
+    """Add ``__part``, the number of the part a row is in: null in groups that are not cut."""
     order = F.col(order_by[0])
     if split.bounds is None:
         if not split.constants:
-            return df.withColumn(_PART, F.lit(0))
+            return df.withColumn(PART, F.lit(0))
         kind = T.ArrayType(df.schema[order_by[0]].dataType)
         bounds, coarse = (F.lit(list(b)).cast(kind) for b in (split.constants, split.constants[split.step - 1::split.step]))
         place = _place(order, bounds, coarse, split.step)
-        return df.withColumn(_PART, F.when(order.isNull(), F.lit(0)).otherwise(place))
+        return df.withColumn(PART, F.when(order.isNull(), F.lit(0)).otherwise(place))
     names = [c for c in split.bounds.columns if c.startswith("__k")]
     joined = df.join(
         F.broadcast(split.bounds),
@@ -161,7 +161,22 @@ def _with_part(df: DataFrame, order_by: Sequence[str], split: Split) -> DataFram
         "left",
     )
     place = F.coalesce(_place(order, F.col("__bounds"), F.col("__coarse"), split.step), F.lit(0))
-    return joined.withColumn(_PART, F.when(F.col("__bounds").isNotNull(), place)).drop(*names, "__bounds", "__coarse")
+    return joined.withColumn(PART, F.when(F.col("__bounds").isNotNull(), place)).drop(*names, "__bounds", "__coarse")
+
+
+def join_parts(work: DataFrame, keys: Sequence[str], parts: DataFrame) -> DataFrame:
+    """Join rows with a table that has one row per part: the keys as ``__c0``..., and ``__p``.
+
+    The table has at most ``2 * rows / max_rows`` rows, so it can be broadcast.
+    """
+    names = [f"__c{i}" for i in range(len(keys))]
+    on = same_keys([F.col(k) for k in keys] + [F.col(PART)], [F.col(n) for n in names] + [F.col("__p")])
+    return work.join(F.broadcast(parts), on, "left").drop(*names, "__p")
+
+
+def part_groups(keys: Sequence[str]) -> list[Column]:
+    """Grouping columns of a table for :func:`join_parts`."""
+    return [*[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)], F.col(PART).alias("__p")]
 
 
 def _over(spec: Running, window) -> Column:
@@ -223,15 +238,15 @@ def running(
         frame = Window.partitionBy(*keys).orderBy(*direction).rowsBetween(Window.unboundedPreceding, end)
         return work.withColumns({s.name: _over(s, frame) for s in specs}).drop(*values)
 
-    work = _with_part(work, order_by, split)
-    frame = Window.partitionBy(*keys, _PART).orderBy(*direction).rowsBetween(Window.unboundedPreceding, end)
+    work = with_part(work, order_by, split)
+    frame = Window.partitionBy(*keys, PART).orderBy(*direction).rowsBetween(Window.unboundedPreceding, end)
     here = {f"__h_{s.name}": _over(s, frame) for s in specs}
 
     # one row per part of a large group
     names = [f"__c{i}" for i in range(len(keys))]
     totals = (
-        work.where(F.col(_PART).isNotNull())
-        .groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(_PART).alias("__p"))
+        work.where(F.col(PART).isNotNull())
+        .groupBy(*part_groups(keys))
         .agg(*[_total(s, order_by, backwards).alias(f"__v_{s.name}") for s in specs])
     )
     parts = (
@@ -243,7 +258,6 @@ def running(
     before = totals.select(
         *names, "__p", *[_over(Running(s.name, carry_kind.get(s.kind, s.kind)), parts).alias(f"__b_{s.name}") for s in specs]
     )
-    on = same_keys([F.col(k) for k in keys] + [F.col(_PART)], [F.col(n) for n in names] + [F.col("__p")])
-    merged = work.withColumns(here).join(F.broadcast(before), on, "left")
+    merged = join_parts(work.withColumns(here), keys, before)
     result = merged.withColumns({s.name: _merge(s, F.col(f"__b_{s.name}"), F.col(f"__h_{s.name}")) for s in specs})
-    return result.drop(*values, *here, *names, "__p", _PART, *[f"__b_{s.name}" for s in specs])
+    return result.drop(*values, *here, PART, *[f"__b_{s.name}" for s in specs])
