@@ -112,49 +112,79 @@ def json_to_rows(
     records = F.when(F.col("__object").isNotNull(), F.array("__object")).otherwise(
         F.filter(F.transform("__array", as_map), lambda r: r.isNotNull())
     )
-    parsed = parsed.withColumn("__records", records)
+    # the array itself must not be copied to every one of its records
+    parsed = parsed.withColumns({"__records": records, "__is_array": F.col("__array").isNotNull()})
     failed = F.col("__records").isNull()
     reason = F.when(document.isNull(), "content is not JSON").otherwise("the supplied JSON is not an array or an object")
     rows = explode_records(parsed, F.col("__records"), fragment_id(F.col(quoted(column))), failed, reason, original)
-
-    flat = F.filter(F.map_entries(F.col("__row.record")), lambda e: ~is_nested(e["value"]))
-    pairs = F.transform(flat, lambda e: F.struct(e["key"].alias("k"), e["value"].cast("string").alias("v")))
-    if null_fields:
-        pairs = F.transform(pairs, lambda e: F.struct(e["k"].alias("k"), F.coalesce(e["v"], F.lit("")).alias("v")))
-    else:
-        pairs = F.filter(pairs, lambda e: e["v"].isNotNull())
-    attributes = attribute_pairs(
-        pairs, prefix=prefix, renames=(old, new), blanks=[f"{prefix}{n}" for n in new] if always_add and null_fields else []
-    )
-    ok = F.col(ROUTE) == SUCCESS
-    tagged = ok & {
+    tagged = (F.col(ROUTE) == SUCCESS) & {
         "Always": F.lit(True),
         "Never": F.lit(False),
-        "JSON Arrays Only": F.col("__array").isNotNull(),
+        "JSON Arrays Only": F.col("__is_array"),
     }[fragments]
-    return _finish(rows.withColumn("__pairs", F.when(ok, attributes)), df.columns, tagged, names)
 
+    record = F.col("__row.record")
+    ok = F.col(ROUTE) == SUCCESS
+    blanks = [f"{prefix}{n}" for n in new] if always_add and null_fields else []
+    if names is not None:
+        picked = {n: _named_field(record, n, prefix, (old, new), null_fields, n in blanks) for n in names}
+        return _finish(rows, df.columns, tagged, {n: F.when(ok, v) for n, v in picked.items()})
+
+    def pair(entry: Column) -> Column:
+        value = entry["value"].cast("string")
+        return F.struct(entry["key"].alias("k"), (F.coalesce(value, F.lit("")) if null_fields else value).alias("v"))
+
+    pairs = F.transform(F.filter(F.map_entries(record), lambda e: ~is_nested(e["value"])), pair)
+    if not null_fields:
+        pairs = F.filter(pairs, lambda e: e["v"].isNotNull())
+    pairs = attribute_pairs(pairs, prefix=prefix, renames=(old, new), blanks=blanks)
+    return _finish(rows.withColumn("__pairs", F.when(ok, pairs)), df.columns, tagged, all_attributes())
+
+
+def _named_field(
+    record: Column, name: str, prefix: str, renames: tuple[list[str], list[str]], null_fields: bool, blank: bool
+) -> Column:
+    """One attribute straight from a record: the last field, by name, that ends up under it."""
+    target = dict(zip(reversed(renames[0]), reversed([*renames[1], *renames[0][len(renames[1]):]][: len(renames[0])])))
+    sources = {old for old, new in target.items() if prefix + new == name}
+    if name.startswith(prefix) and name[len(prefix):] not in target:
+        sources.add(name[len(prefix):])
+
+    def text(field: str) -> Column:
+        value = F.element_at(record, field)
+        shown = value.cast("string")
+        return F.when(value.isNotNull() & ~is_nested(value), F.coalesce(shown, F.lit("")) if null_fields else shown)
+
+    found = [text(f) for f in sorted(sources, reverse=True)]
+    return F.coalesce(*found, F.lit("" if blank else None).cast("string"))
 
-def _finish(rows: DataFrame, keep: Sequence[str], tagged: Column, names: Sequence[str] | None) -> DataFrame:
-    """Result columns from ``__pairs``: one column per wanted name, or a map of all."""
+
+def all_attributes() -> dict[str, Column]:
+    """The map of all ``__pairs``."""
+    pairs = F.col("__pairs")
+    return {"attrs": F.when(pairs.isNotNull(), last_wins(pairs["k"], pairs["v"]))}
+
+
+def chosen_attributes(names: Sequence[str]) -> dict[str, Column]:
+    """One column per wanted name from ``__pairs``."""
+
+    def last(name: str) -> Column:
+        return F.try_element_at(F.filter(F.col("__pairs"), lambda e: e["k"] == name), F.lit(-1))["v"]
+
+    return {n: last(n) for n in names}
+
+
+def _finish(rows: DataFrame, keep: Sequence[str], tagged: Column, attributes: Mapping[str, Column]) -> DataFrame:
+    """Result columns: those of the document, the attributes, fragment columns and routes."""
     fragment = {
         "frag_id": F.col("__id"),
         "frag_index": F.col("__row.index"),
         "frag_count": F.col("__count"),
         "frag_size": F.lit("0"),
     }
-    pairs = F.col("__pairs")
-
-    def last(name: str) -> Column:
-        return F.try_element_at(F.filter(pairs, lambda e: e["k"] == name), F.lit(-1))["v"]
-
-    if names is None:
-        attributes = [F.when(pairs.isNotNull(), last_wins(pairs["k"], pairs["v"])).alias("attrs")]
-    else:
-        attributes = [last(n).alias(n) for n in names]
     return rows.select(
-        *[F.col(quoted(c)) for c in keep if names is None or c not in names],
-        *attributes,
+        *[F.col(quoted(c)) for c in keep if c not in attributes],
+        *[v.alias(n) for n, v in attributes.items()],
         *[F.when(tagged, v).alias(k) for k, v in fragment.items()],
         ROUTE,
         REASON,

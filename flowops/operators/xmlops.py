@@ -22,7 +22,7 @@ from ..functions.names import split_list
 from ..functions.template import Template, quoted, template
 from ..routes import FAILURE, REASON, ROUTE, SUCCESS, with_route
 from ..session import shared_dir
-from .jsonops import _finish, attribute_pairs, explode_records
+from .jsonops import _finish, all_attributes, attribute_pairs, chosen_attributes, explode_records
 from .sequence import fragment_id
 
 # What a root path stands for.
@@ -96,7 +96,8 @@ def xml_to_rows(
     rows = explode_records(parsed, records, fragment_id(F.col(quoted(column))), why.isNotNull(), why, original)
     attributes = attribute_pairs(F.col("__row.record"), prefix=prefix, renames=(old, new), blanks=new if always_add else [])
     ok = F.col(ROUTE) == SUCCESS
-    return _finish(rows.withColumn("__pairs", F.when(ok, attributes)), df.columns, ok & F.lit(table), names)
+    shown = all_attributes() if names is None else chosen_attributes(names)
+    return _finish(rows.withColumn("__pairs", F.when(ok, attributes)), df.columns, ok & F.lit(table), shown)
 
 
 def extract_xml(

@@ -76,6 +76,20 @@ def test_json_rename(spark):
     assert row["attrs"] == {"a": "1", "c": "3", "d": "x"}
     row = json_to_rows(df, rename=["q"], new_names=["Q", "R"], names=["Q", "a", "zz"]).first()
     assert (row["Q"], row["a"], row["zz"]) == ("", "1", None)
+    # single columns agree with the map, whatever is renamed to what
+    many = docs(spark, '{"a":1,"b":null,"c":3,"d":"x"}', '{"a":null,"B":2,"b":{"z":1},"d":[1]}', '{"c":"", "p_a":7}')
+    cases = [
+        {"rename": "a,b,c", "new_names": "B,B"},
+        {"rename": "a,a,b", "new_names": "x,y,a", "prefix": "p_"},
+        {"rename": "a,b", "new_names": "b,a", "null_fields": False},
+        {"rename": "c", "new_names": "d,e", "always_add": False},
+        {},
+    ]
+    wanted = ["a", "b", "B", "c", "d", "e", "x", "p_a", "p_x", "p_y", "p_b"]
+    for case in cases:
+        maps = json_to_rows(many, **case).orderBy("doc").collect()
+        flat = json_to_rows(many, names=wanted, **case).orderBy("doc").collect()
+        assert [[r["attrs"].get(n) for n in wanted] for r in maps] == [[r[n] for n in wanted] for r in flat], case
     row = json_to_rows(df, rename=["q"], new_names=["Q"], always_add=False).first()
     assert "Q" not in row["attrs"]
 
