@@ -86,8 +86,8 @@ def plan_split(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], max_
         pieces = min(pieces, MAX_PARTS)
         bounds = []
         if pieces > 1:
-            found = _cuts(df.select(order.alias("__o")), [], kind, pieces, rows / pieces).collect()
-            bounds = _spread(found[0]["__cuts"], pieces) if found else []
+            bounds = _cuts(df.select(order.alias("__o")), [], kind, pieces, rows / pieces).collect()
+            bounds = bounds[0]["__cuts"] if bounds else []
         return Split((), None, tuple(bounds), _step(len(bounds)))
 
     if max_rows is None:
@@ -104,8 +104,8 @@ def plan_split(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], max_
     rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], order.alias("__o")).join(
         F.broadcast(chosen), same_keys([F.col(n) for n in names], [F.col(c) for c in chosen_names]), "left_semi"
     )
-    cuts = _cuts(rows, names, kind, pieces, max_rows).collect()
-    local = [(*tuple(r)[:-1], _spread(r["__cuts"], pieces)) for r in cuts]
+    # every group gets as many cuts as it needs: 2 * rows / max_rows in all
+    local = [tuple(r) for r in _cuts(rows, names, kind, pieces, max_rows).collect()]
     step = _step(max((len(r[-1]) for r in local), default=1))
     bounds = spark.createDataFrame(local, T.StructType([*key_fields, T.StructField("__bounds", T.ArrayType(kind))]))
     bounds = bounds.withColumn("__coarse", F.filter(F.col("__bounds"), lambda _, i: i % step == step - 1))
@@ -117,24 +117,26 @@ def _step(count: int) -> int:
 
 
 def _cuts(rows: DataFrame, names: Sequence[str], kind: T.DataType, pieces: int, part_rows: float) -> DataFrame:
-    """Ascending values of ``__o`` to cut at, per group; where they lie decides balance only."""
+    """Ascending different values of ``__o`` to cut at, per group; where they lie decides balance only.
+
+    ``pieces`` is the number of parts of the largest group; smaller ones keep fewer cuts.
+    """
     order = F.col("__o")
     if isinstance(kind, T.StringType):
         # a bounded sample: a fixed expected number of values per part
         some = rows.where(order.isNotNull()).sample(min(1.0, _SAMPLED_PER_PART / part_rows), 17)
-        return some.groupBy(*names).agg(F.sort_array(F.collect_list(order)).alias("__cuts"))
-    grid = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    quantiles = F.percentile_approx(order, grid, F.lit(max(10_000, 10 * pieces)))
-    # an exact numeric type: the cuts are compared with the column itself
-    return rows.groupBy(*names).agg(quantiles.cast(T.ArrayType(kind)).alias("__cuts"))
-
-
-def _spread(values: list | None, pieces: int) -> list:
-    """At most ``pieces - 1`` different values, evenly spread, in the given (ascending) order."""
-    values = [v for v in values or [] if v is not None]
-    if len(values) >= pieces:
-        values = [values[len(values) * i // pieces] for i in range(1, pieces)]
-    return list(dict.fromkeys(values))
+        found = some.groupBy(*names).agg(F.sort_array(F.collect_list(order)).alias("__all"))
+        wanted = F.ceil(F.size("__all") / F.lit(_SAMPLED_PER_PART * 1.0))
+    else:
+        grid = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
+        quantiles = F.percentile_approx(order, grid, F.lit(max(1_000, 4 * pieces)))
+        # an exact numeric type: the cuts are compared with the column itself
+        found = rows.groupBy(*names).agg(quantiles.cast(T.ArrayType(kind)).alias("__all"), F.count(F.lit(1)).alias("__rows"))
+        wanted = F.ceil(F.col("__rows") / F.lit(float(part_rows)))
+    stride = F.greatest(F.floor((F.size("__all") + 1) / F.least(wanted, F.lit(MAX_PARTS))), F.lit(1))
+    found = found.withColumn("__stride", stride)
+    kept = F.filter("__all", lambda v, i: v.isNotNull() & (i % F.col("__stride") == F.col("__stride") - 1))
+    return found.select(*names, F.array_distinct(kept).alias("__cuts"))
 
 
 def _place(order: Column, bounds: Column, coarse: Column, step: int) -> Column:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +45,36 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_scopes = threading.local()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/flowops/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/flowops/{label}-{uuid.uuid4().hex}"
+    for made in getattr(_scopes, "open", []):
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what the operators wrote to the shared folder inside the block.
+
+    Results that have not been written or collected by the end of the block are lost with it.
+    """
+    _scopes.open = [*getattr(_scopes, "open", []), made := []]
+    try:
+        yield
+    finally:
+        _scopes.open.pop()
+        for path in made:
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str, recursive: bool = True) -> bool:
+    """Delete a file or folder in any file system Spark knows; false if there was none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, recursive))
 
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..routes import REASON, ROUTE, SUCCESS
+from ..session import delete_path
 
 COMMS_FAILURE = "comms.failure"
 
@@ -126,9 +127,4 @@ def stream_files(
 
 def delete_files(spark: SparkSession, directory: str, names: Iterable[str]) -> int:
     """Delete the named files of a directory, after the rows read from them are safe."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    deleted = 0
-    for name in names:
-        path = fs_path(f"{directory.rstrip('/')}/{name}")
-        deleted += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False))
-    return deleted
+    return sum(delete_path(spark, f"{directory.rstrip('/')}/{name}", recursive=False) for name in names)

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.cdc import apply_changes, parse_trail
 from ..operators.sequence import assign_sequence, sequence_after
 from ..operators.state import check_state, check_state_after, hold_release, hold_release_after
+from ..session import delete_path, scratch_scope
 
 KEY_VALUE = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 SEQUENCES = T.StructType([T.StructField("seq", T.StringType()), T.StructField("value", T.LongType())])
@@ -35,11 +36,6 @@ def read_version(spark: SparkSession, folder: str, batch: int, schema: T.StructT
     return spark.read.schema(schema).parquet(_version(folder, batch))
 
 
-def _forget(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def run_stateful(
     stream: DataFrame,
     step: Step,
@@ -59,14 +55,16 @@ def run_stateful(
 
     def process(rows: DataFrame, batch: int) -> None:
         before = initial if batch == 0 and initial is not None else read_version(rows.sparkSession, state, batch - 1, schema)
+        spark = rows.sparkSession
         # the batch is read by several passes
         rows = rows.persist()
         try:
-            routed, after = step(rows, before)
-            after.write.mode("overwrite").parquet(_version(state, batch))
-            routed.write.mode("overwrite").parquet(f"{output.rstrip('/')}/batch={batch}")
+            with scratch_scope(spark):
+                routed, after = step(rows, before)
+                after.write.mode("overwrite").parquet(_version(state, batch))
+                routed.write.mode("overwrite").parquet(f"{output.rstrip('/')}/batch={batch}")
             # a repeated batch needs the version before it, none needs an older one
-            _forget(rows.sparkSession, _version(state, batch - 2))
+            delete_path(spark, _version(state, batch - 2))
         finally:
             rows.unpersist()
 

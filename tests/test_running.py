@@ -173,3 +173,14 @@ def test_text_order(spark, limit):
     for keys in ([], ["k"]):
         got = number_fragments(df, keys, "o", max_rows=limit).orderBy("o").collect()
         assert [r["frag_index"] for r in got] == list(range(1, 212))
+
+
+def test_small_groups_get_few_cuts(spark):
+    big = spark.range(20000).select("id", F.lit("big").alias("k"))
+    some = spark.range(1500).select("id", F.concat(F.lit("s"), (F.col("id") % 10).cast("string")).alias("k"))
+    for order in ("id", "text"):
+        rows = big.unionByName(some).withColumn("text", F.lpad(F.col("id").cast("string"), 8, "0"))
+        split = plan_split(rows, ["k"], [order], 100)
+        cuts = {r["__k0"]: len(r["__bounds"]) for r in split.bounds.collect()}
+        assert len(cuts) == 11 and 100 <= cuts["big"] <= 400
+        assert all(1 <= n <= 4 for k, n in cuts.items() if k != "big")

@@ -138,6 +138,11 @@ def test_sql_scalar(emp_view):
     assert [(r["v"], r["route"]) for r in rows] == [("y", "success"), ("", "success"), (None, "empty")]
     text = S.sql_scalar(emp_view, "select max(o) from recs where f = '${want}' or concat('${s}', '${') = 'b${'", "v").orderBy("id")
     assert [r["v"] for r in text.collect()] == ["5", "5", ""]
+    for query in (S.sql_scalar, lambda *a, **k: S.sql_rows(*a, parent=["id"], **k)):
+        refused = query(emp_view, "select f from no_such_table where rec = ${id}").collect()
+        assert {r["route"] for r in refused} == {"failure"} and len(refused) == 3 and refused[0]["reason"]
+        with pytest.raises(Exception):
+            query(emp_view, "select f from no_such_table", block_on_failure=True)
     same = S.sql_scalar(emp_view, "select f, o from recs", "v", order_by="o").collect()
     assert [(r["v"], r["route"]) for r in same] == [("", "success")] * 3
     none = S.sql_scalar(emp_view, "select f from recs where o > 99", "v").collect()
