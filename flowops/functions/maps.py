@@ -27,7 +27,7 @@ def materialise(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """
     kept = [c for c in df.columns if c not in columns]
     row = F.struct(*[value.alias(name) for name, value in columns.items()])
-    return df.select(*[F.col(f"`{c}`") for c in kept], F.inline(F.array(row)))
+    return df.select(*[F.col("`" + c.replace("`", "``") + "`") for c in kept], F.inline(F.array(row)))
 
 
 def last_wins(keys: Column, values: Column) -> Column:

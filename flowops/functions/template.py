@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .maps import let
+
 _MARK = re.compile(r"\$\{([^}]*)\}")
 _LITERAL = re.compile(r"""^\s*literal\(\s*(?:"([^"]*)"|'([^']*)')\s*\)\s*$""")
 
@@ -78,16 +80,23 @@ def template(text: str, columns: Iterable[str]) -> Column:
     return Template.parse(text).render(lambda name: F.col(quoted(name)) if name in known else None)
 
 
-def expand_again(text: Column, columns: Mapping[str, Column], passes: int) -> tuple[Column, Column]:
+def expand_again(text: Column, columns: Mapping[str, Column], passes: int) -> tuple[Column, Callable[[Column], Column]]:
     """Re-expand already expanded text until nothing is left, at most ``passes`` times.
 
-    Returns the text and a flag that is true where names are still left (a cycle).
+    Returns the text and a test of it that is true where names are still left (a cycle).
     """
     known = "|".join(re.escape(name) for name in sorted(columns, key=len, reverse=True)) or "(?!)"
     unknown = r"\$\{(?!(?:" + known + r")\})[^}]*\}"
-    for _ in range(passes):
-        step = F.regexp_replace(text, unknown, "")
-        for name, value in columns.items():
-            step = F.replace(step, F.lit("${" + name + "}"), F.coalesce(value.cast("string"), F.lit("")))
-        text = step
-    return text, text.rlike(r"\$\{(?:" + known + r")\}")
+    marks = F.array(
+        *[F.struct(F.lit("${" + n + "}").alias("mark"), F.coalesce(v.cast("string"), F.lit("")).alias("value")) for n, v in columns.items()]
+    )
+
+    def fill(held: Column) -> Column:
+        return F.aggregate(marks, F.regexp_replace(held, unknown, ""), lambda acc, m: F.replace(acc, m["mark"], m["value"]))
+
+    def settle(held: Column) -> Column:
+        # folds, not unrolled calls: the plan stays small however many columns there are
+        return F.aggregate(F.sequence(F.lit(1), F.lit(passes)), held, lambda acc, _: F.when(acc.contains("${"), fill(acc)).otherwise(acc))
+
+    settled = let(text, lambda held: F.when(held.contains("${"), settle(held)).otherwise(held)) if columns else text
+    return settled, lambda done: done.rlike(r"\$\{(?:" + known + r")\}")

@@ -195,7 +195,7 @@ def apply_changes(
     order_by: Column | None = None,
     case: str = "None",
 ) -> DataFrame:
-    """The table ``base`` after replaying all changes in order of ``pos``.
+    """The table ``base`` after replaying all changes in order of ``pos``, a whole number, or ``order_by``.
 
     An insert (re)creates the row from its after image, a delete removes it, and an update
     sets just the columns its after image names, explicit nulls included; key columns never
@@ -213,6 +213,8 @@ def apply_changes(
     change = F.col(record)
     rows = trail.where((F.col(ROUTE) == SUCCESS) & change["op_type"].isin(*OPERATIONS))
     place = change["pos"].try_cast("decimal(38,0)") if order_by is None else order_by
+    # a change that has no place cannot be left out silently
+    place = F.coalesce(place, F.raise_error(F.lit("a change has no usable pos; give order_by")))
     rows = rows.select(
         change["op_type"].alias("__op"),
         place.alias("__pos"),

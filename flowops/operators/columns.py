@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.maps import last_wins
+from ..functions.maps import last_wins, materialise
 from ..functions.names import split_list
 from ..functions.template import expand_again, quoted, template
 from ..routes import with_route
@@ -54,9 +54,9 @@ def update_columns(
         if recursive:
             value, left = expand_again(value, {n: F.col(quoted(n)) for n in names}, max_depth)
             flag = f"__left{len(unfinished)}"
-            # one pass computes both the text and the flag
-            rows = rows.withColumn("__step", F.struct(value.alias("text"), left.alias("left")))
-            rows = rows.withColumns({name: F.col("__step.text"), flag: F.col("__step.left")}).drop("__step")
+            rows = materialise(rows, {"__text": value})
+            # the flag is a test on the finished text
+            rows = rows.withColumns({name: F.col("__text"), flag: left(F.col("__text"))}).drop("__text")
             unfinished.append((flag, name))
             return rows
         return rows.withColumn(name, value)

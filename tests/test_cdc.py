@@ -127,6 +127,15 @@ def test_apply_changes(spark, seed):
     assert count_replaced(frame, trail_of(spark, *records), keys).first()["replaced"] == want
 
 
+def test_changes_need_a_place(spark):
+    base = spark.range(3).withColumn("x", F.lit("a"))
+    change = {"table": "T", "op_type": "U", "pos": "?", "op_ts": "2", "before": {"id": 1}, "after": {"x": "b"}}
+    with pytest.raises(Exception, match="no usable pos"):
+        apply_changes(base, trail_of(spark, change), ["id"]).collect()
+    placed = apply_changes(base, trail_of(spark, change), ["id"], order_by=F.col("trail.op_ts").cast("int"))
+    assert sorted(map(tuple, placed.collect())) == [(0, "a"), (1, "b"), (2, "a")]
+
+
 def test_apply_changes_plan(spark):
     base = spark.range(100).withColumn("x", F.col("id"))
     plan = apply_changes(base, trail_of(spark, RECORD), ["id"])._jdf.queryExecution().executedPlan().toString()

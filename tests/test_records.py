@@ -34,6 +34,9 @@ def test_update_columns(spark):
     loop = spark.createDataFrame([("${b}", "${a}")], "a string, b string")
     row = update_columns(loop, {"x": "${a}"}, evaluate_columns=True, recursive=True).first()
     assert row["route"] == "failure" and "x" in row["reason"]
+    wide = spark.range(1).select(*[F.lit("${c%d}" % (i + 1) if i < 5 else "end").alias(f"c{i}") for i in range(300)])
+    row = update_columns(wide, {"x": "<${c0}>"}, evaluate_columns=True, recursive=True).first()
+    assert (row["x"], row["route"]) == ("<end>", "success")
 
 
 def test_columns_to_json(spark):
