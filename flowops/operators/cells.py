@@ -132,8 +132,11 @@ def lookup_cells(
     if small_side is F.broadcast:
         cells = cells.join(F.broadcast(asked), "__find", "left_semi")
     found = cells.groupBy("__find").agg(*_only_row(family, qualifier, output))
-    # one row per key that was asked for, if the cells were narrowed to those
-    return _only_row_routes(df.join(small_side(found), wanted == F.col("__find"), "left").drop("__find"), output)
+    if small_side is F.broadcast:
+        # few rows now, but only their size tells whether they may be broadcast
+        found, found_side = measured(found, "cells")
+        found = found_side(found)
+    return _only_row_routes(df.join(found, wanted == F.col("__find"), "left").drop("__find"), output)
 
 
 def truncate_cells(cells: DataFrame, tables: str | Sequence[str]) -> DataFrame:

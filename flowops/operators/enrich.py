@@ -23,7 +23,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.template import Template, quoted, template
+from ..functions.template import quoted, template
 from ..functions.values import convert, convert_failed
 from ..routes import FAILURE, REASON, ROUTE, with_route
 from ..sources.sql import lateral_first

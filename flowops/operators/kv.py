@@ -52,9 +52,10 @@ def kv_get_and_put_if_absent(table: DataFrame, updates: DataFrame, order_by: str
     """
     first, small_side = measured(_first(updates, order_by), "gets")
     present = _hits(table, first, small_side).select("key", F.col("value").alias("__old"), F.lit(True).alias("__hit"))
-    found = first.join(small_side(present), "key", "left")
+    found = first.join(present, "key", "left")
     found = found.select("key", F.col("value").alias("__new"), "__first", "__old", F.coalesce("__hit", F.lit(False)).alias("__hit"))
-    rows = updates.join(small_side(found), "key", "left")
+    found, found_side = measured(found, "gets")
+    rows = updates.join(found_side(found), "key", "left")
     inserted = ~F.col("__hit") & (F.col(order_by) == F.col("__first"))
     previous = F.when(F.col("__hit"), F.col("__old")).when(~inserted, F.col("__new"))
     return rows.withColumns({"previous": previous, "__inserted": inserted}).select(*updates.columns, "previous", "__inserted")
@@ -73,7 +74,7 @@ def kv_check_and_put(
     """
     asked = requests.select("key", "expected", "value", order_by)
     counts, small_side = measured(asked.groupBy("key").agg(F.count(F.lit(1)).alias("__n")), "requests")
-    current = small_side(_hits(table, counts, small_side).select("key", F.col("value").alias("__cur")))
+    current = _hits(table, counts, small_side).select("key", F.col("value").alias("__cur"))
     busy = small_side(counts.where(F.col("__n") > fold_rows).select("key"))
     if busy.isEmpty():
         writes, results = _fold(asked, current, order_by)

@@ -6,8 +6,8 @@ totals (a small table) are accumulated, and the accumulated value is combined wi
 value inside the part. Groups below the limit keep the plain window. The data is shuffled once
 in both cases, and the result does not depend on where the cuts are.
 
-All tables that are broadcast or brought to the driver have one row per *part of a large
-group*: at most ``2 * rows / max_rows`` rows whatever the data looks like.
+What is brought to the driver or sent to all executors has one row per *part of a large group*:
+at most ``2 * rows / max_rows`` rows whatever the data looks like.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import measured
+
 DEFAULT_MAX_ROWS = 5_000_000
 
 KINDS = ("max", "min", "first", "last", "sum", "count")
@@ -169,11 +171,13 @@ def with_part(df: DataFrame, order_by: Sequence[str], split: Split) -> DataFrame
 def join_parts(work: DataFrame, keys: Sequence[str], parts: DataFrame) -> DataFrame:
     """Join rows with a table that has one row per part: the keys as ``__c0``..., and ``__p``.
 
-    The table has at most ``2 * rows / max_rows`` rows, so it can be broadcast.
+    The table has at most ``2 * rows / max_rows`` rows. It is computed first and broadcast if its
+    values are small as well.
     """
     names = [f"__c{i}" for i in range(len(keys))]
+    parts, small_side = measured(parts, "parts")
     on = same_keys([F.col(k) for k in keys] + [F.col(PART)], [F.col(n) for n in names] + [F.col("__p")])
-    return work.join(F.broadcast(parts), on, "left").drop(*names, "__p")
+    return work.join(small_side(parts), on, "left").drop(*names, "__p")
 
 
 def part_groups(keys: Sequence[str]) -> list[Column]:

@@ -5,7 +5,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from flowops.operators.sequence import assign_sequence
 from flowops.operators.state import check_state, hold_release
