@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import lm
 from .decontaminate import decontaminate
 from .jaccard import jaccard_components
+from .langid import identify, learn
 from .linededup import line_dedup
 from .packing import pack, token_pieces
 from .quality import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, SYMBOLS, quality
@@ -232,3 +234,23 @@ def op10_decontamination(spark, sf_dir):
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+# ----------------------------------------------------------------------------------- language id
+
+
+@register("op5_language_id")
+def op5_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    model = learn(docs.where(~held_out))
+    return identify(docs, model, [F.col("doc_id"), held_out.alias("held_out")]).select("doc_id", "held_out", "lang_pred", "score")
+
+# ------------------------------------------------------------------------------------ LM scoring
+
+
+@register("op7_lm_scoring")
+def op7_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    model = lm.learn(docs.where(~held_out))
+    return lm.score_texts(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
