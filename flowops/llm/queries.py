@@ -16,6 +16,7 @@ from .linededup import line_dedup
 from .packing import pack, token_pieces
 from .quality import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, SYMBOLS, quality
 from .sharding import GROUP_SHARE, shard
+from .suffixes import repeated_passages
 from .urlfilter import UrlRule, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -254,3 +255,21 @@ def op7_lm_scoring(spark, sf_dir):
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
     model = lm.learn(docs.where(~held_out))
     return lm.score_texts(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
+
+# ------------------------------------------------------------------------------ repeated passages
+
+
+@register(
+    "op2_repeated_passages",
+    rf"""
+    WITH
+    w AS (SELECT doc_id, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+    g AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w)),
+    r AS (SELECT g FROM g GROUP BY g HAVING min(doc_id) <> max(doc_id)),
+    p AS (SELECT doc_id, i FROM g WHERE g IN (SELECT g FROM r)),
+    b AS (SELECT *, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, true) AS fresh FROM p),
+    n AS (SELECT *, sum(fresh::INTEGER) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM b)
+    SELECT doc_id, (min(i) - 1)::BIGINT AS start, (max(i) - min(i) + 50)::BIGINT AS n_words FROM n GROUP BY doc_id, k""",
+)
+def op2_repeated_passages(spark, sf_dir):
+    return repeated_passages(table(spark, sf_dir, "documents"))
