@@ -223,9 +223,8 @@ def _joined(parts: list[DataFrame]) -> DataFrame:
             ).otherwise(F.concat(out, F.array(F.struct(x["first"].alias("first"), x["end"].alias("end"))))),
         )
 
-    every = every.select("id", union("a").alias("words_hit"), union("b").alias("spans"), "items")
+    every = every.select(F.col("id").alias("key"), union("a").alias("words_hit"), union("b").alias("spans"), "items")
     none = F.array().cast(_SPAN)
-    key = lambda side: [side["id"]["id"].eqNullSafe(rows["id"]["id"]), side["id"]["h"].eqNullSafe(rows["id"]["h"]), side["id"]["c"].eqNullSafe(rows["id"]["c"])]
-    on = key(every)
-    joined = rows.join(every, on[0] & on[1] & on[2], "left")
-    return joined.select(rows["id"]["id"].alias("id"), "n_words", F.coalesce("words_hit", none).alias("words_hit"), F.coalesce("spans", none).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    same = F.col("id.h").eqNullSafe(F.col("key.h")) & F.col("id.c").eqNullSafe(F.col("key.c")) & F.col("id.id").eqNullSafe(F.col("key.id"))
+    joined = rows.join(every, same, "left")
+    return joined.select(F.col("id.id").alias("id"), "n_words", F.coalesce("words_hit", none).alias("words_hit"), F.coalesce("spans", none).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
