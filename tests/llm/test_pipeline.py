@@ -12,7 +12,7 @@ import corpus_pipeline as pipeline
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     rng = np.random.default_rng(21)
-    clean = lambda n: "the of and " + prose(rng, n, 5000)
+    clean = lambda n: "the of and " * (1 + n // 50) + prose(rng, n, 5000)
     texts = [clean(int(rng.integers(50, 200))) for _ in range(30)]
     texts += [texts[0], texts[1] + " one more", texts[2].replace("t1", "tt1")]  # copies and near copies
     edited = texts[3].split()
