@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from flowops.llm.decontaminate import decontaminate
 from flowops.llm.jaccard import jaccard_components
-from flowops.llm.joins import stored
+from flowops.llm.joins import marked, stored
 from flowops.llm.linededup import line_dedup
 from flowops.llm.packing import pack, token_pieces
 from flowops.llm.quality import quality
@@ -40,18 +40,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = jaccard_components(rows.select(F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("doc_id"), F.xxhash64("text").alias("hash")).alias("key"), "text"), "key", width=5, percent=80)
     found = cut_lineage(found.select("key", "component"), "components")
     first = found.where("component is not null").groupBy("component").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    gone = found.join(stored(first, "first"), "component").where("key <> first").select("key").distinct()
-    gone = stored(gone.select("key.doc_id", "key.hash"), "gone")
-    kept = docs.withColumn("__hash", F.xxhash64("text"))
-    kept = kept.join(gone, kept["doc_id"].eqNullSafe(gone["doc_id"]) & (kept["__hash"] == gone["hash"]), "left_anti")
+    gone = found.join(stored(first.select("component", "first"), "first"), "component").where("key <> first").select("key", F.lit(0).alias("kept"))
     # rows equal in id and text are one document too
-    again = cut_lineage(kept.groupBy("doc_id", "__hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
-    if again.isEmpty():
-        return kept.drop("__hash")
-    again = stored(again, "repeated")
-    same = kept["doc_id"].eqNullSafe(again["doc_id"]) & (kept["__hash"] == again["__hash"])
-    repeated = kept.join(again.drop("n"), same, "left_semi")
-    return kept.join(again, same, "left_anti").unionByName(repeated.dropDuplicates(["doc_id", "__hash"])).drop("__hash")
+    repeated = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").join(gone.select("key"), "key", "left_anti").select("key", F.lit(1).alias("kept"))
+    changed = stored(gone.distinct().unionByName(repeated).select("key.doc_id", "key.hash", "kept"), "changed")
+    # documents that nothing happens to stay where they are
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("hash"))
+    told = marked(rows, F.col("hash"), changed.select("hash"), "changed-bits")
+    some = told.where("__marked").select("row", F.col("row.doc_id").alias("id"), "hash")
+    some = some.join(changed, some["id"].eqNullSafe(changed["doc_id"]) & (some["hash"] == changed["hash"]), "left").select("row", "kept")
+    once = some.where("kept = 1").dropDuplicates(["id", "hash"])
+    return told.where("not __marked").select("row.*").unionByName(some.where("kept is null").select("row.*")).unionByName(once.select("row.*"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

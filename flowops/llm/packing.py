@@ -13,6 +13,8 @@ null id. An empty table gives an empty result. Other columns are not read; the i
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from math import ceil
@@ -35,49 +37,99 @@ EPOCHS = 2
 GENERATIONS = 3
 #: Bins filled less than this share of the capacity are packed again with those of other shards.
 REPACK_BELOW = 0.98
-#: Distinct words whose ids a Python worker remembers.
-CACHE_WORDS = 400_000
+#: Distinct words, and parts of words, whose ids a Python worker remembers, and their longest.
+CACHE_WORDS, CACHE_LENGTH = 500_000, 64
 
 # ---------------------------------------------------------------------------------- token ids
 
-_tokenizers: dict[str, tuple[object, dict[bytes, bytes]]] = {}
+#: The normaliser and the word pattern of tokenizers whose words are looked up one by one.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The pattern over lower-case Latin-1 without white space: letters and numbers are spelled out.
+_LATIN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
+#: What words may not hold to be looked up by parts: other white space, other alphabets, the beginning of a special token.
+_NOT_PLAIN = re.compile("[\x85\xa0\u0100-\U0010ffff]|<[|]")
+
+
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte: itself if it prints, else one from 256 on."""
+    printed = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in printed else chr(next(others)) for b in range(256)]
+
+
+class _Parts(dict):
+    """A part of a word, as Latin-1 text, to its packed ids."""
+
+    def __init__(self, tokenizer):
+        self.tokenize = tokenizer.model.tokenize
+        self.packed = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
+        self.characters = _byte_characters()
+
+    def __missing__(self, part: str) -> bytes:
+        mapped = part if part.isascii() and part.isalnum() else "".join([self.characters[b] for b in part.encode()])
+        ids = b"".join([self.packed[t.id] for t in self.tokenize(mapped)])
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        if len(part) <= CACHE_LENGTH:
+            self[part] = ids
+        return ids
+
+
+class _Words(dict):
+    """A run between ASCII white space, as UTF-8, to its packed ids."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.parts = tokenizer, _Parts(tokenizer)
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "surrogatepass")
+        if word.isalpha():
+            ids = self.parts[text.lower()]
+        elif word[:-1].isalpha() and word[-1] in b".,;:!?":
+            ids = self.parts[text[:-1].lower()] + self.parts[text[-1]]
+        elif _NOT_PLAIN.search(text):
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        else:
+            ids = b"".join(map(self.parts.__getitem__, _LATIN.findall(text.lower())))
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        if len(word) <= CACHE_LENGTH:
+            self[word] = ids
+        return ids
+
+
+_tokenizers: dict[str, tuple[object, _Words | None]] = {}
 
 
 class TokenIds:
     """Token ids of a text as packed little-endian 32-bit numbers.
 
-    ``by_words``: the tokenizer gives every run between ASCII white space its own ids, whatever
-    stands around it, so that the ids of words seen before need not be computed again.
+    A tokenizer with the pattern above gives every run between ASCII white space its own ids,
+    whatever stands around it, so a worker remembers them; others encode whole texts.
     """
 
-    def __init__(self, path: str, by_words: bool):
+    def __init__(self, path: str, by_words: bool = True):
         from tokenizers import Tokenizer
 
         if path not in _tokenizers:
-            _tokenizers[path] = (Tokenizer.from_file(path), {})
-        self.tokenizer, self.known = _tokenizers[path]
-        self.by_words = by_words
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            tokenizer = Tokenizer.from_file(path)
+            said = json.loads(tokenizer.to_str())
+            split = (said["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+            known = said["normalizer"] == NORMALIZER and split.get("pattern") == {"Regex": PATTERN} and said["model"]["type"] == "BPE"
+            _tokenizers[path] = (tokenizer, _Words(tokenizer) if known else None)
+        self.tokenizer, self.words = _tokenizers[path]
+        if not by_words:
+            self.words = None
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.by_words:
-            return self._encoded(texts)
-        split = [x.encode("utf-8", "surrogatepass").split() for x in texts]
-        known = self.known
-        missing = list(set().union(*split).difference(known))
-        if len(known) + len(missing) > CACHE_WORDS:
-            known.clear()
-            missing = list(set().union(*split))
-        for at in range(0, len(missing), 65536):
-            part = missing[at : at + 65536]
-            known.update(zip(part, self._encoded([x.decode("utf-8", "surrogatepass") for x in part]), strict=True))
-        get = known.__getitem__
-        return [b"".join(map(get, x)) for x in split]
-
-
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, by_words: bool = True, with_ids: bool = False) -> DataFrame:
+        if self.words is None:
+            return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        ids_of = self.words.__getitem__
+        return [b"".join(map(ids_of, x.encode("utf-8", "surrogatepass").split())) for x in texts]
+
+
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """One row per piece: ``id_col``, ``piece``, ``start``, ``length``, ``ids_crc32`` and, ``with_ids``, the ``ids``.
 
     ``tokenizer`` is the path of a tokenizer file that every executor can read.
@@ -90,7 +142,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_col:
     step = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = TokenIds(tokenizer, by_words)
+        ids_of = TokenIds(tokenizer)
         for batch in blocks(batches, "text"):
             rows, numbers = [], []
             for row, ids in enumerate(ids_of([x or "" for x in batch.column(1).to_pylist()])):
