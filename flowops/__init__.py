@@ -1,6 +1,6 @@
 """DataFrame operators for data integration: change trails, documents, lookups, state."""
 
-from .operators.cdc import apply_changes, count_replaced, merge_views, parse_trail, trail_statements
+from .operators.cdc import apply_changes, count_replaced, merge_views, parse_trail, route_changes, trail_statements
 from .operators.cells import cell_by_filter, cell_value, lookup_cells, scan, scan_cells, to_cells, truncate_cells
 from .operators.columns import columns_to_json, content_to_column, map_to_json, update_columns
 from .operators.enrich import enrich

@@ -12,6 +12,7 @@ from ..functions.maps import last_wins, materialise, sorted_json
 from ..functions.names import apply_case, map_column, override_schema, split_list, table_without_schema
 from ..functions.template import quoted
 from ..functions.values import sql_literal
+from ..plans import DEFAULT_MAX_ROWS, Running, plan_split, running
 from ..routes import REASON, ROUTE, SUCCESS, with_route
 from ..session import measured
 
@@ -20,7 +21,6 @@ TRAIL_SCHEMA = (
     "table string, op_type string, op_ts string, current_ts string, pos string, "
     "primary_keys array<string>, before map<string,variant>, after map<string,variant>"
 )
-HEADER_FIELDS = ("table", "op_type", "op_ts", "current_ts", "pos")
 OPERATIONS = ("I", "U", "D")
 
 UNSUPPORTED = "unsupported"
@@ -75,7 +75,7 @@ def trail_statements(
 
     ``key_columns`` replaces the record's own keys, ``column_map`` renames
     ``<table>.<column>``. Rows without a statement keep a null and say why in ``route``:
-    ``failure`` (not a trail object, no keys), ``unsupported`` operation, or ``noop`` for an
+    ``failure`` (not a trail object, no image to read from, no keys), ``unsupported`` operation, or ``noop`` for an
     update that changes nothing but keys. Takes the result of :func:`parse_trail`.
     """
     record = F.col(trail)
@@ -110,6 +110,7 @@ def trail_statements(
         .when(~op.isin(*OPERATIONS), UNSUPPORTED)
         .when((op == "I") & record["after"].isNull(), "failure")
         .when((op == "U") & record["after"].isNull(), "failure")
+        .when(op.isin("U", "D") & record["before"].isNull(), "failure")
         .when(op.isin("U", "D") & (F.size(keys) == 0), "failure")
         .when((op == "U") & (F.size(changed) == 0), NOOP)
         .otherwise(SUCCESS)
@@ -118,6 +119,7 @@ def trail_statements(
         F.col(REASON),
         F.when(~op.isin(*OPERATIONS), F.concat(F.lit("unsupported op_type "), op))
         .when(op.isin("I", "U") & record["after"].isNull(), F.lit("after image is missing"))
+        .when(op.isin("U", "D") & record["before"].isNull(), F.lit("before image is missing"))
         .when(op.isin("U", "D") & (F.size(keys) == 0), F.lit("primary key column(s) are required for this operation")),
     )
     text = F.when(op == "I", insert).when(op == "U", update).when(op == "D", delete)
@@ -136,6 +138,7 @@ def merge_views(
     header_fields: str | Sequence[str] | None = None,
     trim: bool = False,
     constants: Mapping[str, str | Column] | None = None,
+    content: str = "content",
     output: str = "merged",
 ) -> DataFrame:
     """One JSON object per change, keys ascending.
@@ -143,16 +146,22 @@ def merge_views(
     From lowest to highest precedence: the chosen header fields, the before image, the after
     image, the constants (whose names are not folded). An operation other than I, U or D goes
     to ``unsupported``. ``header_fields`` as text is split at commas and not trimmed unless
-    ``trim`` is set. Takes the result of :func:`parse_trail`.
+    ``trim`` is set; any field of the record that is neither an object nor an array can be named,
+    and keeps its type. Takes the result of :func:`parse_trail`, with the record's text in
+    ``content``.
     """
     record = F.col(trail)
     wanted = [f.strip() if trim else f for f in split_list(header_fields)]
-    chosen = [f for f in dict.fromkeys(wanted) if f in HEADER_FIELDS]
+    chosen = list(dict.fromkeys(wanted))
+    if set(chosen) - {"table"}:  # the text is read again only for fields that the struct does not hold as they are
+        df = materialise(df, {"__header": F.from_json(F.col(content), "map<string,variant>")})
 
     def header(field: str) -> Column:
         if field == "table":
-            return apply_case(override_schema(record["table"], schema), case)
-        return record[field]
+            return apply_case(override_schema(record["table"], schema), case).cast("variant")
+        value = F.element_at(F.col("__header"), field)
+        nested = F.schema_of_variant(value).rlike("^(OBJECT|ARRAY|VOID)")
+        return F.when(~nested, value)
 
     # each source is (names, values, present); a header field that is not in the record is left out
     present = F.filter(
@@ -166,7 +175,7 @@ def merge_views(
     keys, values = [], []
     if present is not None:
         keys.append(F.transform(present, lambda e: e["k"]))
-        values.append(F.transform(present, lambda e: e["v"].cast("variant")))
+        values.append(F.transform(present, lambda e: e["v"]))
     for image in (before, after):
         keys.append(F.transform(F.map_keys(image), lambda k: apply_case(k, case)))
         values.append(F.map_values(image))
@@ -178,7 +187,7 @@ def merge_views(
     op = record["op_type"]
     supported = op.isin(*OPERATIONS)
     rows = df.withColumn(ROUTE, F.when(F.col(ROUTE) != SUCCESS, F.col(ROUTE)).when(supported, SUCCESS).otherwise(UNSUPPORTED))
-    return rows.withColumn(output, F.when(F.col(ROUTE) == SUCCESS, sorted_json(F.concat(*keys), F.concat(*values))))
+    return rows.withColumn(output, F.when(F.col(ROUTE) == SUCCESS, sorted_json(F.concat(*keys), F.concat(*values)))).drop("__header")
 
 
 def image_as_map(image: Column, case: str = "None") -> Column:
@@ -186,6 +195,48 @@ def image_as_map(image: Column, case: str = "None") -> Column:
     return last_wins(F.transform(F.map_keys(image), lambda k: apply_case(k, case)), F.map_values(image))
 
 
+def route_changes(
+    base: DataFrame,
+    trail: DataFrame,
+    keys: Sequence[str],
+    *,
+    record: str = "trail",
+    order_by: Column | None = None,
+    case: str = "None",
+) -> DataFrame:
+    """The rows of ``trail`` with the route each takes when it is applied to ``base``.
+
+    ``failure``: a missing image or key, no usable place, or a value that does not convert to its
+    column's type; :func:`apply_changes` leaves such changes out. An explicit null converts. Rows
+    off the success route stay as they are.
+    """
+    fields = {f.name: f.dataType for f in base.schema.fields}
+    change = F.col(record)
+    op = change["op_type"]
+    place = change["pos"].try_cast("decimal(38,0)") if order_by is None else order_by
+    rows = materialise(trail, {"__before": _folded(change["before"], case), "__after": _folded(change["after"], case)})
+    key_map = F.when(op == "I", F.col("__after")).otherwise(F.col("__before"))
+
+    def broken(image: Column, column: str) -> Column:
+        value = F.element_at(image, column)
+        return value.isNotNull() & ~F.is_variant_null(value) & _typed(value, fields[column]).isNull()
+
+    problems = [
+        (op.isin("I", "U") & F.col("__after").isNull(), "after image is missing"),
+        (op.isin("U", "D") & F.col("__before").isNull(), "before image is missing"),
+        (place.isNull(), "the change has no usable place"),
+        *[(~F.map_contains_key(key_map, k), f"key {k} is missing") for k in keys],
+        *[(broken(key_map, k), f"key {k} does not convert") for k in keys],
+        *[(op.isin("I", "U") & broken(F.col("__after"), c), f"{c} does not convert") for c in fields if c not in keys],
+    ]
+    # the first that holds; a test on a missing image is null and so does not
+    why = F.coalesce(*[F.when(test, F.lit(text)) for test, text in problems])
+    taken = (F.col(ROUTE) == SUCCESS) & op.isin(*OPERATIONS)
+    rows = materialise(rows, {"__why": F.when(taken, why)})
+    rows = rows.withColumns({ROUTE: F.when(F.col("__why").isNotNull(), "failure").otherwise(F.col(ROUTE)), REASON: F.coalesce("__why", REASON)})
+    return rows.drop("__before", "__after", "__why")
+
+
 def apply_changes(
     base: DataFrame,
     trail: DataFrame,
@@ -200,7 +251,8 @@ def apply_changes(
     An insert (re)creates the row from its after image, a delete removes it, and an update
     sets just the columns its after image names, explicit nulls included; key columns never
     change and an update of a missing row does nothing. ``trail`` is the result of
-    :func:`parse_trail`; rows not on the success route are ignored. The keys of a change are
+    :func:`parse_trail`; rows not on the success route are ignored, and so are changes that
+    :func:`route_changes` routes to failure. The keys of a change are
     read from ``before`` for updates and deletes and from ``after`` for inserts.
 
     The changes are reduced to one row per key by a single pre-aggregated group-by, so a key
@@ -211,10 +263,9 @@ def apply_changes(
     fields = {f.name: f.dataType for f in base.schema.fields}
     others = [c for c in fields if c not in keys]
     change = F.col(record)
+    trail = route_changes(base, trail, keys, record=record, order_by=order_by, case=case)
     rows = trail.where((F.col(ROUTE) == SUCCESS) & change["op_type"].isin(*OPERATIONS))
     place = change["pos"].try_cast("decimal(38,0)") if order_by is None else order_by
-    # a change that has no place cannot be left out silently
-    place = F.coalesce(place, F.raise_error(F.lit("a change has no usable pos; give order_by")))
     rows = rows.select(
         change["op_type"].alias("__op"),
         place.alias("__pos"),
@@ -266,14 +317,33 @@ def apply_changes(
     return kept.unionByName(created)
 
 
-def count_replaced(base: DataFrame, trail: DataFrame, keys: Sequence[str], *, record: str = "trail") -> DataFrame:
-    """One row: how many inserts name a key that ``base`` already has."""
+def count_replaced(
+    base: DataFrame,
+    trail: DataFrame,
+    keys: Sequence[str],
+    *,
+    record: str = "trail",
+    order_by: Column | None = None,
+    case: str = "None",
+    max_rows: int | None = DEFAULT_MAX_ROWS,
+) -> DataFrame:
+    """One row: how many inserts replace a row, one of ``base`` or one that an earlier insert made.
+
+    Takes the same changes as :func:`apply_changes`.
+    """
     change = F.col(record)
-    rows = trail.where((F.col(ROUTE) == SUCCESS) & (change["op_type"] == "I"))
+    rows = route_changes(base, trail, keys, record=record, order_by=order_by, case=case)
+    rows = rows.where((F.col(ROUTE) == SUCCESS) & change["op_type"].isin("I", "D"))
+    place = change["pos"].try_cast("decimal(38,0)") if order_by is None else order_by
+    image = F.when(change["op_type"] == "I", _folded(change["after"], case)).otherwise(_folded(change["before"], case))
     names = [f"__k{i}" for i in range(len(keys))]
-    inserted = rows.select(*[_typed(F.element_at(change["after"], k), base.schema[k].dataType).alias(n) for k, n in zip(keys, names)])
+    rows = rows.select(change["op_type"].alias("__op"), place.alias("__pos"), *[_typed(F.element_at(image, k), base.schema[k].dataType).alias(n) for k, n in zip(keys, names)])
+    rows = running(rows, names, ["__pos"], [Running("__previous", "last", F.col("__op"))], split=plan_split(rows, names, ["__pos"], max_rows))
+    inserts = rows.where(F.col("__op") == "I")
+    again = inserts.where(F.col("__previous") == "I").select(F.lit(1).alias("one"))
     on = [F.col(n).eqNullSafe(F.col(quoted(k))) for k, n in zip(keys, names)]
-    return inserted.join(base.select(*keys), on, "left_semi").agg(F.count(F.lit(1)).alias("replaced"))
+    first = inserts.where(F.col("__previous").isNull()).join(base.select(*keys), on, "left_semi").select(F.lit(1).alias("one"))
+    return again.unionByName(first).agg(F.count(F.lit(1)).alias("replaced"))
 
 
 def _folded(image: Column, case: str) -> Column:

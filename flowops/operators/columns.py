@@ -34,14 +34,14 @@ def update_columns(
     evaluate_content: bool = False,
     evaluate_columns: bool = False,
     recursive: bool = False,
-    max_depth: int = 8,
     content: str = "content",
 ) -> DataFrame:
     """Set the content and then the columns, one after another; each sees the ones before.
 
     Texts are templates where the matching ``evaluate`` option is on. ``recursive`` fills in
-    names that the filled-in values bring along, again and again; a text that still holds names
-    after ``max_depth`` rounds (a cycle) sends the row to ``failure``.
+    names that the filled-in values bring along, again and again. A chain of names without a cycle
+    is no longer than there are columns; a text that holds names after so many rounds sends the
+    row to ``failure``.
     """
     rows, unfinished = df, []
 
@@ -52,7 +52,7 @@ def update_columns(
             return rows.withColumn(name, F.lit(text))
         value = template(text, names)
         if recursive:
-            value, left = expand_again(value, {n: F.col(quoted(n)) for n in names}, max_depth)
+            value, left = expand_again(value, {n: F.col(quoted(n)) for n in names}, len(names) + 1)
             flag = f"__left{len(unfinished)}"
             rows = materialise(rows, {"__text": value})
             # the flag is a test on the finished text
@@ -65,7 +65,7 @@ def update_columns(
         rows = assign(rows, content, new_content, evaluate_content)
     for name, text in (set or {}).items():
         rows = assign(rows, name, text, evaluate_columns)
-    rows = with_route(rows, [(F.col(flag), f"{name}: template still holds names after {max_depth} rounds") for flag, name in unfinished])
+    rows = with_route(rows, [(F.col(flag), f"{name}: names in the template form a cycle") for flag, name in unfinished])
     return rows.drop(*[flag for flag, _ in unfinished])
 
 

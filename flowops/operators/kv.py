@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import DEFAULT_MAX_ROWS, follow_chain, next_match
-from ..session import measured
+from ..plans import DEFAULT_MAX_ROWS, Running, follow_chain, next_match, plan_split, running
+from ..routes import with_route
+from ..session import cut_lineage, measured
 
 
 def _first(requests: DataFrame, order_by: str) -> DataFrame:
@@ -66,7 +67,8 @@ def kv_check_and_put(
 ) -> tuple[DataFrame, DataFrame]:
     """Write ``value`` where the current value equals ``expected`` (null = key absent).
 
-    Returns the new table and the requests (key, expected, value, order) with ``ok``. The
+    Returns the new table and the requests (key, expected, value, order) with ``ok``. Requests of
+    equal order are taken by ``expected``, null first, and then by ``value``. The
     requests of a key with at most ``fold_rows`` of them are folded in its one row. Keys with more
     are solved as chains: the first request that expects the stored value succeeds, the next to
     succeed is the first later one that expects what it wrote, and so on; the links come from
@@ -75,7 +77,8 @@ def kv_check_and_put(
     asked = requests.select("key", "expected", "value", order_by)
     counts, small_side = measured(asked.groupBy("key").agg(F.count(F.lit(1)).alias("__n")), "requests")
     current = _hits(table, counts, small_side).select("key", F.col("value").alias("__cur"))
-    busy = small_side(counts.where(F.col("__n") > fold_rows).select("key"))
+    busy, busy_side = measured(counts.where(F.col("__n") > fold_rows).select("key"), "busy")
+    busy = busy_side(busy)
     if busy.isEmpty():
         writes, results = _fold(asked, current, order_by)
     else:
@@ -107,20 +110,34 @@ def _fold(asked: DataFrame, current: DataFrame, order: str) -> tuple[DataFrame,
 
 
 def _chain(asked: DataFrame, current: DataFrame, order: str, max_rows: int | None) -> tuple[DataFrame, DataFrame]:
-    """The same for keys with any number of requests."""
-    fits = asked.join(current, "key", "left").where(F.col("expected").eqNullSafe(F.col("__cur")))
-    heads = fits.groupBy("key").agg(F.min(order).alias(order))
-    links = next_match(asked, ["key"], order, "value", "expected", max_rows)
-    done = follow_chain(heads, links, ["key"], order).withColumn("ok", F.lit(True))
-    results = asked.join(done, ["key", order], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
-    writes = results.where("ok").groupBy("key").agg(F.max_by("value", order).alias("value"))
+    """The same for keys with any number of requests.
+
+    Places in the total order stand for ``order``, so equal ones do no harm.
+    """
+    total = [order, "expected", "value"]
+    places = running(asked, ["key"], total, [Running("__at", "count")], inclusive=True, split=plan_split(asked, ["key"], total, max_rows))
+    places = cut_lineage(places, "places")
+    # one row for each expected value meets the table, however many requests expect it
+    first = places.groupBy("key", "expected").agg(F.min("__at").alias("__at"))
+    heads = first.join(current, "key", "left").where(F.col("expected").eqNullSafe(F.col("__cur"))).select("key", "__at")
+    links = next_match(places, ["key"], "__at", "value", "expected", max_rows)
+    done = cut_lineage(follow_chain(heads, links, ["key"], "__at").withColumn("ok", F.lit(True)), "done")
+    results = places.join(done, ["key", "__at"], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
+    writes = results.where("ok").groupBy("key").agg(F.max_by("value", "__at").alias("value"))
     return writes, results.select("key", "expected", "value", order, "ok")
 
 
 def kv_get(df: DataFrame, table: DataFrame, key: str, output: str = "value") -> DataFrame:
-    """Value of each row's key, null where there is none. ``table`` has one row per key."""
-    lookup = table.select(F.col("key").alias("__key"), F.col("value").alias(output))
-    return df.join(lookup, F.col(key) == F.col("__key"), "left").drop("__key")
+    """Value of each row's key, null where there is none.
+
+    A key that the table has more than once has no value: the row stays one row, with a null, on
+    the ``failure`` route.
+    """
+    lookup = table.groupBy(F.col("key").alias("__key")).agg(F.min("value").alias(output), F.count(F.lit(1)).alias("__rows"))
+    rows = df.join(lookup, F.col(key) == F.col("__key"), "left")
+    several = F.coalesce(F.col("__rows") > 1, F.lit(False))
+    rows = with_route(rows, [(several, "the key has more than one row")])
+    return rows.withColumn(output, F.when(~several, F.col(output))).drop("__key", "__rows")
 
 
 def kv_contains(df: DataFrame, table: DataFrame, key: str, output: str = "found") -> DataFrame:

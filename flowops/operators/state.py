@@ -199,27 +199,30 @@ def _with_holder(rows: DataFrame, order: list[str], held: DataFrame | None, spli
     tells whether it is held; the holder is the last value offered to a free lock. Both windows
     use the same grouping and order, so the data is shuffled and sorted once.
     """
-    if held is None:
-        rows = rows.withColumn("__stored", F.lit(None).cast("string"))
-    else:
-        stored = held.select(F.col("key").alias("__state_key"), F.col("value").alias("__stored"))
-        rows = rows.join(stored, F.col("lock") == F.col("__state_key"), "left")
     if split is None:
         group = ["lock"]
-        rows = rows.withColumn("__entry", F.col("__stored"))
+        rows = rows.withColumns({"__entry": F.lit(None).cast("string"), "__released": F.lit(0).cast("long")})
     else:
         group = ["lock", PART]
         rows = with_part(rows, order, split)
         rows = join_parts(rows, ["lock"], _holders_at_entry(rows, order))
-        # a lock held from the start stays so until its first release
-        still = F.coalesce("__released", F.lit(0)) == 0
-        rows = rows.withColumn("__entry", F.when(still & F.col("__stored").isNotNull(), F.col("__stored")).otherwise(F.col("__before")))
+        rows = rows.withColumn("__entry", F.col("__before"))
     past = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("__last", F.last("__action", ignorenulls=True).over(past))
     rows = rows.withColumn("__held", F.coalesce(F.col("__last") == "hold", F.col("__entry").isNotNull()))
     takes = F.when((F.col("__action") == "hold") & ~F.col("__held"), F.col("__offer"))
-    rows = rows.withColumn("__takes", takes).withColumn("__taken", F.last("__takes", ignorenulls=True).over(past))
-    return rows.withColumn("holder", F.when(F.col("__held"), F.coalesce("__taken", "__entry")))
+    freed = F.max(F.col("__action") == "release").over(past)
+    rows = rows.withColumn("__takes", takes).withColumns({"__taken": F.last("__takes", ignorenulls=True).over(past), "__freed": freed})
+    holder = F.when(F.col("__held"), F.coalesce("__taken", "__entry"))
+    if held is None:
+        return rows.withColumn("holder", holder)
+    # a lock held from the start stays so until its first release, and what was held matters no more
+    # behind it; joined here, a lock with many rows is not brought back to one task before the windows
+    rows = rows.withColumn("holder", holder)
+    stored = held.select(F.col("key").alias("__state_key"), F.col("value").alias("__stored"))
+    rows = rows.join(stored, F.col("lock") == F.col("__state_key"), "left")
+    still = (F.coalesce("__released", F.lit(0)) == 0) & ~F.coalesce("__freed", F.lit(False))
+    return rows.withColumn("holder", F.when(still & F.col("__stored").isNotNull(), F.col("__stored")).otherwise(F.col("holder")))
 
 
 def _holders_at_entry(rows: DataFrame, order: list[str]) -> DataFrame:

@@ -199,10 +199,59 @@ def cdc_apply(spark, sf_dir):
     return cdc.apply_changes(customer_base(spark, sf_dir), events_trail(spark, sf_dir), ["c_custkey"], case="Lower")
 
 
-@register("cdc_replaced", "SELECT count(*) AS replaced FROM events WHERE event_type = 'signup' AND user_id IN (SELECT c_custkey FROM customer)")
+@register(
+    "cdc_replaced",
+    """
+    WITH i AS (SELECT user_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS previous
+               FROM events WHERE event_type IN ('signup', 'error'))
+    SELECT count(*) AS replaced FROM i
+    WHERE event_type = 'signup' AND (previous = 'signup' OR (previous IS NULL AND user_id IN (SELECT c_custkey FROM customer)))""",
+)
 def cdc_replaced(spark, sf_dir):
-    base = customer_base(spark, sf_dir)
-    return cdc.count_replaced(base.toDF(*[c.upper() for c in base.columns]), events_trail(spark, sf_dir), ["C_CUSTKEY"])
+    return cdc.count_replaced(customer_base(spark, sf_dir), events_trail(spark, sf_dir), ["c_custkey"], case="Lower")
+
+
+BROKEN = "event_id % 7"
+
+
+def broken_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a change, some of which cannot be applied, by the remainder of the event's number."""
+    kind = F.expr(BROKEN)
+    key = F.when(kind == 1, F.lit('"abc"')).when(kind == 2, F.lit("null")).otherwise(text("user_id"))
+    number = F.when(kind == 3, F.lit('"many"')).when(kind == 4, F.lit('"12"')).otherwise(text("event_id"))
+    place = F.when(kind == 5, F.lit("later")).otherwise(text("event_id"))
+    before = F.when(kind == 6, F.lit("")).otherwise(F.concat(F.lit('"before":{"c_custkey":'), key, F.lit("},")))
+    content = F.concat(F.lit('{"table":"s.customer","op_type":"U","pos":"'), place, F.lit('",'), before, F.lit('"after":{"c_nationkey":'), number, F.lit("}}"))
+    return cdc.parse_trail(spread(table(spark, sf_dir, "events")).select("event_id", content.alias("content")))
+
+
+@register(
+    "cdc_apply_rejected",
+    f"""
+    SELECT event_id, CASE WHEN {BROKEN} IN (1, 3, 5, 6) THEN 'failure' ELSE 'success' END AS route,
+           CASE {BROKEN} WHEN 1 THEN 'key c_custkey does not convert' WHEN 3 THEN 'c_nationkey does not convert'
+                WHEN 5 THEN 'the change has no usable place' WHEN 6 THEN 'before image is missing' END AS reason
+    FROM events""",
+)
+def cdc_apply_rejected(spark, sf_dir):
+    routed = cdc.route_changes(customer_base(spark, sf_dir), broken_trail(spark, sf_dir), ["c_custkey"], case="Lower")
+    return routed.select("event_id", "route", "reason")
+
+
+@register(
+    "cdc_apply_with_rejects",
+    f"""
+    WITH base AS (SELECT c_custkey, c_name, c_nationkey FROM customer UNION ALL SELECT NULL, 'nobody', 0),
+    e AS (SELECT CASE WHEN {BROKEN} = 2 THEN NULL ELSE user_id END AS k, event_id,
+                 CASE WHEN {BROKEN} = 4 THEN 12 ELSE event_id END AS n FROM events WHERE {BROKEN} IN (0, 2, 4)),
+    l AS (SELECT k, arg_max(n, event_id) AS n FROM e GROUP BY k)
+    SELECT c_custkey, c_name, coalesce(l.n, c_nationkey)::INTEGER AS c_nationkey FROM base LEFT JOIN l ON l.k IS NOT DISTINCT FROM c_custkey""",
+)
+def cdc_apply_with_rejects(spark, sf_dir):
+    """Changes that cannot be applied leave the table alone, its row with a null key too."""
+    base = customer_base(spark, sf_dir).select("c_custkey", "c_name", "c_nationkey")
+    nobody = spark.range(1).select(F.lit(None).cast("long").alias("c_custkey"), F.lit("nobody").alias("c_name"), F.lit(0).alias("c_nationkey"))
+    return cdc.apply_changes(base.unionByName(nobody), broken_trail(spark, sf_dir), ["c_custkey"], case="Lower")
 
 
 # --------------------------------------------------------------------------- documents
@@ -476,6 +525,19 @@ def kv_get(spark, sf_dir):
     return kv.kv_get(rows, supplier_kv(spark, sf_dir), "key", "found").select("ord", "found")
 
 
+@register(
+    "kv_get_duplicates",
+    f"""
+    WITH {KV_SQL}, d AS (SELECT key, min(value) AS value, count(*) AS n FROM (SELECT key, value FROM t UNION ALL SELECT key, value FROM t WHERE length(key) = 2) GROUP BY key)
+    SELECT ord, CASE WHEN n = 1 THEN d.value END AS found, CASE WHEN n > 1 THEN 'failure' ELSE 'success' END AS route FROM u LEFT JOIN d USING (key)""",
+)
+def kv_get_duplicates(spark, sf_dir):
+    """A key that the table has twice is a failure; the row is not doubled."""
+    rows = order_updates(spark, sf_dir).select("ord", "key")
+    stored = supplier_kv(spark, sf_dir)
+    return kv.kv_get(rows, stored.unionByName(stored.where(F.length("key") == 2)), "key", "found").select("ord", "found", "route")
+
+
 @register("kv_contains", f"WITH {KV_SQL} SELECT ord, key IN (SELECT key FROM t) AS found FROM u")
 def kv_contains(spark, sf_dir):
     return kv.kv_contains(order_updates(spark, sf_dir), supplier_kv(spark, sf_dir), "key").select("ord", "found")

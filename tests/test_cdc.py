@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from flowops.operators.cdc import apply_changes, count_replaced, merge_views, parse_trail, trail_statements
+from flowops.operators.cdc import apply_changes, count_replaced, merge_views, parse_trail, route_changes, trail_statements
 
 # The expected texts below are fixed values.
 RECORD = {
@@ -123,15 +123,25 @@ def test_apply_changes(spark, seed):
     upper = [json.loads(json.dumps(r).replace('"a":', '"A":').replace('"x":', '"X":')) for r in records]
     got = apply_changes(frame, trail_of(spark, *upper), keys, case="Lower").collect()
     assert sorted((tuple(r) for r in got), key=str) == replay(base, records, keys)
-    want = sum(1 for r in records if r["op_type"] == "I" and r["after"]["a"] < 10)
+    # an insert replaces a row of the base or of an earlier insert, unless a delete came between
+    there, want = {(r["a"], r["b"]) for r in base}, 0
+    for r in sorted(records, key=lambda r: r["pos"]):
+        image = r["after"] if r["op_type"] == "I" else r["before"]
+        key = (image["a"], image["b"])
+        if r["op_type"] == "I":
+            want += key in there
+            there.add(key)
+        elif r["op_type"] == "D":
+            there.discard(key)
     assert count_replaced(frame, trail_of(spark, *records), keys).first()["replaced"] == want
 
 
 def test_changes_need_a_place(spark):
     base = spark.range(3).withColumn("x", F.lit("a"))
     change = {"table": "T", "op_type": "U", "pos": "?", "op_ts": "2", "before": {"id": 1}, "after": {"x": "b"}}
-    with pytest.raises(Exception, match="no usable pos"):
-        apply_changes(base, trail_of(spark, change), ["id"]).collect()
+    routed = route_changes(base, trail_of(spark, change), ["id"]).first()
+    assert (routed["route"], routed["reason"]) == ("failure", "the change has no usable place")
+    assert sorted(map(tuple, apply_changes(base, trail_of(spark, change), ["id"]).collect())) == [(0, "a"), (1, "a"), (2, "a")]
     placed = apply_changes(base, trail_of(spark, change), ["id"], order_by=F.col("trail.op_ts").cast("int"))
     assert sorted(map(tuple, placed.collect())) == [(0, "a"), (1, "b"), (2, "a")]
 
@@ -140,3 +150,33 @@ def test_apply_changes_plan(spark):
     base = spark.range(100).withColumn("x", F.col("id"))
     plan = apply_changes(base, trail_of(spark, RECORD), ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "SinglePartition" not in plan
+
+
+def test_changes_that_cannot_be_applied_leave_the_table_alone(spark):
+    base = spark.createDataFrame([(None, 5), (1, 7)], "id long, n int")
+    bad = [
+        {"table": "T", "op_type": "D", "pos": "1", "before": {"id": "abc"}},
+        {"table": "T", "op_type": "D", "pos": "2"},
+        {"table": "T", "op_type": "U", "pos": "3", "before": {"id": 1}, "after": {"n": "abc"}},
+        {"table": "T", "op_type": "U", "pos": "4", "before": {"n": 7}, "after": {"n": 8}},
+        {"table": "T", "op_type": "I", "pos": "5"},
+        {"table": "T", "op_type": "I", "pos": "x", "after": {"id": 2, "n": 1}},
+    ]
+    assert {r["route"] for r in route_changes(base, trail_of(spark, *bad), ["id"]).collect()} == {"failure"}
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(apply_changes(base, trail_of(spark, *bad), ["id"])) == rows(base)
+    # an explicit null is a value, and a key
+    good = [{"table": "T", "op_type": "U", "pos": "1", "before": {"id": None}, "after": {"n": "6"}}, {"table": "T", "op_type": "U", "pos": "2", "before": {"id": 1}, "after": {"n": None}}]
+    assert rows(apply_changes(base, trail_of(spark, *bad, *good), ["id"])) == [(1, None), (None, 6)]
+
+
+def test_statements_need_a_before_image(spark):
+    records = [{"table": "s.t", "op_type": op, "pos": "1", "primary_keys": ["id"], "after": {"id": 1, "n": 2}} for op in "UD"]
+    got = trail_statements(trail_of(spark, *records)).collect()
+    assert [(r["statement"], r["route"], r["reason"]) for r in got] == [(None, "failure", "before image is missing")] * 2
+
+
+def test_any_scalar_header_field_keeps_its_type(spark):
+    record = {"table": "T", "op_type": "I", "pos": 17, "csn": 12345678901, "ok": True, "gone": None, "tokens": {"a": 1}, "after": {"id": 1}}
+    got = merge_views(trail_of(spark, record), header_fields="pos,csn,ok,gone,tokens,absent").first()["merged"]
+    assert json.loads(got) == {"id": 1, "pos": 17, "csn": 12345678901, "ok": True}

@@ -138,3 +138,12 @@ def test_scalar_functions(spark):
     assert df.select(convert(F.lit("x"), "int")).first()[0] is None
     with pytest.raises(ValueError):
         apply_case(t, "Title")
+
+
+def test_update_columns_follows_a_chain_of_any_length(spark):
+    """Twelve names, each in the value of the one before; only a cycle fails."""
+    row = {f"c{i}": f"${{c{i + 1}}}" for i in range(12)} | {"c12": "end", "x": "${y}", "y": "${x}", "content": ""}
+    df = spark.createDataFrame([tuple(row.values())], list(row))
+    got = update_columns(df, {"out": "${c0}"}, evaluate_columns=True, recursive=True).first()
+    assert (got["out"], got["route"]) == ("end", "success")
+    assert update_columns(df, {"out": "${x}"}, evaluate_columns=True, recursive=True).first()["route"] == "failure"

@@ -67,6 +67,31 @@ def test_check_and_put(spark, fold, limit):
     assert pairs(after) == store
 
 
+@pytest.mark.parametrize("fold,limit", [(1000, None), (0, None), (0, 9)])
+def test_check_and_put_with_equal_order(spark, fold, limit):
+    """Requests of equal order are taken by what they expect, null first, then by their value."""
+    rnd = random.Random(6)
+    requests = [(i // 4, rnd.choice(["hot", "k"]), rnd.choice([None, "A", "B", "C"]), rnd.choice("ABC")) for i in range(120)]
+    frame = spark.createDataFrame(requests, "ord long, key string, expected string, value string").repartition(3)
+    table = spark.createDataFrame([("hot", "A")], "key string, value string")
+    after, results = K.kv_check_and_put(table, frame, "ord", fold_rows=fold, max_rows=limit)
+    store, want = {"hot": "A"}, []
+    for i, key, expected, value in sorted(requests, key=lambda r: (r[1], r[0], r[2] is not None, r[2] or "", r[3])):
+        ok = store.get(key) == expected
+        want.append((i, key, expected, value, ok))
+        if ok:
+            store[key] = value
+    assert sorted(map(tuple, results.select("ord", "key", "expected", "value", "ok").collect()), key=str) == sorted(want, key=str)
+    assert pairs(after) == store
+
+
+def test_get_of_a_key_with_several_rows(spark):
+    table = spark.createDataFrame([("a", "1"), ("b", "2"), ("b", "2")], "key string, value string")
+    ask = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "k string")
+    got = [(r["k"], r["value"], r["route"]) for r in K.kv_get(ask, table, "k").collect()]
+    assert sorted(got, key=str) == [("a", "1", "success"), ("b", None, "failure"), ("c", None, "success"), (None, None, "success")]
+
+
 @pytest.fixture(scope="module")
 def cells(spark):
     rows = [
