@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import cut_lineage, spread
-from .joins import stored
+from .joins import marked, stored, thinned
 
 MIN_WORDS = 8
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -65,25 +65,26 @@ def _earliest(lines: DataFrame, texts: DataFrame) -> DataFrame:
     halves = lines.select("line", F.explode("keys").alias("key"))
     shared = halves.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b")
     # what is stored first leaves Spark free to split a key that holds many lines
-    company = cut_lineage(halves.join(stored(shared.select("key"), "shared"), "key", "left_semi").select("line").distinct(), "company")
-    company = stored(lines.join(company, "line", "left_semi").select("line", "first"), "company")
+    shared = stored(shared.select("key"), "shared")
+    company = thinned(halves, F.col("key"), shared, "shared-bits").join(shared, "key", "left_semi").select("line").distinct()
+    company = stored(company, "company")
+    company = cut_lineage(thinned(lines, F.col("line"), company, "company-bits").join(company, "line", "left_semi").select("line", "first"), "company")
     # their words, read once more from where they occur first
-    wanted = company.groupBy("first.id", "first.hash").agg(F.collect_list(F.struct("first.at", "line")).alias("wanted"))
-    wanted = stored(wanted, "wanted", 5_000)
-    found = texts.join(wanted, texts["id"].eqNullSafe(wanted["id"]) & (texts["hash"] == wanted["hash"]))
+    wanted = stored(company.groupBy("first.id", "first.hash").agg(F.collect_list(F.struct("first.at", "line")).alias("wanted")), "wanted", 5_000)
+    some = thinned(texts, F.col("hash"), wanted.select("hash"), "wanted-bits")
+    found = some.join(wanted, some["id"].eqNullSafe(wanted["id"]) & (some["hash"] == wanted["hash"]))
     found = found.select(F.split("text", "\n").alias("all"), F.explode("wanted").alias("x")).select("x.line", _words(F.get("all", F.col("x.at"))).alias("words"))
-    found = cut_lineage(found.dropDuplicates(["line"]).join(company, "line"), "lines")
+    found = cut_lineage(found.dropDuplicates(["line"]), "lines")
 
     # order-dependent hashes of a line without its i-th word: words before it keep their place, those behind move up
-    each = found.select("line", "first", F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
-    each = each.select("line", "first", "n", "i", F.xxhash64("word", "i").alias("here"), F.xxhash64("word", F.col("i") - 1).alias("moved"))
+    each = found.select("line", F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
+    each = each.select("line", "n", "i", F.xxhash64("word", "i").alias("here"), F.xxhash64("word", F.col("i") - 1).alias("moved"))
     whole = Window.partitionBy("line")
     before = whole.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     upto = whole.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     none = F.lit(0).cast("long")
     each = each.select(
         "line",
-        "first",
         "n",
         "i",
         F.coalesce(F.bit_xor("here").over(before), none).alias("front"),
@@ -92,25 +93,23 @@ def _earliest(lines: DataFrame, texts: DataFrame) -> DataFrame:
         F.bit_xor("here").over(whole).alias("full"),
     )
     rest = F.col("front").bitwiseXOR(F.col("moved_all").bitwiseXOR(F.col("moved_upto")))
-    place = F.struct("first.no_id", "first.id", "first.hash", "first.at", "line").alias("place")
-    keyed = each.select("line", place, "i", "n", "full", rest.alias("rest"))
-    variants = keyed.select(
+    variants = each.select(
         "line",
-        "place",
         F.explode(
             F.array(
-                F.struct(F.xxhash64(F.lit("replaced"), "n", "i", "rest").alias("key"), F.lit(0).alias("role")),
-                F.struct(F.xxhash64(F.lit("whole"), F.col("n") - 1, "rest").alias("key"), F.lit(1).alias("role")),
+                F.struct(F.xxhash64(F.lit("replaced"), "n", "i", rest).alias("key"), F.lit(0).alias("role")),
+                F.struct(F.xxhash64(F.lit("whole"), F.col("n") - 1, rest).alias("key"), F.lit(1).alias("role")),
                 F.struct(F.when(F.col("i") == 0, F.xxhash64(F.lit("whole"), "n", "full")).alias("key"), F.lit(2).alias("role")),
             )
         ).alias("v"),
-    ).select("line", "place", "v.key", "v.role")
+    ).select("line", "v.key", "v.role")
     variants = cut_lineage(variants.where("key is not null"), "variants")
-    groups = variants.groupBy("key").agg(
-        F.min("line").alias("a"),
-        F.max("line").alias("b"),
-        *[F.min(F.when(F.col("role") == r, F.col("place"))).alias(f"p{r}") for r in range(3)],
-    ).where("a <> b")
+    equal = variants.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("key")
+    equal = stored(equal, "equal-keys")
+    variants = thinned(variants, F.col("key"), equal, "equal-bits").join(equal, "key", "left_semi")
+    place = company.select("line", F.struct("first.no_id", "first.id", "first.hash", "first.at", "line").alias("place"))
+    variants = cut_lineage(variants.join(place, "line"), "equal")
+    groups = variants.groupBy("key").agg(*[F.min(F.when(F.col("role") == r, F.col("place"))).alias(f"p{r}") for r in range(3)])
     near = variants.join(stored(groups, "groups"), "key")
     other = F.when(F.col("role") == 0, F.col("p0")).when(F.col("role") == 1, F.col("p2")).otherwise(F.col("p1"))
     near = near.select("line", "place", other.alias("other")).where("other < place")
@@ -139,7 +138,11 @@ def line_dedup(docs: DataFrame, keep: list[Column], id_col: str = "doc_id", text
     first = stored(first.where("earliest is not null or first < last").select("line", F.coalesce("earliest", "first").alias("earliest")), "first")
     gone = lines.join(first, "line").where("place > earliest").select("place.id", "place.hash", "place.at").distinct()
     gone = stored(gone.groupBy("id", "hash").agg(F.sort_array(F.collect_list("at")).alias("dropped")), "dropped", 5_000)
-    joined = rows.join(gone, rows["id"].eqNullSafe(gone["id"]) & (rows["hash"] == gone["hash"]), "left")
+    # documents that lose nothing stay where they are
+    told = marked(rows, F.col("hash"), gone.select("hash"), "dropped-bits")
+    some = told.where("__marked").drop("__marked")
+    some = some.join(gone, some["id"].eqNullSafe(gone["id"]) & (some["hash"] == gone["hash"]), "left").select("row", "text", "dropped")
+    joined = some.unionByName(told.where("not __marked").select("row", "text", F.lit(None).cast("array<int>").alias("dropped")))
     all_lines = F.split("text", "\n")
     dropped = F.coalesce("dropped", F.array().cast("array<int>"))
     left = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), dropped)
