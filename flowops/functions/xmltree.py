@@ -84,30 +84,10 @@ def plain_path(path: str) -> tuple[str, str | None] | None:
     return (f".{found['steps']}", found["attribute"]) if found else None
 
 
-def texts(text: str | None, paths: list[tuple[str, str | None]]) -> tuple[list[str] | None, str | None]:
-    """Text of the first match of every plain path, ``""`` for none, or what is wrong.
-
-    (None, None) leaves the document to a full XPath: it has prefixed names.
-    """
-    if not text:
-        return None, "no XML"
-    try:
-        root = document(text)
-    except (expat.ExpatError, Unsafe) as error:
-        return None, str(error)
-    if any(_STAND_IN in node.tag or any(_COLON in name for name in node.attrib) for node in root.iter()):
-        return None, None
-    outer = ET.Element("outer")
-    outer.append(root)
-    found = []
-    for path, attribute in paths:
-        if attribute is None:
-            node = outer.find(path)
-            found.append("" if node is None else "".join(node.itertext()))
-        else:
-            held = (node.get(attribute) for node in outer.iterfind(path))
-            found.append(next((value for value in held if value is not None), ""))
-    return found, None
+def _in_order(outer: ET.Element, path: str) -> list[ET.Element]:
+    """The nodes at a path, each once, in document order."""
+    found = {id(node) for node in outer.iterfind(path)}
+    return [node for node in outer.iter() if id(node) in found]
 
 
 def text_at(text: str | None, path: str | None) -> tuple[str | None, str | None]:
@@ -121,12 +101,12 @@ def text_at(text: str | None, path: str | None) -> tuple[str | None, str | None]
         outer = ET.Element("outer")
         outer.append(document(text))
         if found[1] is not None:
-            held = (node.get(found[1]) for node in outer.iterfind(found[0]))
+            held = (node.get(found[1]) for node in _in_order(outer, found[0]))
             return next((value for value in held if value is not None), ""), None
-        node = outer.find(found[0])
+        nodes = _in_order(outer, found[0])
     except (expat.ExpatError, ValueError) as error:
         return None, str(error)
-    return "" if node is None else "".join(node.itertext()), None
+    return "".join(nodes[0].itertext()) if nodes else "", None
 
 
 def records(text: str | None, path: str, children: bool) -> tuple[list | None, str | None]:
@@ -141,7 +121,7 @@ def records(text: str | None, path: str, children: bool) -> tuple[list | None, s
         outer.append(document(text))
     except (expat.ExpatError, Unsafe) as error:
         return None, str(error)
-    nodes = outer.findall(path)
+    nodes = _in_order(outer, path)
     if children:
         nodes = [child for node in nodes for child in node]
     return [[(field.tag.replace(_STAND_IN, _COLON), "".join(field.itertext())) for field in node] for node in nodes], None

@@ -1,8 +1,9 @@
 """XML documents: records, XPath extraction, validation.
 
-Spark's XPath functions end the job on malformed text, so documents are first read in Arrow
-batches, which also answers plain element paths; any other XPath, validation and everything
-after parsing stay in the JVM.
+Spark's XPath functions end the job on malformed text, so a document is checked first: put inside
+an element of its own it must read as XML, and be one element. XPath and validation stay in the
+JVM; records of names that only the data knows, and paths that differ from row to row, are read
+in Arrow batches.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Mapping, Sequence
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import xmltree
@@ -45,14 +46,21 @@ def _parse_udf(path: str, children: bool):
     return F.arrow_udf(parse, kind)
 
 
-def _texts_udf(paths: list[tuple[str, str | None]]):
-    kind = pa.struct([("texts", pa.list_(pa.string())), ("problem", pa.string())])
+# a declaration that any reader takes; others stay in the text and make it malformed
+_DECLARATION = (
+    r"""^<\?xml\s+version\s*=\s*("1\.0"|'1\.0')(\s+encoding\s*=\s*("[A-Za-z][A-Za-z0-9._-]*"|'[A-Za-z][A-Za-z0-9._-]*'))?"""
+    r"""(\s+standalone\s*=\s*("(yes|no)"|'(yes|no)'))?\s*\?>"""
+)
 
-    def read(batch: pa.Array) -> pa.Array:
-        found = [xmltree.texts(text, paths) for text in batch.to_pylist()]
-        return pa.array([{"texts": texts, "problem": why} for texts, why in found], kind)
 
-    return F.arrow_udf(read, "struct<texts: array<string>, problem: string>")
+def _xml_problem(text: Column) -> Column:
+    """What keeps a text from being one XML document; null if nothing does. A DTD is not read."""
+    own = f"w{uuid.uuid4().hex}"  # a text that holds the name could close the element
+    inside = F.concat(F.lit(f"<{own}>"), F.regexp_replace(text, _DECLARATION, ""), F.lit(f"</{own}>"))
+    bad = text.contains(own) | F.from_xml(inside, "__bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})["__bad"].isNotNull()
+    # asked only of what can be read
+    one = F.xpath_boolean(inside, F.lit("count(/*/*) = 1 and not(/*/text()[normalize-space() != ''])"))
+    return F.when(F.coalesce(F.trim(text), F.lit("")) == "", "no XML").when(bad, "malformed XML").when(~one, "not one XML document")
 
 
 def _row_text_udf():
@@ -85,13 +93,19 @@ def xml_to_rows(
     nodes at the root path are. An attribute is all the text below the child element; of children
     with one name the last stays. Renaming is by position, then the prefix is put in front;
     ``always_add`` starts every record with the (unprefixed) new names empty. Without a root path
-    it is the document element. Malformed text goes to ``failure``.
+    it is the document element. Records come in document order. Malformed text goes to ``failure``,
+    as does every row if the root path is not one of element steps and simple predicates.
     """
     if parse_type not in PARSE_TYPES:
         raise ValueError(f"parse_type must be one of {PARSE_TYPES}, not {parse_type!r}")
     table = parse_type == "table"
     old, new = split_list(rename, delimiter), split_list(new_names, delimiter)
-    parsed = materialise(df, {"__xml": _parse_udf(xmltree.element_path(root), table)(F.col(quoted(column)))})
+    try:
+        parsing = _parse_udf(xmltree.element_path(root), table)(F.col(quoted(column)))
+    except ValueError as error:
+        pair = "array<struct<k: string, v: string>>"
+        parsing = F.struct(F.lit(None).cast(f"array<{pair}>").alias("records"), F.lit(str(error)).alias("problem"))
+    parsed = materialise(df, {"__xml": parsing})
     records, why = F.col("__xml.records"), F.col("__xml.problem")
     rows = explode_records(parsed, records, fragment_id(F.col(quoted(column))), why.isNotNull(), why, original)
     attributes = attribute_pairs(F.col("__row.record"), prefix=prefix, renames=(old, new), blanks=new if always_add else [])
@@ -135,16 +149,9 @@ def extract_xml(
         rows = with_route(rows, [(F.lit(True), bad_path)])
         outputs = {n: F.lit(None).cast("string") for n in paths}
     else:
-        # the parse that checks a document also answers plain paths, unless names have prefixes
-        plain = {n: xmltree.plain_path(p) for n, p in queries.items()}
-        asked = [n for n in plain if plain[n] is not None]
-        rows = materialise(rows, {"__read": _texts_udf([plain[n] for n in asked])(F.col(source))})
-        why, texts = F.col("__read.problem"), F.col("__read.texts")
-        outputs = {}
-        for name, path in queries.items():
-            full = F.xpath_string(F.col(source), F.lit(path))
-            value = F.when(texts.isNotNull(), F.get(texts, F.lit(asked.index(name)))).otherwise(full) if name in asked else full
-            outputs[name] = F.when(why.isNull(), value)
+        rows = materialise(rows, {"__why": _xml_problem(F.col(source))})
+        why = F.col("__why")
+        outputs = {name: F.when(why.isNull(), F.xpath_string(F.col(source), F.lit(path))) for name, path in queries.items()}
         problems = [why, *[F.col(quoted(f"__at_{n}"))["problem"] for n in by_row]]
         outputs.update({n: F.when(why.isNull(), F.col(quoted(f"__at_{n}"))["text"]) for n in by_row})
         outputs = {n: outputs[n] for n in paths}

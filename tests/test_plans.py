@@ -12,7 +12,7 @@ from flowops.session import shared_dir, spread
 SF_DIR = "/root/testdata/sf0.001"
 
 # the only ones that read documents in Python
-ARROW = {"xml_rows", "xml_record", "xml_extract"}
+ARROW = {"xml_rows", "xml_record"}
 
 
 def plan_of(df, run=False):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from flowops.operators.xmlops import extract_xml, validate_xml, xml_to_rows
 
+# fixed values: the schema and its documents below, and texts that are no documents
 BAD = ["<a/>junk", "<a/><b/>", "", " ", "plain", "<a>", None, "﻿<a/>", '<!DOCTYPE a SYSTEM "file:///no.dtd"><a/>', '<!DOCTYPE a [<!ENTITY e "x"><!ENTITY f "&e;&e;">]><a>&f;</a>']
 
 
@@ -39,8 +40,23 @@ def test_rows_details(spark):
     assert xml_to_rows(docs(spark, text), "/r/child::g[3]", parse_type="record").first()["attrs"] == {"d": "<&"}
     assert xml_to_rows(docs(spark, text)).count() == 3
     assert xml_to_rows(docs(spark, text), "/none").count() == 0
-    with pytest.raises(ValueError):
-        xml_to_rows(docs(spark, text), "/r/[")
+    bad = xml_to_rows(docs(spark, text), "/r/[").collect()
+    assert [r["route"] for r in bad] == ["failure"] and "/r/[" in bad[0]["reason"]
+
+
+def test_document_order_and_no_repeats(spark):
+    text = "<r><a><a><b>1</b></a><b>2</b></a></r>"
+    got = extract_xml(docs(spark, text).withColumn("n", F.lit("b")), {"v": "//a/b", "w": "//a//b", "x": "//a/${n}"}).first()
+    assert (got["v"], got["w"], got["x"]) == ("1", "1", "1")
+    text = "<r><a><a><b><c>1</c></b></a><b><c>2</c></b></a></r>"
+    rows = xml_to_rows(docs(spark, text), "//a//b", parse_type="record").collect()
+    assert [r["attrs"] for r in rows] == [{"c": "1"}, {"c": "2"}]
+
+
+def test_documents_that_are_not_one(spark):
+    texts = ["<a>1</a>", '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n<!-- x --><a>1</a><?p?>', "<?xml?><a>1</a>", ' <?xml version="1.0"?><a>1</a>', "<a>1</a>&amp;", "<!DOCTYPE a><a>1</a>", "</w><w><a/>", "<a>&#0;</a>", "<a b='1' b='2'/>", "<a>1</a><!-- -- -->"]
+    got = extract_xml(docs(spark, *texts), {"v": "/a"}).orderBy("doc").collect()
+    assert [r["v"] for r in got] == ["1", "1"] + [None] * 8 and [r["route"] for r in got] == ["success"] * 2 + ["failure"] * 8
 
 
 def test_extract(spark):
