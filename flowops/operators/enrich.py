@@ -71,9 +71,13 @@ class _Plan:
                 raise ValueError("a CACHE entry needs the kv table")
             key = self.add(template(key_text, self.names))
             found = f"{key}_v"
-            lookup = self.kv.select(F.col("key").alias("__key"), F.col("value").alias(found))
+            # one row per key, so that a key the table has twice fails its records and doubles none
+            lookup = self.kv.groupBy(F.col("key").alias("__key")).agg(F.min("value").alias(found), F.count(F.lit(1)).alias("__rows"))
             self.frame = self.frame.join(lookup, F.nullif(F.col(key), F.lit("")) == F.col("__key"), "left").drop("__key")
             self.added.append(found)
+            several = self.add(F.col("__rows") > 1)
+            self.frame = self.frame.drop("__rows")
+            self.failures.append((F.col(several), F.concat(F.lit("more than one row for the key "), F.col(key))))
             return found
 
         return self.once(("kv", key_text), build)
@@ -159,7 +163,7 @@ def enrich(
 ) -> DataFrame:
     """Add the configured attributes as text columns and the JSON section as ``content``.
 
-    ``kv`` has one row per key. A value that cannot be converted, and a cell filter that
+    A value that cannot be converted, a key that ``kv`` has more than once, and a cell filter that
     matches several rows, send the record to ``failure``. Later sections see the columns of
     the record, not those of the section before.
     """

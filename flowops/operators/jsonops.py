@@ -94,6 +94,7 @@ def json_to_rows(
     always_add: bool = True,
     names: Sequence[str] | None = None,
     original: bool = False,
+    id_columns: Sequence[str] = (),
 ) -> DataFrame:
     """One row per JSON object: the document itself, or each object in its array.
 
@@ -101,7 +102,8 @@ def json_to_rows(
     in ``rename`` and then prefixed. Nulls become ``""`` or, without ``null_fields``, are left
     out; ``always_add`` starts every record with the new names empty. The attributes are a map
     ``attrs``, or one column each for ``names``. Text that is not an object or an array goes to
-    ``failure``. ``original`` adds a row per document with route ``original``.
+    ``failure``. ``original`` adds a row per document with route ``original``. ``id_columns``
+    name what tells documents of equal text apart; the fragment id is computed from them as well.
     """
     if fragments not in FRAGMENTS:
         raise ValueError(f"fragments must be one of {FRAGMENTS}, not {fragments!r}")
@@ -116,7 +118,7 @@ def json_to_rows(
     parsed = parsed.withColumns({"__records": records, "__is_array": F.col("__array").isNotNull()})
     failed = F.col("__records").isNull()
     reason = F.when(document.isNull(), "content is not JSON").otherwise("the supplied JSON is not an array or an object")
-    rows = explode_records(parsed, F.col("__records"), fragment_id(F.col(quoted(column))), failed, reason, original)
+    rows = explode_records(parsed, F.col("__records"), fragment_id(F.col(quoted(column)), *[F.col(quoted(c)) for c in id_columns]), failed, reason, original)
     tagged = (F.col(ROUTE) == SUCCESS) & {
         "Always": F.lit(True),
         "Never": F.lit(False),

@@ -90,9 +90,9 @@ def fragment_id(*parent: Column) -> Column:
 
 
 def number_fragments(
-    df: DataFrame, parent: Sequence[str], order_by: str | Sequence[str], *, max_rows: int | None = DEFAULT_MAX_ROWS
+    df: DataFrame, parent: Sequence[str], order_by: str | Sequence[str], *, name: str = "all", max_rows: int | None = DEFAULT_MAX_ROWS
 ) -> DataFrame:
-    """Add ``frag_id``, ``frag_index`` (from 1) and ``frag_count`` per parent; no parent = one group.
+    """Add ``frag_id``, ``frag_index`` (from 1) and ``frag_count`` per parent; no parent = one group, called ``name``.
 
     The count is a pre-aggregated total joined back, not a window over the whole group.
     """
@@ -100,7 +100,7 @@ def number_fragments(
     rows = running(df, list(parent), order, [Running("frag_index", "count")], inclusive=True, split=plan_split(df, list(parent), order, max_rows))
     if not parent:
         total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-        return rows.withColumns({"frag_id": fragment_id(F.lit("all")), "frag_count": total})
+        return rows.withColumns({"frag_id": fragment_id(F.lit(name)), "frag_count": total}).select(*df.columns, "frag_id", "frag_index", "frag_count")
     names = [f"__p{i}" for i in range(len(parent))]
     counts = df.groupBy(*[F.col(p).alias(n) for p, n in zip(parent, names)]).agg(F.count(F.lit(1)).alias("frag_count"))
     on = [F.col(p).eqNullSafe(F.col(n)) for p, n in zip(parent, names)]

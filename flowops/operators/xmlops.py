@@ -86,6 +86,7 @@ def xml_to_rows(
     always_add: bool = True,
     names: Sequence[str] | None = None,
     original: bool = False,
+    id_columns: Sequence[str] = (),
 ) -> DataFrame:
     """One row per record element of a document, its child elements as attributes.
 
@@ -95,6 +96,7 @@ def xml_to_rows(
     ``always_add`` starts every record with the (unprefixed) new names empty. Without a root path
     it is the document element. Records come in document order. Malformed text goes to ``failure``,
     as does every row if the root path is not one of element steps and simple predicates.
+    ``id_columns`` name what tells documents of equal text apart, for their fragment ids.
     """
     if parse_type not in PARSE_TYPES:
         raise ValueError(f"parse_type must be one of {PARSE_TYPES}, not {parse_type!r}")
@@ -107,7 +109,7 @@ def xml_to_rows(
         parsing = F.struct(F.lit(None).cast(f"array<{pair}>").alias("records"), F.lit(str(error)).alias("problem"))
     parsed = materialise(df, {"__xml": parsing})
     records, why = F.col("__xml.records"), F.col("__xml.problem")
-    rows = explode_records(parsed, records, fragment_id(F.col(quoted(column))), why.isNotNull(), why, original)
+    rows = explode_records(parsed, records, fragment_id(F.col(quoted(column)), *[F.col(quoted(c)) for c in id_columns]), why.isNotNull(), why, original)
     attributes = attribute_pairs(F.col("__row.record"), prefix=prefix, renames=(old, new), blanks=new if always_add else [])
     ok = F.col(ROUTE) == SUCCESS
     shown = all_attributes() if names is None else chosen_attributes(names)

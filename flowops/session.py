@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
 import threading
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -28,6 +30,26 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send the package to the executors, once per application.
+
+    Needed where it is not installed there: Python workers then find it wherever the job started.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    path = pathlib.Path(tempfile.mkdtemp(prefix="flowops-code-")) / "flowops.zip"
+    with zipfile.ZipFile(path, "w") as file:
+        for module in sorted(package.rglob("*.py")):
+            file.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)
+
+
 _own_dir: str | None = None
 
 

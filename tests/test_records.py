@@ -147,3 +147,10 @@ def test_update_columns_follows_a_chain_of_any_length(spark):
     got = update_columns(df, {"out": "${c0}"}, evaluate_columns=True, recursive=True).first()
     assert (got["out"], got["route"]) == ("end", "success")
     assert update_columns(df, {"out": "${x}"}, evaluate_columns=True, recursive=True).first()["route"] == "failure"
+
+
+def test_fragment_ids_tell_equal_documents_apart(spark):
+    df = spark.createDataFrame([(1, '[{"a":1},{"a":2}]'), (2, '[{"a":1},{"a":2}]')], "doc int, content string")
+    ids = {(r["doc"], r["frag_id"]) for r in json_to_rows(df, id_columns=["doc"]).collect()}
+    assert len(ids) == 2 and len({i for _, i in ids}) == 2
+    assert len({r["frag_id"] for r in json_to_rows(df).collect()}) == 1
