@@ -39,9 +39,11 @@ VOCABULARY = 4094
 CLASSES = 64
 SIZE = 16
 #: Words whose counts every task holds; the counts of rarer ones are joined.
-HELD_COUNTS = 1 << 19
+HELD_COUNTS = 1 << 18
 #: Steps of a window of truncated backpropagation, streams side by side, learning rate.
-STEPS, LANES, RATE = 32, 64, 0.01
+STEPS, LANES, RATE = 64, 128, 0.015
+#: In training, longer documents are laid out as several, so that streams are of about equal length.
+STRETCH = 1024
 #: About so many documents, none longer than WARM_BYTES, warm the network up.
 WARM_DOCS, WARM_BYTES = 600, 1 << 16
 #: The share of the training documents that tasks train on.
@@ -112,7 +114,12 @@ def _counted(texts: DataFrame) -> DataFrame:
 def vocabulary(counts: DataFrame, documents: int, size: int = VOCABULARY, held: int = HELD_COUNTS) -> Vocabulary:
     """What tasks hold: the commonest words, at most ``held``, and totals."""
     total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    most = counts.orderBy(F.desc("n"), "word").limit(held).toPandas()
+    # the smallest count that no more than ``held`` words reach: from the numbers of words of each count,
+    # of which there are no more than the root of twice the tokens
+    of_count = counts.groupBy(F.least("n", F.lit(held)).alias("n")).count().toPandas().sort_values("n", ascending=False)
+    fits = of_count["n"][of_count["count"].cumsum() <= held]
+    most = counts.where(F.col("n") >= int(fits.min())).toPandas() if len(fits) else counts.limit(0).toPandas()
+    most = most.sort_values(["n", "word"], ascending=[False, True])
     words, n = most["word"].to_numpy(np.int64).view(np.uint64), most["n"].to_numpy(np.int64)
     top, top_n = words[:size], n[:size]
     share = np.concatenate([[documents, total - top_n.sum()], top_n]).astype(np.float64) + 1
@@ -236,7 +243,7 @@ def train(weights, bounds: np.ndarray, documents: list[np.ndarray], adam: Adam,
     """One pass over the documents; returns the tokens seen."""
     if not documents:
         return 0
-    target, fresh, place = streams(documents, lanes)
+    target, fresh, place = streams([d[at : at + STRETCH] for d in documents for at in range(0, len(d), STRETCH)], lanes)
     before = _inputs(target, fresh)
     state = np.zeros((SIZE, target.shape[1]), np.float32)
     for at in range(0, len(target), STEPS):
@@ -327,7 +334,7 @@ def learn(texts: DataFrame, text_col: str = "text", train_share: float = TRAIN_S
         warm = _symbols(vocab, *word_hashes(pa.array(sorted(sample), pa.string())))
         adam = Adam(weights, RATE)
         for _ in range(2):
-            train(weights, vocab.bounds, warm, adam)
+            train(weights, vocab.bounds, warm, adam, LANES // 4)
 
     shared = spark.sparkContext.broadcast((weights, vocab))
     share = F.pmod(F.xxhash64("text", F.lit(2)), F.lit(1 << 30)) / float(1 << 30)
@@ -338,7 +345,7 @@ def learn(texts: DataFrame, text_col: str = "text", train_share: float = TRAIN_S
         start, vocab = shared.value
         own = {k: v.copy() for k, v in start.items()}
         adam, tokens = Adam(own, RATE / 4), 0
-        for batch in blocks(batches, "text"):
+        for batch in blocks(batches, "text", SCORE_BYTES):
             tokens += train(own, vocab.bounds, _symbols(vocab, *word_hashes(batch.column(0))), adam)
         if tokens:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([tokens], pa.int64()), pa.array([_to_bytes(own)], pa.binary())], names=["part", "tokens", "weights"])
