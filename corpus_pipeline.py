@@ -48,7 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("hash"))
     told = marked(rows, F.col("hash"), changed.select("hash"), "changed-bits")
     some = told.where("__marked").select("row", F.col("row.doc_id").alias("id"), "hash")
-    some = some.join(changed, some["id"].eqNullSafe(changed["doc_id"]) & (some["hash"] == changed["hash"]), "left").select("row", "kept")
+    some = some.join(changed.withColumnRenamed("hash", "other"), some["id"].eqNullSafe(changed["doc_id"]) & (F.col("hash") == F.col("other")), "left").select("row", "id", "hash", "kept")
     once = some.where("kept = 1").dropDuplicates(["id", "hash"])
     return told.where("not __marked").select("row.*").unionByName(some.where("kept is null").select("row.*")).unionByName(once.select("row.*"))
 
