@@ -8,9 +8,12 @@ one shingle). Two documents link when their sets' Jaccard similarity is ``percen
    all. The order puts tokens last that many classes have; it affects the cost only.
 3. The matrix has the rows token, band of sizes, class. In each of its cells, classes meet the one
    that has most cells in common with others; verified links make groups of similar classes.
-4. Where several groups remain in a cell, each group's union of tokens is stored. A class of one
-   group is a query to the others: it must share ``need`` tokens with a group's union. Only
-   qualifying groups are opened, and the pairs of their cells verified.
+4. Where several groups remain in a cell, a class of one group is a query to the others. It must
+   share enough cells with a group, then enough tokens with the group's union, which is stored.
+   Only qualifying groups are opened, and the pairs of their cells verified.
+
+Two linked sets of ``n`` and ``m`` tokens share ``both`` of them at least, so at most ``n - both`` of
+the first ones of the one are missing in the other, and they have ``least_cells`` cells in common.
 
 So every link joins two classes of one component in the end. Null text, empty text and text without
 words have no tokens and link with nothing. Null ids are members like others and are never the
@@ -25,13 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..session import cut_lineage, spread
 from .components import connected_components
-from .joins import stored
+from .joins import stored, thinned
 from .words import blocks, mix, shingles, word_hashes
 
 #: A token is common if the classes that meet it inside one task are so many together.
@@ -49,6 +53,12 @@ def need_of(n, percent: int):
     return -(-(n * percent) // 100)
 
 
+def least_cells(n: Column, m: Column, percent: int) -> Column:
+    """First tokens that linked sets of ``n`` and ``m`` tokens have in common, at least."""
+    need = F.ceil(percent * F.greatest(n, m) / 100)
+    return F.ceil(percent * (n + m) / (100 + percent)) - need + 1
+
+
 def bands_of(n: int, percent: int) -> list[int]:
     """First sizes of the bands that a set of ``n`` tokens belongs to: its own, and the next if it can link there.
 
@@ -84,48 +94,49 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Re
 
 
 def _classes(rows: DataFrame, width: int) -> DataFrame:
-    """``id``, ``n``, ``class`` (null without tokens)."""
-    schema = T.StructType([rows.schema["id"], T.StructField("n", T.LongType()), T.StructField("class", T.LongType())])
-
-    def work(batches):
-        for batch, sets in _sets(batches, width):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())], names=schema.names)
-
-    return rows.mapInArrow(work, schema)
+    """``id``, ``n``, ``class`` (null without tokens) of every row, and rows with ``repeated`` tokens and their ``counts``.
 
-
-def _common_tokens(texts: DataFrame, width: int) -> np.ndarray:
-    """Sorted hashes of the commonest tokens, at most MAX_COMMON.
-
-    All documents count. A task reports the tokens that several of its classes have; what many
-    classes have, some tasks meet twice.
+    A task reports the tokens that several of its classes have: what many classes have, some tasks
+    meet twice. All documents count.
     """
+    schema = T.StructType(
+        [T.StructField("id", rows.schema["id"].dataType), T.StructField("n", T.LongType()), T.StructField("class", T.LongType()), T.StructField("repeated", T.ArrayType(T.LongType())), T.StructField("counts", T.ArrayType(T.LongType()))]
+    )
+    longs = pa.list_(pa.int64())
 
     def work(batches):
         seen: set[int] = set()
         held: list[np.ndarray] = []
-        size = 0
+        size, kind = 0, None
 
         def report():
-            if not held:
-                return
             tokens, counts = np.unique(np.concatenate(held), return_counts=True)
             many = counts > 1
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[many].view(np.int64)), pa.array(counts[many].astype(np.int64))], names=["token", "n"])
+            return pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([tokens[many].view(np.int64)], longs), pa.array([counts[many]], longs)], names=schema.names)
 
-        for _, sets in _sets(batches, width):
-            for s in sets:
-                if len(s) and (c := class_of(s)) not in seen:
+        for batch, sets in _sets(batches, width):
+            kind = batch.column(0).type
+            classes = [class_of(s) if len(s) else None for s in sets]
+            for c, s in zip(classes, sets, strict=True):
+                if c is not None and c not in seen:
                     seen.add(c)
                     held.append(s)
                     size += len(s)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()), pa.nulls(len(sets), longs), pa.nulls(len(sets), longs)], names=schema.names)
             if size > 8_000_000:  # bounds a task's memory
-                yield from report()
+                yield report()
                 held, size = [], 0
                 seen.clear()
-        yield from report()
+        if held:
+            yield report()
 
-    found = texts.mapInArrow(work, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
+    return cut_lineage(rows.mapInArrow(work, schema), "classes")
+
+
+def _common_tokens(classes: DataFrame) -> np.ndarray:
+    """Sorted hashes of the commonest tokens, at most MAX_COMMON."""
+    reported = classes.where("repeated is not null").select(F.explode(F.arrays_zip("repeated", "counts")).alias("x"))
+    found = reported.groupBy(F.col("x.repeated").alias("token")).agg(F.sum("x.counts").alias("n")).where(F.col("n") >= COMMON)
     top = found.orderBy(F.desc("n"), "token").limit(MAX_COMMON).select("token").toPandas()
     return np.sort(top["token"].to_numpy(np.int64).view(np.uint64))
 
@@ -157,9 +168,9 @@ def _prefixes(texts: DataFrame, width: int, percent: int, common) -> DataFrame:
 
 
 def _cells(prefixes: DataFrame, percent: int) -> DataFrame:
-    """``cell``, ``class``: the matrix, without tokens that one class has alone."""
-    shared = prefixes.groupBy("token").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b")
-    met = prefixes.join(cut_lineage(shared.select("token"), "shared"), "token", "left_semi").distinct()
+    """``cell``, ``class``, ``n``, ``own`` (the cell's band is the set's own): the matrix, without cells that one class has alone."""
+    repeated = prefixes.groupBy("token").count().where("count > 1").select("token")
+    met = thinned(prefixes, F.col("token"), cut_lineage(repeated, "repeated"), "repeated-bits").distinct()
 
     def work(batches):
         for batch in batches:
@@ -167,13 +178,25 @@ def _cells(prefixes: DataFrame, percent: int) -> DataFrame:
             lists = [_bands_of(int(x), percent) for x in n]
             times = np.array([len(x) for x in lists], np.int64)
             band = np.array([b for x in lists for b in x], np.uint64)
+            own = np.zeros(len(band), bool)
+            own[np.cumsum(times) - times] = True
             with np.errstate(over="ignore"):
                 cell = mix(np.repeat(token.view(np.uint64), times) + mix(band)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.repeat(cls, times)), pa.array(np.repeat(n, times))], names=["cell", "class", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.repeat(cls, times)), pa.array(np.repeat(n, times)), pa.array(own)], names=["cell", "class", "n", "own"])
 
-    cells = cut_lineage(met.mapInArrow(work, "cell long, class long, n int"), "cells")
+    cells = cut_lineage(met.mapInArrow(work, "cell long, class long, n int, own boolean"), "cells")
     several = cells.groupBy("cell").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("cell")
-    return cut_lineage(cells.join(cut_lineage(several, "several"), "cell", "left_semi"), "cells")
+    several = cut_lineage(several, "several")
+    return cut_lineage(thinned(cells, F.col("cell"), several, "several-bits").join(several, "cell", "left_semi"), "cells")
+
+
+def _meeting(pairs: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``a``, ``b``) that meet in enough cells to be linked. A pair counts in its larger set's band."""
+    one = cells.select(F.col("class").alias("a"), "cell", F.col("n").alias("na"), F.col("own").alias("own_a"))
+    two = cells.select(F.col("class").alias("b"), "cell", F.col("n").alias("nb"), F.col("own").alias("own_b"))
+    met = one.join(pairs, "a").join(two, ["cell", "b"]).where("own_a or own_b")
+    met = met.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("cells"))
+    return met.where(F.col("cells") >= least_cells(F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
 def _bitmap(classes: DataFrame) -> np.ndarray:
@@ -186,17 +209,21 @@ def _bitmap(classes: DataFrame) -> np.ndarray:
 
 
 def _token_sets(texts: DataFrame, width: int, classes: DataFrame) -> DataFrame:
-    """``class``, ``tokens`` (sorted) of the classes asked for, once each."""
+    """``class``, ``tokens`` (sorted) of the classes asked for and perhaps some more, once in a task each."""
     asked = texts.sparkSession.sparkContext.broadcast(_bitmap(classes))
 
     def work(batches):
         bits = asked.value
+        seen: set[int] = set()  # classes this task has given, as many as are asked for at most
         for _, sets in _sets(batches, width):
-            found = [(c, s) for s in sets if len(s) for c in [class_of(s)] if int(bits[c % BITMAP // 64]) >> (c % BITMAP % 64) & 1]
+            found = []
+            for s in sets:
+                if len(s) and (c := class_of(s)) not in seen and int(bits[c % BITMAP // 64]) >> (c % BITMAP % 64) & 1:
+                    seen.add(c)
+                    found.append((c, s))
             yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int64()), pa.array([s.view(np.int64) for _, s in found], pa.list_(pa.int64()))], names=["class", "tokens"])
 
-    found = texts.mapInArrow(work, "class long, tokens array<long>")
-    return found.join(stored(classes, "wanted"), "class", "left_semi").dropDuplicates(["class"])
+    return cut_lineage(texts.mapInArrow(work, "class long, tokens array<long>"), "sets")
 
 
 def _lists(column: pa.ListArray) -> list[np.ndarray]:
@@ -228,41 +255,61 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(work, "a long, b long")
+    return cut_lineage(pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(work, "a long, b long").distinct(), "links")
 
 
-def _opened(cells: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes of different groups, in cells they share, that a group's union does not rule out."""
-    labelled = cells.join(labels, "class", "left").select("cell", "class", "n", F.coalesce("root", "class").alias("group"))
+def _unions(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``other``, ``union``: the tokens of each group of ``members`` (``group``, ``class``), in rows of bounded length, disjoint by hash."""
+    tokens = members.join(sets, "class").select("group", F.explode("tokens").alias("token")).distinct()
+    tokens = cut_lineage(tokens, "group-tokens")
+    sizes = stored(tokens.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / UNION_TOKENS).alias("rows")), "union-sizes")
+    return cut_lineage(tokens.join(sizes, "group").groupBy(F.col("group").alias("other"), F.pmod("token", "rows").alias("row")).agg(F.collect_list("token").alias("union")), "unions")
+
+
+def _opened(cells: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of classes of different groups that neither their cells nor their group's union rule out, and the classes' tokens."""
+    labelled = cells.join(labels, "class", "left").select("cell", "class", "n", "own", F.coalesce("root", "class").alias("group"), F.coalesce("members", F.lit(1)).alias("members"))
     labelled = cut_lineage(labelled, "labelled")
     several = labelled.groupBy("cell").agg(F.min("group").alias("a"), F.max("group").alias("b")).where("a <> b").select("cell")
-    rest = cut_lineage(labelled.join(cut_lineage(several, "open-cells"), "cell", "left_semi"), "open")
+    several = cut_lineage(several, "open-cells")
+    rest = cut_lineage(thinned(labelled, F.col("cell"), several, "open-bits").join(several, "cell", "left_semi"), "open")
     # a query is a class of the smaller group of two that meet
-    members = stored(rest.select("group", "class").distinct().groupBy("group").agg(F.count(F.lit(1)).alias("members")), "groups")
-    rest = cut_lineage(rest.join(members, "group"), "open")
-    groups = cut_lineage(rest.select("cell", F.col("group").alias("other"), F.col("members").alias("other_members")).distinct(), "cell-groups")
-    queries = rest.join(groups, "cell").where("members < other_members or (members = other_members and group < other)")
-    queries = cut_lineage(queries.select("class", "n", "other").distinct(), "queries")
-
-    # unions in rows of bounded length: disjoint by hash, so their overlaps add up
-    asked_groups = cut_lineage(queries.select(F.col("other").alias("group")).distinct(), "asked")
-    parts = rest.select("group", "class").distinct().join(asked_groups, "group", "left_semi").join(sets, "class")
-    tokens = cut_lineage(parts.select("group", F.explode("tokens").alias("token")).distinct(), "group-tokens")
-    sizes = stored(tokens.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / UNION_TOKENS).alias("rows")), "union-sizes")
-    unions = cut_lineage(tokens.join(sizes, "group").groupBy(F.col("group").alias("other"), F.pmod("token", "rows").alias("row")).agg(F.collect_list("token").alias("union")), "unions")
+    groups = rest.groupBy("cell", F.col("group").alias("other"), F.col("members").alias("other_members")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.bool_or("own").alias("other_own"), F.count(F.lit(1)).alias("here"))
+    groups = cut_lineage(groups, "cell-groups")
+    met = rest.join(groups, "cell").where("members < other_members or (members = other_members and group < other)").where("own or other_own")
+    met = met.groupBy("class", "n", "other").agg(F.count(F.lit(1)).alias("cells"), F.min("low").alias("low"), F.max("high").alias("high"))
+    # sizes that link; fewest cells are asked for at one end of them
+    low, high = F.greatest("low", F.ceil(percent * F.col("n") / 100)), F.least("high", F.floor(100 * F.col("n") / percent))
+    enough = F.least(least_cells(F.col("n"), low, percent), least_cells(F.col("n"), high, percent))
+    queries = cut_lineage(met.where((low <= high) & (F.col("cells") >= enough)).select("class", "n", "other", "cells"), "queries")
+
+    asked = stored(queries.select(F.col("other").alias("group")).distinct(), "asked")
+    inside = cut_lineage(rest.join(asked, "group", "left_semi").select("group", "class").distinct(), "members")
+    sets = _token_sets(texts, width, queries.select("class").union(inside.select("class")))
+    unions = _unions(inside, sets)
 
     def bound(batches):
         for batch in batches:
             shared = [_overlap(x, np.sort(y)) for x, y in zip(_lists(batch.column("tokens")), _lists(batch.column("union")), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("class"), batch.column("other"), batch.column("n"), pa.array(shared, pa.int64())], names=["class", "other", "n", "shared"])
-
-    met = queries.join(sets, "class").join(unions, "other").select("class", "other", "n", "tokens", "union").mapInArrow(bound, "class long, other long, n int, shared long")
-    met = met.groupBy("class", "other", "n").agg(F.sum("shared").alias("shared"))
-    qualifying = cut_lineage(met.where(F.col("shared") >= F.ceil(F.col("n") * percent / 100)).select("class", "other", "n", "shared"), "qualifying")
-    asked = qualifying.join(rest.select("cell", "class"), "class")
-    pairs = asked.join(rest.select("cell", F.col("group").alias("other"), F.col("class").alias("b"), F.col("n").alias("m")), ["cell", "other"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("class", "other", "n", "cells")), pa.array(shared, pa.int64())], names=["class", "other", "n", "cells", "shared"])
+
+    asking = stored(queries.select("class").distinct(), "asking")
+    own = sets.join(asking, "class", "left_semi").dropDuplicates(["class"])
+    bounds = queries.join(own, "class").join(unions, "other").select("class", "other", "n", "cells", "tokens", "union").mapInArrow(bound, "class long, other long, n int, cells long, shared long")
+    bounds = bounds.groupBy("class", "other", "n", "cells").agg(F.sum("shared").alias("shared"))
+    qualifying = cut_lineage(bounds.where(F.col("shared") >= F.ceil(F.col("n") * percent / 100)), "qualifying")
+
+    # a linked member is in least_cells of the class's cells, so it is in one of the others' complement:
+    # cells with few members come first
+    open_cells = qualifying.join(rest.select("class", "cell", F.col("own").alias("own_a")), "class").join(groups.select("cell", "other", "here", "other_own"), ["cell", "other"])
+    open_cells = open_cells.where("own_a or other_own").withColumn("rank", F.row_number().over(Window.partitionBy("class", "other").orderBy("here", "cell")))
+    open_cells = cut_lineage(open_cells, "opened")
+    opened = rest.select("cell", F.col("group").alias("other"), F.col("class").alias("b"), F.col("n").alias("m"), F.col("own").alias("own_b"))
     # a member shares no more than the union does, so its size may rule it out
-    return pairs.where(100 * F.col("shared") >= percent * (F.col("n") + F.col("m") - F.col("shared"))).select(F.col("class").alias("a"), "b").distinct()
+    fits = 100 * F.col("shared") >= percent * (F.col("n") + F.col("m") - F.col("shared"))
+    early = F.col("rank") <= F.col("cells") - least_cells(F.col("n"), F.col("m"), percent) + 1
+    pairs = open_cells.join(opened, ["cell", "other"]).where(fits & early & (F.col("own_a") | F.col("own_b")))
+    return cut_lineage(pairs.select(F.col("class").alias("a"), "b").distinct(), "pairs"), sets
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
@@ -270,9 +317,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``component`` (one number per component, null without tokens), ``component_id`` (its smallest id)."""
     rows = spread(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     texts = rows.select("text").where("text is not null")
-    classes = cut_lineage(_classes(rows, width), "classes")
+    reported = _classes(rows, width)
+    classes = reported.where("repeated is null").select("id", "n", "class")
 
-    common = texts.sparkSession.sparkContext.broadcast(_common_tokens(texts, width))
+    common = texts.sparkSession.sparkContext.broadcast(_common_tokens(reported))
     cells = _cells(cut_lineage(_prefixes(texts, width, percent, common), "prefixes"), percent)
     rank = cells.groupBy("class").agg(F.count(F.lit(1)).alias("rank"))
     ranked = cut_lineage(cells.join(cut_lineage(rank, "ranks"), "class"), "ranked")
@@ -280,12 +328,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = ranked.join(lead, "cell").where("class <> lead.class")
     pairs = pairs.where((F.col("n") * 100 >= F.col("lead.n") * percent) & (F.col("lead.n") * 100 >= F.col("n") * percent))
     pairs = cut_lineage(pairs.select(F.col("class").alias("a"), F.col("lead.class").alias("b")).distinct(), "pairs")
-
-    wanted = cut_lineage(cells.select("class").distinct(), "wanted")
-    sets = cut_lineage(_token_sets(texts, width, wanted), "sets")
-    links = cut_lineage(_verified(pairs, sets, percent), "links")
-    labels = stored(connected_components(links).select(F.col("node").alias("class"), "root"), "labels")
-    more = cut_lineage(_verified(cut_lineage(_opened(cells, labels, sets, percent), "pairs"), sets, percent), "links")
+    pairs = cut_lineage(_meeting(pairs, cells, percent), "pairs")
+
+    both = pairs.select(F.col("a").alias("class")).union(pairs.select("b"))
+    links = _verified(pairs, _token_sets(texts, width, both), percent)
+    roots = cut_lineage(connected_components(links).select(F.col("node").alias("class"), "root"), "roots")
+    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    labels = stored(roots.join(cut_lineage(sizes, "sizes"), "root"), "labels")
+    more = _verified(*_opened(cells, labels, texts, width, percent), percent)
     roots = cut_lineage(connected_components(links.union(more)).select(F.col("node").alias("class"), "root"), "labels")
 
     smallest = classes.where("class is not null").groupBy("class").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))

@@ -10,7 +10,7 @@ from ..session import cut_lineage
 #: A stored side of at most so many rows is broadcast; its rows must be of bounded width.
 BROADCAST_ROWS = 50_000
 #: Rows of a bitmap, of 64 bits each: what is broadcast at most, however many keys it marks.
-BITMAP_ROWS = 1 << 17
+BITMAP_ROWS = 1 << 19
 
 
 def stored(df: DataFrame, label: str, limit: int = BROADCAST_ROWS) -> DataFrame:
