@@ -9,8 +9,8 @@ So the chances of all known words, the end and one unknown word add up to 1.
 
 Training is truncated backpropagation through time: streams of whole documents side by side, the
 state carried from one window to the next and emptied where a document begins. A bounded sample
-warms the network up on the driver; then each task trains on through its share of the training
-texts, and the weights are averaged, weighted by tokens. Scoring carries the state through each
+warms the network up on the driver; then each task trains on through all of its training texts, and
+the weights are averaged, weighted by tokens. Scoring carries the state through each
 whole document.
 
 Null text is empty: its only token is the end. A null id is not held out. Rows are scored one by
@@ -20,6 +20,7 @@ is that of one unknown word. Other columns are not read.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,14 +43,10 @@ SIZE = 16
 HELD_COUNTS = 1 << 18
 #: Steps of a window of truncated backpropagation, streams side by side, learning rate.
 STEPS, LANES, RATE = 64, 128, 0.015
-#: In training, longer documents are laid out as several, so that streams are of about equal length.
-STRETCH = 1024
 #: About so many documents, none longer than WARM_BYTES, warm the network up.
 WARM_DOCS, WARM_BYTES = 600, 1 << 16
-#: The share of the training documents that tasks train on.
-TRAIN_SHARE = 0.25
-#: Text that is scored at once.
-SCORE_BYTES = 16 << 20
+#: Text that is scored at once, and tokens that go through the output layer at once.
+SCORE_BYTES, SCORE_TOKENS = 16 << 20, 1 << 14
 #: Weights averaged by one task.
 FAN_IN = 16
 
@@ -160,48 +157,52 @@ def initial(vocab: Vocabulary, seed: int = 11) -> dict[str, np.ndarray]:
     }
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=0)
-    x -= np.log(np.exp(x).sum(axis=0))
-    return x
-
-
 def log_chances(weights, bounds: np.ndarray, states: np.ndarray, targets: np.ndarray, grads: dict[str, np.ndarray] | None = None):
     """Natural logs of the targets' chances; ``states``: (SIZE, tokens).
 
     With ``grads``, adds the gradients of the mean negative log and returns those at the states too.
     """
-    cls = np.searchsorted(bounds, targets, side="right") - 1
+    cls = (np.searchsorted(bounds, targets, side="right") - 1).astype(np.int16)
+    order = np.argsort(cls, kind="stable")
+    # in the order of classes, so that each class is a slice
+    cls, targets, sorted_states = cls[order], targets[order], states[:, order]
+    ends = np.searchsorted(cls, np.arange(len(bounds)))
     count = len(targets)
     every = np.arange(count)
-    logits = _log_softmax(weights["class_out"] @ states + weights["class_bias"][:, None])
-    out = logits[cls, every]
-    at_states = None
+
+    def softmax(x: np.ndarray, at: np.ndarray, columns: np.ndarray):
+        x -= x.max(axis=0)
+        logs = x[at, columns]
+        np.exp(x, out=x)
+        total = x.sum(axis=0)
+        if grads is not None:  # the gradient at the logits
+            x /= total * count
+            x[at, columns] -= 1 / count
+        return logs - np.log(total), x
+
+    logs, errors = softmax(weights["class_out"] @ sorted_states + weights["class_bias"][:, None], cls, every)
     if grads is not None:
-        chances = np.exp(logits)
-        chances[cls, every] -= 1
-        chances /= count
-        grads["class_out"] += chances @ states.T
-        grads["class_bias"] += chances.sum(axis=1)
-        at_states = weights["class_out"].T @ chances
-    order = np.argsort(cls, kind="stable")
-    ends = np.searchsorted(cls[order], np.arange(len(bounds)))
+        grads["class_out"] += errors @ sorted_states.T
+        grads["class_bias"] += errors.sum(axis=1)
+        sorted_grads = weights["class_out"].T @ errors
     for c in range(len(bounds) - 1):
         low, high = bounds[c], bounds[c + 1]
-        own = order[ends[c] : ends[c + 1]]
-        if high - low < 2 or not len(own):
+        own = slice(ends[c], ends[c + 1])
+        if high - low < 2 or ends[c] == ends[c + 1]:
             continue
-        h = states[:, own]
-        inner = _log_softmax(weights["out"][low:high] @ h + weights["bias"][low:high, None])
-        at = targets[own] - low
-        out[own] += inner[at, np.arange(len(own))]
+        h = sorted_states[:, own]
+        inner, errors = softmax(weights["out"][low:high] @ h + weights["bias"][low:high, None], targets[own] - low, every[: h.shape[1]])
+        logs[own] += inner
         if grads is not None:
-            chances = np.exp(inner)
-            chances[at, np.arange(len(own))] -= 1
-            chances /= count
-            grads["out"][low:high] += chances @ h.T
-            grads["bias"][low:high] += chances.sum(axis=1)
-            at_states[:, own] += weights["out"][low:high].T @ chances
+            grads["out"][low:high] += errors @ h.T
+            grads["bias"][low:high] += errors.sum(axis=1)
+            sorted_grads[:, own] += weights["out"][low:high].T @ errors
+    out = np.empty_like(logs)
+    out[order] = logs
+    if grads is None:
+        return out, None
+    at_states = np.empty_like(sorted_grads)
+    at_states[:, order] = sorted_grads
     return out, at_states
 
 
@@ -213,9 +214,11 @@ def streams(symbols: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarr
     sizes = np.array([len(x) for x in symbols], np.int64)
     lanes = int(max(1, min(lanes, len(symbols), -(-sizes.sum() // sizes.max()))))
     order = np.argsort(-sizes, kind="stable")
-    # round and back again over the lanes, longest first
-    turn = np.arange(len(order)) % (2 * lanes)
-    lane = np.where(turn < lanes, turn, 2 * lanes - 1 - turn)
+    # longest first, each to the lane that is shortest so far
+    lane, shortest = np.empty(len(order), np.int64), [(0, k) for k in range(lanes)]
+    for i, size in enumerate(sizes[order].tolist()):
+        filled, lane[i] = shortest[0]
+        heapq.heapreplace(shortest, (filled + size, int(lane[i])))
     lengths = np.bincount(lane, weights=sizes[order], minlength=lanes).astype(np.int64)
     steps = int(lengths.max())
     target = np.zeros((steps, lanes), np.int32)
@@ -243,11 +246,12 @@ def train(weights, bounds: np.ndarray, documents: list[np.ndarray], adam: Adam,
     """One pass over the documents; returns the tokens seen."""
     if not documents:
         return 0
-    target, fresh, place = streams([d[at : at + STRETCH] for d in documents for at in range(0, len(d), STRETCH)], lanes)
+    target, fresh, place = streams(documents, lanes)
     before = _inputs(target, fresh)
     state = np.zeros((SIZE, target.shape[1]), np.float32)
-    for at in range(0, len(target), STEPS):
-        part = slice(at, at + STEPS)
+    steps = max(STEPS, STEPS * lanes // target.shape[1])  # long documents leave fewer lanes: longer windows
+    for at in range(0, len(target), steps):
+        part = slice(at, at + steps)
         keep = (~fresh[part]).astype(np.float32)
         states, trace = forward(weights["table"], weights["own"], before[part], state, keep, True)
         state = states[-1].copy()
@@ -267,6 +271,7 @@ def score(weights, bounds: np.ndarray, documents: list[np.ndarray], lanes: int =
     """The natural log of every document's chance, the state carried through all of it."""
     total = np.zeros(len(documents))
     target, fresh, place = streams(documents, lanes)
+    steps = max(steps, SCORE_TOKENS // target.shape[1])
     before = _inputs(target, fresh)
     state = np.zeros((SIZE, target.shape[1]), np.float32)
     for at in range(0, len(target), steps):
@@ -318,7 +323,7 @@ def _averaged(trained: DataFrame, parts: int) -> list:
     return trained.collect()
 
 
-def learn(texts: DataFrame, text_col: str = "text", train_share: float = TRAIN_SHARE) -> tuple[dict[str, np.ndarray], Vocabulary, DataFrame]:
+def learn(texts: DataFrame, text_col: str = "text", train_share: float = 1.0) -> tuple[dict[str, np.ndarray], Vocabulary, DataFrame]:
     """The network's weights, the vocabulary, and all counts (``word``, ``n``) of training texts."""
     spark = texts.sparkSession
     texts = spread(texts.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")))

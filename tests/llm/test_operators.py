@@ -631,3 +631,31 @@ def test_lm_gradients():
     assert abs((loss(weights, moved) - loss(weights, states)) / 1e-5 - at_states[3, 7]) < 1e-4
 
 
+
+
+def test_lm_trains_on_every_document(spark, monkeypatch):
+    """Tasks take gradient steps on all tokens, whatever the texts' hashes, also on copies of one text."""
+    rng = np.random.default_rng(31)
+    texts = [prose(rng, int(rng.integers(1, 40)), 50) for _ in range(60)] + ["one text many times"] * 40
+    seen, averaged = [], lm._averaged
+    monkeypatch.setattr(lm, "_averaged", lambda trained, parts: seen.append(trained.agg(F.sum("tokens")).first()[0]) or averaged(trained, parts))
+    lm.learn(frame_of(spark, texts))
+    assert seen == [sum(len(t.split()) + 1 for t in texts)]
+
+
+def test_lm_training_carries_state_through_long_documents(monkeypatch):
+    """The state is emptied once a document, and no word inside one follows an end."""
+    share = np.log(np.full(8, 1 / 8)).astype(np.float32)
+    vocab = lm.Vocabulary(*(np.zeros(0),) * 4, 1, 1, 1, np.array([0, 1, 2, 5, 8]), share)
+    documents = [np.array([*(np.arange(n) % 6 + 2), lm.END], np.int32) for n in (5000, 3000, 1500, 200, 40)]
+    emptied, starts, forward = [], [], lm.forward
+
+    def watched(table, own, symbols, state, keep=None, trace=False):
+        emptied.append((keep == 0).sum())
+        starts.append((symbols == lm.END)[keep == 1].sum())
+        return forward(table, own, symbols, state, keep, trace)
+
+    monkeypatch.setattr(lm, "forward", watched)
+    weights = lm.initial(vocab)
+    tokens = lm.train(weights, vocab.bounds, documents, lm.Adam(weights, 0.01))
+    assert tokens == sum(map(len, documents)) and sum(emptied) == len(documents)
