@@ -59,6 +59,17 @@ def least_cells(n: Column, m: Column, percent: int) -> Column:
     return F.ceil(percent * (n + m) / (100 + percent)) - need + 1
 
 
+def fewest_cells(n: Column, low: Column, high: Column, percent: int) -> Column:
+    """The minimum of ``least_cells`` over the sizes from ``low`` to ``high`` that ``n`` is linked to.
+
+    It rises up to ``n``. Behind it falls, but for the rounding of its two terms: a size that is so
+    much smaller than ``high`` that the fall is 1 or more asks for no fewer cells than ``high``.
+    """
+    fall = -(-100 * (100 + percent) // percent**2)
+    last = F.sequence(F.greatest(low, high - fall), high)
+    return F.least(least_cells(n, low, percent), F.array_min(F.transform(last, lambda m: least_cells(n, m, percent))))
+
+
 def bands_of(n: int, percent: int) -> list[int]:
     """First sizes of the bands that a set of ``n`` tokens belongs to: its own, and the next if it can link there.
 
@@ -278,10 +289,10 @@ def _opened(cells: DataFrame, labels: DataFrame, texts: DataFrame, width: int, p
     groups = cut_lineage(groups, "cell-groups")
     met = rest.join(groups, "cell").where("members < other_members or (members = other_members and group < other)").where("own or other_own")
     met = met.groupBy("class", "n", "other").agg(F.count(F.lit(1)).alias("cells"), F.min("low").alias("low"), F.max("high").alias("high"))
-    # sizes that link; fewest cells are asked for at one end of them
+    # sizes that link
     low, high = F.greatest("low", F.ceil(percent * F.col("n") / 100)), F.least("high", F.floor(100 * F.col("n") / percent))
-    enough = F.least(least_cells(F.col("n"), low, percent), least_cells(F.col("n"), high, percent))
-    queries = cut_lineage(met.where((low <= high) & (F.col("cells") >= enough)).select("class", "n", "other", "cells"), "queries")
+    linked = met.withColumns({"low": low, "high": high}).where("low <= high")
+    queries = cut_lineage(linked.where(F.col("cells") >= fewest_cells(F.col("n"), F.col("low"), F.col("high"), percent)).select("class", "n", "other", "cells"), "queries")
 
     asked = stored(queries.select(F.col("other").alias("group")).distinct(), "asked")
     inside = cut_lineage(rest.join(asked, "group", "left_semi").select("group", "class").distinct(), "members")

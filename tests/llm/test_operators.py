@@ -204,6 +204,41 @@ def test_jaccard_common_tokens_only_change_the_order(spark, monkeypatch):
     assert Counter(rows_of(got.select("doc_id", "n_shingles", "component_id"))) == plain_components(list(enumerate(texts)), 4, 85)
 
 
+def least_cells(n, m, percent):
+    return -(-percent * (n + m) // (100 + percent)) - -(-percent * max(n, m) // 100) + 1
+
+
+def test_jaccard_fewest_cells(spark):
+    """The bound is the minimum over every size between, though the two roundings make it go up and down."""
+    cases = [(p, n, a, b) for p in (80, 85) for n in (7, 40, 100, 101, 333) for a in range(-(-n * p // 100), n * 100 // p + 1, 2) for b in range(a, n * 100 // p + 1)]
+    assert (85, 100, 112, 114) in {(p, n, a + d, b) for p, n, a, b in cases for d in (0, 1)}
+    frame = spark.createDataFrame([(85, 100, 112, 114), *cases], "percent int, n int, low long, high long")
+    for percent in (80, 85):
+        some = frame.where(F.col("percent") == percent)
+        for r in some.withColumn("fewest", jaccard.fewest_cells(F.col("n"), F.col("low"), F.col("high"), percent)).collect():
+            assert r["fewest"] == min(least_cells(r["n"], m, percent) for m in range(r["low"], r["high"] + 1)), r
+
+
+def test_jaccard_link_to_a_group_of_sizes_around(spark):
+    """Sets of 112, 113 and 114 tokens are a group; one of 100 is linked to the second only and meets them in 2 cells."""
+    for seed in range(99):
+        pool = [f"s{seed}w{i}" for i in range(140)]
+        hashes, _ = words.word_hashes(pa.array([" ".join(pool)]))
+        # in the order of the tokens' hashes, for a width of one word
+        pool = [w for _, w in sorted(zip(words.runs(hashes, 1).tolist(), pool))]
+        extra, common = pool[2:18], pool[18:116]
+        sets = [pool[:2] + common, extra[:15] + common[:97], extra[:15] + common, extra[:16] + common]
+        classes = [jaccard.class_of(words.shingles(words.word_hashes(pa.array([" ".join(s)]))[0], 1)) for s in sets]
+        if classes[2] < max(classes[1:]):  # it does not lead the cells, so only the opened group gives its link
+            break
+    assert [len(s) for s in sets] == [100, 112, 113, 114]
+    texts = [" ".join(s) for s in sets]
+    got = jaccard.jaccard_components(frame_of(spark, texts), width=1)
+    want = plain_components(list(enumerate(texts)), 1, 85)
+    assert {c for _, _, c in want} == {0}
+    assert Counter(rows_of(got.select("doc_id", "n_shingles", "component_id"))) == want
+
+
 def test_bands_meet():
     for percent in (80, 85):
         for n in range(1, 400):
