@@ -3,7 +3,7 @@
 The whole text is cut into windows of ``WINDOW`` bytes. One layer reads a window forwards, one
 backwards; from both states at a byte the network gives the chance of every language there. The
 document's chances are the mean over all its bytes. Training is backpropagation through time in
-numpy on the driver, over a bounded sample: about ``SAMPLE_DOCS`` documents of every language,
+numpy on the driver, over a bounded sample: ``SAMPLE_DOCS`` distinct texts of every language at most,
 chosen by a hash, and at most ``SAMPLE_WINDOWS`` windows spread over each.
 
 Text that is null or has no letter is ``und`` with score 0. If nothing can be learned from, every
@@ -20,9 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from ..session import spread
+from ..session import cut_lineage, spread
 from .gated import Adam, backward, forward, table_gradient
+from .joins import stored
 from .words import blocks, column
 
 WINDOW = 128
@@ -153,31 +155,30 @@ def chances_of(weights, raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _sample(rows: DataFrame) -> DataFrame:
-    """``lang``, ``window`` of about SAMPLE_DOCS documents of each language."""
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return rows.select("lang", F.col("text").cast("binary").alias("window")).limit(0)
-    rate = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(SAMPLE_DOCS / n))])
-    uniform = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, windows = [], []
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                text = text.encode("utf-8", "surrogatepass")
-                count = -(-len(text) // WINDOW)
-                for k in sorted({int((j + 0.5) * count / SAMPLE_WINDOWS) for j in range(SAMPLE_WINDOWS)}):
-                    langs.append(lang)
-                    windows.append(text[k * WINDOW : (k + 1) * WINDOW])
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(windows, pa.binary())], names=["lang", "window"])
-
-    return rows.where(uniform < rate[F.col("lang")]).select("lang", "text").mapInArrow(cut, "lang string, window binary")
+    """``lang``, ``windows`` of SAMPLE_DOCS distinct texts of each language, or of all if it has fewer.
+
+    The texts with the smallest hashes are taken, so copies neither help a text in nor bring more of it.
+    """
+    keyed = rows.select("lang", "text", F.xxhash64("text").alias("hash"))
+    distinct = cut_lineage(keyed.select("lang", "hash").distinct(), "label-texts")
+    counts = stored(distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "label-counts")
+    # hashes are spread evenly: more than enough of them are below this, and few enough for a window
+    place = F.pmod("hash", F.lit(1 << 30))
+    near = distinct.join(counts, "lang").where(place < F.lit(float(1 << 30)) * 2 * SAMPLE_DOCS / F.col("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(place, "hash"))
+    chosen = stored(near.select("lang", "hash", rank.alias("rank")).where(F.col("rank") <= SAMPLE_DOCS).select("lang", "hash"), "label-sample")
+    raw = F.col("text").cast("binary")
+    count = F.ceil(F.octet_length("text") / WINDOW)
+    at = F.array_distinct(F.array(*[F.floor((j + 0.5) * count / SAMPLE_WINDOWS).cast("int") for j in range(SAMPLE_WINDOWS)]))
+    windows = F.transform(at, lambda k: F.substring(raw, k * WINDOW + 1, F.lit(WINDOW)))
+    # one row of each text, whatever its copies
+    return keyed.join(chosen, ["lang", "hash"]).select("lang", "hash", windows.alias("windows")).groupBy("lang", "hash").agg(F.min("windows").alias("windows")).select("lang", "windows")
 
 
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[dict[str, np.ndarray] | None, list[str]]:
     """Weights and languages from rows that have a language and a letter."""
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    sample = [(r["lang"], bytes(r["window"])) for r in _sample(rows).collect()]
+    sample = [(r["lang"], bytes(w)) for r in _sample(rows).collect() for w in r["windows"]]
     sample = sorted(x for x in sample if x[1])
     langs = sorted({x[0] for x in sample})
     if not langs:

@@ -571,6 +571,21 @@ def test_language_id(spark, odd_docs, no_docs):
     assert {r["lang_pred"] for r in langid.identify(odd_docs, none, [F.col("doc_id")]).collect()} == {"und"}
 
 
+def test_language_id_samples_distinct_texts(spark, monkeypatch):
+    """Copies of one text neither keep a language out of the sample nor fill it."""
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 12)
+    rows = [("x", "one text")] * 2000 + [("x", f"text {k} of the first") for k in range(10)] + [("y", f"text {k} of the second " * 30) for k in range(300)]
+    labelled = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    found = defaultdict(list)
+    for r in langid._sample(labelled).collect():
+        found[r["lang"]].append([bytes(w) for w in r["windows"]])
+    assert sorted(w[0].decode() for w in found["x"]) == sorted({t for lang, t in rows if lang == "x"})
+    texts = {t.encode() for lang, t in rows if lang == "y"}
+    assert len(found["y"]) == 12 and len({tuple(w) for w in found["y"]}) == 12
+    assert all(1 < len(w) <= langid.SAMPLE_WINDOWS and any(all(x in t for x in w) for t in texts) for w in found["y"])
+    assert langid.learn(labelled)[1] == ["x", "y"]
+
+
 def test_language_id_gradients():
     rng = np.random.default_rng(0)
     weights = langid.initial(3, rng)
