@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import lm
+from .conversations import damaged, report
 from .decontaminate import decontaminate
 from .jaccard import jaccard_components
 from .langid import identify, learn
 from .linededup import line_dedup
 from .packing import pack, token_pieces
+from .periodic import periodic_runs, repeated_tail
 from .quality import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, SYMBOLS, quality
 from .sharding import GROUP_SHARE, shard
 from .suffixes import repeated_passages
+from .toxicity import toxicity
 from .urlfilter import UrlRule, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -273,3 +276,141 @@ def op7_lm_scoring(spark, sf_dir):
 )
 def op2_repeated_passages(spark, sf_dir):
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+# -------------------------------------------------------------------------------------- toxicity
+
+
+@register("op11_toxicity")
+def op11_toxicity(spark, sf_dir):
+    def held_out(key):
+        return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id"))
+    scored = toxicity(docs, labels, [F.col("doc_id"), held_out("doc_id").alias("held_out")])
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+# --------------------------------------------------------------------------------- conversations
+
+#: CRC-32 of a short text, given as hexadecimal digits, in SQL; needs the table ``crc``.
+SQL_CRC_TABLE = """
+    poly(i, k, c) AS (
+        SELECT i, 0, i::BIGINT FROM range(256) t(i)
+        UNION ALL
+        SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM poly WHERE k < 8),
+    crc AS (SELECT list(c ORDER BY i) AS t FROM poly WHERE k = 8)"""
+SQL_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT,
+               list_transform(range(0, length({0}) // 2), lambda x: ('0x' || substr({0}, 2 * x + 1, 2))::BIGINT)),
+               lambda a, x: xor(a >> 8, crc.t[(xor(a, x) & 255) + 1])), 4294967295)"""
+
+
+def _sql_way(way: str, cost: str, letter: str, line: str = "''") -> str:
+    """A way to a state with one more edit. A way is one text: its cost, its edits, a mark, the
+    repaired lines; so the least text is the cheapest way, and of equal ones that of the least edits."""
+    more = f"lpad((left({way}, 9)::INTEGER + {cost})::VARCHAR, 9, '0') || split_part(substr({way}, 10), chr(1), 1) || '{letter}' || chr(1) || split_part(substr({way}, 10), chr(1), 2) || {line}"
+    return f"CASE WHEN {way} IS NOT NULL THEN {more} END"
+
+
+def _sql_next() -> str:
+    """The ways to each state (n: nothing yet, s, u, a) behind row r, from those before it."""
+
+    def keep(way: str, initial: str) -> str:
+        return f"CASE WHEN NOT r.gone AND r.initial = '{initial}' THEN {_sql_way(way, 'r.late', 'K', 'r.role || chr(58) || r.text || chr(2)')} END"
+
+    def rerole(way: str, role: str) -> str:
+        return f"CASE WHEN NOT r.gone THEN {_sql_way(way, '3 + r.late', 'R', f"'{role}:' || r.text || chr(2)")} END"
+
+    into_user = ", ".join([keep(w, "u") for w in "nsa"] + [rerole(w, "user") for w in "nsa"])
+    deleted = {w: _sql_way(w, "4", "D") for w in "nsua"}
+    return f"{deleted['n']} AS n, least({deleted['s']}, {keep('n', 's')}) AS s, least({deleted['u']}, {into_user}) AS u, least({deleted['a']}, {keep('u', 'a')}, {rerole('u', 'assistant')}) AS a"
+
+
+def _sql_insert(source: str) -> str:
+    """The same ways, where up to two rows may have been inserted last."""
+    user = ", ".join(["u", *(_sql_way(w, "3", "I", "'user:' || chr(2)") for w in "nsa")])
+    assistant = f"a, {_sql_way('u', '3', 'I', "'assistant:' || chr(2)")}"
+    for _ in range(2):
+        source = f"(SELECT conv_id, i, n, s, least({user}) AS u, least({assistant}) AS a FROM {source})"
+    return source
+
+
+_SQL_FIRST_WAYS = _sql_insert("(SELECT DISTINCT conv_id, 0::BIGINT AS i, '000000000' || chr(1) AS n, NULL::VARCHAR AS s, NULL::VARCHAR AS u, NULL::VARCHAR AS a FROM r)")
+_SQL_NEXT_WAYS = _sql_insert(f"(SELECT r.conv_id, r.i, {_sql_next()} FROM way w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1)")
+
+
+@register(
+    "op12_conversations",
+    rf"""
+    WITH RECURSIVE {SQL_CRC_TABLE},
+    c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS h FROM conversations),
+    k AS (SELECT conv_id, turn, role, text, {SQL_CRC.format("h")} % 20 AS kind FROM c, crc),
+    d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                 CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                 unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE kind <> 0),
+    o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || length(text) || ':' || text)) AS i FROM d),
+    f AS (SELECT *, regexp_extract(text, '(?s)([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last,
+                 row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+                 left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+    r AS (SELECT conv_id, i, turn, role, text, initial, last = '' AS blank, last <> '' AND seen AS duplicate,
+                 last <> '' AND NOT seen AND last NOT IN ('.', '!', '?') AS truncated, last = '' OR seen AS gone,
+                 CASE WHEN last NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS late,
+                 before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au') AS illegal FROM f),
+    way(conv_id, i, n, s, u, a) AS (SELECT * FROM {_SQL_FIRST_WAYS} UNION ALL SELECT * FROM {_SQL_NEXT_WAYS}),
+    done AS (SELECT conv_id, least(n, a) AS best FROM way QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+    t AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, sum(blank::INTEGER) AS blank,
+                 sum(duplicate::INTEGER) AS duplicate, sum(truncated::INTEGER) AS truncated, sum(illegal::INTEGER) AS illegal FROM r GROUP BY conv_id)
+    SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+           coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(left(best, 9)::BIGINT, 0) AS cost,
+           coalesce(split_part(substr(best, 10), chr(1), 1), '') AS audit,
+           sha256(coalesce(replace(regexp_replace(split_part(substr(best, 10), chr(1), 2), chr(2) || '$', ''), chr(2), chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) e
+    LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM e.conv_id""",
+)
+def op12_conversations(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return report(damaged(rows), rows)
+
+
+# --------------------------------------------------------------------------------- periodic runs
+
+
+@register(
+    "op13_periodic",
+    rf"""
+    WITH RECURSIVE {SQL_CRC_TABLE},
+    d AS (SELECT row_number() OVER () AS r, doc_id, {SQL_WORDS.format("coalesce(text, '')")} AS w, hex(encode(doc_id::VARCHAR)) AS h FROM documents),
+    g AS (SELECT r, doc_id, w, len(w) AS n, {SQL_CRC.format("h")} AS h FROM d, crc),
+    a AS (SELECT *, (h // 10) % greatest(n, 1) AS a FROM g),
+    p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM a),
+    x AS (SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE w END AS w FROM p),
+    o AS (SELECT r, n, unnest(range(n)) AS i, unnest(w) AS w FROM x),
+    e AS (SELECT l.r, l.i, m.i - l.i AS q FROM o l JOIN o m ON l.r = m.r AND l.w = m.w AND m.i > l.i AND m.i - l.i <= l.n // 4),
+    s AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM e),
+    m AS (SELECT r, min(i) AS start, count(*) + q AS length, q FROM s GROUP BY r, q, k HAVING count(*) + q >= greatest(6, 4 * q)),
+    run AS (SELECT r, start, length, min(q) AS period FROM m GROUP BY r, start, length),
+    best AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY r ORDER BY length / period DESC, start, period) = 1),
+    t AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM run GROUP BY r),
+    gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM run),
+    z AS (SELECT o.r, string_agg(w, ' ' ORDER BY o.i) AS text FROM o LEFT JOIN gone ON gone.r = o.r AND gone.i = o.i WHERE gone.i IS NULL GROUP BY o.r)
+    SELECT x.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+           (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(z.text, '')) AS collapsed_sha256
+    FROM x LEFT JOIN t ON t.r = x.r LEFT JOIN best ON best.r = x.r LEFT JOIN z ON z.r = x.r""",
+)
+def op13_periodic(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", repeated_tail(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic_runs(docs, [F.col("doc_id")])
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest.start",
+        "strongest.length",
+        "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        "collapsed_sha256",
+    )
