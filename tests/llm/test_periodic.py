@@ -13,17 +13,17 @@ SPACE = b" \t\n\x0b\x0c\r"
 
 
 def plain(words):
-    """(start, length, period) of all runs."""
+    """(start, length, period) of all runs: for every period, stretches of words equal to those a period on."""
     found = {}
+    known = {}
+    codes = np.array([known.setdefault(w, len(known)) for w in words], np.int64)
     for q in range(1, len(words) // 4 + 1):
-        i = 0
-        while i + q < len(words):
-            start = i
-            while i + q < len(words) and words[i] == words[i + q]:
-                i += 1
-            if i + q - start >= max(6, 4 * q):
-                found.setdefault((start, i + q - start), q)
-            i += 1
+        other = np.flatnonzero(codes[:-q] != codes[q:])
+        edges = np.concatenate([[-1], other, [len(words) - q]])
+        for k in np.flatnonzero(np.diff(edges) > 1):
+            start, length = int(edges[k]) + 1, int(edges[k + 1] - edges[k]) - 1 + q
+            if length >= max(6, 4 * q):
+                found.setdefault((start, length), q)
     return sorted((s, n, q) for (s, n), q in found.items())
 
 
