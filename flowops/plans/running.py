@@ -1,19 +1,19 @@
 """Running aggregates over ordered groups of any size.
 
 A plain window sends one group to one task. Here a group with more than ``max_rows`` rows is
-cut into consecutive parts by its order column: each part is aggregated on its own, the part
+cut into consecutive parts by all of its order columns together: each part is aggregated on its own, the part
 totals (a small table) are accumulated, and the accumulated value is combined with the running
 value inside the part. Groups below the limit keep the plain window. The data is shuffled once
 in both cases, and the result does not depend on where the cuts are.
 
-What is brought to the driver or sent to all executors has one row per *part of a large group*:
-at most ``2 * rows / max_rows`` rows whatever the data looks like.
+Cuts are tuples of a sample of the large groups' rows, so equal values in the first order columns are
+told apart by the next ones. There is no limit to the number of parts. The cuts are a table with
+one row per large group, made by Spark, measured, and broadcast while it is small.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -27,11 +27,8 @@ DEFAULT_MAX_ROWS = 5_000_000
 
 KINDS = ("max", "min", "first", "last", "sum", "count")
 
-# No group is cut into more parts than this, which bounds the cuts one row is compared with.
-MAX_PARTS = 4096
-
-# Text has no quantile sketch; its cuts come from this many sampled values per part.
-_SAMPLED_PER_PART = 20
+# Rows sampled for every part that is wanted: parts then differ in size by about a tenth.
+_SAMPLED_PER_PART = 64
 
 PART = "__part"
 
@@ -51,127 +48,96 @@ class Running:
 
 @dataclass(frozen=True)
 class Split:
-    """Where large groups are cut: keys and ascending bounds, or bounds alone without keys."""
+    """Where large groups are cut: a table with their keys (``__k0``...) and ascending tuples (``__bounds``)."""
 
     keys: tuple[str, ...]
-    bounds: DataFrame | None  # key columns + __bounds, __coarse; None when there are no keys
-    constants: tuple = ()  # the bounds, without keys
-    step: int = 1
+    bounds: DataFrame
+    small_side: Callable[[DataFrame], DataFrame]
 
 
 def _check_order(df: DataFrame, order_by: Sequence[str]) -> None:
     if not order_by:
         raise ValueError("order_by is required: Spark rows have no arrival order")
-    kind = df.schema[order_by[0]].dataType
-    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)):
-        raise TypeError(f"order column {order_by[0]!r} must be numeric, a date, a timestamp or text, not {kind.simpleString()}")
+    for name in order_by:
+        kind = df.schema[name].dataType
+        if isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType)):
+            raise TypeError(f"order column {name!r} must have an order, and {kind.simpleString()} has none")
 
 
 def same_keys(left: Sequence[Column], right: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, [l.eqNullSafe(r) for l, r in zip(left, right)])
+    return reduce(lambda a, b: a & b, [l.eqNullSafe(r) for l, r in zip(left, right)], F.lit(True))
+
+
+def _tuple(order_by: Sequence[str]) -> Column:
+    """The order columns as one value; a null comes first, as it does in a window's order."""
+    return F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order_by)])
 
 
 def plan_split(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], max_rows: int | None = DEFAULT_MAX_ROWS) -> Split | None:
-    """Find the groups that are too large for one task and cut them at quantiles of the order.
+    """Find the groups that are too large for one task and cut them at sampled tuples of the order.
 
-    Runs a count per group over the key columns and, only if a group is too large, a quantile
-    pass over the rows of such groups. ``max_rows=None`` skips both for keyed groups.
+    Counts rows per group over the key columns and, only if a group is too large, samples the
+    order columns of such groups. ``max_rows=None`` skips both for keyed groups.
     """
     _check_order(df, order_by)
-    order = F.col(order_by[0])
-    spark = df.sparkSession
-
-    kind = df.schema[order_by[0]].dataType
+    names = [f"__k{i}" for i in range(len(keys))]
     if not keys:
+        # one group: at least a part per core, as long as there are rows
         rows = df.count()
-        pieces = max(math.ceil(rows / (max_rows or DEFAULT_MAX_ROWS)), min(spark.sparkContext.defaultParallelism, rows), 1)
-        pieces = min(pieces, MAX_PARTS)
-        bounds = []
-        if pieces > 1:
-            bounds = _cuts(df.select(order.alias("__o")), [], kind, pieces, rows / pieces).collect()
-            bounds = bounds[0]["__cuts"] if bounds else []
-        return Split((), None, tuple(bounds), _step(len(bounds)))
-
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        part_rows = max(1, min(max_rows or DEFAULT_MAX_ROWS, -(-rows // cores)))
+        return Split((), *_cuts(df.select(_tuple(order_by).alias("__o")), [], part_rows))
     if max_rows is None:
         return None
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_rows)
-    found = large.collect()  # at most rows / max_rows of them
-    if not found:
+    counted = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("__n"))
+    large, small_side = measured(counted.where(F.col("__n") > max_rows).select(*[F.col(n).alias(f"{n}c") for n in names]), "large")
+    if large.isEmpty():
         return None
-    pieces = min(math.ceil(max(r["__n"] for r in found) / max_rows), MAX_PARTS)
-    names = [f"__k{i}" for i in range(len(keys))]
-    key_fields = [T.StructField(n, df.schema[k].dataType, True) for k, n in zip(keys, names)]
-    chosen_names = [f"{n}c" for n in names]
-    chosen = spark.createDataFrame([tuple(r)[:-1] for r in found], T.StructType(key_fields)).toDF(*chosen_names)
-    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], order.alias("__o")).join(
-        F.broadcast(chosen), same_keys([F.col(n) for n in names], [F.col(c) for c in chosen_names]), "left_semi"
-    )
-    # every group gets as many cuts as it needs: 2 * rows / max_rows in all
-    local = [tuple(r) for r in _cuts(rows, names, kind, pieces, max_rows).collect()]
-    step = _step(max((len(r[-1]) for r in local), default=1))
-    bounds = spark.createDataFrame(local, T.StructType([*key_fields, T.StructField("__bounds", T.ArrayType(kind))]))
-    bounds = bounds.withColumn("__coarse", F.filter(F.col("__bounds"), lambda _, i: i % step == step - 1))
-    return Split(tuple(keys), bounds, (), step)
+    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], _tuple(order_by).alias("__o"))
+    same = same_keys([F.col(n) for n in names], [F.col(f"{n}c") for n in names])
+    return Split(tuple(keys), *_cuts(rows.join(small_side(large), same, "left_semi"), names, max_rows))
 
 
-def _step(count: int) -> int:
-    return max(math.isqrt(count), 1)
+def _cuts(rows: DataFrame, names: Sequence[str], part_rows: int) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Ascending different tuples of ``__o`` to cut at, per group; where they lie decides balance only.
 
+    Every row has the same chance to be sampled, so a group gets cuts in proportion to its rows.
+    """
+    rate = min(1.0, _SAMPLED_PER_PART / part_rows)
+    stride = max(1, round(part_rows * rate))
+    some = rows if rate == 1.0 else rows.sample(rate, 17)
+    found = some.groupBy(*names).agg(F.sort_array(F.collect_list("__o")).alias("__all"))
+    cuts = F.array_distinct(F.filter("__all", lambda _, i: i % stride == stride - 1))
+    # falling powers of two, the strides of a binary search
+    steps = F.filter(F.array(*[F.lit(1 << k) for k in range(30, -1, -1)]), lambda step: step <= F.size("__bounds"))
+    return measured(found.select(*names, cuts.alias("__bounds")).withColumn("__steps", steps), "cuts")
 
-def _cuts(rows: DataFrame, names: Sequence[str], kind: T.DataType, pieces: int, part_rows: float) -> DataFrame:
-    """Ascending different values of ``__o`` to cut at, per group; where they lie decides balance only.
 
-    ``pieces`` is the number of parts of the largest group; smaller ones keep fewer cuts.
-    """
-    order = F.col("__o")
-    if isinstance(kind, T.StringType):
-        # a bounded sample: a fixed expected number of values per part
-        some = rows.where(order.isNotNull()).sample(min(1.0, _SAMPLED_PER_PART / part_rows), 17)
-        found = some.groupBy(*names).agg(F.sort_array(F.collect_list(order)).alias("__all"))
-        wanted = F.ceil(F.size("__all") / F.lit(_SAMPLED_PER_PART * 1.0))
-    else:
-        grid = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-        quantiles = F.percentile_approx(order, grid, F.lit(max(1_000, 4 * pieces)))
-        # an exact numeric type: the cuts are compared with the column itself
-        found = rows.groupBy(*names).agg(quantiles.cast(T.ArrayType(kind)).alias("__all"), F.count(F.lit(1)).alias("__rows"))
-        wanted = F.ceil(F.col("__rows") / F.lit(float(part_rows)))
-    stride = F.greatest(F.floor((F.size("__all") + 1) / F.least(wanted, F.lit(MAX_PARTS))), F.lit(1))
-    found = found.withColumn("__stride", stride)
-    kept = F.filter("__all", lambda v, i: v.isNotNull() & (i % F.col("__stride") == F.col("__stride") - 1))
-    return found.select(*names, F.array_distinct(kept).alias("__cuts"))
-
-
-def _place(order: Column, bounds: Column, coarse: Column, step: int) -> Column:
-    """Number of bounds below ``order``: a coarse look-up, then a look-up inside one stretch."""
-    skipped = F.size(F.filter(coarse, lambda b: b < order)) * F.lit(step)
-    stretch = F.slice(bounds, skipped + 1, F.lit(step))
-    return skipped + F.size(F.filter(stretch, lambda b: b < order))
+def _place(order: Column, bounds: Column, steps: Column) -> Column:
+    """Number of bounds below ``order``, by binary search."""
+    size = F.size(bounds)
+
+    def closer(place: Column, step: Column) -> Column:
+        return F.when((place + step <= size) & (F.get(bounds, place + step - 1) < order), place + step).otherwise(place)
+
+    return F.aggregate(steps, F.lit(0), closer)
 
 
 def with_part(df: DataFrame, order_by: Sequence[str], split: Split) -> DataFrame:
     """Add ``__part``, the number of the part a row is in: null in groups that are not cut."""
-    order = F.col(order_by[0])
-    if split.bounds is None:
-        if not split.constants:
-            return df.withColumn(PART, F.lit(0))
-        kind = T.ArrayType(df.schema[order_by[0]].dataType)
-        bounds, coarse = (F.lit(list(b)).cast(kind) for b in (split.constants, split.constants[split.step - 1::split.step]))
-        place = _place(order, bounds, coarse, split.step)
-        return df.withColumn(PART, F.when(order.isNull(), F.lit(0)).otherwise(place))
     names = [c for c in split.bounds.columns if c.startswith("__k")]
-    joined = df.join(
-        F.broadcast(split.bounds),
-        same_keys([F.col(k) for k in split.keys], [F.col(n) for n in names]),
-        "left",
-    )
-    place = F.coalesce(_place(order, F.col("__bounds"), F.col("__coarse"), split.step), F.lit(0))
-    return joined.withColumn(PART, F.when(F.col("__bounds").isNotNull(), place)).drop(*names, "__bounds", "__coarse")
+    bounds = split.small_side(split.bounds) if names else F.broadcast(split.bounds)  # without keys it is one row
+    joined = df.join(bounds, same_keys([F.col(k) for k in split.keys], [F.col(n) for n in names]), "left")
+    place = F.when(F.col("__bounds").isNotNull(), _place(_tuple(order_by), F.col("__bounds"), F.col("__steps")))
+    if not names:
+        place = F.coalesce(place, F.lit(0))
+    return joined.withColumn(PART, place).drop(*names, "__bounds", "__steps")
 
 
 def join_parts(work: DataFrame, keys: Sequence[str], parts: DataFrame) -> DataFrame:
     """Join rows with a table that has one row per part: the keys as ``__c0``..., and ``__p``.
 
-    The table has at most ``2 * rows / max_rows`` rows. It is computed first and broadcast if its
+    The table has about ``rows / max_rows`` rows. It is computed first and broadcast if its
     values are small as well.
     """
     names = [f"__c{i}" for i in range(len(keys))]

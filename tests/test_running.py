@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowops.operators.sequence import assign_sequence, number_fragments, sequence_after
 from flowops.operators.state import HOLDING, REPLACE_WHEN, check_state, check_state_after, hold_release, hold_release_after
-from flowops.plans import Running, plan_split, running
+from flowops.plans import Running, plan_split, running, with_part
 
 LIMITS = [None, 7]  # 7 rows per group: nearly every group is cut
 
@@ -160,7 +160,7 @@ def test_fragments(spark, limit):
 
 
 def test_order_column_must_be_splittable(spark):
-    df = spark.createDataFrame([("a", [1])], "k string, pos array<int>")
+    df = spark.createDataFrame([("a", {"x": 1})], "k string, pos map<string,int>")
     with pytest.raises(TypeError):
         plan_split(df, ["k"], ["pos"])
     with pytest.raises(ValueError):
@@ -184,3 +184,42 @@ def test_small_groups_get_few_cuts(spark):
         cuts = {r["__k0"]: len(r["__bounds"]) for r in split.bounds.collect()}
         assert len(cuts) == 11 and 100 <= cuts["big"] <= 400
         assert all(1 <= n <= 4 for k, n in cuts.items() if k != "big")
+
+
+def test_a_group_of_one_day_is_cut_by_its_second_column(spark):
+    # most rows lie on one day, some on none; ids are unique
+    days = F.when(F.col("id") % 50 == 0, F.lit(None)).when(F.col("id") % 40 == 1, F.lit("2024-01-02")).otherwise(F.lit("2024-01-01")).cast("date")
+    rows = spark.range(3000).repartition(4).select(days.alias("day"), (F.col("id") * 7919 % 3001).alias("id"), F.lit("a").alias("k"))
+    split = plan_split(rows, ["k"], ["day", "id"], 100)
+    parts = [r["count"] for r in with_part(rows, ["day", "id"], split).groupBy("__part").count().collect()]
+    assert len(parts) >= 20 and max(parts) <= 250
+    for keys in ([], ["k"]):
+        got = number_fragments(rows, keys, ["day", "id"], max_rows=100).collect()
+        order = sorted(got, key=lambda r: (r["day"] is not None, r["day"] or 0, r["id"]))
+        assert [r["frag_index"] for r in order] == list(range(1, 3001))
+
+
+def test_ten_thousand_parts(spark):
+    rows = spark.range(40_000).repartition(4).select((F.col("id") % 3).alias("a"), (F.col("id") * 17 % 40_009).alias("b"), F.lit("x").alias("k"))
+    split = plan_split(rows, ["k"], ["a", "b"], 4)
+    assert split.bounds.select(F.size("__bounds").alias("n")).first()["n"] >= 9_900
+    got = running(rows, ["k"], ["a", "b"], [Running("n", "count"), Running("top", "max", F.col("b"))], split=split)
+    want = running(rows, ["k"], ["a", "b"], [Running("n", "count"), Running("top", "max", F.col("b"))])
+    assert got.exceptAll(want).isEmpty() and got.count() == 40_000
+
+
+@pytest.mark.parametrize("setting", REPLACE_WHEN)
+def test_check_state_by_two_order_columns(spark, setting):
+    rows = [(i % 2, i, "hot", v) for i, _, v in _events(400)]
+    df = spark.createDataFrame(rows, "day int, id long, k string, v string").repartition(3)
+    order = ["day", "id"]
+    want = check_state(df, "k", "v", order, replace_when=setting, max_rows=None)
+    assert check_state(df, "k", "v", order, replace_when=setting, max_rows=9).exceptAll(want).isEmpty()
+
+
+def test_hold_release_by_two_order_columns(spark):
+    rnd = random.Random(8)
+    rows = [(i % 3, i, "t", "hot", rnd.choice(["hold", "hold", "release"]), rnd.choice(["x", "y", None])) for i in range(500)]
+    df = spark.createDataFrame(rows, "day int, id long, topic string, k string, action string, dup string").repartition(3)
+    one, cut = (hold_release(df, "topic", "k", "action", ["day", "id"], duplicate="dup", max_rows=n) for n in (None, 11))
+    assert cut.exceptAll(one).isEmpty() and cut.count() == 500
