@@ -196,7 +196,7 @@ def image_as_map(image: Column, case: str = "None") -> Column:
 
 
 def route_changes(
-    base: DataFrame,
+    base: DataFrame | T.StructType,
     trail: DataFrame,
     keys: Sequence[str],
     *,
@@ -204,13 +204,13 @@ def route_changes(
     order_by: Column | None = None,
     case: str = "None",
 ) -> DataFrame:
-    """The rows of ``trail`` with the route each takes when it is applied to ``base``.
+    """The rows of ``trail`` with the route each takes when it is applied to ``base``, a table or its schema.
 
     ``failure``: a missing image or key, no usable place, or a value that does not convert to its
     column's type; :func:`apply_changes` leaves such changes out. An explicit null converts. Rows
     off the success route stay as they are.
     """
-    fields = {f.name: f.dataType for f in base.schema.fields}
+    fields = _fields(base)
     change = F.col(record)
     op = change["op_type"]
     place = change["pos"].try_cast("decimal(38,0)") if order_by is None else order_by
@@ -237,8 +237,13 @@ def route_changes(
     return rows.drop("__before", "__after", "__why")
 
 
-def apply_changes(
-    base: DataFrame,
+def _fields(table: DataFrame | T.StructType) -> dict[str, T.DataType]:
+    schema = table if isinstance(table, T.StructType) else table.schema
+    return {f.name: f.dataType for f in schema.fields}
+
+
+def fold_changes(
+    table: T.StructType,
     trail: DataFrame,
     keys: Sequence[str],
     *,
@@ -246,24 +251,16 @@ def apply_changes(
     order_by: Column | None = None,
     case: str = "None",
 ) -> DataFrame:
-    """The table ``base`` after replaying all changes in order of ``pos``, a whole number, or ``order_by``.
-
-    An insert (re)creates the row from its after image, a delete removes it, and an update
-    sets just the columns its after image names, explicit nulls included; key columns never
-    change and an update of a missing row does nothing. ``trail`` is the result of
-    :func:`parse_trail`; rows not on the success route are ignored, and so are changes that
-    :func:`route_changes` routes to failure. The keys of a change are
-    read from ``before`` for updates and deletes and from ``after`` for inserts.
+    """One row per changed key: what all its changes come to, whatever row they meet.
 
-    The changes are reduced to one row per key by a single pre-aggregated group-by, so a key
-    with very many changes costs its map tasks little more than any other. The reduced changes
-    are saved and measured; while they are small the base is only scanned, else both are shuffled
-    once by key.
+    ``__k<i>`` are the keys, ``__anchor`` and ``__anchor_op`` the place and operation of the last insert or
+    delete, and for every other column ``__at<i>`` and ``__new<i>`` are the place and value of its last write.
+    Folds of two sets of changes fold to that of both.
     """
-    fields = {f.name: f.dataType for f in base.schema.fields}
+    fields = _fields(table)
     others = [c for c in fields if c not in keys]
     change = F.col(record)
-    trail = route_changes(base, trail, keys, record=record, order_by=order_by, case=case)
+    trail = route_changes(table, trail, keys, record=record, order_by=order_by, case=case)
     rows = trail.where((F.col(ROUTE) == SUCCESS) & change["op_type"].isin(*OPERATIONS))
     place = change["pos"].try_cast("decimal(38,0)") if order_by is None else order_by
     rows = rows.select(
@@ -273,12 +270,9 @@ def apply_changes(
         _folded(change["after"], case).alias("__after"),
     )
     rows = rows if case == "None" else materialise(rows.select("__op", "__pos", "__before", "__after"), {n: F.col(n) for n in ("__before", "__after")})
-    insert = F.col("__op") == "I"
-    key_map = F.when(insert, F.col("__after")).otherwise(F.col("__before"))
-    key_names = [f"__k{i}" for i in range(len(keys))]
+    key_map = F.when(F.col("__op") == "I", F.col("__after")).otherwise(F.col("__before"))
     writes = F.col("__op").isin("I", "U")
-
-    columns = {n: _typed(F.element_at(key_map, k), fields[k]) for n, k in zip(key_names, keys)}
+    columns = {f"__k{i}": _typed(F.element_at(key_map, k), fields[k]) for i, k in enumerate(keys)}
     for i, c in enumerate(others):
         columns[f"__has{i}"] = writes & F.map_contains_key(F.col("__after"), c)
         columns[f"__v{i}"] = _typed(F.element_at(F.col("__after"), c), fields[c])
@@ -293,7 +287,100 @@ def apply_changes(
     for i in range(len(others)):
         at = F.when(F.col(f"__has{i}"), F.col("__pos"))
         folds += [F.max(at).alias(f"__at{i}"), F.max_by(f"__v{i}", at).alias(f"__new{i}")]
-    last, small_side = measured(flat.groupBy(*key_names).agg(*folds), "changes")
+    return flat.groupBy(*[f"__k{i}" for i in range(len(keys))]).agg(*folds)
+
+
+# ------------------------------------------------------------------ changes that come bit by bit
+
+_PLACE = T.DecimalType(38, 0)
+
+
+def changes_schema(table: T.StructType, keys: Sequence[str]) -> T.StructType:
+    """Columns of the state of a changed table: keys, the row at the start (``__base``), and the fold of all changes."""
+    fields = _fields(table)
+    others = [c for c in fields if c not in keys]
+    made = [T.StructField(f"__k{i}", fields[k]) for i, k in enumerate(keys)]
+    made.append(T.StructField("__base", T.StructType([*[T.StructField(f"c{i}", fields[c]) for i, c in enumerate(others)], T.StructField("there", T.BooleanType())])))
+    made += [T.StructField("__anchor", _PLACE), T.StructField("__anchor_op", T.StringType())]
+    for i, c in enumerate(others):
+        made += [T.StructField(f"__at{i}", _PLACE), T.StructField(f"__new{i}", fields[c])]
+    return T.StructType(made)
+
+
+def start_changes(base: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The state of a table that nothing has changed yet; the table has one row per key."""
+    others = [c for c in base.columns if c not in keys]
+    row = F.struct(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(others)], F.lit(True).alias("there"))
+    start = base.select(*[F.col(quoted(k)).alias(f"__k{i}") for i, k in enumerate(keys)], row.alias("__base"))
+    schema = changes_schema(base.schema, keys)
+    return start.select(*[F.col(f.name) if f.name in start.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def change_keys(rows: DataFrame, table: T.StructType, keys: Sequence[str], *, content: str = "content", case: str = "None", **_: object) -> list[Column]:
+    """The keys each trail text changes, as the table's types; null where it has none."""
+    fields = _fields(table)
+    record = F.from_json(F.col(content), TRAIL_SCHEMA)
+    image = F.when(record["op_type"] == "I", _folded(record["after"], case)).otherwise(_folded(record["before"], case))
+    return [_typed(F.element_at(image, k), fields[k]) for k in keys]
+
+
+def fold_into(state: DataFrame, trail: DataFrame, table: T.StructType, keys: Sequence[str], *, record: str = "trail", order_by: Column | None = None, case: str = "None") -> DataFrame:
+    """The state with more changes, wherever their places lie; ``order_by`` must give whole numbers here."""
+    schema = changes_schema(table, keys)
+    new = fold_changes(table, trail, keys, record=record, order_by=order_by, case=case)
+    new = new.select(*[(F.col(f.name) if f.name in new.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+    folds = [F.first("__base", ignorenulls=True).alias("__base"), F.max("__anchor").alias("__anchor"), F.max_by("__anchor_op", "__anchor").alias("__anchor_op")]
+    for name in schema.names:
+        if name.startswith("__at"):
+            i = name[len("__at"):]
+            folds += [F.max(name).alias(name), F.max_by(f"__new{i}", name).alias(f"__new{i}")]
+    return state.unionByName(new).groupBy(*schema.names[: len(keys)]).agg(*folds).select(*schema.names)
+
+
+def changed_table(state: DataFrame, table: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """The table that a state stands for, as :func:`apply_changes` gives it for all changes at once."""
+    fields = _fields(table)
+    others = [c for c in fields if c not in keys]
+    kept = F.col("__anchor").isNull() & F.col("__base").isNotNull()
+
+    def value(c: str) -> Column:
+        i = others.index(c)
+        at, new = F.col(f"__at{i}"), F.col(f"__new{i}")
+        before = F.when(at.isNotNull(), new).otherwise(F.col(f"__base.c{i}"))
+        return F.when(F.col("__anchor").isNull(), before).otherwise(F.when(at >= F.col("__anchor"), new))
+
+    rows = state.where(kept | (F.col("__anchor_op") == "I"))
+    return rows.select(*[F.col(f"__k{list(keys).index(c)}").alias(c) if c in keys else value(c).alias(c) for c in fields])
+
+
+def apply_changes(
+    base: DataFrame,
+    trail: DataFrame,
+    keys: Sequence[str],
+    *,
+    record: str = "trail",
+    order_by: Column | None = None,
+    case: str = "None",
+) -> DataFrame:
+    """The table ``base`` after replaying all changes in order of ``pos``, a whole number, or ``order_by``.
+
+    An insert (re)creates the row from its after image, a delete removes it, and an update
+    sets just the columns its after image names, explicit nulls included; key columns never
+    change and an update of a missing row does nothing. ``trail`` is the result of
+    :func:`parse_trail`; rows not on the success route are ignored, and so are changes that
+    :func:`route_changes` routes to failure. The keys of a change are
+    read from ``before`` for updates and deletes and from ``after`` for inserts.
+
+    The changes are reduced to one row per key by a single pre-aggregated group-by, so a key
+    with very many changes costs its map tasks little more than any other. The reduced changes
+    are saved and measured; while they are small the base is only scanned, else both are shuffled
+    once by key.
+    """
+    fields = _fields(base)
+    others = [c for c in fields if c not in keys]
+    key_names = [f"__k{i}" for i in range(len(keys))]
+    folded = fold_changes(base.schema, trail, keys, record=record, order_by=order_by, case=case)
+    last, small_side = measured(folded, "changes")
 
     def since_anchor(i: int) -> Column:
         return F.col(f"__at{i}") >= F.col("__anchor")

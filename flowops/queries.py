@@ -890,43 +890,74 @@ def read_files(spark, sf_dir):
     return rows.select("filename", parsed.alias("d")).select("d.doc_id", "d.n_chars", F.md5("d.text").alias("digest"), "filename")
 
 
-def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # a stream takes a folder or a pattern, and a table may be a single file
-    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parque[t]")
+def _in_three(rows: DataFrame, part: Column, step: batches.Step, label: str, **options) -> str:
+    """Let the rows arrive in three parts (``part`` is 0, 1 or 2), each in a run of the stream that goes on from the one before."""
+    spark = rows.sparkSession
+    folder = scratch_path(spark, label)
+    for n in range(3):
+        rows.where(part == n).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        batches.run_stateful(stream, step, f"{folder}/state", f"{folder}/out", f"{folder}/checkpoint", **options).awaitTermination()
+    return folder
 
 
-def _run(stream: DataFrame, step: batches.Step, schema, label: str, **options) -> str:
-    folder = scratch_path(stream.sparkSession, label)
-    batches.run_stateful(stream, step, schema, f"{folder}/state", f"{folder}/out", f"{folder}/checkpoint", **options).awaitTermination()
-    return folder
+def _thirds(rows: DataFrame, column: str) -> Column:
+    """The third a row lies in, by an order column."""
+    low, high = rows.approxQuantile(column, [1 / 3, 2 / 3], 0.01)
+    return F.when(F.col(column) <= low, 0).when(F.col(column) <= high, 1).otherwise(2)
 
 
 @register("stream_check_state", _state_sql("max(event_type)"))
 def stream_check_state(spark, sf_dir):
-    events = _stream(spark, sf_dir, "events").withColumn("user_id", text("user_id"))
-    folder = _run(events, batches.check_state_step("user_id", "event_type", "event_id"), batches.KEY_VALUE, "check-state")
+    events = table(spark, sf_dir, "events").withColumn("user_id", text("user_id"))
+    folder = _in_three(events, _thirds(events, "event_id"), batches.check_state_step("user_id", "event_type", "event_id"), "check-state")
+    return spark.read.parquet(f"{folder}/out").select("event_id", "previous_state", "route")
+
+
+#: Three parts of the events' time; a user's state ends where the user is idle for longer than half a day between two parts.
+PART_BOUNDS = ("2024-01-11", "2024-01-21")
+STREAM_TTL_SQL = f"""
+    WITH e AS (SELECT event_id, user_id, event_type, ts,
+                      CASE WHEN ts < TIMESTAMP '{PART_BOUNDS[0]}' THEN 0 WHEN ts < TIMESTAMP '{PART_BOUNDS[1]}' THEN 1 ELSE 2 END AS part FROM events),
+    b AS (SELECT user_id, part, min(ts) AS first, max(ts) AS last FROM e GROUP BY user_id, part),
+    g AS (SELECT *, coalesce(lag(last) OVER (PARTITION BY user_id ORDER BY part) + INTERVAL 12 HOUR < first, false) AS idle FROM b),
+    s AS (SELECT user_id, part, sum(idle::INTEGER) OVER (PARTITION BY user_id ORDER BY part) AS life FROM g),
+    r AS (SELECT e.*, s.life, lag(event_type) OVER (PARTITION BY e.user_id, s.life ORDER BY e.part, event_id) AS previous_state
+          FROM e JOIN s ON s.user_id = e.user_id AND s.part = e.part)
+    SELECT event_id, previous_state, CASE WHEN previous_state IS NULL THEN 'initial' WHEN event_type < previous_state THEN 'less'
+                                          WHEN event_type > previous_state THEN 'greater' ELSE 'equal' END AS route FROM r"""
+
+
+@register("stream_check_state_ttl", STREAM_TTL_SQL)
+def stream_check_state_ttl(spark, sf_dir):
+    events = table(spark, sf_dir, "events").withColumn("user_id", text("user_id"))
+    step = batches.check_state_step("user_id", "event_type", "event_id", replace_when="Not Equal To")
+    low, high = (F.lit(b).cast("timestamp") for b in PART_BOUNDS)
+    part = F.when(F.col("ts") < low, 0).when(F.col("ts") < high, 1).otherwise(2)
+    folder = _in_three(events, part, step, "check-state-ttl", time="ts", ttl=12 * 3600)
     return spark.read.parquet(f"{folder}/out").select("event_id", "previous_state", "route")
 
 
 @register("stream_hold_release", HOLD_SQL)
 def stream_hold_release(spark, sf_dir):
-    rows = hold_requests(_stream(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
     step = batches.hold_release_step("user_id", "slot", "action", "event_id", duplicate="dup")
-    folder = _run(rows, step, batches.KEY_VALUE, "hold-release")
+    folder = _in_three(hold_requests(events), _thirds(events, "event_id"), step, "hold-release")
     return spark.read.parquet(f"{folder}/out").select("event_id", "lock", "holder", "route")
 
 
 @register("stream_sequence", SEQUENCE_SQL)
 def stream_sequence(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer")
     step = batches.sequence_step("c_mktsegment", "c_custkey", start=100, increment=5)
-    folder = _run(_stream(spark, sf_dir, "customer"), step, batches.SEQUENCES, "sequence", initial=sequence_state(spark))
+    folder = _in_three(customer, _thirds(customer, "c_custkey"), step, "sequence", initial=sequence_state(spark))
     return spark.read.parquet(f"{folder}/out").select("c_custkey", "sequence_value")
 
 
 @register("stream_apply_changes", CDC_APPLY_SQL)
 def stream_apply_changes(spark, sf_dir):
+    """The changes arrive out of order: a third of them, whatever their places, in every micro-batch."""
     base = customer_base(spark, sf_dir)
-    changes = _event_changes(_stream(spark, sf_dir, "events"))
-    step = batches.apply_changes_step(["c_custkey"], case="Lower")
-    folder = _run(changes, step, base.schema, "apply-changes", initial=base)
-    return batches.read_version(spark, f"{folder}/state", 0, base.schema)
+    step = batches.apply_changes_step(base.schema, ["c_custkey"], case="Lower")
+    folder = _in_three(_event_changes(table(spark, sf_dir, "events")), F.pmod(F.xxhash64("content"), F.lit(3)), step, "apply-changes", initial=base)
+    return batches.read_changed(spark, step, f"{folder}/state", base.schema, ["c_custkey"])
