@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import attribute_name, split_list
 from ..functions.template import quoted
-from ..plans import DEFAULT_MAX_ROWS
+from ..plans import DEFAULT_MAX_ROWS, Running, place_among, plan_split, running, search_tree
 from ..routes import EMPTY, FAILURE, REASON, ROUTE, SUCCESS
 from ..session import measured
 from .sequence import number_fragments
@@ -113,21 +113,18 @@ def lookup_cells(
 ) -> DataFrame:
     """:func:`cell_by_filter` for every row of ``df``: row key equal to ``column``.
 
-    With ``prefix`` the row key has to begin with it. A prefix is made an equality by cutting
-    the row keys to the prefix lengths that occur (a short list, read first), and the cells are
-    reduced to one row per key or prefix before the join, so matches are never paired up. The
-    keys asked for are measured first; while they are few, other cells are dropped at the scan.
+    With ``prefix`` the row key has to begin with it. The prefixes asked for are an index of intervals: of all
+    that a key begins with, the last one not above the key tells the others (``_by_prefix``). A cell is copied
+    once for every prefix it has, so not at all without a hit. The cells are reduced to one row per key or prefix
+    before they meet the rows, so matches are never paired up. The keys asked for are measured first; while
+    they are few, other cells are dropped at the scan.
     """
     wanted = F.col(quoted(column))
-    key = F.col("row_key")
     if prefix:
-        lengths = sorted(r[0] for r in df.select(F.length(wanted)).where(wanted.isNotNull()).distinct().collect())
-        heads = F.array(*[F.substring(key, 1, n) for n in lengths]) if lengths else F.array(key)
-        # a key shorter than the prefix is cut to itself; keep cuts of the full length only
-        cuts = F.filter(F.arrays_zip(heads.alias("head"), F.lit(lengths or [-1]).alias("n")), lambda e: F.length(e["head"]) == e["n"])
-        cells = cells.select("*", F.explode(F.transform(cuts, lambda e: e["head"])).alias("__find"))
-    else:
-        cells = cells.withColumn("__find", key)
+        found = _by_prefix(cells, df.select(wanted.alias("__find")).where(wanted.isNotNull()).distinct()).groupBy("__find").agg(*_only_row(family, qualifier, output))
+        found, found_side = measured(found, "cells")
+        return _only_row_routes(df.join(found_side(found), wanted == F.col("__find"), "left").drop("__find"), output)
+    cells = cells.withColumn("__find", F.col("row_key"))
     asked, small_side = measured(df.select(wanted.alias("__find")).where(wanted.isNotNull()).distinct(), "lookups")
     if small_side is F.broadcast:
         cells = cells.join(F.broadcast(asked), "__find", "left_semi")
@@ -139,6 +136,29 @@ def lookup_cells(
     return _only_row_routes(df.join(found, wanted == F.col("__find"), "left").drop("__find"), output)
 
 
+def _by_prefix(cells: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The cells with every one of the ``prefixes`` (column ``__find``) that their row key begins with.
+
+    Keys that begin with p are the interval from p to the next text that does not. Whatever prefixes a
+    key has, they are prefixes of the last text in the list that is not above the key, or that text itself. So a
+    key looks up that one, by a search tree, and tries those that it brings along.
+    """
+    saved, small_side = measured(prefixes, "prefixes")
+    lengths = sorted(r[0] for r in saved.select(F.length("__find")).distinct().collect())
+    if not lengths:
+        return cells.select("*", F.lit(None).cast("string").alias("__find")).where("false")
+    # the shorter prefixes that each one begins with; only the list itself is copied for this
+    heads = F.filter(F.transform(F.array(*[F.lit(n) for n in lengths]), lambda n: F.when(n < F.length("__find"), F.substring("__find", F.lit(1), n))), lambda h: h.isNotNull())
+    shorter = saved.select("__find", F.explode(heads).alias("__head")).join(small_side(saved.select(F.col("__find").alias("__head"))), "__head", "left_semi")
+    chains = saved.select("__find", F.col("__find").alias("__head")).unionByName(shorter).groupBy(F.col("__find").alias("__o")).agg(F.collect_list("__head").alias("chain"))
+    chains, _ = measured(chains, "chains")
+    numbered = running(chains, [], ["__o"], [Running("__n", "count")], split=plan_split(chains, [], ["__o"]))
+    tree = search_tree(numbered.select("__n", "__o", "chain"), [], ["chain"])
+    placed = place_among(cells, tree, [], F.col("row_key"), "__place", inclusive=True, entry="__last")
+    hits = F.filter(F.col("__last.chain"), lambda p: F.startswith(F.col("row_key"), p))
+    return placed.select(*[F.col(quoted(c)) for c in cells.columns], F.explode(hits).alias("__find"))
+
+
 def truncate_cells(cells: DataFrame, tables: str | Sequence[str]) -> DataFrame:
     """All cells but those of the named tables (a comma list is not trimmed)."""
     names = split_list(tables)

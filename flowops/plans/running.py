@@ -7,13 +7,13 @@ value inside the part. Groups below the limit keep the plain window. The data is
 in both cases, and the result does not depend on where the cuts are.
 
 Cuts are tuples of a sample of the large groups' rows, so equal values in the first order columns are
-told apart by the next ones. There is no limit to the number of parts. The cuts are a table with
-one row per large group, made by Spark, measured, and broadcast while it is small.
+told apart by the next ones. There is no limit to the number of parts: cuts are a search tree of
+tables (:mod:`flowops.plans.search`), which a row descends by one join per level, one in most cases.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import measured
+from .search import SearchTree, place_among, search_tree
 
 DEFAULT_MAX_ROWS = 5_000_000
 
@@ -48,11 +49,10 @@ class Running:
 
 @dataclass(frozen=True)
 class Split:
-    """Where large groups are cut: a table with their keys (``__k0``...) and ascending tuples (``__bounds``)."""
+    """Where large groups are cut: ascending tuples of their order, by key (``__k0``...)."""
 
     keys: tuple[str, ...]
-    bounds: DataFrame
-    small_side: Callable[[DataFrame], DataFrame]
+    cuts: SearchTree
 
 
 def _check_order(df: DataFrame, order_by: Sequence[str]) -> None:
@@ -86,7 +86,7 @@ def plan_split(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], max_
         rows = df.count()
         cores = df.sparkSession.sparkContext.defaultParallelism
         part_rows = max(1, min(max_rows or DEFAULT_MAX_ROWS, -(-rows // cores)))
-        return Split((), *_cuts(df.select(_tuple(order_by).alias("__o")), [], part_rows))
+        return Split((), _cuts(df.select(_tuple(order_by).alias("__o")), [], part_rows))
     if max_rows is None:
         return None
     counted = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("__n"))
@@ -95,10 +95,10 @@ def plan_split(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], max_
         return None
     rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], _tuple(order_by).alias("__o"))
     same = same_keys([F.col(n) for n in names], [F.col(f"{n}c") for n in names])
-    return Split(tuple(keys), *_cuts(rows.join(small_side(large), same, "left_semi"), names, max_rows))
+    return Split(tuple(keys), _cuts(rows.join(small_side(large), same, "left_semi"), names, max_rows))
 
 
-def _cuts(rows: DataFrame, names: Sequence[str], part_rows: int) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+def _cuts(rows: DataFrame, names: Sequence[str], part_rows: int) -> SearchTree:
     """Ascending different tuples of ``__o`` to cut at, per group; where they lie decides balance only.
 
     Every row has the same chance to be sampled, so a group gets cuts in proportion to its rows.
@@ -108,30 +108,13 @@ def _cuts(rows: DataFrame, names: Sequence[str], part_rows: int) -> tuple[DataFr
     some = rows if rate == 1.0 else rows.sample(rate, 17)
     found = some.groupBy(*names).agg(F.sort_array(F.collect_list("__o")).alias("__all"))
     cuts = F.array_distinct(F.filter("__all", lambda _, i: i % stride == stride - 1))
-    # falling powers of two, the strides of a binary search
-    steps = F.filter(F.array(*[F.lit(1 << k) for k in range(30, -1, -1)]), lambda step: step <= F.size("__bounds"))
-    return measured(found.select(*names, cuts.alias("__bounds")).withColumn("__steps", steps), "cuts")
-
-
-def _place(order: Column, bounds: Column, steps: Column) -> Column:
-    """Number of bounds below ``order``, by binary search."""
-    size = F.size(bounds)
-
-    def closer(place: Column, step: Column) -> Column:
-        return F.when((place + step <= size) & (F.get(bounds, place + step - 1) < order), place + step).otherwise(place)
-
-    return F.aggregate(steps, F.lit(0), closer)
+    return search_tree(found.select(*names, F.posexplode(cuts).alias("__n", "__o")), names)
 
 
 def with_part(df: DataFrame, order_by: Sequence[str], split: Split) -> DataFrame:
     """Add ``__part``, the number of the part a row is in: null in groups that are not cut."""
-    names = [c for c in split.bounds.columns if c.startswith("__k")]
-    bounds = split.small_side(split.bounds) if names else F.broadcast(split.bounds)  # without keys it is one row
-    joined = df.join(bounds, same_keys([F.col(k) for k in split.keys], [F.col(n) for n in names]), "left")
-    place = F.when(F.col("__bounds").isNotNull(), _place(_tuple(order_by), F.col("__bounds"), F.col("__steps")))
-    if not names:
-        place = F.coalesce(place, F.lit(0))
-    return joined.withColumn(PART, place).drop(*names, "__bounds", "__steps")
+    placed = place_among(df, split.cuts, [F.col(k) for k in split.keys], _tuple(order_by), PART)
+    return placed if split.keys else placed.withColumn(PART, F.coalesce(PART, F.lit(0)))
 
 
 def join_parts(work: DataFrame, keys: Sequence[str], parts: DataFrame) -> DataFrame:

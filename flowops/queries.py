@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .operators import cdc, cells, columns, enrich, jsonops, kv, sequence, state, xmlops
 from .session import scratch_path, spread
 from .sources import files, sql
+from .sources.buckets import BucketTable, change_stored
 from .streaming import batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -655,6 +656,33 @@ def cells_last_value(spark, sf_dir):
     return cells.lookup_cells(rows, named, "row", prefix=True).select("o_orderkey", "value", "route")
 
 
+#: Prefixes of 13 to 18 letters, one within the other, of customers' names.
+PREFIX_SQL = """
+    WITH a AS (SELECT o_orderkey, left('Customer#' || lpad(o_custkey::VARCHAR, 9, '0'), 13 + (o_orderkey % 6)::INTEGER) AS head FROM orders),
+    h AS (SELECT left(c_name, n::INTEGER) AS head, count(*) AS n, any_value(c_mktsegment) AS v FROM customer, range(13, 19) t(n) GROUP BY left(c_name, n::INTEGER))
+    SELECT o_orderkey, CASE WHEN n = 1 THEN v END AS value,
+           CASE WHEN n IS NULL THEN 'empty' WHEN n > 1 THEN 'failure' ELSE 'success' END AS route
+    FROM a LEFT JOIN h ON a.head = h.head"""
+
+
+@register("lookup_cells_prefix", PREFIX_SQL)
+def lookup_cells_prefix(spark, sf_dir):
+    named = cells.to_cells(table(spark, sf_dir, "customer"), "customer", "c_name", ["c_mktsegment", "c_nationkey"])
+    name = F.concat(F.lit("Customer#"), F.lpad(text("o_custkey"), 9, "0"))
+    asked = table(spark, sf_dir, "orders").select("o_orderkey", F.substring(name, F.lit(1), (13 + F.col("o_orderkey") % 6).cast("int")).alias("head"))
+    found = cells.lookup_cells(asked, named, "head", family="f", qualifier="c_mktsegment", prefix=True)
+    return found.select("o_orderkey", "value", "route")
+
+
+@register("kv_put_stored", f"WITH {KV_SQL} SELECT key, arg_max(value, ord) AS value FROM u GROUP BY key UNION ALL SELECT key, value FROM t WHERE key NOT IN (SELECT key FROM u)")
+def kv_put_stored(spark, sf_dir):
+    """The same on a stored table of which only the buckets of changed keys are rewritten."""
+    stored = BucketTable(scratch_path(spark, "kv"), batches.KEY_VALUE, ("key",), 32)
+    stored.write(supplier_kv(spark, sf_dir), 0)
+    change_stored(stored, order_updates(spark, sf_dir), ["key"], lambda rows, updates: kv.kv_put(rows, updates, "ord"))
+    return stored.read(spark)
+
+
 @register("truncate_cells", """SELECT 'customer' AS "table", count(*) AS rows FROM customer""")
 def truncate_cells(spark, sf_dir):
     both = customer_cells(spark, sf_dir).unionByName(cells.to_cells(table(spark, sf_dir, "supplier"), "supplier", "s_suppkey", ["s_name"]))

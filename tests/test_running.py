@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowops.operators.sequence import assign_sequence, number_fragments, sequence_after
 from flowops.operators.state import HOLDING, REPLACE_WHEN, check_state, check_state_after, hold_release, hold_release_after
-from flowops.plans import Running, plan_split, running, with_part
+from flowops.plans import Running, place_among, plan_split, running, search_tree, with_part
 
 LIMITS = [None, 7]  # 7 rows per group: nearly every group is cut
 
@@ -181,7 +181,8 @@ def test_small_groups_get_few_cuts(spark):
     for order in ("id", "text"):
         rows = big.unionByName(some).withColumn("text", F.lpad(F.col("id").cast("string"), 8, "0"))
         split = plan_split(rows, ["k"], [order], 100)
-        cuts = {r["__k0"]: len(r["__bounds"]) for r in split.bounds.collect()}
+        leaves = split.cuts.levels[0][0]
+        cuts = {r["__k0"]: r["n"] for r in leaves.groupBy("__k0").agg(F.sum(F.size("__tree_values")).alias("n")).collect()}
         assert len(cuts) == 11 and 100 <= cuts["big"] <= 400
         assert all(1 <= n <= 4 for k, n in cuts.items() if k != "big")
 
@@ -202,7 +203,8 @@ def test_a_group_of_one_day_is_cut_by_its_second_column(spark):
 def test_ten_thousand_parts(spark):
     rows = spark.range(40_000).repartition(4).select((F.col("id") % 3).alias("a"), (F.col("id") * 17 % 40_009).alias("b"), F.lit("x").alias("k"))
     split = plan_split(rows, ["k"], ["a", "b"], 4)
-    assert split.bounds.select(F.size("__bounds").alias("n")).first()["n"] >= 9_900
+    assert len(split.cuts.levels) == 2
+    assert split.cuts.levels[0][0].agg(F.sum(F.size("__tree_values")).alias("n")).first()["n"] >= 9_900
     got = running(rows, ["k"], ["a", "b"], [Running("n", "count"), Running("top", "max", F.col("b"))], split=split)
     want = running(rows, ["k"], ["a", "b"], [Running("n", "count"), Running("top", "max", F.col("b"))])
     assert got.exceptAll(want).isEmpty() and got.count() == 40_000
@@ -223,3 +225,24 @@ def test_hold_release_by_two_order_columns(spark):
     df = spark.createDataFrame(rows, "day int, id long, topic string, k string, action string, dup string").repartition(3)
     one, cut = (hold_release(df, "topic", "k", "action", ["day", "id"], duplicate="dup", max_rows=n) for n in (None, 11))
     assert cut.exceptAll(one).isEmpty() and cut.count() == 500
+
+
+@pytest.mark.parametrize("inclusive", [False, True])
+def test_places_in_a_search_tree(spark, inclusive):
+    import bisect
+
+    rnd = random.Random(4)
+    groups = {"a": sorted(rnd.sample(range(300_000), 70_000)), "b": [5, 7], None: [1]}
+    values = spark.createDataFrame([(g, i, v) for g, vs in groups.items() for i, v in enumerate(vs)], "g string, __n long, __o long").withColumn("tag", F.array("__o", "__n"))
+    tree = search_tree(values, ["g"], ["tag"])
+    assert len(tree.levels) == 3
+    asked = [(g, rnd.randrange(-5, 300_005)) for g in ["a"] * 300 + ["b", None, "c"] * 10] + [("b", v) for v in (4, 5, 6, 7, 8)]
+    rows = spark.createDataFrame(asked, "g string, v long")
+    got = place_among(rows, tree, [F.col("g")], F.col("v"), "place", inclusive=inclusive, entry="last").collect()
+    assert len(got) == len(asked)
+    for r in got:
+        own = groups.get(r["g"])
+        want = None if own is None else (bisect.bisect_right if inclusive else bisect.bisect_left)(own, r["v"])
+        assert r["place"] == want
+        assert (r["last"]["__o"] if r["last"] else None) == (own[want - 1] if want else None)
+        assert not want or r["last"]["tag"] == [own[want - 1], want - 1]

@@ -244,3 +244,20 @@ def test_enrich_lookups(spark, cells, table, emp_view):
     assert got == {1: ("failure", None), 2: ("success", '{"p":"Bob"}'), 3: ("failure", None), 4: ("success", '{"p":"Cy"}')}
     with pytest.raises(ValueError):
         enrich(df, {"extract-to-json": {"p": {"type": "HBASE", "value": "x"}}}, cells=cells)
+
+
+def test_lookup_by_nested_prefixes(spark):
+    rnd = __import__("random").Random(2)
+    keys = sorted({"".join(rnd.choice("abé") for _ in range(rnd.randint(0, 6))) for _ in range(300)})
+    cells = spark.createDataFrame([("t", k, "f", "q", f"v{k}", 0) for k in keys], "table string, row_key string, family string, qualifier string, value string, ts long")
+    asked = sorted({"".join(rnd.choice("abé") for _ in range(rnd.randint(1, 5))) for _ in range(400)}) + ["", "zz", None]
+    got = C.lookup_cells(spark.createDataFrame([(p,) for p in asked], "p string"), cells, "p", prefix=True).collect()
+    assert len(got) == len(asked)
+    for r in got:
+        hits = [] if r["p"] is None else [k for k in keys if k.startswith(r["p"])]
+        assert (r["route"], r["value"]) == (("empty", None) if not hits else ("failure", None) if len(hits) > 1 else ("success", f"v{hits[0]}"))
+    # a cell is copied for its hits only
+    some = spark.createDataFrame([("ab",), ("abab",), ("zz",)], "__find string")
+    copies = [(r["row_key"], r["__find"]) for r in C._by_prefix(cells, some).collect()]
+    assert sorted(copies) == sorted((k, p) for k in keys for p in ("ab", "abab", "zz") if k.startswith(p))
+    assert C.lookup_cells(spark.createDataFrame([(None,)], "p string"), cells, "p", prefix=True).first()["route"] == "empty"
