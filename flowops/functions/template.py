@@ -80,6 +80,27 @@ def template(text: str, columns: Iterable[str]) -> Column:
     return Template.parse(text).render(lambda name: F.col(quoted(name)) if name in known else None)
 
 
+def template_text(text: Column, values: Column) -> Column:
+    """Fill in a template that is a column itself, from a map of names to texts; null stays null.
+
+    The text between the marks and the marks come from one pattern each, so a value that looks
+    like a mark is not filled in again.
+    """
+    mark = r"\$\{([^}]*)\}"
+    constant = r"""^\s*literal\(\s*(?:"([^"]*)"|'([^']*)')\s*\)\s*$"""
+
+    def fill(name: Column) -> Column:
+        bare = F.trim(name)
+        unquoted = F.when(bare.rlike(r"""^(?s)(?:"[^"]*"|'[^']*')$"""), F.substring(bare, F.lit(2), F.length(bare) - 2)).otherwise(bare)
+        fixed = F.concat(F.regexp_extract(name, constant, 1), F.regexp_extract(name, constant, 2))
+        return F.when(name.rlike(constant), fixed).otherwise(F.coalesce(F.element_at(values, unquoted), F.lit("")))
+
+    parts = F.split(text, mark, -1)
+    marks = F.regexp_extract_all(text, F.lit(mark), F.lit(1))
+    filled = F.zip_with(parts, marks, lambda part, name: F.concat(part, F.when(name.isNotNull(), fill(name)).otherwise(F.lit(""))))
+    return F.when(text.contains("${"), F.array_join(filled, "")).otherwise(text)
+
+
 def expand_again(text: Column, columns: Mapping[str, Column], passes: int) -> tuple[Column, Callable[[Column], Column]]:
     """Re-expand already expanded text until nothing is left, at most ``passes`` times.
 

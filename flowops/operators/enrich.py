@@ -11,6 +11,10 @@ template or ``{"value": template, "type": kind, "default": any, "to-type": name}
   the row that is first by the result columns ``"order-by"``.
 
 Every lookup becomes one left join with a lookup side of one row per key.
+
+``enrich`` takes one config for all records and makes a column of every attribute. ``enrich_rows``
+takes a config from each record: entries become rows, every kind of lookup is one join for
+all entries of all records, and the results are gathered by record again.
 """
 
 from __future__ import annotations
@@ -23,10 +27,11 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.template import quoted, template
-from ..functions.values import convert, convert_failed
-from ..routes import FAILURE, REASON, ROUTE, with_route
-from ..sources.sql import lateral_first
+from ..functions.template import quoted, template, template_text
+from ..functions.values import TYPE_NAMES, convert, convert_failed
+from ..routes import FAILURE, REASON, ROUTE, SUCCESS, with_route
+from ..session import cut_lineage
+from ..sources.sql import MAX_SHAPES, lateral_first, sql_scalar_content
 from .cells import lookup_cells, scan
 
 TO_ATTRIBUTES = "extract-to-attributes"
@@ -180,3 +185,162 @@ def enrich(
         outputs[content] = F.when(failed, old).otherwise(document)
     keep = [F.col(quoted(c)) for c in df.columns if c not in outputs]
     return rows.select(*keep, *[v.alias(k) for k, v in outputs.items()], ROUTE, REASON)
+
+
+# ----------------------------------------------------------------------- a config in every record
+
+
+def _member(entry: Column, name: str) -> Column:
+    return F.try_variant_get(entry, f"$['{name}']", "variant")
+
+
+def _plain_text(value: Column) -> Column:
+    """Text of a JSON value: a string as it is, anything else as JSON; null where there is none."""
+    kind = F.schema_of_variant(value)
+    return F.when(kind == "STRING", F.try_variant_get(value, "$", "string")).when(kind != "VOID", F.to_json(value))
+
+
+def _entry_rows(records: DataFrame) -> DataFrame:
+    """One row per entry of a record's config: what it is, its text filled in, and what it falls back to."""
+    sections = F.array(*[F.struct(F.lit(k).alias("section"), F.try_variant_get(F.col("__config"), f"$['{name}']", "map<string,variant>").alias("entries")) for k, name in enumerate((TO_ATTRIBUTES, TO_JSON))])
+    rows = records.select("__rid", "__values", F.explode(sections).alias("s"))
+    rows = rows.select("__rid", "__values", F.col("s.section").alias("section"), F.explode("s.entries").alias("name", "entry"))
+    mapping = F.schema_of_variant("entry").startswith("OBJECT")
+    member = lambda name: F.when(mapping, _member(F.col("entry"), name))
+    default = member("default")
+    shape = F.schema_of_variant(default)
+    # an untyped default keeps its own JSON type, a found value stays text
+    typed = shape.isin("BOOLEAN", "BIGINT", "DOUBLE") | shape.startswith("DECIMAL")
+    text = F.when(mapping, _plain_text(member("value"))).otherwise(_plain_text(F.col("entry")))
+    kind = F.coalesce(_plain_text(member("type")), F.lit(""))
+    kind = F.when(kind.isin(*CACHE_KINDS), "cache").when(kind.isin(*CELL_KINDS), "cell").when(kind == "SQL", "sql").otherwise("text")
+    return rows.select(
+        "__rid",
+        "section",
+        "name",
+        mapping.alias("mapping"),
+        F.when(F.coalesce(text, F.lit("")) == "", "none").otherwise(kind).alias("kind"),
+        template_text(text, F.col("__values")).alias("text"),
+        _plain_text(member("hbase-table")).alias("cell_table"),
+        _plain_text(member("to-type")).alias("to_type"),
+        _plain_text(default).alias("default"),
+        F.when(F.coalesce(typed, F.lit(False)), default).alias("typed_default"),
+    )
+
+
+def _found(entries: DataFrame, kv: DataFrame | None, cells: DataFrame | None, max_shapes: int) -> DataFrame:
+    """``__rid``, ``section``, ``name``, ``found`` and ``why`` (null unless the lookup failed) of all entries that look something up."""
+    keys = ["__rid", "section", "name"]
+    none = F.lit(None).cast("string")
+    parts = []
+
+    asked = entries.where("kind = 'cache'").select(*keys, F.nullif("text", F.lit("")).alias("text"))
+    if kv is None:
+        parts.append(asked.select(*keys, none.alias("found"), F.lit("a CACHE entry needs the kv table").alias("why")))
+    else:
+        lookup = kv.groupBy(F.col("key").alias("__key")).agg(F.min("value").alias("found"), (F.count(F.lit(1)) > 1).alias("__many"))
+        joined = asked.join(lookup, F.col("text") == F.col("__key"), "left")
+        parts.append(joined.select(*keys, "found", F.when(F.col("__many"), F.concat(F.lit("more than one row for the key "), F.col("text"))).alias("why")))
+
+    asked = entries.where("kind = 'cell'").select(*keys, "cell_table", "text")
+    exact, prefix = (F.regexp_extract_all("text", F.lit(p.pattern.replace("?P<key>", "").replace("?P<prefix>", "")), F.lit(1)) for p in (_ROW_FILTER, _PREFIX_FILTER))
+    asked = asked.withColumns({"__exact": F.get(exact, 0), "__prefix": F.get(prefix, 0)})
+    wrong = (
+        F.when(F.col("cell_table").isNull(), F.concat(F.lit("hbase-table argument missing for "), F.col("name")))
+        .when(F.col("__exact").isNull() & F.col("__prefix").isNull(), F.concat(F.lit("row filter not understood: "), F.col("text")))
+        .when(F.col("__prefix") != F.col("__exact"), F.concat(F.lit("a key filter with another prefix is not supported: "), F.col("text")))
+    )
+    asked = asked.withColumn("__wrong", F.lit("a cell lookup needs the cells table") if cells is None else wrong)
+    parts.append(asked.where("__wrong is not null").select(*keys, none.alias("found"), F.col("__wrong").alias("why")))
+    if cells is not None:
+        # table and row key together are one key, so all tables are looked up at once
+        whole = cells.withColumn("row_key", F.concat("table", F.lit("\x01"), "row_key"))
+        asked = asked.where("__wrong is null")
+        for by_prefix, test in ((False, F.col("__exact").isNotNull()), (True, F.col("__exact").isNull())):
+            own = asked.where(test).select(*keys, "cell_table", F.concat("cell_table", F.lit("\x01"), F.coalesce("__exact", "__prefix")).alias("__row"))
+            hits = lookup_cells(own, whole, "__row", prefix=by_prefix, output="found")
+            parts.append(hits.select(*keys, "found", F.concat("cell_table", F.lit(": "), REASON).alias("why")))
+
+    asked = entries.where("kind = 'sql'").select(*keys, F.col("text").alias("__sql"))
+    told = sql_scalar_content(asked, "__sql", "found", max_shapes=max_shapes)
+    parts.append(told.select(*keys, "found", F.when(F.col(ROUTE) == FAILURE, F.coalesce(REASON, F.lit("the query failed"))).alias("why")))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def _as_variant(value: Column, to_type: Column) -> Column:
+    """Text as a value of the named type; null where it is none."""
+    typed = F.when(to_type.isNull() | ~to_type.isin(*TYPE_NAMES), value.cast("variant"))
+    for name in TYPE_NAMES:
+        typed = typed.when(to_type == name, convert(value, name).cast("variant"))
+    return typed
+
+
+def enrich_rows(
+    df: DataFrame,
+    config: str = "content",
+    *,
+    kv: DataFrame | None = None,
+    cells: DataFrame | None = None,
+    content: str = "content",
+    attributes: str = "attributes",
+    max_shapes: int = MAX_SHAPES,
+) -> DataFrame:
+    """:func:`enrich` with a config from every record, the JSON text in the column ``config``.
+
+    The attributes are a map, since names differ from record to record; records whose config has
+    the JSON section get it as ``content``. A text that is no JSON object, a filter that is not
+    understood, and a query that Spark cannot analyse, send the record to ``failure`` as well. Queries that differ in
+    literals only share a plan (:func:`~flowops.sources.sql.sql_rows_content`); the text after
+    filling in must name what it reads, and an ``order-by`` is not taken.
+    """
+    names = df.columns
+    given = F.try_parse_json(F.col(quoted(config)).cast("string"))
+    values = F.map_from_arrays(F.array(*[F.lit(c) for c in names]), F.array(*[F.col(quoted(c)).cast("string") for c in names]))
+    records = df.withColumns({"__rid": F.monotonically_increasing_id(), "__config": given, "__values": values})
+    # written, so that a record keeps its number
+    records = cut_lineage(records, "records")
+    entries = cut_lineage(_entry_rows(records), "entries")
+    found = _found(entries, kv, cells, max_shapes)
+    keys = ["__rid", "section", "name"]
+    joined = entries.join(found, keys, "left")
+    looked = F.nullif(F.when(F.col("kind") == "none", F.lit(None).cast("string")).when(F.col("kind") == "text", F.col("text")).otherwise(F.col("found")), F.lit(""))
+    chosen = F.coalesce(looked, F.col("default"))
+    failed = F.col("to_type").isNotNull() & chosen.isNotNull() & _as_variant(chosen, F.col("to_type")).isNull()
+    plain = F.when(F.col("kind") == "none", F.when(F.col("text").isNotNull(), F.col("text"))).otherwise(F.col("text"))
+    value = (
+        F.when(~F.col("mapping"), plain.cast("variant"))
+        .when(F.col("to_type").isNull() & F.col("typed_default").isNotNull(), F.coalesce(looked.cast("variant"), F.col("typed_default")))
+        .otherwise(_as_variant(chosen, F.col("to_type")))
+    )
+    why = F.coalesce("why", F.when(failed, F.concat(F.col("name"), F.lit(": not a "), F.col("to_type"), F.lit(": "), chosen)))
+    told = joined.select(*keys, value.alias("value"), why.alias("why"))
+    pair = lambda section, v: F.collect_list(F.when(F.col("section") == section, F.struct(F.col("name").alias("k"), v.alias("v"))))
+    gathered = told.groupBy(F.col("__rid").alias("__of")).agg(
+        F.min(F.when(F.col("why").isNotNull(), F.struct("section", "name", "why"))).alias("__why"),
+        pair(0, F.col("value").cast("string")).alias("__attributes"),
+        pair(1, F.to_json("value")).alias("__json"),
+    )
+    rows = records.join(gathered, F.col("__rid") == F.col("__of"), "left")
+    object_ = F.schema_of_variant("__config").startswith("OBJECT")
+    reason = F.when(~F.coalesce(object_, F.lit(False)), "the config is not a JSON object").otherwise(F.col("__why.why"))
+    route = F.when(reason.isNull(), SUCCESS).otherwise(FAILURE)
+    none = F.array().cast("array<struct<k:string,v:string>>")
+    made = F.map_from_entries(F.coalesce(F.array_sort("__attributes"), none))
+    fields = F.array_sort(F.coalesce("__json", none))
+    document = F.concat(F.lit("{"), F.array_join(F.transform(fields, lambda e: F.concat(_json_text(e["k"]), F.lit(":"), F.coalesce(e["v"], F.lit("null")))), ","), F.lit("}"))
+    has_json = F.try_variant_get("__config", f"$['{TO_JSON}']", "map<string,variant>").isNotNull()
+    old = F.col(quoted(content)).cast("string") if content in names else F.lit(None).cast("string")
+    outputs = {
+        content: F.when((route == SUCCESS) & has_json, document).otherwise(old),
+        attributes: F.when(route == SUCCESS, made),
+    }
+    keep = [F.col(quoted(c)) for c in names if c not in outputs]
+    return rows.select(*keep, *[v.alias(k) for k, v in outputs.items()], route.alias(ROUTE), reason.alias(REASON))
+
+
+def _json_text(text: Column) -> Column:
+    """A JSON string."""
+    return F.to_json(text.cast("variant"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -796,6 +798,110 @@ def enrich_orders(spark, sf_dir):
     return done.select("o_orderkey", "label", "supplier", "content", "route")
 
 
+CONTENT_SQL = """
+    WITH q AS (SELECT c_custkey, c_nationkey, c_custkey % 4 AS kind FROM customer),
+    a AS (SELECT c_custkey, o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, NULL::VARCHAR AS n_name, NULL::VARCHAR AS priority, orders.o_orderkey AS ord
+          FROM q LEFT JOIN orders ON o_custkey = c_custkey WHERE kind = 0
+          UNION ALL SELECT c_custkey, o_orderkey::VARCHAR, NULL, NULL, o_orderpriority, orders.o_orderkey
+          FROM q LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'F' AND o_orderkey > 10 WHERE kind = 2
+          UNION ALL SELECT c_custkey, NULL, NULL, n_name, NULL, NULL FROM q LEFT JOIN nation ON n_nationkey = c_nationkey WHERE kind = 1)
+    SELECT c_custkey, o_orderkey, o_orderstatus, n_name, priority,
+           CASE WHEN ord IS NOT NULL THEN row_number() OVER (PARTITION BY c_custkey ORDER BY ord) END AS frag_index,
+           CASE WHEN ord IS NOT NULL OR n_name IS NOT NULL THEN 'success' ELSE 'empty' END AS route FROM a
+    UNION ALL SELECT c_custkey, NULL, NULL, NULL, NULL, NULL, 'failure' FROM q WHERE kind = 3"""
+
+
+def customer_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers, each with the text of a query of one of three shapes, or of one that cannot run."""
+    orders, nation = view(spark, sf_dir, "orders"), view(spark, sf_dir, "nation")
+    kind = F.col("c_custkey") % 4
+    key = text("c_custkey")
+    query = (
+        F.when(kind == 0, F.concat(F.lit(f"SELECT o_orderkey, o_orderstatus FROM {orders} WHERE o_custkey = "), key))
+        .when(kind == 1, F.concat(F.lit(f"SELECT n_name FROM {nation} WHERE n_nationkey = "), text("c_nationkey")))
+        .when(kind == 2, F.concat(F.lit(f"SELECT o_orderkey, o_orderpriority AS priority FROM {orders} WHERE o_custkey = "), key, F.lit(" AND o_orderstatus = 'F' AND o_orderkey > 10;")))
+        .otherwise(F.lit("SELECT FROM nothing"))
+    )
+    return table(spark, sf_dir, "customer").select("c_custkey", query.alias("content"))
+
+
+@register("sql_rows_content", CONTENT_SQL)
+def sql_rows_content(spark, sf_dir):
+    rows = sql.sql_rows_content(customer_queries(spark, sf_dir), parent=["c_custkey"], order_by="o_orderkey")
+    return rows.select("c_custkey", "o_orderkey", "o_orderstatus", "n_name", "priority", "frag_index", "route")
+
+
+@register(
+    "sql_scalar_content",
+    """
+    SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN coalesce(n, 0)::VARCHAR ELSE coalesce(low::VARCHAR, '') END AS answer
+    FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, min(o_orderkey) AS low FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey""",
+)
+def sql_scalar_content(spark, sf_dir):
+    orders = view(spark, sf_dir, "orders")
+    what = F.when(F.col("c_custkey") % 2 == 0, "count(*)").otherwise("min(o_orderkey)")
+    query = F.concat(F.lit("SELECT "), what, F.lit(f" FROM {orders} WHERE o_custkey = "), text("c_custkey"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", query.alias("query"))
+    return sql.sql_scalar_content(rows, "query", "answer").select("c_custkey", "answer")
+
+
+@register(
+    "enrich_rows",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'order ' || o_orderkey END AS label,
+           CASE WHEN o_orderkey % 2 = 0 THEN coalesce(s_name, 'nobody') END AS supplier,
+           CASE WHEN o_orderkey % 2 = 1 THEN '{"cust":' || o_custkey || ',"miss":-1,"nation":' || c_nationkey || ',"plain":"' || o_orderstatus || '","segment":"' || c_mktsegment || '"}' END AS content,
+           'success' AS route
+    FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN supplier ON s_suppkey = o_custkey""",
+)
+def enrich_rows(spark, sf_dir):
+    """Two configs in one table."""
+    attributes = {"extract-to-attributes": {"label": "order ${o_orderkey}", "supplier": {"type": "CACHE", "value": "k${o_custkey}", "default": "nobody"}}}
+    fields = {
+        "plain": "${o_orderstatus}",
+        "cust": {"value": "${o_custkey}", "to-type": "long"},
+        "miss": {"type": "CACHE_KEY", "value": "none-${o_custkey}", "default": -1, "to-type": "int"},
+        "nation": {"type": "HBASE_FILTER", "hbase-table": "customer", "value": "RowFilter(=, 'binary:${o_custkey}')", "to-type": "int"},
+        "segment": {"type": "SQL", "value": f"SELECT max(c_mktsegment) FROM {view(spark, sf_dir, 'customer')} WHERE c_custkey = ${{o_custkey}}"},
+    }
+    config = F.when(F.col("o_orderkey") % 2 == 0, json.dumps(attributes)).otherwise(json.dumps({"extract-to-json": fields}))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", config.alias("config"))
+    done = enrich.enrich_rows(rows, "config", kv=supplier_kv(spark, sf_dir), cells=customer_cells(spark, sf_dir))
+    return done.select("o_orderkey", F.col("attributes.label").alias("label"), F.col("attributes.supplier").alias("supplier"), "content", "route")
+
+
+@register("truncate_tables", "SELECT 'success' AS route, count(*) AS rows_before, 0::BIGINT AS rows_after FROM supplier")
+def truncate_tables(spark, sf_dir):
+    """A catalog table is filled, emptied and read."""
+    name = f"flow_{uuid.uuid4().hex}"
+    table(spark, sf_dir, "supplier").write.saveAsTable(name)
+    try:
+        before = spark.table(name).count()
+        done = sql.truncate_tables(spark, name)
+        after = spark.table(name).count()
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return done.select("route", F.lit(before).cast("bigint").alias("rows_before"), F.lit(after).cast("bigint").alias("rows_after"))
+
+
+@register("cell_value", "SELECT c_custkey::VARCHAR AS row_key, c_mktsegment AS segment, NULL::VARCHAR AS missing FROM customer")
+def cell_value(spark, sf_dir):
+    rows = cells.scan_cells(customer_cells(spark, sf_dir), "customer", name_format="family.qualifier")
+    return rows.select("row_key", cells.cell_value(F.col("attrs"), "f", "c_mktsegment").alias("segment"), cells.cell_value(F.col("attrs"), "g", "c_mktsegment").alias("missing"))
+
+
+@register(
+    "fragment_ids",
+    """
+    SELECT o_orderkey, sha256(o_custkey::VARCHAR || chr(31) || o_orderstatus) AS frag_id,
+           row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderdate, o_orderkey) AS frag_index,
+           count(*) OVER (PARTITION BY o_custkey, o_orderstatus) AS frag_count FROM orders""",
+)
+def fragment_ids(spark, sf_dir):
+    rows = sequence.number_fragments(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderstatus"], ["o_orderdate", "o_orderkey"])
+    return rows.select("o_orderkey", "frag_id", "frag_index", "frag_count")
+
+
 # --------------------------------------------------------------------------- state and sequences
 
 STATE_SQL = {

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from flowops.operators import cells as C
 from flowops.operators import kv as K
-from flowops.operators.enrich import enrich
+from flowops.operators.enrich import enrich, enrich_rows
 from flowops.sources import sql as S
 
 
@@ -261,3 +261,99 @@ def test_lookup_by_nested_prefixes(spark):
     copies = [(r["row_key"], r["__find"]) for r in C._by_prefix(cells, some).collect()]
     assert sorted(copies) == sorted((k, p) for k in keys for p in ("ab", "abab", "zz") if k.startswith(p))
     assert C.lookup_cells(spark.createDataFrame([(None,)], "p string"), cells, "p", prefix=True).first()["route"] == "empty"
+
+
+def test_queries_from_the_record(spark):
+    spark.createDataFrame([(1, "a", 5), (1, "b", 6), (2, "it's", 7)], "k int, v string, n long").createOrReplaceTempView("content_rows")
+    queries = [
+        "SELECT v, n FROM content_rows WHERE k = 1",
+        "select v,  n FROM content_rows WHERE k = 2;",
+        "SELECT v, n FROM content_rows WHERE k = 2",
+        "SELECT v, n FROM content_rows WHERE k = 77",
+        "SELECT n FROM content_rows WHERE v = 'it''s' -- 5 is no literal",
+        "SELECT v FROM content_rows WHERE v = 'a' AND n > 3 LIMIT 1",
+        "SELECT DATE '2020-01-02' AS d, substr('hello', 2, 3) AS s, 1.50 + 1 AS z, '${id}' AS lit, cast(1 AS decimal(10, 2)) AS dec",
+        "SELECT nope FROM content_rows",
+        "DROP TABLE content_rows",
+        "SELECT v FROM content_rows WHERE k = ${id}",
+        " ; ",
+        None,
+    ]
+    df = spark.createDataFrame(list(enumerate(queries)), "id int, content string")
+    rows = S.sql_rows_content(df, parent=["id"], order_by=["n", "v"]).collect()
+    assert all(r["content"] == queries[r["id"]] for r in rows)
+    got = {(r["id"], r["frag_index"]): r for r in rows}
+    assert {k: (r["v"], r["n"]) for k, r in got.items() if k[0] < 3} == {(0, 1): ("a", "5"), (0, 2): ("b", "6"), (1, 1): ("it's", "7"), (2, 1): ("it's", "7")}
+    assert got[3, None]["route"] == "empty"
+    assert got[4, 1]["n"] == "7" and got[5, 1]["v"] == "a"
+    assert tuple(got[6, None][c] for c in ("d", "s", "z", "lit", "dec")) == ("2020-01-02", "ell", "2.50", "${id}", "1.00")
+    assert [got[n, None]["route"] for n in range(7, 12)] == ["failure"] * 5
+    assert len(rows) == 13 and all(got[n, None]["reason"] for n in range(7, 12))
+    one = {r["id"]: (r["route"], r["out"]) for r in S.sql_scalar_content(df.where("id in (1, 3, 4, 6, 7)"), output="out").collect()}
+    assert one == {1: ("success", "it's"), 3: ("empty", None), 4: ("success", "7"), 6: ("success", "2020-01-02"), 7: ("failure", None)}
+    # shapes beyond the limit are failures; the commonest one runs
+    few = {r["id"]: r["route"] for r in S.sql_rows_content(df.where("id in (2, 3, 5)"), parent=["id"], max_shapes=1).collect()}
+    assert few == {2: "success", 3: "empty", 5: "failure"}
+    assert S.sql_rows_content(df.where("false"), parent=["id"]).count() == 0
+
+
+def test_equal_shapes_share_a_plan(spark):
+    spark.range(100).selectExpr("id AS k", "concat('v', id) AS v").createOrReplaceTempView("shape_rows")
+    query = F.concat(F.lit("SELECT v FROM shape_rows WHERE k = "), F.col("id").cast("string"), F.lit(" AND v <> 'x''"), F.col("id").cast("string"), F.lit("'"))
+    told = S.sql_rows_content(spark.range(100).select("id", query.alias("content")), parent=["id"], max_shapes=1)
+    assert {r["id"]: (r["route"], r["v"]) for r in told.collect()} == {i: ("success", f"v{i}") for i in range(100)}
+
+
+def test_enrich_rows_agrees_with_enrich(spark):
+    kv = spark.createDataFrame([("a", "A!"), ("b", ""), ("d", "1"), ("d", "2")], "key string, value string")
+    cells = spark.createDataFrame(
+        [("t", "r1", "f", "q1", "x", 0), ("t", "r1", "f", "q2", "7", 0), ("t", "r22", "f", "q", "y", 0), ("u", "r1", "f", "q", "z", 0)],
+        "table string, row_key string, family string, qualifier string, value string, ts long",
+    )
+    spark.createDataFrame([(1, "one"), (2, "it's")], "k int, v string").createOrReplaceTempView("enrich_values")
+    attributes, fields = "extract-to-attributes", "extract-to-json"
+    cell = lambda value, **more: {"type": "HBASE", "hbase-table": "t", "value": value, **more}
+    configs = [
+        {
+            attributes: {"p": "${n}-${s}${literal('x')}${zz}", "c": {"type": "CACHE", "value": "${s}", "default": "none"}, "i": {"value": "12", "to-type": "int"}, "nul": None},
+            fields: {
+                "n": {"value": "${n}", "to-type": "long"},
+                "dflt": {"type": "CACHE_KEY", "value": "zz", "default": -1},
+                "dd": {"value": "", "default": 1.5},
+                "q": {"type": "SQL", "value": "SELECT v FROM enrich_values WHERE k = ${n}"},
+                "h": cell("RowFilter(=, 'binary:r1')", **{"to-type": "int"}),
+                "z": None,
+            },
+        },
+        {attributes: {"h": cell("PrefixFilter('r2')"), "w": cell("RowFilter(=, 'binary:r1') AND PrefixFilter('r1')"), "k": {"type": "SQL", "value": "SELECT v FROM enrich_values WHERE v = 'it''s'"}}},
+        {attributes: {"b": {"value": "x", "to-type": "double", "default": "3"}}},
+        {fields: {}},
+        {attributes: {"m": {"type": "CACHE", "value": "d"}}},
+        {attributes: {"h": cell("PrefixFilter('r')")}},
+        {
+            attributes: {"f": {"value": "2.50", "to-type": "decimal"}, "t": {"value": "", "default": True}},
+            fields: {"f": {"value": "2.50", "to-type": "float"}, "t": {"value": "", "default": True}, 's"q': "tab\there"},
+        },
+        {},
+    ]
+    broken = [
+        [1],
+        "no json",
+        None,
+        {attributes: {"h": {"type": "HBASE", "value": "PrefixFilter('r')"}}},
+        {attributes: {"h": cell("KeyOnlyFilter()")}},
+        {attributes: {"q": {"type": "SQL", "value": "SELECT nope FROM enrich_values"}}},
+    ]
+    texts = [c if isinstance(c, str) or c is None else json.dumps(c) for c in configs + broken]
+    df = spark.createDataFrame([(i + 1, "a", t) for i, t in enumerate(texts)], "n int, s string, content string")
+    got = {r["n"]: r for r in enrich_rows(df, kv=kv, cells=cells).collect()}
+    assert len(got) == len(texts)
+    for n, config in enumerate(configs, 1):
+        want = enrich(df.where(F.col("n") == n), config, kv=kv, cells=cells).first().asDict()
+        assert (got[n]["route"], got[n]["reason"], got[n]["content"]) == (want["route"], want["reason"], want["content"])
+        if want["route"] == "success":
+            assert got[n]["attributes"] == {k: want[k] for k in config.get(attributes, {})}
+    for n in range(len(configs) + 1, len(texts) + 1):
+        assert got[n]["route"] == "failure" and got[n]["reason"] and got[n]["content"] == texts[n - 1]
+    bare = enrich_rows(df.where("n in (1, 2, 4)")).collect()
+    assert {r["n"]: r["route"] for r in bare} == {1: "failure", 2: "failure", 4: "success"}
