@@ -53,14 +53,38 @@ _DECLARATION = (
 )
 
 
-def _xml_problem(text: Column) -> Column:
-    """What keeps a text from being one XML document; null if nothing does. A DTD is not read."""
+#: Parts the answers of several paths; no XML document can hold it.
+_SEPARATOR = "\x01"
+#: Of a document inside an element: whether it is one element and nothing else.
+_ONE_ELEMENT = "count(/*/*) = 1 and not(/*/text()[normalize-space() != ''])"
+
+
+def _xml_texts(rows: DataFrame, text: Column, paths: Sequence[str]) -> DataFrame:
+    """Add ``__why``, what keeps a text from being one XML document (null if nothing does), and ``__texts``, one per path.
+
+    A DTD is not read. All paths are asked at once, together with the check where they are
+    plain steps from the root, which lead to the same place from inside an element.
+    """
     own = f"w{uuid.uuid4().hex}"  # a text that holds the name could close the element
     inside = F.concat(F.lit(f"<{own}>"), F.regexp_replace(text, _DECLARATION, ""), F.lit(f"</{own}>"))
     bad = text.contains(own) | F.from_xml(inside, "__bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})["__bad"].isNotNull()
-    # asked only of what can be read
-    one = F.xpath_boolean(inside, F.lit("count(/*/*) = 1 and not(/*/text()[normalize-space() != ''])"))
-    return F.when(F.coalesce(F.trim(text), F.lit("")) == "", "no XML").when(bad, "malformed XML").when(~one, "not one XML document")
+    rows = materialise(rows, {"__inside": inside, "__unread": F.when(F.coalesce(F.trim(text), F.lit("")) == "", "no XML").when(bad, "malformed XML")})
+    plain = all(xmltree.plain_path(p) and not p.strip().startswith("//*") for p in paths)
+    # a search from the root stays one: the element around the document has a name of its own
+    asked = [_ONE_ELEMENT, *(p if p.strip().startswith("//") else f"/*{p.strip()}" for p in paths if plain)]
+    answers = F.split(F.when(F.col("__unread").isNull(), F.xpath_string(F.col("__inside"), F.lit(_all_of(asked)))), _SEPARATOR, -1)
+    rows = materialise(rows, {"__answers": answers})
+    why = F.coalesce("__unread", F.when(F.get("__answers", 0) != "true", "not one XML document"))
+    if plain or not paths:
+        texts = F.slice("__answers", 2, max(1, len(paths)))
+    else:
+        texts = F.split(F.when(why.isNull(), F.xpath_string(text, F.lit(_all_of(paths)))), _SEPARATOR, -1)
+    return materialise(rows, {"__why": why, "__texts": texts}).drop("__inside", "__unread", "__answers")
+
+
+def _all_of(paths: Sequence[str]) -> str:
+    """One XPath whose value is that of several, parted."""
+    return "concat(" + f", '{_SEPARATOR}', ".join(f"string({p})" for p in paths) + ", '')"
 
 
 def _row_text_udf():
@@ -138,22 +162,22 @@ def extract_xml(
         lookup = kv.select(F.col("key").alias("__key"), F.col("value").alias("__text"))
         rows = rows.join(lookup, F.col(quoted(cache_key)) == F.col("__key"), "left")
         source = "__text"
-    queries, by_row, bad_path = {}, [], None
+    queries, by_row = {}, []
     for name, text in paths.items():
         path = Template.parse(text).constant()
         if path is None:
             rows = materialise(rows, {f"__at_{name}": _row_text_udf()(F.col(source), template(text, df.columns))})
             by_row.append(name)
             continue
-        bad_path = bad_path or _path_problem(df.sparkSession, path)
         queries[name] = path
+    bad_path = _path_problem(df.sparkSession, list(queries.values()))
     if bad_path:
         rows = with_route(rows, [(F.lit(True), bad_path)])
         outputs = {n: F.lit(None).cast("string") for n in paths}
     else:
-        rows = materialise(rows, {"__why": _xml_problem(F.col(source))})
+        rows = _xml_texts(rows, F.col(source), list(queries.values()))
         why = F.col("__why")
-        outputs = {name: F.when(why.isNull(), F.xpath_string(F.col(source), F.lit(path))) for name, path in queries.items()}
+        outputs = {name: F.when(why.isNull(), F.get("__texts", k)) for k, name in enumerate(queries)}
         problems = [why, *[F.col(quoted(f"__at_{n}"))["problem"] for n in by_row]]
         outputs.update({n: F.when(why.isNull(), F.col(quoted(f"__at_{n}"))["text"]) for n in by_row})
         outputs = {n: outputs[n] for n in paths}
@@ -162,12 +186,17 @@ def extract_xml(
     return rows.select(*keep, *[v.alias(n) for n, v in outputs.items()], ROUTE, REASON)
 
 
-def _path_problem(spark: SparkSession, path: str) -> str | None:
-    try:
-        spark.range(1).select(F.xpath_string(F.lit("<x/>"), F.lit(path))).first()
-    except (PySparkException, Py4JJavaError):
-        return f"bad XPath {path!r}"
-    return None
+def _path_problem(spark: SparkSession, paths: Sequence[str]) -> str | None:
+    """The first path that cannot be read, if there is one."""
+
+    def read(some: Sequence[str]) -> bool:
+        try:
+            spark.range(1).select(*[F.xpath_string(F.lit("<x/>"), F.lit(p)) for p in some]).first()
+        except (PySparkException, Py4JJavaError):
+            return False
+        return True
+
+    return None if not paths or read(paths) else next((f"bad XPath {p!r}" for p in paths if not read([p])), None)
 
 
 def validate_xml(

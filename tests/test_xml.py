@@ -110,3 +110,17 @@ def test_validate(spark, tmp_path):
     assert {r["route"] for r in validate_xml(df, xsd_path=str(tmp_path / "no.xsd")).collect()} == {"failure"}
     # text goes before path
     check(validate_xml(df, xsd_text=text, xsd_path=str(tmp_path / "no.xsd")).orderBy("doc").collect())
+
+
+def test_all_paths_are_asked_at_once(spark):
+    docs = ["<a x='1'><b>one</b><b>two</b><c/></a>", "<?xml version='1.0'?><a><b>\n t </b></a>", "<a/><a/>", "<a", "text", None, " <a><b>x</b></a> ", "<a><b>&amp;'\"</b></a>"]
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, content string")
+    plain = {"x": "/a/@x", "b": "/a/b", "deep": "//b", "none": "/z"}
+    other = {"x": "string(/a/@x)", "n": "count(//b)", "last": "/a/b[last()]", "t": "boolean(/a/b)", "both": "concat(/a/@x, '-', /a/b)"}
+    got = [tuple(r[c] for c in (*plain, "route")) for r in extract_xml(df, plain).orderBy("id").collect()]
+    bad = (None,) * 4 + ("failure",)
+    assert got == [("1", "one", "one", "", "success"), ("", "\n t ", "\n t ", "", "success"), bad, bad, bad, bad, ("", "x", "x", "", "success"), ("", "&'\"", "&'\"", "", "success")]
+    got = [tuple(r[c] for c in (*other, "route")) for r in extract_xml(df, other).orderBy("id").collect()]
+    assert got[0] == ("1", "2", "two", "true", "1-one", "success") and got[2] == (None,) * 5 + ("failure",)
+    assert extract_xml(df, {"a": "/a", "b": "///"}).select("reason").distinct().collect()[0][0] == "bad XPath '///'"
+    assert extract_xml(df, {}).where("route = 'success'").count() == 4
