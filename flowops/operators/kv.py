@@ -121,7 +121,7 @@ def _chain(asked: DataFrame, current: DataFrame, order: str, max_rows: int | Non
     first = places.groupBy("key", "expected").agg(F.min("__at").alias("__at"))
     heads = first.join(current, "key", "left").where(F.col("expected").eqNullSafe(F.col("__cur"))).select("key", "__at")
     links = next_match(places, ["key"], "__at", "value", "expected", max_rows)
-    done = cut_lineage(follow_chain(heads, links, ["key"], "__at").withColumn("ok", F.lit(True)), "done")
+    done = cut_lineage(follow_chain(heads, links, ["key"], "__at", max_rows).withColumn("ok", F.lit(True)), "done")
     results = places.join(done, ["key", "__at"], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
     writes = results.where("ok").groupBy("key").agg(F.max_by("value", "__at").alias("value"))
     return writes, results.select("key", "expected", "value", order, "ok")

@@ -357,3 +357,23 @@ def test_enrich_rows_agrees_with_enrich(spark):
         assert got[n]["route"] == "failure" and got[n]["reason"] and got[n]["content"] == texts[n - 1]
     bare = enrich_rows(df.where("n in (1, 2, 4)")).collect()
     assert {r["n"]: r["route"] for r in bare} == {1: "failure", 2: "failure", 4: "success"}
+
+
+def test_many_requests_wait_for_one_write(spark):
+    """100,000 requests write what one request expects."""
+    from flowops.plans.chains import dealt
+
+    hot = spark.range(100_000).select(F.col("id").alias("ord"), F.lit("hot").alias("key"), F.lit("never").alias("expected"), F.lit("A").alias("value"))
+    rest = [(200_000, "hot", "start", "A"), (200_001, "hot", "A", "B"), (200_002, "hot", "A", "C"), (200_003, "hot", "B", "end")]
+    requests = hot.unionByName(spark.createDataFrame(rest, "ord long, key string, expected string, value string"))
+    table = spark.createDataFrame([("hot", "start")], "key string, value string")
+    after, results = K.kv_check_and_put(table, requests, "ord", fold_rows=0, max_rows=1000)
+    assert pairs(after) == {"hot": "end"}
+    assert {r["ord"] for r in results.where("ok").collect()} == {200_000, 200_001, 200_003}
+    assert results.count() == 100_004
+
+    left = spark.range(5000).select(F.lit("k").alias("key"), F.when(F.col("id") < 4000, 1).otherwise(F.col("id")).alias("next"), F.col("id").alias("at"))
+    right = spark.range(5000).select(F.lit("k").alias("key"), F.col("id").alias("next"), (F.col("id") * 2).alias("far"))
+    a, b, on = dealt(left, right, ["key", "next"], "at", 100)
+    assert a.groupBy(*on).count().agg(F.max("count")).first()[0] < 150
+    assert {(r["at"], r["far"]) for r in a.join(b, on).collect()} == {(i, 2 if i < 4000 else 2 * i) for i in range(5000)}
