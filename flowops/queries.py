@@ -1024,6 +1024,29 @@ def read_files(spark, sf_dir):
     return rows.select("filename", parsed.alias("d")).select("d.doc_id", "d.n_chars", F.md5("d.text").alias("digest"), "filename")
 
 
+FORCED_SQL = "SELECT doc_id, n_chars, md5(text) AS digest, codec FROM documents, (VALUES ('gzip'), ('bzip2'), ('deflate'), ('lz4'), ('snappy'), ('none')) t(codec)"
+
+
+@register("read_files_forced", FORCED_SQL)
+def read_files_forced(spark, sf_dir):
+    """Documents are written as files of six formats, whose names end in nothing that tells, and read by a given one."""
+    documents = table(spark, sf_dir, "documents")
+    lines = documents.select(F.to_json(F.struct("doc_id", "n_chars", "text")).alias("value"))
+    parts = []
+    for codec, ending in (("gzip", "gz"), ("bzip2", "bz2"), ("deflate", "deflate"), ("lz4", "lz4"), ("snappy", "snappy"), ("none", "txt")):
+        folder = scratch_path(spark, codec)
+        lines.write.option("maxRecordsPerFile", 200).option("compression", codec).text(folder)
+        files.rename_files(spark, folder, f".{ending}", ".data")
+        found = files.read_files(spark, folder, regex=r"part-.*\.data", compression=codec)
+        line = F.explode(F.split(F.regexp_replace("content", r"\n$", ""), "\n")).alias("line")
+        parsed = found.where("route = 'success'").select(line).select(F.from_json("line", "doc_id bigint, n_chars bigint, text string").alias("d"))
+        parts.append(parsed.select("d.doc_id", "d.n_chars", F.md5("d.text").alias("digest"), F.lit(codec).alias("codec")))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
 def _in_three(rows: DataFrame, part: Column, step: batches.Step, label: str, **options) -> str:
     """Let the rows arrive in three parts (``part`` is 0, 1 or 2), each in a run of the stream that goes on from the one before."""
     spark = rows.sparkSession

@@ -3,25 +3,31 @@
 from __future__ import annotations
 
 import bz2
+import struct
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..routes import REASON, ROUTE, SUCCESS
+from ..functions.maps import materialise
+from ..routes import FAILURE, REASON, ROUTE, SUCCESS
 from ..session import delete_path
 
 COMMS_FAILURE = "comms.failure"
 
 # Compression settings, and the extensions that "automatic" understands.
-COMPRESSIONS = ("automatic", "none", "gzip", "bzip2", "deflate")
-EXTENSIONS = (".gz", ".bz2", ".deflate", ".lz4", ".snappy", ".zst")
+COMPRESSIONS = ("automatic", "none", "gzip", "bzip2", "deflate", "lz4", "snappy", "zstd")
+EXTENSIONS = {".gz": "gzip", ".bz2": "bzip2", ".deflate": "deflate", ".lz4": "lz4", ".snappy": "snappy", ".zst": "zstd"}
 
 # Zlib window settings of the formats.
 _WBITS = {"gzip": 31, "deflate": 15}
 
+# How the formats' own frames begin.
+_FRAMES = {"lz4": b"\x04\x22\x4d\x18", "snappy": b"\xff\x06\x00\x00sNaPpY"}
+
 
 def missing_directory(spark: SparkSession, directory: str) -> str | None:
     """The reason a directory cannot be read, null if it exists."""
@@ -39,15 +45,135 @@ def _chosen(name: Column, regex: str | None, ignore_dotted: bool) -> Column:
     return chosen
 
 
+def decompress(data: bytes, codec: str) -> bytes:
+    """The bytes of a whole file; ``lz4`` and ``snappy`` are Hadoop's block format or the formats' own frames."""
+    if codec == "none":
+        return data
+    if codec == "bzip2":
+        return bz2.decompress(data)
+    if codec in _WBITS:
+        return _members(data, _WBITS[codec])
+    if codec == "zstd" or data.startswith(_FRAMES[codec]):
+        if codec == "snappy":
+            return _snappy_frames(data)
+        with pa.CompressedInputStream(pa.BufferReader(data), codec) as stream:
+            return stream.read()
+    return _blocks(data, codec)
+
+
+def _blocks(data: bytes, codec: str) -> bytes:
+    """Blocks of (bytes in the block, then chunks of it: compressed bytes, chunk)."""
+    raw = pa.Codec("lz4_raw" if codec == "lz4" else codec)
+    out, at = [], 0
+    while at < len(data):
+        left = struct.unpack_from(">I", data, at)[0]
+        at += 4
+        while left > 0:
+            size = struct.unpack_from(">I", data, at)[0]
+            chunk = data[at + 4 : at + 4 + size]
+            if len(chunk) < size:
+                raise ValueError("the file ends within a block")
+            at += 4 + size
+            n = _snappy_size(chunk) if codec == "snappy" else _lz4_size(chunk)
+            out.append(raw.decompress(chunk, decompressed_size=n, asbytes=True))
+            left -= n
+        if left < 0:
+            raise ValueError("a block is longer than it says")
+    return b"".join(out)
+
+
+def _snappy_size(chunk: bytes) -> int:
+    """The length that a raw chunk begins with, seven bits a byte."""
+    size = 0
+    for k, byte in enumerate(chunk[:5]):
+        size |= (byte & 0x7F) << 7 * k
+        if byte < 0x80:
+            return size
+    raise ValueError("no length in front of a chunk")
+
+
+def _lz4_size(chunk: bytes) -> int:
+    """Bytes that a raw chunk expands to, counted over its sequences of literals and matches."""
+    size = at = 0
+
+    def counted(n: int, at: int) -> tuple[int, int]:
+        if n == 15:
+            while chunk[at] == 255:
+                n, at = n + 255, at + 1
+            n, at = n + chunk[at], at + 1
+        return n, at
+
+    while at < len(chunk):
+        token = chunk[at]
+        literals, at = counted(token >> 4, at + 1)
+        size, at = size + literals, at + literals
+        if at >= len(chunk):  # the last sequence has no match
+            break
+        match, at = counted(token & 15, at + 2)
+        size += match + 4
+    return size
+
+
+def _snappy_frames(data: bytes) -> bytes:
+    """The framing format: chunks of a kind, three bytes of length, and a checksum before the data."""
+    raw, out, at = pa.Codec("snappy"), [], 0
+    while at < len(data):
+        kind, size = data[at], int.from_bytes(data[at + 1 : at + 4], "little")
+        body = data[at + 4 : at + 4 + size]
+        at += 4 + size
+        if kind == 0:
+            out.append(raw.decompress(body[4:], decompressed_size=_snappy_size(body[4:]), asbytes=True))
+        elif kind == 1:
+            out.append(body[4:])
+        elif kind < 0x80:
+            raise ValueError(f"unknown frame {kind}")
+    return b"".join(out)
+
+
+_READ = "struct<content: string, problem: string>"
+_PA_READ = pa.struct([("content", pa.string()), ("problem", pa.string())])
+
+
+def _opened(data: bytes, codec: str) -> dict:
+    try:
+        return {"content": decompress(data, codec).decode("utf-8", "replace"), "problem": None}
+    except (OSError, ValueError, EOFError, zlib.error, struct.error, IndexError, pa.ArrowException) as error:
+        return {"content": None, "problem": f"not {codec}: {error}"}
+
+
 def _inflate(codec: str):
     def inflate(batch: pa.Array) -> pa.Array:
-        def one(data: bytes) -> str:
-            raw = bz2.decompress(data) if codec == "bzip2" else _members(data, _WBITS[codec])
-            return raw.decode("utf-8", "replace")
+        return pa.array([_opened(data, codec) for data in batch.to_pylist()], _PA_READ)
+
+    return F.arrow_udf(inflate, _READ)
+
 
-        return pa.array([one(d) for d in batch.to_pylist()], pa.string())
+def _skipped(spark: SparkSession, directory: str) -> list[tuple[str, str]]:
+    """(URI, name) of the files of a directory that Spark's readers never list."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    files = [(s.getPath().toString(), s.getPath().getName()) for s in found if s.isFile()]
+    return [(uri, n) for uri, n in files if n.startswith(".") or (n.startswith("_") and "=" not in n) or n.endswith("._COPYING_")]
 
-    return F.arrow_udf(inflate, "string")
+
+def _read_skipped(spark: SparkSession, files: list[tuple[str, str]], compression: str) -> DataFrame:
+    """``content``, ``problem``, ``name``: files opened in tasks, a few each, by the store their URI names."""
+    listed = spark.createDataFrame(files, "uri string, name string")
+    listed = listed.repartition(min(len(files), 10 * spark.sparkContext.defaultParallelism))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri, name in zip(*(c.to_pylist() for c in batch.columns)):
+                codec = next((c for e, c in EXTENSIONS.items() if name.endswith(e)), "none") if compression == "automatic" else compression
+                try:
+                    store, path = fs.FileSystem.from_uri(uri)
+                    with store.open_input_stream(path, compression=None) as stream:
+                        opened = _opened(stream.read(), codec)
+                except (OSError, pa.ArrowException) as error:
+                    opened = {"content": None, "problem": str(error)}
+                yield pa.RecordBatch.from_pylist([{**opened, "name": name}], pa.schema([*_PA_READ, ("name", pa.string())]))
+
+    return listed.mapInArrow(read, "content string, problem string, name string")
 
 
 def _members(data: bytes, wbits: int) -> bytes:
@@ -60,15 +186,15 @@ def _members(data: bytes, wbits: int) -> bytes:
     return b"".join(out)
 
 
-def _rows(files: DataFrame, content: Column, directory: str, regex: str | None, ignore_dotted: bool, cut_extension: bool) -> DataFrame:
-    # metadata predicates choose the files before any of them is opened
-    files = files.where(_chosen(F.col("_metadata.file_name"), regex, ignore_dotted))
-    name = F.col("_metadata.file_name")
-    if cut_extension:
-        endings = "|".join(e.replace(".", r"\.") for e in EXTENSIONS)
-        name = F.regexp_replace(name, f"({endings})$", "")
-    routes = [F.lit(SUCCESS).alias(ROUTE), F.lit(None).cast("string").alias(REASON)]
-    return files.select(content.alias("content"), F.lit(directory).alias("path"), name.alias("filename"), *routes)
+def _bare(name: Column, compression: str) -> Column:
+    """The file name without the extension of the format it was read as."""
+    endings = [e for e, c in EXTENSIONS.items() if compression in ("automatic", c)]
+    return F.regexp_replace(name, f"({'|'.join(e.replace('.', chr(92) + '.') for e in endings)})$", "") if endings else name
+
+
+def _rows(files: DataFrame, name: Column, content: Column, problem: Column, directory: str, compression: str) -> DataFrame:
+    route = F.when(problem.isNull(), SUCCESS).otherwise(FAILURE)
+    return files.select(content.alias("content"), F.lit(directory).alias("path"), _bare(name, compression).alias("filename"), route.alias(ROUTE), problem.alias(REASON))
 
 
 def read_files(
@@ -83,7 +209,9 @@ def read_files(
 
     A directory that does not exist is one row with route ``comms.failure``. ``regex`` has to match the whole file name. ``automatic`` decompresses by extension and drops
     the extension from ``filename``; ``none`` keeps the bytes; the others decompress every file
-    as that format. Spark never lists names that begin with ``_`` or ``.``.
+    as that format, and a file that is not of it is a ``failure``. Names that Spark's readers skip (``_x`` and, unless
+    ``ignore_dotted``, ``.x``) are listed as well; these files are opened by the store that their URI names
+    (local, ``hdfs``, ``s3``, ``gs``), and where that cannot be reached the row is a ``failure``.
     """
     if compression not in COMPRESSIONS:
         raise ValueError(f"compression must be one of {COMPRESSIONS}, not {compression!r}")
@@ -92,15 +220,24 @@ def read_files(
         return spark.createDataFrame(
             [(None, directory, None, COMMS_FAILURE, why)], f"content string, path string, filename string, {ROUTE} string, {REASON} string"
         )
+    none = F.lit(None).cast("string")
+    # metadata predicates choose the files before any of them is opened
+    name = F.col("_metadata.file_name")
     if compression == "automatic":
-        files = spark.read.text(directory, wholetext=True)
-        return _rows(files, F.col("value"), directory, regex, ignore_dotted, True)
-    files = spark.read.format("binaryFile").load(directory)
-    if compression == "none":
-        return _rows(files, F.col("content").cast("string"), directory, regex, ignore_dotted, False)
-    ending = {"gzip": ".gz", "bzip2": ".bz2", "deflate": ".deflate"}[compression]
-    rows = _rows(files, _inflate(compression)(F.col("content")), directory, regex, ignore_dotted, False)
-    return rows.withColumn("filename", F.regexp_replace("filename", ending.replace(".", r"\.") + "$", ""))
+        files = spark.read.text(directory, wholetext=True).where(_chosen(name, regex, ignore_dotted))
+        rows = _rows(files, name, F.col("value"), none, directory, compression)
+    else:
+        files = spark.read.format("binaryFile").load(directory).where(_chosen(name, regex, ignore_dotted))
+        if compression == "none":
+            rows = _rows(files, name, F.col("content").cast("string"), none, directory, compression)
+        else:
+            read = materialise(files.select(name.alias("name"), "content"), {"__read": _inflate(compression)(F.col("content"))})
+            rows = _rows(read, F.col("name"), F.col("__read.content"), F.col("__read.problem"), directory, compression)
+    skipped = _skipped(spark, directory)
+    if skipped:
+        chosen = _read_skipped(spark, skipped, compression).where(_chosen(F.col("name"), regex, ignore_dotted))
+        rows = rows.unionByName(_rows(chosen, F.col("name"), F.col("content"), F.col("problem"), directory, compression))
+    return rows
 
 
 def stream_files(
@@ -122,7 +259,17 @@ def stream_files(
         reader = reader.option("cleanSource", "delete")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
-    return _rows(reader.load(directory), F.col("value"), directory, regex, ignore_dotted, True)
+    name = F.col("_metadata.file_name")
+    files = reader.load(directory).where(_chosen(name, regex, ignore_dotted))
+    return _rows(files, name, F.col("value"), F.lit(None).cast("string"), directory, "automatic")
+
+
+def rename_files(spark: SparkSession, directory: str, ending: str, other: str) -> int:
+    """Give the files of a directory whose names end so another ending; returns how many there were."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    paths = [s.getPath() for s in system.listStatus(place) if s.isFile() and s.getPath().getName().endswith(ending)]
+    return sum(system.rename(p, spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), p.getName()[: -len(ending)] + other)) for p in paths)
 
 
 def delete_files(spark: SparkSession, directory: str, names: Iterable[str]) -> int:

@@ -28,6 +28,7 @@ def test_read_files(spark, folder):
     assert got == {"a.txt": ("one\ntwo", folder), "b.txt": ("zipped", folder)}
     assert [r["filename"] for r in read_files(spark, folder, regex=r"a\.t.t").collect()] == ["a.txt"]
     assert read_files(spark, folder, regex="a").count() == 0
+    assert {r["filename"]: r["content"] for r in read_files(spark, folder, ignore_dotted=False).collect()} == {"a.txt": "one\ntwo", "b.txt": "zipped", ".h.txt": "dot"}
     raw = {r["filename"] for r in read_files(spark, folder, compression="none").collect()}
     assert raw == {"a.txt", "b.txt.gz"}
     zipped = read_files(spark, folder, regex=".*gz", compression="gzip").first()
@@ -256,3 +257,63 @@ def test_scratch_scope(spark):
         kept = cut_lineage(spark.range(5), "scope-test")
         assert kept.count() == 5 and list(folder.glob("scope-test-*"))
     assert not list(folder.glob("scope-test-*"))
+
+
+def _hadoop_blocks(data, codec, chunk, chunks):
+    """Hadoop's block format: blocks of ``chunks`` chunks of ``chunk`` bytes."""
+    import struct
+
+    import pyarrow as pa
+
+    raw, out = pa.Codec({"lz4": "lz4_raw"}.get(codec, codec)), b""
+    for at in range(0, len(data), chunk * chunks):
+        block = data[at : at + chunk * chunks]
+        out += struct.pack(">I", len(block))
+        for k in range(0, len(block), chunk):
+            packed = raw.compress(block[k : k + chunk], asbytes=True)
+            out += struct.pack(">I", len(packed)) + packed
+    return out
+
+
+@pytest.mark.parametrize("chunk,chunks", [(1 << 18, 1), (1000, 3), (7, 2)])
+def test_block_formats(chunk, chunks):
+    from flowops.sources.files import decompress
+
+    rnd = random.Random(chunk)
+    texts = [b"", b"x", b"abc" * 5000, rnd.randbytes(5000), b"".join(rnd.choice([b"spark ", b"text ", b"\x00" * 40]) for _ in range(4000))]
+    for text in texts:
+        for codec in ("lz4", "snappy"):
+            assert decompress(_hadoop_blocks(text, codec, chunk, chunks), codec) == text
+
+
+def test_forced_formats_and_names_that_spark_skips(spark, tmp_path):
+    import bz2
+    import zlib
+
+    import pyarrow as pa
+    import zstandard
+
+    text = "Ünïcode\n" * 3000
+    data = text.encode()
+    frame = b"\xff\x06\x00\x00sNaPpY" + (lambda body: b"\x00" + (len(body) + 4).to_bytes(3, "little") + b"\0\0\0\0" + body)(pa.Codec("snappy").compress(data, asbytes=True))
+    packed = {
+        "gzip": [gzip.compress(data)], "bzip2": [bz2.compress(data)], "deflate": [zlib.compress(data)],
+        "lz4": [_hadoop_blocks(data, "lz4", 5000, 2), pa.Codec("lz4").compress(data, asbytes=True)],
+        "snappy": [_hadoop_blocks(data, "snappy", 5000, 2), frame], "zstd": [zstandard.ZstdCompressor().compress(data)],
+    }
+    for codec, files in packed.items():
+        folder = tmp_path / codec
+        folder.mkdir()
+        for k, content in enumerate(files):
+            for name in (f"a{k}.any", f"_b{k}", f".c{k}"):
+                (folder / name).write_bytes(content)
+        (folder / "bad").write_bytes(b"\x00\x00\x00\x09 no file of any format")
+        got = {r["filename"]: (r["content"], r["route"]) for r in read_files(spark, str(folder), compression=codec, ignore_dotted=False).collect()}
+        assert got.pop("bad") == (None, "failure")
+        assert got == {f"{p}{k}{e}": (text, "success") for k in range(len(files)) for p, e in (("a", ".any"), ("_b", ""), (".c", ""))}
+    (tmp_path / "auto").mkdir()
+    for name, content in (("_x.gz", packed["gzip"][0]), ("y.txt", data), ("_z.snappy", packed["snappy"][0]), (".w", data)):
+        (tmp_path / "auto" / name).write_bytes(content)
+    got = {r["filename"]: r["content"] for r in read_files(spark, str(tmp_path / "auto")).collect()}
+    assert got == {"_x": text, "y.txt": text, "_z": text}
+    assert [r["filename"] for r in read_files(spark, str(tmp_path / "auto"), regex="_x.*").collect()] == ["_x"]
