@@ -5,8 +5,8 @@ separates). A test item gives its windows of ``window`` consecutive words, or al
 has fewer. The windows, with a space on either side, are the automaton's patterns; each document
 is normalised and scanned once, and word numbers lead back to offsets in the original.
 
-Rows without text have no words. Empty tables give empty results. An item without id or without
-words is passed over; equal items and repeated rows count once in ``items``, and each repeated
+Rows without text have no words. Empty tables give empty results. An item without
+words is passed over; the windows of one without id are hits, but it is not among ``items``; equal items and repeated rows count once in ``items``, and each repeated
 document row has its own result row. Other columns of the inputs, whatever their names, are not
 read. The id column may be of any type, also a struct that carries a whole row.
 """
@@ -49,14 +49,16 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_NORMAL).split()
 
 
-def windows_of(items: list[tuple[str, str]], window: int) -> dict[bytes, tuple[int, tuple[str, ...]]]:
+def windows_of(items: list[tuple[str | None, str]], window: int) -> dict[bytes, tuple[int, tuple[str, ...]]]:
     """Pattern to its number of words and the ids of the items it comes from."""
     found: dict[bytes, tuple[int, set[str]]] = {}
     for item, text in items:
         words = words_of(text.encode("utf-8", "surrogatepass"))
         width = min(window, len(words))
         for at in range(len(words) - width + 1 if width else 0):
-            found.setdefault(b" " + b" ".join(words[at : at + width]) + b" ", (width, set()))[1].add(item)
+            ids = found.setdefault(b" " + b" ".join(words[at : at + width]) + b" ", (width, set()))[1]
+            if item is not None:
+                ids.add(item)
     return {k: (n, tuple(sorted(ids))) for k, (n, ids) in found.items()}
 
 
@@ -151,9 +153,9 @@ def _scan(docs: DataFrame, patterns: _Patterns) -> DataFrame:
     return docs.mapInArrow(scan, schema)
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
+def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str | None, str]]]:
     """The test items in groups of bounded size; an item longer than that is a group of its own."""
-    chosen = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("item_text")).where("item is not null and item_text is not null")
+    chosen = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("item_text")).where("item_text is not null")
     held, size = [], 0
     for item, text in chosen.distinct().orderBy("item", "item_text").toLocalIterator():
         if held and size + len(text) > block_bytes:
@@ -208,7 +210,7 @@ def _joined(parts: list[DataFrame]) -> DataFrame:
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
-    every = every.where(F.size("items") > 0).dropDuplicates(["id", "items", "words_hit"])
+    every = every.where(F.size("words_hit") > 0).dropDuplicates(["id", "items", "words_hit"])
     every = every.groupBy("id").agg(F.flatten(F.collect_list("words_hit")).alias("a"), F.flatten(F.collect_list("spans")).alias("b"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
 
     def union(spans):

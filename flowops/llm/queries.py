@@ -220,7 +220,7 @@ _SQL_NORMAL_WORDS = "list_filter(regexp_split_to_array(" + SQL_LOWER + r", '[\x0
     "op10_decontamination",
     rf"""
     WITH
-    items AS (SELECT DISTINCT item_id::VARCHAR AS item, {_SQL_NORMAL_WORDS.format("text")} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+    items AS (SELECT DISTINCT item_id::VARCHAR AS item, {_SQL_NORMAL_WORDS.format("text")} AS w FROM benchmark WHERE text IS NOT NULL),
     windows AS (SELECT DISTINCT item, least(len(w), 13) AS k, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS g
                 FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
     sizes AS (SELECT DISTINCT k FROM windows),

@@ -709,3 +709,11 @@ def test_lm_training_carries_state_through_long_documents(monkeypatch):
     weights = lm.initial(vocab)
     tokens = lm.train(weights, vocab.bounds, documents, lm.Adam(weights, 0.01))
     assert tokens == sum(map(len, documents)) and sum(emptied) == len(documents)
+
+
+def test_an_item_without_id_is_hit_but_not_named(spark):
+    docs = spark.createDataFrame([(1, "x a b c y"), (2, "d e f"), (3, "a b")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "b c"), ("i", "d e"), (None, None), (None, "d e")], "item_id string, text string")
+    for block in (1 << 20, 3):
+        got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["items"], r["contaminated"]) for r in decontaminate.decontaminate(docs, items, block_bytes=block).collect()}
+        assert got == {1: (2, 0, [], True), 2: (2, 1, ["i"], True), 3: (0, 0, [], False)}
