@@ -63,12 +63,12 @@ SHARDS = 8
     d AS (SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, hex(encode(coalesce(text, ''))) AS h,
                  coalesce(md5(text), '') AS m, coalesce(doc_id::VARCHAR, '') AS i FROM documents),
     sums AS (
-        SELECT d.*, sum(size) OVER () AS total,
+        SELECT d.*, sum(size) OVER () AS total, max(size) OVER () AS largest,
                coalesce(sum(size) OVER (ORDER BY m, i, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos,
                row_number() OVER (ORDER BY m, i, size) AS rn FROM d),
     grouped AS (SELECT *, min(pos) OVER (PARTITION BY m) AS group_at, sum(size) OVER (PARTITION BY m) AS group_bytes FROM sums),
     placed AS (
-        SELECT *, least({SHARDS - 1}, floor((CASE WHEN group_bytes <= total / {SHARDS} / {GROUP_SHARE} THEN group_at + group_bytes / 2
+        SELECT *, least({SHARDS - 1}, floor((CASE WHEN group_bytes <= greatest(total / {SHARDS} / {GROUP_SHARE}, largest) THEN group_at + group_bytes / 2
                                              ELSE pos + size / 2 END) * {SHARDS} / total))::INTEGER AS shard FROM grouped)
     SELECT doc_id, size::BIGINT AS size,
            xor(list_reduce(list_prepend(4294967295::BIGINT,

@@ -6,8 +6,9 @@ ranges; a range that turns out too large is drawn from again and subdivided. Pre
 ranges and running sums inside them then place every row at its exact offset in bytes, and equal
 shares of all bytes are the shards.
 
-A row's key is the hash of its text, then its id, so equal texts lie together and go to one shard,
-unless they are more than ``1 / GROUP_SHARE`` of a shard together: those are cut like other rows.
+A row's key is the hash of its text, then its id, so equal texts lie together and go to one shard.
+Only where they are more than ``1 / GROUP_SHARE`` of a shard and more than the largest row are they
+cut like other rows: kept whole they would make sizes differ by more than that, and by more than a row does anyway.
 Null text has the size 1 and a key of its own; null ids are the smallest. Rows that are equal are
 placed one after the other, so which gets which slot makes no difference; only rows equal in text
 and id cannot be subdivided into ranges. An empty table gives an empty result. Other columns are
@@ -31,7 +32,7 @@ DRAWN = 32
 #: Ranges whose splitters one draw decides; more ranges are found in further rounds.
 MAX_SPLITTERS = 4096
 ROUNDS = 8
-GROUP_SHARE = 200
+GROUP_SHARE = 20
 
 
 def _key(df: DataFrame) -> Column:
@@ -112,6 +113,17 @@ def splitters_of(rows: DataFrame, total: int, ranges: int) -> list[tuple[str, st
     return found
 
 
+def _before_groups(rows: DataFrame, splitters: list[tuple[str, str]], limit: float) -> list[tuple[str, str]]:
+    """The splitters, those within equal texts of ``limit`` bytes at most moved in front of them."""
+    if not splitters:
+        return splitters
+    # as many rows as there are splitters
+    cut = rows.sparkSession.createDataFrame([(h,) for h in sorted({h for h, _ in splitters})], "text_hash string")
+    sizes = rows.join(F.broadcast(cut), "text_hash").groupBy("text_hash").agg(F.sum("size").alias("bytes")).collect()
+    small = {r["text_hash"] for r in sizes if r["bytes"] <= limit}
+    return sorted({(h, "" if h in small else i) for h, i in splitters})
+
+
 def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", range_rows: int = RANGE_ROWS) -> DataFrame:
     """One row per document row: ``id_col``, ``size``, ``text_crc32``, ``shard``, ``slot`` (gapless in a shard), ``offset_bytes``."""
     text = F.col(text_col)
@@ -123,9 +135,10 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
         F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id_text"),
     )
     rows = cut_lineage(rows, "sizes")
-    total, count = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    total, count, largest = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.max("size"), F.lit(0))).first()
+    limit = max(total / shards / GROUP_SHARE, largest)
     ranges = max(shards * RANGES_PER_SHARD, -(-count // range_rows))
-    found = splitters_of(rows, total, ranges) if count else []
+    found = _before_groups(rows, splitters_of(rows, total, ranges), limit) if count else []
     ranged = cut_lineage(rows.withColumn("range", _range_of(found)), "ranges")
     # prefix sums over the ranges: one row each, as many as there are splitters
     sums = ranged.groupBy("range").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
@@ -142,7 +155,7 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
         .join(F.broadcast(sums), "range")  # at most MAX_SPLITTERS rows a round
     )
     # the middle decides: of the row, or of the rows with its text if they are few
-    whole = F.col("group_bytes") <= total / shards / GROUP_SHARE
+    whole = F.col("group_bytes") <= limit
     middle = F.col("bytes_before") + F.when(whole, F.col("group_at") + F.col("group_bytes") / 2).otherwise(F.col("at") + F.col("size") / 2)
     placed = placed.withColumn("shard", F.least(F.lit(shards - 1), F.floor(middle * shards / F.lit(max(1, total)))).cast("int"))
     placed = cut_lineage(placed.select("id", "size", "text_crc32", "shard", (F.col("rows_before") + F.col("row")).alias("row"), (F.col("bytes_before") + F.col("at")).alias("offset_bytes")), "placed")

@@ -717,3 +717,20 @@ def test_an_item_without_id_is_hit_but_not_named(spark):
     for block in (1 << 20, 3):
         got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["items"], r["contaminated"]) for r in decontaminate.decontaminate(docs, items, block_bytes=block).collect()}
         assert got == {1: (2, 0, [], True), 2: (2, 1, ["i"], True), 3: (0, 0, [], False)}
+
+
+def test_equal_texts_are_not_parted_by_splitters(spark):
+    texts = [f"text number {k} " * 5 for k in range(2000) for _ in range(5)]
+    rows = sharding.shard(frame_of(spark, texts), 8, range_rows=25).collect()
+    shards, sizes = defaultdict(set), Counter()
+    for r in rows:
+        shards[r["text_crc32"]].add(r["shard"])
+        sizes[r["shard"]] += r["size"]
+    assert len(rows) == 10_000 and all(len(s) == 1 for s in shards.values())
+    assert max(sizes.values()) < 1.02 * min(sizes.values())
+    # a group of a third of all rows is cut, since whole it would fill shards
+    texts = ["the same text"] * 1000 + [f"other text {k}" for k in range(2000)]
+    sizes = Counter()
+    for r in sharding.shard(frame_of(spark, texts), 8, range_rows=50).collect():
+        sizes[r["shard"]] += r["size"]
+    assert len(sizes) == 8 and max(sizes.values()) < 1.06 * min(sizes.values())
