@@ -1,13 +1,13 @@
 """Line deduplication by a deletion-neighbourhood join.
 
 Lines are compared as sequences of words (runs of anything but ASCII white space), so spacing does
-not matter. Two lines are copies if one word at most is replaced, missing or added. Lines of fewer
-than ``min_words`` words are left alone. An occurrence of a line goes if a copy occurs earlier,
+not matter. Two lines are copies if they are equal, or, if both have ``min_words`` words or more, if one word is
+replaced, missing or added: between shorter lines such a word is too much of the line. Lines without words are left alone. An occurrence of a line goes if a copy occurs earlier,
 whether or not that copy goes too; earlier means by id (null last), then by text, then by position.
 
 1. Lines are hashed; equal ones fold to one with its earliest occurrence.
-2. Copies share the words before or after the middle of the shorter one, so only lines that share
-   such a half with a different line go on.
+2. Copies that are not equal share the words before or after the middle of the shorter one, so only
+   lines of ``min_words`` or more that share such a half with a different line go on.
 3. Those emit every variant with one word deleted as a hashed key, and themselves. Lines that lose
    the same position and then are equal, or that equal another one's variant, are copies; the
    earliest of each key is an aggregate, so no pairs within a group are made.
@@ -127,13 +127,16 @@ def line_dedup(docs: DataFrame, keep: list[Column], id_col: str = "doc_id", text
     texts = rows.select("id", "hash", "text").where("text is not null")
     lines = texts.select("id", "hash", F.posexplode(F.split("text", "\n")).alias("at", "line"))
     words = F.explode(F.array(_words(F.col("line")))).alias("words")  # a generator, so that it is computed once
-    lines = lines.select("id", "hash", "at", words).withColumn("n", F.size("words")).where(F.col("n") >= max(1, min_words))
+    lines = lines.select("id", "hash", "at", words).withColumn("n", F.size("words")).where("n > 0")
     occurrence = F.struct(F.col("id").isNull().alias("no_id"), "id", "hash", "at").alias("place")
-    lines = cut_lineage(lines.select(occurrence, F.xxhash64("words").alias("line"), F.array(*_half_keys(F.col("words"), F.col("n"))).alias("keys")), "occurrences")
-
-    distinct = lines.groupBy("line", F.expr("named_struct('a', keys[0], 'b', keys[1], 'c', keys[2], 'd', keys[3])").alias("k")).agg(F.min("place").alias("first"), F.max("place").alias("last"))
-    distinct = cut_lineage(distinct.select("line", "first", "last", F.array("k.a", "k.b", "k.c", "k.d").alias("keys")), "distinct-lines")
-    near = cut_lineage(_earliest(distinct, texts), "near")
+    # short lines have no halves
+    halves = F.when(F.col("n") >= min_words, F.array(*_half_keys(F.col("words"), F.col("n"))))
+    lines = cut_lineage(lines.select(occurrence, F.xxhash64("words").alias("line"), halves.alias("keys")), "occurrences")
+
+    half = lambda k: F.get("keys", k).alias("abcd"[k])
+    distinct = lines.groupBy("line", F.when(F.col("keys").isNotNull(), F.struct(*[half(k) for k in range(4)])).alias("k")).agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    distinct = cut_lineage(distinct.select("line", "first", "last", F.when(F.col("k").isNotNull(), F.array("k.a", "k.b", "k.c", "k.d")).alias("keys")), "distinct-lines")
+    near = cut_lineage(_earliest(distinct.where("keys is not null"), texts), "near")
     first = distinct.join(near, "line", "left")
     first = stored(first.where("earliest is not null or first < last").select("line", F.coalesce("earliest", "first").alias("earliest")), "first")
     gone = lines.join(first, "line").where("place > earliest").select("place.id", "place.hash", "place.at").distinct()

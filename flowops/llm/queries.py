@@ -179,8 +179,8 @@ def op6_url_filter(spark, sf_dir):
     t AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
     l AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS pos, unnest(lines) AS line FROM t),
     o AS (SELECT doc_id, pos, {SQL_WORDS.format("line")} AS w FROM l),
-    d AS (SELECT w, len(w) AS n, min((doc_id, pos)) AS first FROM o WHERE len(w) >= 8 GROUP BY w),
-    h AS (SELECT *, unnest([n, n - 1]) AS m FROM d),
+    d AS (SELECT w, len(w) AS n, min((doc_id, pos)) AS first FROM o WHERE len(w) > 0 GROUP BY w),
+    h AS (SELECT *, unnest([n, n - 1]) AS m FROM d WHERE n >= 8),
     k AS (SELECT *, unnest([md5(array_to_string(w[1:m // 2], ' ')) || 'f', md5(array_to_string(w[n - (m - m // 2) + 1:n], ' ')) || 'l']) AS k FROM h),
     p AS (SELECT DISTINCT a.w AS w, b.w AS v, b.first AS first FROM k a JOIN k b ON a.m = b.m AND a.k = b.k AND b.first < a.first AND abs(a.n - b.n) <= 1),
     near AS (

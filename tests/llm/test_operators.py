@@ -325,8 +325,8 @@ def plain_line_dedup(docs, min_words):
         gone = []
         for at, line in enumerate(text.split("\n")):
             w = WORD.findall(line)
-            if len(w) >= max(1, min_words):
-                if any(within_one(w, v) for v in seen):
+            if w:
+                if any(w == v or (min(len(w), len(v)) >= min_words and within_one(w, v)) for v in seen):
                     gone.append(at)
                 seen.append(w)
         out[order] = gone
@@ -734,3 +734,9 @@ def test_equal_texts_are_not_parted_by_splitters(spark):
     for r in sharding.shard(frame_of(spark, texts), 8, range_rows=50).collect():
         sizes[r["shard"]] += r["size"]
     assert len(sizes) == 8 and max(sizes.values()) < 1.06 * min(sizes.values())
+
+
+def test_short_lines_go_if_equal(spark):
+    texts = ["Home | About | Contact\nsome words of the first page", "Home  | About | Contact \n日本語の文章です。\nHome | About | Imprint", "日本語の文章です。\n\n \nwords", "words\nword"]
+    got = {r["doc_id"]: r["dropped"] for r in linededup.line_dedup(frame_of(spark, texts), [F.col("doc_id")]).collect()}
+    assert got == {0: [], 1: [0], 2: [0], 3: [0]}
