@@ -461,7 +461,7 @@ def plain_hits(text, items, window=13):
         for i in range(len(w) - k + 1 if k else 0):
             if tuple(w[i : i + k]) in grams:
                 hit.update(range(i, i + k))
-                ids.add(str(item))
+                ids.update([] if item is None else [str(item)])
     return len(w), len(hit), sorted(ids)
 
 
@@ -469,7 +469,7 @@ def plain_hits(text, items, window=13):
 def test_decontaminate(spark, odd_docs, no_docs, block):
     items = [(1, "The quick-brown fox; jumps over THE lazy dog and runs far away, from the old house!"), (2, "line two"), (2, "some text"), (10, "漢字"), (None, "the"), (3, None), (4, "..."), (11, "lazy dog and")]
     table = spark.createDataFrame(items, "item_id long, text string")
-    known = [(i, t) for i, t in items if i is not None and t is not None]
+    known = [(i, t) for i, t in items if t is not None]
     got = deco.decontaminate(odd_docs, table, block_bytes=block)
     want = Counter()
     for i, t in texts_of(odd_docs):
@@ -715,7 +715,7 @@ def test_an_item_without_id_is_hit_but_not_named(spark):
     docs = spark.createDataFrame([(1, "x a b c y"), (2, "d e f"), (3, "a b")], "doc_id long, text string")
     items = spark.createDataFrame([(None, "b c"), ("i", "d e"), (None, None), (None, "d e")], "item_id string, text string")
     for block in (1 << 20, 3):
-        got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["items"], r["contaminated"]) for r in decontaminate.decontaminate(docs, items, block_bytes=block).collect()}
+        got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["items"], r["contaminated"]) for r in deco.decontaminate(docs, items, block_bytes=block).collect()}
         assert got == {1: (2, 0, [], True), 2: (2, 1, ["i"], True), 3: (0, 0, [], False)}
 
 
