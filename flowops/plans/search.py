@@ -59,7 +59,9 @@ def place_among(df: DataFrame, tree: SearchTree, groups: Sequence[Column], value
     """
     columns = df.columns
     own = [f"__tree_g{i}" for i in range(len(tree.names))]
-    rows = df.withColumns({**{n: g for n, g in zip(own, groups, strict=True)}, "__tree_value": value, "__tree_at": F.lit(0).cast("bigint")})
+    # without groups the one chunk at the top is still met by a key, which is 0 but no constant: an equi-join
+    start = F.lit(0).cast("bigint") if tree.names else F.pmod(F.xxhash64(value), F.lit(1)).cast("bigint")
+    rows = df.withColumns({**{n: g for n, g in zip(own, groups, strict=True)}, "__tree_value": value, "__tree_at": start})
     for depth in range(len(tree.levels) - 1, -1, -1):
         level, small_side = tree.levels[depth]
         level = level.select(*[F.col(n).alias(f"__tree_{n}") for n in tree.names], F.col(_CHUNK).alias("__tree_to"), _VALUES)
