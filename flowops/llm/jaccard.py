@@ -6,7 +6,8 @@ one shingle). Two documents link when their sets' Jaccard similarity is ``percen
 1. Documents with equal sets fold to one class, so copies cost one row each.
 2. Linked classes share a token among the first ``n - need + 1`` of each, in any order common to
    all. The order puts tokens last that many classes have; it affects the cost only.
-3. The matrix has the rows token, band of sizes, class. In each of its cells, classes meet the one
+3. The matrix has the rows token, band of sizes, class. A class with fewer cells than the sizes in a
+   cell ask for leaves it: it is linked to no class there. In each cell, classes meet the one
    that has most cells in common with others; verified links make groups of similar classes.
 4. Where several groups remain in a cell, a class of one group is a query to the others. It must
    share enough cells with a group, then enough tokens with the group's union, which is stored.
@@ -144,19 +145,21 @@ def _classes(rows: DataFrame, width: int) -> DataFrame:
     return cut_lineage(rows.mapInArrow(work, schema), "classes")
 
 
-def _common_tokens(classes: DataFrame) -> np.ndarray:
-    """Sorted hashes of the commonest tokens, at most MAX_COMMON."""
+def _common_tokens(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the commonest tokens, at most MAX_COMMON, and each one's place in the order: the commonest is last."""
     reported = classes.where("repeated is not null").select(F.explode(F.arrays_zip("repeated", "counts")).alias("x"))
     found = reported.groupBy(F.col("x.repeated").alias("token")).agg(F.sum("x.counts").alias("n")).where(F.col("n") >= COMMON)
     top = found.orderBy(F.desc("n"), "token").limit(MAX_COMMON).select("token").toPandas()
-    return np.sort(top["token"].to_numpy(np.int64).view(np.uint64))
+    tokens = top["token"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], -order
 
 
 def _prefixes(texts: DataFrame, width: int, percent: int, common) -> DataFrame:
     """``token``, ``class``, ``n``: the first tokens of every set."""
 
     def work(batches):
-        last = common.value
+        last, place = common.value
         for _, sets in _sets(batches, width):
             tokens, classes, sizes = [], [], []
             for s in sets:
@@ -166,7 +169,10 @@ def _prefixes(texts: DataFrame, width: int, percent: int, common) -> DataFrame:
                 if len(last):
                     at = np.minimum(np.searchsorted(last, s), len(last) - 1)
                     late = last[at] == s
-                    chosen = np.concatenate([s[~late][:take], s[late][: max(0, take - int((~late).sum()))]])
+                    chosen = s[~late][:take]
+                    if len(chosen) < take:
+                        common_ones = s[late][np.argsort(place[at[late]])]
+                        chosen = np.concatenate([chosen, common_ones[: take - len(chosen)]])
                 else:
                     chosen = s[:take]
                 tokens.append(chosen)
@@ -201,6 +207,27 @@ def _cells(prefixes: DataFrame, percent: int) -> DataFrame:
     return cut_lineage(thinned(cells, F.col("cell"), several, "several-bits").join(several, "cell", "left_semi"), "cells")
 
 
+def _pruned(cells: DataFrame, percent: int, rounds: int = 2) -> DataFrame:
+    """``cells`` without rows that no link needs.
+
+    A class that is linked to a member of a cell has ``least_cells`` of its band's cells in common with it.
+    So a class with fewer cells than the sizes in a cell ask for is linked to none of its members. Rows of
+    two linked classes stay in all cells that they share, whatever goes besides, and so in every round.
+    """
+    sizes = [F.min("n").alias("low"), F.max("n").alias("high"), F.min(F.when(F.col("own"), F.col("n"))).alias("own_low"), F.max(F.when(F.col("own"), F.col("n"))).alias("own_high")]
+    n = F.col("n")
+    # of two classes that meet, one is in its own band
+    low = F.greatest(F.when(F.col("own"), F.col("low")).otherwise(F.col("own_low")), F.ceil(percent * n / 100).cast("int"))
+    high = F.least(F.when(F.col("own"), F.col("high")).otherwise(F.col("own_high")), F.floor(100 * n / percent).cast("int"))
+    for _ in range(rounds):
+        inside = cut_lineage(cells.groupBy("cell").agg(*sizes, F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").drop("a", "b"), "cell-sizes")
+        held = cut_lineage(cells.groupBy("class", "own").agg(F.count(F.lit(1)).alias("held")), "held")
+        kept = cells.join(inside, "cell").where(F.col("own") | F.col("own_low").isNotNull()).withColumns({"low": low, "high": high}).where("low <= high")
+        kept = kept.join(held, ["class", "own"]).where(F.col("held") >= fewest_cells(n, F.col("low"), F.col("high"), percent))
+        cells = cut_lineage(kept.select(*cells.columns), "pruned")
+    return cells
+
+
 def _meeting(pairs: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) that meet in enough cells to be linked. A pair counts in its larger set's band."""
     one = cells.select(F.col("class").alias("a"), "cell", F.col("n").alias("na"), F.col("own").alias("own_a"))
@@ -277,8 +304,8 @@ def _unions(members: DataFrame, sets: DataFrame) -> DataFrame:
     return cut_lineage(tokens.join(sizes, "group").groupBy(F.col("group").alias("other"), F.pmod("token", "rows").alias("row")).agg(F.collect_list("token").alias("union")), "unions")
 
 
-def _opened(cells: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of classes of different groups that neither their cells nor their group's union rule out, and the classes' tokens."""
+def _opened(cells: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of different groups that neither their cells nor their group's union rule out."""
     labelled = cells.join(labels, "class", "left").select("cell", "class", "n", "own", F.coalesce("root", "class").alias("group"), F.coalesce("members", F.lit(1)).alias("members"))
     labelled = cut_lineage(labelled, "labelled")
     several = labelled.groupBy("cell").agg(F.min("group").alias("a"), F.max("group").alias("b")).where("a <> b").select("cell")
@@ -296,7 +323,6 @@ def _opened(cells: DataFrame, labels: DataFrame, texts: DataFrame, width: int, p
 
     asked = stored(queries.select(F.col("other").alias("group")).distinct(), "asked")
     inside = cut_lineage(rest.join(asked, "group", "left_semi").select("group", "class").distinct(), "members")
-    sets = _token_sets(texts, width, queries.select("class").union(inside.select("class")))
     unions = _unions(inside, sets)
 
     def bound(batches):
@@ -320,7 +346,7 @@ def _opened(cells: DataFrame, labels: DataFrame, texts: DataFrame, width: int, p
     fits = 100 * F.col("shared") >= percent * (F.col("n") + F.col("m") - F.col("shared"))
     early = F.col("rank") <= F.col("cells") - least_cells(F.col("n"), F.col("m"), percent) + 1
     pairs = open_cells.join(opened, ["cell", "other"]).where(fits & early & (F.col("own_a") | F.col("own_b")))
-    return cut_lineage(pairs.select(F.col("class").alias("a"), "b").distinct(), "pairs"), sets
+    return cut_lineage(pairs.select(F.col("class").alias("a"), "b").distinct(), "pairs")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
@@ -332,7 +358,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = reported.where("repeated is null").select("id", "n", "class")
 
     common = texts.sparkSession.sparkContext.broadcast(_common_tokens(reported))
-    cells = _cells(cut_lineage(_prefixes(texts, width, percent, common), "prefixes"), percent)
+    cells = _pruned(_cells(cut_lineage(_prefixes(texts, width, percent, common), "prefixes"), percent), percent)
+    sets = _token_sets(texts, width, cells.select("class").distinct())
     rank = cells.groupBy("class").agg(F.count(F.lit(1)).alias("rank"))
     ranked = cut_lineage(cells.join(cut_lineage(rank, "ranks"), "class"), "ranked")
     lead = cut_lineage(ranked.groupBy("cell").agg(F.max(F.struct("rank", "class", "n")).alias("lead")), "leads")
@@ -341,12 +368,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = cut_lineage(pairs.select(F.col("class").alias("a"), F.col("lead.class").alias("b")).distinct(), "pairs")
     pairs = cut_lineage(_meeting(pairs, cells, percent), "pairs")
 
-    both = pairs.select(F.col("a").alias("class")).union(pairs.select("b"))
-    links = _verified(pairs, _token_sets(texts, width, both), percent)
+    links = _verified(pairs, sets, percent)
     roots = cut_lineage(connected_components(links).select(F.col("node").alias("class"), "root"), "roots")
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     labels = stored(roots.join(cut_lineage(sizes, "sizes"), "root"), "labels")
-    more = _verified(*_opened(cells, labels, texts, width, percent), percent)
+    more = _verified(_opened(cells, labels, sets, percent), sets, percent)
     roots = cut_lineage(connected_components(links.union(more)).select(F.col("node").alias("class"), "root"), "labels")
 
     smallest = classes.where("class is not null").groupBy("class").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))

@@ -208,6 +208,25 @@ def least_cells(n, m, percent):
     return -(-percent * (n + m) // (100 + percent)) - -(-percent * max(n, m) // 100) + 1
 
 
+def test_jaccard_cells_of_a_common_passage_go(spark):
+    passage = [f"p{i}" for i in range(132)]
+
+    def cells_of(documents):
+        rows = frame_of(spark, [" ".join([*passage, *(f"d{d}w{i}" for i in range(18))]) for d in range(documents)])
+        texts = rows.select("text")
+        common = spark.sparkContext.broadcast(jaccard._common_tokens(jaccard._classes(rows.select(F.col("doc_id").alias("id"), "text"), 4)))
+        cells = jaccard._cells(jaccard._prefixes(texts, 4, 85, common), 85)
+        return rows, cells.count(), jaccard._pruned(cells, 85).count()
+
+    rows, before, after = cells_of(2000)
+    # all of them have places of the passage among their first tokens, and none can be linked
+    assert before >= 2000
+    assert after == 0
+    got = jaccard.jaccard_components(rows)
+    assert got.where("component_id <> doc_id").count() == 0
+    assert got.count() == 2000
+
+
 def test_jaccard_fewest_cells(spark):
     """The bound is the minimum over every size between, though the two roundings make it go up and down."""
     cases = [(p, n, a, b) for p in (80, 85) for n in (7, 40, 100, 101, 333) for a in range(-(-n * p // 100), n * 100 // p + 1, 2) for b in range(a, n * 100 // p + 1)]
