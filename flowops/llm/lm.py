@@ -114,8 +114,17 @@ def vocabulary(counts: DataFrame, documents: int, size: int = VOCABULARY, held:
     # the smallest count that no more than ``held`` words reach: from the numbers of words of each count,
     # of which there are no more than the root of twice the tokens
     of_count = counts.groupBy(F.least("n", F.lit(held)).alias("n")).count().toPandas().sort_values("n", ascending=False)
-    fits = of_count["n"][of_count["count"].cumsum() <= held]
-    most = counts.where(F.col("n") >= int(fits.min())).toPandas() if len(fits) else counts.limit(0).toPandas()
+    reached = of_count["count"].cumsum()
+    whole = reached <= held
+    chosen = F.col("n") >= int(of_count["n"][whole].min()) if whole.any() else F.lit(False)
+    if not whole.all():
+        # of the words of the next count, those of the smallest hashes fill what is left, by a margin for their spread
+        count, words_of = (int(of_count[c][~whole].iloc[0]) for c in ("n", "count"))
+        room = held - int(reached[whole].max() if whole.any() else 0)
+        room = max(0.0, room - 6 * room**0.5)
+        low = F.pmod(F.xxhash64("word", F.lit(3)), F.lit(1 << 30)) < int(room / words_of * (1 << 30))
+        chosen = chosen | ((F.least("n", F.lit(held)) == count) & low)
+    most = counts.where(chosen).toPandas()
     most = most.sort_values(["n", "word"], ascending=[False, True])
     words, n = most["word"].to_numpy(np.int64).view(np.uint64), most["n"].to_numpy(np.int64)
     top, top_n = words[:size], n[:size]

@@ -208,6 +208,18 @@ def least_cells(n, m, percent):
     return -(-percent * (n + m) // (100 + percent)) - -(-percent * max(n, m) // 100) + 1
 
 
+def test_lm_vocabulary_of_equal_counts(spark):
+    counts = spark.range(3000).selectExpr("xxhash64(id) AS word", "CASE WHEN id < 10 THEN 7L ELSE 2L END AS n")
+    vocab = lm.vocabulary(counts, 5, size=50, held=400)
+    assert len(vocab.top) == 50
+    assert 50 < len(vocab.words) <= 400
+    assert vocab.counts.tolist().count(7) == 10
+    assert vocab.tokens == 10 * 7 + 2990 * 2 + 5
+    again = lm.vocabulary(counts.repartition(7), 5, size=50, held=400)
+    assert again.words.tolist() == vocab.words.tolist()
+    assert len(lm.vocabulary(counts.limit(0), 0).top) == 0
+
+
 def test_jaccard_cells_of_a_common_passage_go(spark):
     passage = [f"p{i}" for i in range(132)]
 
