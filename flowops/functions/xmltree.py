@@ -109,6 +109,44 @@ def text_at(text: str | None, path: str | None) -> tuple[str | None, str | None]
     return "".join(nodes[0].itertext()) if nodes else "", None
 
 
+# a path that the element tree reads as XPath does: named steps with one plain predicate at most
+_STEP = r"(?:\*|[A-Za-z_][\w.-]*(?::[\w.-]+)?(?:\[(?:[1-9]\d*|@[A-Za-z_][\w.-]*(?:='[^']*')?)\])?)"
+_SIMPLE = re.compile(rf"^(?://?)?{_STEP}(?://?{_STEP})*$")
+
+
+def simple_path(path: str | None) -> bool:
+    """Whether :func:`element_path` gives the nodes that XPath gives."""
+    path = (path or "").strip().replace("child::", "")
+    return path in ("", ".") or _SIMPLE.match(path) is not None
+
+
+# a name with a prefix; what is quoted is matched first and stays
+_PREFIXED = re.compile(r"""("[^"]*"|'[^']*')|(?<![\w.-])(?<!\w:)(@?)([A-Za-z_][\w.-]*:[A-Za-z_][\w.-]*)(?![\w.-]*(?:\(|::))""")
+
+
+def from_document(path: str) -> str:
+    """An XPath asked of the document element, as one asked of the document; prefixes are parts of names.
+
+    A path in parentheses starts where it says itself.
+    """
+    out = _PREFIXED.sub(lambda m: m[1] or f"{m[2]}*[name()='{m[3]}']", path.strip())
+    parts, depth, quote, start = [], 0, "", 0
+    for i, c in enumerate(out):
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "'\"":
+            quote = c
+        elif c in "[(":
+            depth += 1
+        elif c in "])":
+            depth -= 1
+        elif c == "|" and depth == 0:
+            parts.append(out[start:i])
+            start = i + 1
+    parts = [x.strip() for x in [*parts, out[start:]]]
+    return " | ".join(x if x.startswith(("/", "(")) else f"/*/{x}" for x in parts)
+
+
 def records(text: str | None, path: str, children: bool) -> tuple[list | None, str | None]:
     """(name, text) pairs of the child elements of every record node, or the reason for none.
 
@@ -124,40 +162,89 @@ def records(text: str | None, path: str, children: bool) -> tuple[list | None, s
     nodes = _in_order(outer, path)
     if children:
         nodes = [child for node in nodes for child in node]
-    return [[(field.tag.replace(_STAND_IN, _COLON), "".join(field.itertext())) for field in node] for node in nodes], None
+    return [_fields(node) for node in nodes], None
 
 
-def merge_schemas(paths: list[str], load: Callable[[str], str]) -> str:
-    """One schema text from several files and the files they include.
+def records_at(text: str, places: list[int]) -> tuple[list | None, str | None]:
+    """As :func:`records`, of the elements that start at these places of the document, counted from 1."""
+    try:
+        nodes = list(document(text).iter())
+    except (expat.ExpatError, Unsafe) as error:
+        return None, str(error)
+    return [_fields(nodes[k - 1]) for k in places], None
+
+
+def _fields(node: ET.Element) -> list[tuple[str, str]]:
+    return [(field.tag.replace(_STAND_IN, _COLON), "".join(field.itertext())) for field in node]
 
-    A shipped file cannot find its neighbours, so includes are replaced by what they include.
-    Every file's namespace prefixes stay with its own declarations.
+
+#: Fixed value: the namespace of schemas.
+XSD_NAMESPACE = "http://www.w3.org/2001/XMLSchema"
+
+
+def schema_set(paths: list[str], load: Callable[[str], str], place: Callable[[int], str]) -> list[str]:
+    """Schema texts, one for every target namespace of some files and of what they include and import.
+
+    A shipped file cannot find its neighbours, so includes are replaced by what they include, and
+    imports lead to ``place(k)``, the name of the k-th text. Of several texts the first only imports
+    the others. Every file's namespace prefixes stay with its own declarations.
     """
-    merged: ET.Element | None = None
+    merged: dict[str, ET.Element] = {}
+    imports: dict[str, dict[str, str]] = {}  # per namespace, the imported ones and the tag that does it
     seen: set[str] = set()
 
-    def take(path: str) -> None:
-        nonlocal merged
+    def beside(path: str, part: ET.Element) -> str:
+        location = part.get("schemaLocation", "").removeprefix("./")
+        return location if ":/" in location else posixpath.join(posixpath.dirname(path), location)
+
+    def take(path: str, expected: str | None = None) -> None:
         if path in seen:
             return
         seen.add(path)
         root = document(load(path))
         prefixes = {k: v for k, v in root.attrib.items() if k == "xmlns" or k.startswith("xmlns:")}
         settings = {k: v for k, v in root.attrib.items() if k not in prefixes}
-        if merged is None:
-            merged = ET.Element(root.tag, {**prefixes, **settings})
-        for name in ("targetNamespace", "elementFormDefault", "attributeFormDefault"):
-            if merged.get(name) != settings.get(name):
+        space = settings.get("targetNamespace", "")
+        if expected is not None and space != expected:
+            raise ValueError(f"{path} has the target namespace {space!r}, not {expected!r}")
+        if space not in merged:
+            merged[space], imports[space] = ET.Element(root.tag, {**prefixes, **settings}), {}
+        for name in ("elementFormDefault", "attributeFormDefault"):
+            if merged[space].get(name) != settings.get(name):
                 raise ValueError(f"{path} differs in {name}")
         for part in root:
-            if part.tag.rsplit(_STAND_IN, 1)[-1] == "include":
-                take(posixpath.join(posixpath.dirname(path), part.get("schemaLocation", "").removeprefix("./")))
+            kind = part.tag.rsplit(_STAND_IN, 1)[-1]
+            if kind == "include":
+                take(beside(path, part), space)
+            elif kind == "import":
+                other = part.get("namespace", "")
+                imports[space].setdefault(other, f"{root.tag.removesuffix('schema')}import")
+                if part.get("schemaLocation"):
+                    take(beside(path, part), other)
+            elif kind in ("redefine", "override"):
+                raise ValueError(f"{path} has {kind}, which is not read")
             else:
                 part.attrib.update({k: v for k, v in prefixes.items() if k not in part.attrib})
-                merged.append(part)
+                merged[space].append(part)
 
     for path in paths:
         take(path)
-    for element in merged.iter():
-        element.tag = element.tag.replace(_STAND_IN, _COLON)
-    return ET.tostring(merged, encoding="unicode")
+    several = len(merged) > 1
+    places = {space: place(k + several) for k, space in enumerate(merged)}
+
+    def leading(tag: str, space: str) -> ET.Element:
+        found = {"namespace": space, "schemaLocation": places.get(space, "")}
+        return ET.Element(tag, {k: v for k, v in found.items() if v})
+
+    for space, schema in merged.items():
+        for other, tag in imports[space].items():
+            schema.insert(0, leading(tag, other))
+    texts = list(merged.values())
+    if several:
+        first = ET.Element("x:schema", {"xmlns:x": XSD_NAMESPACE, "targetNamespace": f"urn:{place(0)}"})
+        first.extend(leading("x:import", space) for space in merged)
+        texts = [first, *texts]
+    for schema in texts:
+        for element in schema.iter():
+            element.tag = element.tag.replace(_STAND_IN, _COLON)
+    return [ET.tostring(schema, encoding="unicode") for schema in texts]

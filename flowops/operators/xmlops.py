@@ -2,8 +2,8 @@
 
 Spark's XPath functions end the job on malformed text, so a document is checked first: put inside
 an element of its own it must read as XML, and be one element. XPath and validation stay in the
-JVM; records of names that only the data knows, and paths that differ from row to row, are read
-in Arrow batches.
+JVM, and so does the search for the nodes of a root path of any form; records of names that only
+the data knows, and paths that differ from row to row, are read in Arrow batches.
 """
 
 from __future__ import annotations
@@ -33,17 +33,25 @@ _PAIR = pa.struct([("k", pa.string()), ("v", pa.string())])
 _PARSED = pa.struct([("records", pa.list_(pa.list_(_PAIR))), ("problem", pa.string())])
 
 
+_RECORDS = "struct<records: array<array<struct<k: string, v: string>>>, problem: string>"
+
+
+def _parsed(found: list | None, why: str | None) -> dict:
+    return {"records": None if found is None else [[{"k": n, "v": t} for n, t in record] for record in found], "problem": why}
+
+
 def _parse_udf(path: str, children: bool):
     def parse(batch: pa.Array) -> pa.Array:
-        out = []
-        for text in batch.to_pylist():
-            found, why = xmltree.records(text, path, children)
-            rows = None if found is None else [[{"k": n, "v": t} for n, t in record] for record in found]
-            out.append({"records": rows, "problem": why})
-        return pa.array(out, _PARSED)
+        return pa.array([_parsed(*xmltree.records(text, path, children)) for text in batch.to_pylist()], _PARSED)
+
+    return F.arrow_udf(parse, _RECORDS)
+
 
-    kind = "struct<records: array<array<struct<k: string, v: string>>>, problem: string>"
-    return F.arrow_udf(parse, kind)
+def _read_udf():
+    def read(batch: pa.Array, places: pa.Array) -> pa.Array:
+        return pa.array([_parsed(None, None) if at is None else _parsed(*xmltree.records_at(text, at)) for text, at in zip(batch.to_pylist(), places.to_pylist())], _PARSED)
+
+    return F.arrow_udf(read, _RECORDS)
 
 
 # a declaration that any reader takes; others stay in the text and make it malformed
@@ -87,6 +95,29 @@ def _all_of(paths: Sequence[str]) -> str:
     return "concat(" + f", '{_SEPARATOR}', ".join(f"string({p})" for p in paths) + ", '')"
 
 
+# comments, CDATA, instructions, tags, and text between them
+_TOKENS = r"""(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<[^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+>|[^<]++"""
+
+
+def _places(text: Column, path: str) -> Column:
+    """Which elements of a well-formed text an XPath leads to, counted from 1 by their starts, in document order.
+
+    Every element gets its number as an instruction in front of all it holds, which no name,
+    attribute, position of elements or text of the document sees; the path ends in it.
+    """
+    own = f"w{uuid.uuid4().hex}"
+    mark = F.lit(f"<?{own} {_SEPARATOR}?>")
+
+    def numbered(token: Column) -> Column:
+        name = F.regexp_extract(token, r"^<([^\s/>]+)", 1)
+        whole = F.concat(F.substring(token, F.lit(1), F.length(token) - 2), F.lit(">"), mark, F.lit("</"), name, F.lit(">"))
+        return F.when(~token.rlike("^<[^/!?]"), token).when(token.endswith("/>"), whole).otherwise(F.concat(token, mark))
+
+    joined = F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_TOKENS), 0), numbered), "")
+    pieces = F.transform(F.split(joined, _SEPARATOR, -1), lambda x, k: F.when(k == 0, x).otherwise(F.concat(k.cast("string"), x)))
+    return F.xpath(F.array_join(pieces, ""), F.lit(f"({path})/processing-instruction('{own}')")).cast("array<int>")
+
+
 def _row_text_udf():
     kind = pa.struct([("text", pa.string()), ("problem", pa.string())])
 
@@ -119,19 +150,30 @@ def xml_to_rows(
     with one name the last stays. Renaming is by position, then the prefix is put in front;
     ``always_add`` starts every record with the (unprefixed) new names empty. Without a root path
     it is the document element. Records come in document order. Malformed text goes to ``failure``,
-    as does every row if the root path is not one of element steps and simple predicates.
+    as does every row if the root path is no XPath that leads to nodes. Nodes that are no elements
+    are no records. Steps with one plain predicate at most are followed where the records are read;
+    other paths take one reading more, and documents with a DTD are failures then.
     ``id_columns`` name what tells documents of equal text apart, for their fragment ids.
     """
     if parse_type not in PARSE_TYPES:
         raise ValueError(f"parse_type must be one of {PARSE_TYPES}, not {parse_type!r}")
     table = parse_type == "table"
     old, new = split_list(rename, delimiter), split_list(new_names, delimiter)
-    try:
-        parsing = _parse_udf(xmltree.element_path(root), table)(F.col(quoted(column)))
-    except ValueError as error:
-        pair = "array<struct<k: string, v: string>>"
-        parsing = F.struct(F.lit(None).cast(f"array<{pair}>").alias("records"), F.lit(str(error)).alias("problem"))
-    parsed = materialise(df, {"__xml": parsing})
+    source = F.col(quoted(column))
+    if xmltree.simple_path(root):
+        parsed = materialise(df, {"__xml": _parse_udf(xmltree.element_path(root), table)(source)})
+    else:
+        path = xmltree.from_document(f"{root.strip()}/child::*" if table else root)
+        bad = _path_problem(df.sparkSession, [f"({path})/*"])
+        if bad:
+            nothing = F.lit(None).cast(_RECORDS)
+            parsed = df.withColumn("__xml", F.struct(nothing["records"].alias("records"), F.lit(f"bad XPath {root!r}").alias("problem")))
+        else:
+            parsed = _xml_texts(df, source, [])
+            parsed = materialise(parsed, {"__at": F.when(F.col("__why").isNull(), _places(source, path))})
+            parsed = materialise(parsed, {"__read": _read_udf()(source, F.col("__at"))})
+            read = F.struct(F.col("__read.records").alias("records"), F.coalesce("__why", "__read.problem").alias("problem"))
+            parsed = parsed.withColumn("__xml", read).drop("__why", "__texts", "__at", "__read")
     records, why = F.col("__xml.records"), F.col("__xml.problem")
     rows = explode_records(parsed, records, fragment_id(F.col(quoted(column)), *[F.col(quoted(c)) for c in id_columns]), why.isNotNull(), why, original)
     attributes = attribute_pairs(F.col("__row.record"), prefix=prefix, renames=(old, new), blanks=new if always_add else [])
@@ -205,7 +247,8 @@ def validate_xml(
     """Route documents by an XML schema: ``success`` or ``invalid`` with a reason.
 
     ``xsd_text`` goes before ``xsd_path`` (one path or several, as a list or separated by
-    commas; several make one schema). Without a readable schema all rows are ``failure``.
+    commas; several make one schema, of one target namespace or more). What a file includes or
+    imports by place is taken along. Without a readable schema all rows are ``failure``.
     """
     spark = df.sparkSession
     text = F.col(quoted(column))
@@ -225,32 +268,41 @@ def validate_xml(
 
 
 def _ship_schema(spark: SparkSession, xsd_path: str | Sequence[str] | None, xsd_text: str | None) -> str:
-    """Give every executor the schema as one file; returns the name the reader finds it by."""
-    if xsd_text:
-        return _ship_text(spark, xsd_text)
-    paths = split_list(xsd_path)
+    """Give every executor the schema; returns the name that the reader finds it by."""
+    paths = [""] if xsd_text else split_list(xsd_path)
     if not paths:
         raise ValueError("no XSD given")
 
     def load(path: str) -> str:
+        if not path:
+            return xsd_text
         found = spark.read.text(path, wholetext=True).first()
         if found is None:
             raise ValueError(f"{path} is empty")
         return found[0]
 
-    return _ship_text(spark, xmltree.merge_schemas(paths, load))
+    own = f"schema-{uuid.uuid4().hex}"
+    return _ship_texts(spark, {f"{own}-{k}.xsd": text for k, text in enumerate(xmltree.schema_set(paths, load, lambda k: f"{own}-{k}.xsd"))})
 
 
-def _ship_text(spark: SparkSession, text: str) -> str:
-    """Write a small file to the shared folder and ship it with the job."""
-    xmltree.document(text)
-    name = f"schema-{uuid.uuid4().hex}.xsd"
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/flowops/{name}")
-    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
-    try:
-        stream.write(bytearray(text.encode("utf-8")))
-    finally:
-        stream.close()
-    spark.sparkContext.addFile(path.toString())
-    return name
+def _ship_texts(spark: SparkSession, texts: dict[str, str]) -> str:
+    """Write small files to the shared folder and ship them with the job; returns how tasks name the first.
+
+    Files that lead to each other are found beside the first: in a shared folder that is mounted
+    by that folder's name, elsewhere in the folder that executors work and keep shipped files in.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    places = {}
+    for name, text in texts.items():
+        path = hadoop.Path(f"{shared_dir(spark)}/flowops/{name}")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        stream = files.create(path)
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
+        places[name] = files.makeQualified(path).toString()
+        spark.sparkContext.addFile(places[name])
+    first = next(iter(texts))
+    mounted = len(texts) > 1 and places[first].startswith("file:")
+    return places[first] if mounted else first

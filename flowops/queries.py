@@ -372,6 +372,19 @@ def xml_record(spark, sf_dir):
     return xmlops.xml_to_rows(xml_documents(spark, sf_dir), "/events", parse_type="record", names=["list"]).select("doc", "list", "route")
 
 
+@register(
+    "xml_rows_path",
+    f"""
+    WITH {DOCS_SQL}, d AS (SELECT doc, max(k) AS top FROM e GROUP BY doc),
+    n AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY event_id) AS place FROM e JOIN d USING (doc))
+    SELECT doc, event_id::VARCHAR AS id, event_type || '!' AS type, 'success' AS route FROM n WHERE top < 97 AND place > 1 AND event_type <> 'view'
+    UNION ALL SELECT doc, NULL, NULL, 'failure' FROM d WHERE top >= 97""",
+)
+def xml_rows_path(spark, sf_dir):
+    path = "/events/list/e[position() > 1][not(starts-with(type, 'view'))]"
+    return xmlops.xml_to_rows(xml_documents(spark, sf_dir), path, parse_type="record", names=["id", "type"]).select("doc", "id", "type", "route")
+
+
 @register(
     "xml_extract",
     """
@@ -415,6 +428,31 @@ def xml_validate(spark, sf_dir):
     return xmlops.validate_xml(rows, xsd_text=ORDER_XSD).select("o_orderkey", "route", "reason")
 
 
+# Two schemas, of which the first uses the second.
+LINE_XSD = """<xsd:schema xmlns:xsd="http://www.w3.org/2001/XMLSchema" xmlns:a="urn:amounts" targetNamespace="urn:lines" elementFormDefault="qualified">
+<xsd:import namespace="urn:amounts"/><xsd:element name="line"><xsd:complexType><xsd:sequence><xsd:element name="part" type="xsd:integer"/>
+<xsd:element ref="a:amount"/></xsd:sequence></xsd:complexType></xsd:element></xsd:schema>"""
+AMOUNT_XSD = """<xsd:schema xmlns:xsd="http://www.w3.org/2001/XMLSchema" targetNamespace="urn:amounts"><xsd:element name="amount"><xsd:simpleType>
+<xsd:restriction base="xsd:integer"><xsd:maxInclusive value="40"/></xsd:restriction></xsd:simpleType></xsd:element></xsd:schema>"""
+
+
+@register(
+    "xml_validate_namespaces",
+    """
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 40 OR l_returnflag = 'R' THEN 'invalid' ELSE 'success' END AS route FROM lineitem""",
+)
+def xml_validate_namespaces(spark, sf_dir):
+    amount = F.col("l_quantity").cast("int").cast("string")
+    # returned lines have an amount of no namespace
+    inner = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("<amount>"), amount, F.lit("</amount>"))).otherwise(F.concat(F.lit("<y:amount xmlns:y='urn:amounts'>"), amount, F.lit("</y:amount>")))
+    content = F.concat(F.lit("<x:line xmlns:x='urn:lines'><x:part>"), text("l_partkey"), F.lit("</x:part>"), inner, F.lit("</x:line>"))
+    rows = spread(table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", content.alias("content"))
+    folder = scratch_path(spark, "schemas")
+    for name, xsd in (("line", LINE_XSD), ("amount", AMOUNT_XSD)):
+        spark.range(1).select(F.lit(xsd)).coalesce(1).write.text(f"{folder}/{name}", lineSep="\n")
+    return xmlops.validate_xml(rows, xsd_path=[f"{folder}/line", f"{folder}/amount"]).select("l_orderkey", "l_linenumber", "route")
+
+
 # --------------------------------------------------------------------------- columns
 
 

@@ -124,3 +124,67 @@ def test_all_paths_are_asked_at_once(spark):
     assert got[0] == ("1", "2", "two", "true", "1-one", "success") and got[2] == (None,) * 5 + ("failure",)
     assert extract_xml(df, {"a": "/a", "b": "///"}).select("reason").distinct().collect()[0][0] == "bad XPath '///'"
     assert extract_xml(df, {}).where("route = 'success'").count() == 4
+
+
+@pytest.mark.parametrize(
+    ("path", "want"),
+    [
+        ("/r/g[@k][2]", ["g2"]),
+        ("//*[self::g or self::e]", ["g0", "g1", "g2", "e"]),
+        ("/r/g[i='a'] | g[last()]", ["g0", "g2"]),
+        ("g[position() > 1]", ["g1", "g2"]),
+        ("/r/*[2]", ["g1"]),
+        ("(//g)[3]", ["g2"]),
+        ("//n:z/..", ["g2"]),
+        ("//i[ancestor::g[@k='2']]/parent::g", ["g2"]),
+        ("/r/g[not(@*)]", ["g1"]),
+        ("/r/g[count(node()) = 0] | /r/e[contains(., '|')]", []),
+        ("//text()", []),
+    ],
+)
+def test_any_root_path(spark, path, want):
+    text = "<r a='>'><!-- <x> --><g k='1'><i>a</i><j/></g><g><i>b<u>c</u>d</i></g><g k='2'><i><![CDATA[<g>]]></i><n:z xmlns:n='u'>q</n:z></g><e/></r>"
+    attrs = {"g0": {"i": "a", "j": ""}, "g1": {"i": "bcd"}, "g2": {"i": "<g>", "n:z": "q"}, "e": {}}
+    rows = xml_to_rows(docs(spark, text, *BAD), path, parse_type="record").collect()
+    assert [r["attrs"] for r in rows if r["route"] == "success"] == [attrs[w] for w in want]
+    assert sorted(r["doc"] for r in rows if r["route"] == "failure" and r["reason"]) == list(range(1, len(BAD) + 1))
+
+
+def test_any_root_path_of_tables(spark):
+    text = "<r><t n='1'><row><a>1</a></row></t><t n='2'><row><a>2</a></row><row><a>3</a><b/></row></t></r>"
+    rows = xml_to_rows(docs(spark, text, "<r/>").withColumn("records", F.lit("x")), "/r/t[@n > 1]", prefix="p.").orderBy("frag_index").collect()
+    assert [(r["doc"], r["attrs"], r["frag_index"], r["frag_count"], r["records"]) for r in rows] == [(0, {"p.a": "2"}, 1, 2, "x"), (0, {"p.a": "3", "p.b": ""}, 2, 2, "x")]
+    for bad in ("count(//t)", "/r/t[", "$x/t"):
+        rows = xml_to_rows(docs(spark, text), bad).collect()
+        assert [(r["route"], r["reason"]) for r in rows] == [("failure", f"bad XPath {bad!r}")]
+    # long texts and tags with very many attributes
+    wide = "<r>" + "<t " + " ".join(f"a{k}='{k}'" for k in range(900)) + "><c>" + "x " * 200_000 + "</c></t>" + "<u/>" * 5000 + "</r>"
+    rows = xml_to_rows(docs(spark, wide), "/r/t[@a899 = 899]", parse_type="record").collect()
+    assert [len(r["attrs"]["c"]) for r in rows] == [400_000]
+
+
+NAMESPACED = """<s:schema xmlns:s="http://www.w3.org/2001/XMLSchema" targetNamespace="{0}" xmlns:own="{0}" {1} elementFormDefault="qualified">{2}</s:schema>"""
+
+
+def test_schemas_of_several_namespaces(spark, tmp_path):
+    """One schema imports another; given together, without places, they find each other too."""
+    years = '<s:simpleType name="years"><s:restriction base="s:integer"><s:minInclusive value="0"/></s:restriction></s:simpleType>'
+    person = '<s:element name="p"><s:complexType><s:sequence><s:element name="age" type="t:years"/></s:sequence></s:complexType></s:element>'
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "types.xsd").write_text(NAMESPACED.format("urn:t", "", years))
+    (tmp_path / "placed.xsd").write_text(NAMESPACED.format("urn:p", 'xmlns:t="urn:t"', '<s:import namespace="urn:t" schemaLocation="sub/types.xsd"/>' + person))
+    (tmp_path / "bare.xsd").write_text(NAMESPACED.format("urn:p", 'xmlns:t="urn:t"', '<s:import namespace="urn:t"/>' + person))
+    (tmp_path / "note.xsd").write_text(XSD.format('<xsd:element name="note" type="xsd:date"/>'))
+    (tmp_path / "wrong.xsd").write_text(NAMESPACED.format("urn:p", "", '<s:import namespace="urn:z" schemaLocation="sub/types.xsd"/>'))
+    texts = ["<p xmlns='urn:p'><age>4</age></p>", "<x:p xmlns:x='urn:p'><x:age>-4</x:age></x:p>", "<p><age>4</age></p>", "<note>2020-01-01</note>", "<note>no</note>"]
+    df = docs(spark, *texts)
+
+    def routes(**given):
+        return [r["route"] for r in validate_xml(df, **given).orderBy("doc").collect()]
+
+    assert routes(xsd_path=str(tmp_path / "placed.xsd")) == ["success", "invalid", "invalid", "invalid", "invalid"]
+    together = f"{tmp_path / 'note.xsd'},{tmp_path / 'bare.xsd'},{tmp_path / 'sub' / 'types.xsd'}"
+    assert routes(xsd_path=together) == ["success", "invalid", "invalid", "success", "invalid"]
+    assert routes(xsd_path=str(tmp_path / "wrong.xsd")) == ["failure"] * 5
+    text = NAMESPACED.format("urn:p", 'xmlns:t="urn:t"', f'<s:import namespace="urn:t" schemaLocation="{tmp_path / "sub" / "types.xsd"}"/>' + person)
+    assert routes(xsd_text=text) == ["success", "invalid", "invalid", "invalid", "invalid"]
