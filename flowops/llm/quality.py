@@ -1,6 +1,9 @@
 """Quality rules: a threshold table compiled into one projection of built-in functions.
 
-Words are runs of anything but ASCII white space, over the whole text. Null text counts as empty:
+Words are runs of anything but ASCII white space, over the whole text. Frequent words are looked for as
+listed, with a capital, and in capitals, and only where at most a quarter as many bytes are added by
+characters outside ASCII as there are characters: texts in other scripts have none of them, and other
+rules decide. Of languages in Latin letters those of ``STOP_WORDS`` are covered. Null text counts as empty:
 all counts are 0, and the document is rejected by the word count. An empty table gives an empty
 result; each repeated row has its own. The columns are expressions over the text column alone, so
 other columns, whatever their names, do not matter. Work in a row grows as n log n with its words.
@@ -20,12 +23,22 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 REPEAT_WORDS = 3
 
-#: Frequent words of the languages that documents are written in.
+#: Frequent words of languages in Latin letters: English, German, French, Spanish, Italian, Portuguese,
+#: Dutch, Swedish, Danish and Norwegian, Finnish, Polish, Turkish, Indonesian.
 STOP_WORDS = [
     *["the", "of", "and", "to", "in", "is", "that", "it", "for", "was", "on", "with", "as", "be", "by", "this", "are"],
     *["der", "die", "das", "und", "den", "von", "zu", "mit", "ist", "nicht", "ein", "eine", "dem", "des"],
     *["le", "la", "les", "de", "et", "un", "une", "du", "que", "qui", "dans", "en", "est", "pour"],
     *["el", "los", "las", "y", "del", "se", "por", "con", "para", "una", "no", "su"],
+    *["il", "di", "che", "non", "per", "gli", "sono", "della"],
+    *["o", "os", "do", "da", "em", "um", "uma", "com"],
+    *["het", "een", "van", "op", "te", "dat", "zijn", "niet"],
+    *["och", "att", "det", "som", "av", "med", "har", "till", "inte", "om"],
+    *["og", "til", "ikke", "er", "fra", "jeg", "af"],
+    *["ja", "ei", "oli", "joka", "mutta", "ovat"],
+    *["i", "w", "na", "nie", "z", "jest", "od"],
+    *["ve", "bir", "bu", "ile", "daha", "olarak"],
+    *["yang", "dan", "ini", "itu", "untuk", "dengan"],
 ]
 
 
@@ -44,7 +57,7 @@ class Rule:
 RULES = [
     Rule("mean_word_length", "word_chars", "n_words", 2.0, 14.0),
     Rule("symbol_ratio", "n_symbols", "n_words", None, 0.4),
-    Rule("stop_word_ratio", "n_stop_words", "n_words", 0.01, None),
+    Rule("stop_word_ratio", "n_stop_words", "n_latin_words", 0.01, None),
     Rule("duplicate_line_ratio", "n_dup_lines", "n_lines", None, 0.5),
     Rule("ellipsis_line_ratio", "n_ellipsis_lines", "n_lines", None, 0.5),
 ]
@@ -79,6 +92,11 @@ def _repeated_words(words: Column, width: int = REPEAT_WORDS) -> Column:
     return _let(words, of)
 
 
+def stop_words() -> list[str]:
+    """Frequent words in the forms that are looked for."""
+    return list(dict.fromkeys(form for w in STOP_WORDS for form in (w, w.capitalize(), w.upper())))
+
+
 def quality_counts(text: Column | str) -> dict[str, Column]:
     """The counts that rules refer to, as columns over a text column."""
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
@@ -91,7 +109,8 @@ def quality_counts(text: Column | str) -> dict[str, Column]:
         "n_words": F.size(words).cast("long"),
         "word_chars": F.length(F.array_join(words, "")).cast("long"),
         "n_symbols": (F.octet_length(text) - F.octet_length(plain)).cast("long"),
-        "n_stop_words": F.size(F.filter(words, lambda x: x.isin(STOP_WORDS))).cast("long"),
+        "n_stop_words": F.size(F.filter(words, lambda x: x.isin(stop_words()))).cast("long"),
+        "n_latin_words": F.when(4 * F.octet_length(text) <= 5 * F.length(text), F.size(words)).otherwise(0).cast("long"),
         "n_lines": F.size(lines).cast("long"),
         "n_dup_lines": _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         "n_ellipsis_lines": F.size(F.filter(lines, lambda x: F.rtrim(x).endswith("..."))).cast("long"),

@@ -16,7 +16,7 @@ from .langid import identify, learn
 from .linededup import line_dedup
 from .packing import pack, token_pieces
 from .periodic import periodic_runs, repeated_tail
-from .quality import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, SYMBOLS, quality
+from .quality import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, SYMBOLS, quality, stop_words
 from .sharding import GROUP_SHARE, shard
 from .suffixes import repeated_passages
 from .toxicity import toxicity
@@ -107,7 +107,8 @@ def _sql_rules() -> str:
     r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id),
     c AS (SELECT w.doc_id, len(w) AS n_words, length(list_aggregate(list_append(w, ''), 'string_agg', '')) AS word_chars,
                  length(regexp_replace(text, '[^{SYMBOLS}]', '', 'g')) AS n_symbols,
-                 len(list_filter(w, lambda x: x IN ({", ".join(repr(x) for x in dict.fromkeys(STOP_WORDS))}))) AS n_stop_words,
+                 len(list_filter(w, lambda x: x IN ({", ".join(repr(x) for x in stop_words())}))) AS n_stop_words,
+                 CASE WHEN 4 * strlen(text) <= 5 * length(text) THEN len(w) ELSE 0 END AS n_latin_words,
                  len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
                  len(list_filter(lines, lambda x: regexp_matches(x, '\.\.\. *$'))) AS n_ellipsis_lines,
                  coalesce(r.n, 0) AS n_repeat_words

@@ -133,6 +133,22 @@ def test_quality_odd(spark, odd_docs, no_docs):
     assert quality.quality(no_docs, [F.col("doc_id")]).count() == 0
 
 
+def test_quality_keeps_languages_and_capitals(spark):
+    """Clean texts in capitals, of more languages, and of scripts without listed words are kept; bare keywords are not."""
+    swedish = "Hon gick genom skogen mot sjön och såg att vattnet låg stilla, men ingen båt väntade vid bryggan den kvällen."
+    clean = [
+        "WE WALKED ALONG THE RIVER AND FOUND A SMALL HOUSE THAT NOBODY HAD SEEN BEFORE.",
+        swedish,
+        "Мы шли вдоль реки и увидели маленький дом, которого никто раньше не замечал у старой дороги.",
+        "Wij liepen langs de rivier en zagen een klein huis dat niemand eerder had gezien.",
+    ]
+    texts = [" ".join(f"{x[:-1]} {k}." for k in range(9)) for x in clean] + [" ".join(f"cheap{k} shoes{k}" for k in range(60)), None, ""]
+    got = quality.quality(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), [F.col("doc_id")]).orderBy("doc_id").collect()
+    judged = [r for r in got if r["n_words"] >= 50]
+    assert [("stop_word_ratio" in r["failed_rules"]) for r in judged] == [False] * 4 + [True]
+    assert [r["kept"] for r in got[4:]] == [False] * 3
+
+
 def test_quality_plan_is_one_projection(spark, odd_docs):
     plan = quality.quality(odd_docs, [F.col("doc_id")])._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "Python" not in plan
