@@ -14,9 +14,10 @@ empty results, and without rules every verdict is the default. Other columns are
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -89,16 +90,24 @@ class Cascade:
     def build(cls, listed: DataFrame, universe: DataFrame) -> Cascade:
         """``listed`` and ``universe`` have distinct ``key`` columns; all keys asked for later are in ``universe``."""
         out = cls()
-        inside, outside = listed, universe.join(listed, "key", "left_anti")
+        inside, outside = listed, universe
         count = inside.count()
         while count:
             out._encode(inside, count)
-            level = len(out.levels) - 1
-            inside, outside = cut_lineage(outside.where(out.passes(F.col("key"), level)), "false-positives"), inside
+            passed = outside.where(out.passes(F.col("key"), len(out.levels) - 1))
+            if len(out.levels) == 1:  # of the keys that pass, those that are listed are no false positives
+                both = passed.select("key", F.lit(False).alias("listed")).unionByName(listed.select("key", F.lit(True).alias("listed")))
+                passed = both.groupBy("key").agg(F.max("listed").alias("listed")).where("not listed").select("key")
+            inside, outside = cut_lineage(passed, "false-positives"), inside
             count = inside.count()
         return out
 
 
+def _rows(spark: SparkSession, keys: list[str]) -> DataFrame:
+    """Keys as rows of a plan's constant; no Python worker reads them."""
+    return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(keys)), "array<string>")).alias("key"))
+
+
 def _shape_key(host: Column, path: Column, labels: int, length: int) -> Column:
     """The url's key of a shape, null if it is too short for it."""
     long_enough = (host != "") & (F.size(F.split(host, "\\.")) >= labels) & (F.length(path) >= length)
@@ -119,7 +128,7 @@ def filter_urls(pages: DataFrame, rules: list[UrlRule], id_col: str = "page_id",
         for verdict in ("allow", "block"):
             keys = blocked if verdict == "block" else {r.key for r in rules} - blocked
             if keys:
-                cascades[verdict] = Cascade.build(spark.createDataFrame([(k,) for k in sorted(keys)], "key string"), universe)
+                cascades[verdict] = Cascade.build(_rows(spark, sorted(keys)), universe)
 
     def judged(x: Column) -> Column:
         verdict = F.lit(None).cast("string")
