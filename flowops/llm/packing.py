@@ -4,8 +4,9 @@ Texts become token ids, one end id follows each; only what is longer than a sequ
 pieces are dealt into shards of bounded size. Each shard is a bin-packing problem that several
 islands work on, every island a group of its own: crossover takes well-filled bins of one parent
 whole into the other, removes the bins that hold the same pieces, and best-fits the displaced ones.
-Between epochs each island's elite moves to the next one. The emptiest bins of all shards are then
-taken apart and packed together, until one shard holds them.
+Between epochs each island's elite moves to the next one. The emptiest bins of every shard, up to half
+of its tokens, are then taken apart and packed together with those of the others, until one shard
+holds them.
 
 Null text is empty: one piece, the end id. Repeated rows are pieces of their own, also those with a
 null id. An empty table gives an empty result. Other columns are not read; the id may be of any type.
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 from ..session import cut_lineage, spread
 from .words import blocks
 
-#: Pieces in one bin-packing problem.
+#: Pieces in one bin-packing problem, on average.
 SHARD_PIECES = 4096
 ISLANDS = 2
 POPULATION = 4
@@ -37,6 +38,8 @@ EPOCHS = 2
 GENERATIONS = 3
 #: Bins filled less than this share of the capacity are packed again with those of other shards.
 REPACK_BELOW = 0.98
+#: Partitions that shards are spread over at most; a partition holds its shards one after another.
+MAX_PARTITIONS = 4096
 #: Distinct words, and parts of words, whose ids a Python worker remembers, and their longest.
 CACHE_WORDS, CACHE_LENGTH = 500_000, 64
 
@@ -238,31 +241,46 @@ def evolve(lengths: np.ndarray, members: list[np.ndarray], capacity: int, popula
     return [x for _, _, x in scored[:population]]
 
 
+def emptiest(fill: np.ndarray, capacity: int) -> np.ndarray:
+    """Which bins are packed again: those below the share, the emptiest first, up to half of all tokens.
+
+    Of two bins or more the emptiest always is within half; a single one goes if it is below.
+    """
+    order = np.argsort(fill, kind="stable")
+    again = np.zeros(len(fill), bool)
+    again[order] = (2 * np.cumsum(fill[order]) <= fill.sum()) | (len(fill) == 1)
+    return again & (fill < REPACK_BELOW * capacity) & (fill > 0)
+
+
 # ---------------------------------------------------------------------------- islands and shards
 
 _MEMBER = "shard long, island int, lengths binary, bins binary"
 
 
 def _dealt(pieces: DataFrame, shards: int) -> DataFrame:
-    """``pieces`` with ``shard`` and ``item`` (0.. in falling length), stored so that they stay."""
+    """Stored ``pieces`` with ``shard`` and ``item`` (0.. in falling length), stored so that they stay."""
     schema = T.StructType([*pieces.schema.fields, T.StructField("shard", T.LongType()), T.StructField("item", T.LongType())])
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held).sort_by([("length", "descending")])  # a shard: SHARD_PIECES rows
-        n = table.num_rows
-        table = table.append_column("shard", pa.array(np.full(n, TaskContext.get().partitionId()))).append_column("item", pa.array(np.arange(n)))
-        yield from table.to_batches()
+        last, seen = -1, 0
+        for batch in batches:
+            shard = batch.column(batch.schema.get_field_index("shard")).to_numpy()
+            place = np.arange(len(shard))
+            first = np.concatenate([[True], shard[1:] != shard[:-1]])[: len(shard)]
+            item = place - np.maximum.accumulate(np.where(first, place, 0))
+            if len(shard):
+                item[shard == last] += seen if shard[0] == last else 0
+                last, seen = shard[-1], item[-1] + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(item)], schema=pa.schema([*batch.schema, pa.field("item", pa.int64())]))
 
-    return cut_lineage(pieces.repartition(shards).mapInArrow(number, schema), "pieces")
+    # the place of a row in what is stored tells equal rows apart, so copies of one text spread
+    shard = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("long")
+    placed = pieces.withColumn("shard", shard).repartition(min(shards, MAX_PARTITIONS), "shard")
+    return cut_lineage(placed.sortWithinPartitions("shard", F.desc("length")).mapInArrow(number, schema), "pieces")
 
 
-def _packed(items: DataFrame, capacity: int, islands: int, population: int, epochs: int, generations: int) -> DataFrame:
-    """``shard``, ``item``, ``bin``, ``place``, ``fill`` for the items of every shard."""
+def _packed(items: DataFrame, shards: int, capacity: int, islands: int, population: int, epochs: int, generations: int) -> DataFrame:
+    """``shard``, ``item``, ``bin``, ``place`` and ``again`` (to be packed with other shards' items) for the items of every shard."""
 
     def evolved(key, rows: pd.DataFrame) -> pd.DataFrame:
         shard, island, epoch = (int(x) for x in key)
@@ -285,6 +303,8 @@ def _packed(items: DataFrame, capacity: int, islands: int, population: int, epoc
 
     state = items.groupBy("shard").agg(collected("length").alias("lengths")).mapInArrow(packed_lengths, _MEMBER)
     for epoch in range(epochs):
+        # rows are few and small, but each is a problem to solve: a number of partitions that is not merged
+        state = state.repartition(min(shards * islands, MAX_PARTITIONS), "shard", "island")
         state = state.groupBy("shard", "island", F.lit(epoch).alias("epoch")).applyInPandas(evolved, _MEMBER)
 
     def chosen(key, rows: pd.DataFrame) -> pd.DataFrame:
@@ -295,10 +315,10 @@ def _packed(items: DataFrame, capacity: int, islands: int, population: int, epoc
         first = np.concatenate([[True], bins[order][1:] != bins[order][:-1]])
         place = np.empty(len(bins), np.int64)
         place[order] = before - np.maximum.accumulate(np.where(first, before, 0))
-        fill = np.bincount(bins, weights=lengths).astype(np.int64)
-        return pd.DataFrame({"shard": int(key[0]), "item": np.arange(len(bins)), "bin": bins.astype(np.int64), "place": place, "fill": fill[bins]})
+        again = emptiest(np.bincount(bins, weights=lengths), capacity)
+        return pd.DataFrame({"shard": int(key[0]), "item": np.arange(len(bins)), "bin": bins.astype(np.int64), "place": place, "again": again[bins]})
 
-    return state.groupBy("shard").applyInPandas(chosen, "shard long, item long, bin long, place long, fill long")
+    return state.repartition(min(shards, MAX_PARTITIONS), "shard").groupBy("shard").applyInPandas(chosen, "shard long, item long, bin long, place long, again boolean")
 
 
 def pack(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = SHARD_PIECES, islands: int = ISLANDS, population: int = POPULATION, epochs: int = EPOCHS, generations: int = GENERATIONS) -> DataFrame:
@@ -310,21 +330,17 @@ def pack(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = SHARD_PIEC
     while True:
         shards = max(1, ceil(count / shard_pieces))
         items = _dealt(left, shards)
-        placed = cut_lineage(_packed(items, capacity, islands, population, epochs, generations), "placed")
+        placed = cut_lineage(_packed(items, shards, capacity, islands, population, epochs, generations), "placed")
         level += 1
         # every level has its own range of numbers
         number = F.col("bin") * shards + F.col("shard") + F.lit(level << 48).cast("long")
         joined = items.join(placed, ["shard", "item"])
-        done = joined if shards == 1 else joined.where(F.col("fill") >= REPACK_BELOW * capacity)
+        left = cut_lineage(joined.where("again").select(*columns), "unpacked") if shards > 1 else None
+        again = left.count() if shards > 1 else 0
+        ended = again in (0, count)  # each level leaves half of its tokens behind, or all in single bins
+        done = joined if ended else joined.where("not again")
         done = done.select(*columns, number.alias("sequence_id"), F.col("place").alias("offset"))
         result = done if result is None else result.unionByName(done)
-        if shards == 1:
-            return result
-        left = cut_lineage(joined.where(F.col("fill") < REPACK_BELOW * capacity).select(*columns), "unpacked")
-        again = left.count()
-        if again == 0:
+        if ended:
             return result
-        if again > count // 2:  # long pieces that nothing fits beside: more rounds don't help
-            rest = joined.where(F.col("fill") < REPACK_BELOW * capacity)
-            return result.unionByName(rest.select(*columns, number.alias("sequence_id"), F.col("place").alias("offset")))
         count = again
