@@ -36,7 +36,7 @@ from pyspark.sql.window import Window
 
 from ..session import cut_lineage, spread
 from .components import connected_components
-from .joins import stored, thinned
+from .joins import marked, stored, thinned
 from .words import blocks, mix, shingles, word_hashes
 
 #: A token is common if the classes that meet it inside one task are so many together.
@@ -387,3 +387,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.coalesce("component", "class").alias("component"),
         F.when(F.col("component").isNotNull(), F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
     )
+
+
+def keep_first(docs: DataFrame, id_col: str, text_col: str, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of every group of linked texts: that of the smallest id, a null id first.
+
+    Rows equal in id and text are one document, also without words. All columns stay; rows that
+    nothing happens to are not shuffled.
+    """
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    name = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.xxhash64("text").alias("hash"))
+    found = jaccard_components(rows.select(name.alias("key"), "text"), "key", width=width, percent=percent)
+    found = cut_lineage(found.select("key", "component"), "components")
+    first = found.where("component is not null").groupBy("component").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    gone = found.join(stored(first.select("component", "first"), "first"), "component").where("key <> first").select("key", F.lit(0).alias("kept"))
+    repeated = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").join(gone.select("key"), "key", "left_anti").select("key", F.lit(1).alias("kept"))
+    changed = stored(gone.distinct().unionByName(repeated).select(F.col("key.id").alias("other_id"), F.col("key.hash").alias("other"), "kept"), "changed")
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.col(text_col)).alias("hash"))
+    told = marked(rows, F.col("hash"), changed.select(F.col("other").alias("hash")), "changed-bits")
+    some = told.where("__marked").select("row", F.col(f"row.`{id_col}`").alias("id"), "hash")
+    some = some.join(changed, F.col("id").eqNullSafe(F.col("other_id")) & (F.col("hash") == F.col("other")), "left").select("row", "id", "hash", "kept")
+    once = some.where("kept = 1").dropDuplicates(["id", "hash"])
+    return told.where("not __marked").select("row.*").unionByName(some.where("kept is null").select("row.*")).unionByName(once.select("row.*"))
