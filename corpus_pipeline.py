@@ -10,20 +10,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowops.functions.maps import materialise
 from flowops.llm.decontaminate import decontaminate
-from flowops.llm.jaccard import jaccard_components
-from flowops.llm.joins import marked, stored
+from flowops.llm.jaccard import keep_first
 from flowops.llm.linededup import line_dedup
 from flowops.llm.packing import pack, token_pieces
 from flowops.llm.quality import quality
-from flowops.session import cut_lineage, scratch_path
+from flowops.session import scratch_path, ship_code
 
 CAPACITY = 2048
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
-    return quality(docs, [F.struct("*").alias("row")]).where("kept").select("row.*")
+    judged = quality(docs, [F.struct("*").alias("row")]).select("row", "kept")
+    # a filter on the verdict itself would count everything again wherever a rule names it
+    return materialise(judged, {"kept": F.col("kept")}).where("kept").select("row.*")
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,21 +38,7 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the smallest id."""
-    rows = docs.select(F.struct("*").alias("row"), "text")
-    found = jaccard_components(rows.select(F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("doc_id"), F.xxhash64("text").alias("hash")).alias("key"), "text"), "key", width=5, percent=80)
-    found = cut_lineage(found.select("key", "component"), "components")
-    first = found.where("component is not null").groupBy("component").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    gone = found.join(stored(first.select("component", "first"), "first"), "component").where("key <> first").select("key", F.lit(0).alias("kept"))
-    # rows equal in id and text are one document too
-    repeated = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").join(gone.select("key"), "key", "left_anti").select("key", F.lit(1).alias("kept"))
-    changed = stored(gone.distinct().unionByName(repeated).select("key.doc_id", "key.hash", "kept"), "changed")
-    # documents that nothing happens to stay where they are
-    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("hash"))
-    told = marked(rows, F.col("hash"), changed.select("hash"), "changed-bits")
-    some = told.where("__marked").select("row", F.col("row.doc_id").alias("id"), "hash")
-    some = some.join(changed.withColumnRenamed("hash", "other"), some["id"].eqNullSafe(changed["doc_id"]) & (F.col("hash") == F.col("other")), "left").select("row", "id", "hash", "kept")
-    once = some.where("kept = 1").dropDuplicates(["id", "hash"])
-    return told.where("not __marked").select("row.*").unionByName(some.where("kept is null").select("row.*")).unionByName(once.select("row.*"))
+    return keep_first(docs, "doc_id", "text", width=5, percent=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,6 +67,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's result is written and read again."""
+    ship_code(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name.replace(" ", "-"))
