@@ -15,7 +15,7 @@ from ..functions.names import attribute_name, split_list
 from ..functions.template import quoted
 from ..plans import DEFAULT_MAX_ROWS, Running, place_among, plan_split, running, search_tree
 from ..routes import EMPTY, FAILURE, REASON, ROUTE, SUCCESS
-from ..session import measured
+from ..session import measured, spread
 from .sequence import number_fragments
 
 CELL_COLUMNS = ("table", "row_key", "family", "qualifier", "value", "ts")
@@ -141,7 +141,8 @@ def _by_prefix(cells: DataFrame, prefixes: DataFrame) -> DataFrame:
 
     Keys that begin with p are the interval from p to the next text that does not. Whatever prefixes a
     key has, they are prefixes of the last text in the list that is not above the key, or that text itself. So a
-    key looks up that one, by a search tree, and tries those that it brings along.
+    key looks up that one, by a search tree, and tries those that it brings along: by their lengths, which
+    is all the tree has to hold of them.
     """
     saved, small_side = measured(prefixes, "prefixes")
     lengths = sorted(r[0] for r in saved.select(F.length("__find")).distinct().collect())
@@ -150,12 +151,13 @@ def _by_prefix(cells: DataFrame, prefixes: DataFrame) -> DataFrame:
     # the shorter prefixes that each one begins with; only the list itself is copied for this
     heads = F.filter(F.transform(F.array(*[F.lit(n) for n in lengths]), lambda n: F.when(n < F.length("__find"), F.substring("__find", F.lit(1), n))), lambda h: h.isNotNull())
     shorter = saved.select("__find", F.explode(heads).alias("__head")).join(small_side(saved.select(F.col("__find").alias("__head"))), "__head", "left_semi")
-    chains = saved.select("__find", F.col("__find").alias("__head")).unionByName(shorter).groupBy(F.col("__find").alias("__o")).agg(F.collect_list("__head").alias("chain"))
+    chains = saved.select("__find", F.col("__find").alias("__head")).unionByName(shorter).groupBy(F.col("__find").alias("__o")).agg(F.collect_list(F.length("__head")).alias("lengths"))
     chains, _ = measured(chains, "chains")
     numbered = running(chains, [], ["__o"], [Running("__n", "count")], split=plan_split(chains, [], ["__o"]))
-    tree = search_tree(numbered.select("__n", "__o", "chain"), [], ["chain"])
-    placed = place_among(cells, tree, [], F.col("row_key"), "__place", inclusive=True, entry="__last")
-    hits = F.filter(F.col("__last.chain"), lambda p: F.startswith(F.col("row_key"), p))
+    tree = search_tree(numbered.select("__n", "__o", "lengths"), [], ["lengths"])
+    placed = place_among(spread(cells), tree, [], F.col("row_key"), "__place", inclusive=True, entry="__last")
+    heads = F.transform(F.col("__last.lengths"), lambda n: F.substring(F.col("__last.__o"), F.lit(1), n))
+    hits = F.filter(heads, lambda p: F.startswith(F.col("row_key"), p))
     return placed.select(*[F.col(quoted(c)) for c in cells.columns], F.explode(hits).alias("__find"))
 
 

@@ -2,8 +2,8 @@
 
 The sorted values of a group lie in chunks of ``FANOUT``; the first values of the chunks lie in chunks
 again, and so on up to one chunk. A search descends by one equi-join per level, on the group and the
-chunk's number, so a row never meets more than one chunk a level. Every level is measured: while it is
-small it is broadcast and the rows stay where they are, else both sides are shuffled by chunk.
+chunk's number, so a row never meets more than one chunk a level. Every level is measured: while it has
+few values it is broadcast and the rows stay where they are, else both sides are shuffled by chunk.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ from ..session import measured
 #: Values of a chunk; a power of two.
 FANOUT = 256
 
+#: Values of a level that is broadcast, at most: a task holds them all, and files, in which alike values take little, do not tell how much that is.
+MAX_BROADCAST_VALUES = 1 << 17
+
 _CHUNK, _VALUES = "__tree_chunk", "__tree_values"
 
 
@@ -42,15 +45,21 @@ def search_tree(values: DataFrame, names: Sequence[str], payload: Sequence[str]
         chunk = F.floor(F.col("__n") / FANOUT).alias(_CHUNK)
         whole = values.groupBy(*names, chunk).agg(F.sort_array(F.collect_list(F.struct("__n", entry.alias("e")))).alias("all"))
         level = whole.select(*names, _CHUNK, F.transform("all", lambda x: x["e"]).alias(_VALUES))
-        levels.append(measured(level, "search"))
-        saved = levels[-1][0]
-        top = saved.agg(F.max(_CHUNK).alias("top")).first()["top"]
+        saved, small_side = measured(level, "search")
+        size = saved.agg(F.max(_CHUNK).alias("top"), F.sum(F.size(_VALUES)).alias("values")).first()
+        levels.append((saved, small_side if (size["values"] or 0) <= MAX_BROADCAST_VALUES else _shuffled))
+        top = size["top"]
         if not top:  # one chunk in every group, or no value at all
             return SearchTree(tuple(names), tuple(levels))
         values = saved.select(*names, F.col(_CHUNK).alias("__n"), F.get(_VALUES, 0)["__o"].alias("__o"))
         entry = F.struct("__o")
 
 
+def _shuffled(side: DataFrame) -> DataFrame:
+    """A side of a join that is too large for every task to hold, whatever its files or statistics say."""
+    return side.hint("merge")
+
+
 def place_among(df: DataFrame, tree: SearchTree, groups: Sequence[Column], value: Column, output: str, *, inclusive: bool = False, entry: str | None = None) -> DataFrame:
     """Add ``output``: how many values of the row's group are below ``value`` (``inclusive``: or equal to it).
 

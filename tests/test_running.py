@@ -246,3 +246,13 @@ def test_places_in_a_search_tree(spark, inclusive):
         assert r["place"] == want
         assert (r["last"]["__o"] if r["last"] else None) == (own[want - 1] if want else None)
         assert not want or r["last"]["tag"] == [own[want - 1], want - 1]
+
+
+def test_tasks_hold_no_level_of_many_values(spark):
+    """Values that differ little take few bytes in files, so neither their bytes nor the rows of their level tell what a task would hold."""
+    values = spark.range(150_000).select(F.col("id").alias("__n"), F.lpad(F.col("id").cast("string"), 18, "0").alias("__o"))
+    rows = spark.range(0, 150_000, 1000).select(F.lpad(F.col("id").cast("string"), 18, "0").alias("v"))
+    placed = place_among(rows, search_tree(values, []), [], F.col("v"), "place", inclusive=True)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 2
+    assert placed.where(F.col("place") != F.col("v").cast("long") + 1).isEmpty() and placed.count() == 150
