@@ -27,13 +27,17 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.maps import materialise
 from ..functions.template import quoted, template, template_text
 from ..functions.values import TYPE_NAMES, convert, convert_failed
 from ..routes import FAILURE, REASON, ROUTE, SUCCESS, with_route
-from ..session import cut_lineage
+from ..session import cut_lineage, spread
 from ..sources.sql import MAX_SHAPES, lateral_first, sql_scalar_content
 from .cells import lookup_cells, scan
 
+#: Different configs of a table that are read apart from its records, at most.
+MAX_CONFIGS = 10_000
+
 TO_ATTRIBUTES = "extract-to-attributes"
 TO_JSON = "extract-to-json"
 
@@ -200,11 +204,11 @@ def _plain_text(value: Column) -> Column:
     return F.when(kind == "STRING", F.try_variant_get(value, "$", "string")).when(kind != "VOID", F.to_json(value))
 
 
-def _entry_rows(records: DataFrame) -> DataFrame:
-    """One row per entry of a record's config: what it is, its text filled in, and what it falls back to."""
+def _entry_rows(configs: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per entry of a config (``__config``): what it is, its text, and what it falls back to; with the columns ``keep``."""
     sections = F.array(*[F.struct(F.lit(k).alias("section"), F.try_variant_get(F.col("__config"), f"$['{name}']", "map<string,variant>").alias("entries")) for k, name in enumerate((TO_ATTRIBUTES, TO_JSON))])
-    rows = records.select("__rid", "__values", F.explode(sections).alias("s"))
-    rows = rows.select("__rid", "__values", F.col("s.section").alias("section"), F.explode("s.entries").alias("name", "entry"))
+    rows = configs.select(*keep, F.explode(sections).alias("s"))
+    rows = rows.select(*keep, F.col("s.section").alias("section"), F.explode("s.entries").alias("name", "entry"))
     mapping = F.schema_of_variant("entry").startswith("OBJECT")
     member = lambda name: F.when(mapping, _member(F.col("entry"), name))
     default = member("default")
@@ -215,12 +219,12 @@ def _entry_rows(records: DataFrame) -> DataFrame:
     kind = F.coalesce(_plain_text(member("type")), F.lit(""))
     kind = F.when(kind.isin(*CACHE_KINDS), "cache").when(kind.isin(*CELL_KINDS), "cell").when(kind == "SQL", "sql").otherwise("text")
     return rows.select(
-        "__rid",
+        *keep,
         "section",
         "name",
         mapping.alias("mapping"),
         F.when(F.coalesce(text, F.lit("")) == "", "none").otherwise(kind).alias("kind"),
-        template_text(text, F.col("__values")).alias("text"),
+        text.alias("text"),
         _plain_text(member("hbase-table")).alias("cell_table"),
         _plain_text(member("to-type")).alias("to_type"),
         _plain_text(default).alias("default"),
@@ -229,20 +233,20 @@ def _entry_rows(records: DataFrame) -> DataFrame:
 
 
 def _found(entries: DataFrame, kv: DataFrame | None, cells: DataFrame | None, max_shapes: int) -> DataFrame:
-    """``__rid``, ``section``, ``name``, ``found`` and ``why`` (null unless the lookup failed) of all entries that look something up."""
-    keys = ["__rid", "section", "name"]
+    """All entries with ``found`` and ``why`` (null unless the lookup failed). Lookups keep the entry's columns, so nothing is joined to them again."""
+    keys = entries.columns
     none = F.lit(None).cast("string")
-    parts = []
+    parts = [entries.where("kind in ('none', 'text')").select(*keys, none.alias("found"), none.alias("why"))]
 
-    asked = entries.where("kind = 'cache'").select(*keys, F.nullif("text", F.lit("")).alias("text"))
+    asked = entries.where("kind = 'cache'").withColumn("__asked", F.nullif("text", F.lit("")))
     if kv is None:
         parts.append(asked.select(*keys, none.alias("found"), F.lit("a CACHE entry needs the kv table").alias("why")))
     else:
         lookup = kv.groupBy(F.col("key").alias("__key")).agg(F.min("value").alias("found"), (F.count(F.lit(1)) > 1).alias("__many"))
-        joined = asked.join(lookup, F.col("text") == F.col("__key"), "left")
-        parts.append(joined.select(*keys, "found", F.when(F.col("__many"), F.concat(F.lit("more than one row for the key "), F.col("text"))).alias("why")))
+        joined = asked.join(lookup, F.col("__asked") == F.col("__key"), "left")
+        parts.append(joined.select(*keys, "found", F.when(F.col("__many"), F.concat(F.lit("more than one row for the key "), F.col("__asked"))).alias("why")))
 
-    asked = entries.where("kind = 'cell'").select(*keys, "cell_table", "text")
+    asked = entries.where("kind = 'cell'")
     exact, prefix = (F.regexp_extract_all("text", F.lit(p.pattern.replace("?P<key>", "").replace("?P<prefix>", "")), F.lit(1)) for p in (_ROW_FILTER, _PREFIX_FILTER))
     asked = asked.withColumns({"__exact": F.get(exact, 0), "__prefix": F.get(prefix, 0)})
     wrong = (
@@ -257,13 +261,16 @@ def _found(entries: DataFrame, kv: DataFrame | None, cells: DataFrame | None, ma
         whole = cells.withColumn("row_key", F.concat("table", F.lit("\x01"), "row_key"))
         asked = asked.where("__wrong is null")
         for by_prefix, test in ((False, F.col("__exact").isNotNull()), (True, F.col("__exact").isNull())):
-            own = asked.where(test).select(*keys, "cell_table", F.concat("cell_table", F.lit("\x01"), F.coalesce("__exact", "__prefix")).alias("__row"))
+            own = asked.where(test).select(*keys, F.concat("cell_table", F.lit("\x01"), F.coalesce("__exact", "__prefix")).alias("__row"))
             hits = lookup_cells(own, whole, "__row", prefix=by_prefix, output="found")
             parts.append(hits.select(*keys, "found", F.concat("cell_table", F.lit(": "), REASON).alias("why")))
 
-    asked = entries.where("kind = 'sql'").select(*keys, F.col("text").alias("__sql"))
+    # a query may take a bare name for a column of its record, so the entry's own are out of its sight
+    place = ["__rid", "section", "name"]
+    rest = [c for c in keys if c not in place]
+    asked = entries.where("kind = 'sql'").select(*place, F.struct(*rest).alias("__entry"), F.col("text").alias("__sql"))
     told = sql_scalar_content(asked, "__sql", "found", max_shapes=max_shapes)
-    parts.append(told.select(*keys, "found", F.when(F.col(ROUTE) == FAILURE, F.coalesce(REASON, F.lit("the query failed"))).alias("why")))
+    parts.append(told.select(*place, *[F.col(f"__entry.{c}").alias(c) for c in rest], "found", F.when(F.col(ROUTE) == FAILURE, F.coalesce(REASON, F.lit("the query failed"))).alias("why")))
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
@@ -297,15 +304,25 @@ def enrich_rows(
     filling in must name what it reads, and an ``order-by`` is not taken.
     """
     names = df.columns
-    given = F.try_parse_json(F.col(quoted(config)).cast("string"))
-    values = F.map_from_arrays(F.array(*[F.lit(c) for c in names]), F.array(*[F.col(quoted(c)).cast("string") for c in names]))
-    records = df.withColumns({"__rid": F.monotonically_increasing_id(), "__config": given, "__values": values})
+    given = F.col(quoted(config)).cast("string")
     # written, so that a record keeps its number
-    records = cut_lineage(records, "records")
-    entries = cut_lineage(_entry_rows(records), "entries")
-    found = _found(entries, kv, cells, max_shapes)
+    records = cut_lineage(spread(df).withColumns({"__rid": F.monotonically_increasing_id(), "__given": given}), "records")
+    values = F.map_from_arrays(F.array(*[F.lit(c) for c in names]), F.array(*[F.col(quoted(c)).cast("string") for c in names])).alias("__values")
+    parsed = F.try_parse_json("__given").alias("__config")
+    # whether a config is an object, and has the JSON section
+    flags = [F.schema_of_variant("__config").startswith("OBJECT").alias("__object"), F.try_variant_get("__config", f"$['{TO_JSON}']", "map<string,variant>").isNotNull().alias("__has_json")]
+    if records.select(F.xxhash64("__given")).distinct().limit(MAX_CONFIGS + 1).count() <= MAX_CONFIGS:
+        # few texts: each is read once, for all its records
+        configs = cut_lineage(records.select("__given").where("__given is not null").distinct().select("__given", parsed), "configs")
+        asked = cut_lineage(_entry_rows(configs, ["__given"]), "config-entries")
+        entries = records.select("__rid", "__given", values).join(F.broadcast(asked), "__given").drop("__given")
+        records = records.join(F.broadcast(configs.select("__given", *flags)), "__given", "left")
+    else:
+        entries = _entry_rows(records.select("__rid", values, parsed), ["__rid", "__values"])
+        records = materialise(records, {"__config": parsed}).select("*", *flags).drop("__config")
+    entries = cut_lineage(entries.withColumn("text", template_text(F.col("text"), F.col("__values"))).drop("__values"), "entries")
+    joined = _found(entries, kv, cells, max_shapes)
     keys = ["__rid", "section", "name"]
-    joined = entries.join(found, keys, "left")
     looked = F.nullif(F.when(F.col("kind") == "none", F.lit(None).cast("string")).when(F.col("kind") == "text", F.col("text")).otherwise(F.col("found")), F.lit(""))
     chosen = F.coalesce(looked, F.col("default"))
     failed = F.col("to_type").isNotNull() & chosen.isNotNull() & _as_variant(chosen, F.col("to_type")).isNull()
@@ -324,17 +341,15 @@ def enrich_rows(
         pair(1, F.to_json("value")).alias("__json"),
     )
     rows = records.join(gathered, F.col("__rid") == F.col("__of"), "left")
-    object_ = F.schema_of_variant("__config").startswith("OBJECT")
-    reason = F.when(~F.coalesce(object_, F.lit(False)), "the config is not a JSON object").otherwise(F.col("__why.why"))
+    reason = F.when(~F.coalesce("__object", F.lit(False)), "the config is not a JSON object").otherwise(F.col("__why.why"))
     route = F.when(reason.isNull(), SUCCESS).otherwise(FAILURE)
     none = F.array().cast("array<struct<k:string,v:string>>")
     made = F.map_from_entries(F.coalesce(F.array_sort("__attributes"), none))
     fields = F.array_sort(F.coalesce("__json", none))
     document = F.concat(F.lit("{"), F.array_join(F.transform(fields, lambda e: F.concat(_json_text(e["k"]), F.lit(":"), F.coalesce(e["v"], F.lit("null")))), ","), F.lit("}"))
-    has_json = F.try_variant_get("__config", f"$['{TO_JSON}']", "map<string,variant>").isNotNull()
     old = F.col(quoted(content)).cast("string") if content in names else F.lit(None).cast("string")
     outputs = {
-        content: F.when((route == SUCCESS) & has_json, document).otherwise(old),
+        content: F.when((route == SUCCESS) & F.col("__has_json"), document).otherwise(old),
         attributes: F.when(route == SUCCESS, made),
     }
     keep = [F.col(quoted(c)) for c in names if c not in outputs]

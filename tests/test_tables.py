@@ -390,3 +390,25 @@ def test_queries_of_records_are_read_by_every_core(spark):
     assert sorted((r["id"], r["n"]) for r in told) == [(k, str(k)) for k in range(400)]
     (made,) = set(folder.glob("queries-*")) - before
     assert len({p.name.split("-")[1] for p in made.rglob("part-*.parquet")}) > 1
+
+
+def test_configs_are_read_once_or_with_their_records(spark, monkeypatch):
+    """Few configs are read apart from the records; more of them with every record, to the same result."""
+    from flowops.operators import enrich as E
+
+    shapes = ['{"extract-to-attributes": {"a": "${n}"}}', '{"extract-to-json": {"b": {"type": "CACHE", "value": "k${n}", "default": 7}}}', "no", None, "[1]", '{"extract-to-json": {}}']
+    shapes += ['{"extract-to-attributes": {"q": {"type": "SQL", "value": "SELECT ${n} + 1"}, "e": "", "t": {"value": "x", "to-type": "int"}}}', '{"extract-to-json": {"s": {"type": "SQL", "value": "SELECT kind"}}}']
+    df = spark.createDataFrame([(k, shapes[k % len(shapes)]) for k in range(40)], "n int, content string").coalesce(1)
+    kv = spark.createDataFrame([("k1", "one"), ("k9", "x"), ("k9", "y")], "key string, value string")
+
+    def run(limit):
+        monkeypatch.setattr(E, "MAX_CONFIGS", limit)
+        folder = pathlib.Path(shared_dir(spark)) / "flowops"
+        before = set(folder.glob("config-entries-*"))
+        rows = [(r["n"], r["content"], r["attributes"], r["route"], (r["reason"] or "")[:20]) for r in enrich_rows(df, kv=kv).orderBy("n").collect()]
+        return rows, len(set(folder.glob("config-entries-*")) - before)
+
+    (few, once), (many, never) = run(10_000), run(3)
+    assert few == many and len(few) == 40 and (once, never) == (1, 0)
+    assert few[0][2] == {"a": "0"} and few[1][1] == '{"b":"one"}' and few[9][3] == "failure" and few[17][1] == '{"b":7}'
+    assert {r[3] for r in few if r[0] % 8 in (2, 3, 4, 6, 7)} == {"failure"}
