@@ -331,6 +331,22 @@ def _listed(column) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(column)), sizes), np.array(column.flatten(), np.int64)
 
 
+def document_frequencies(entries: DataFrame, n_terms: int) -> np.ndarray:
+    """How many rows have each term; a task counts its own rows, so it gives a row per term at most, however many rows share it."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(n_terms, np.int64)
+        for batch in batches:
+            own += np.bincount(_listed(batch.column(0))[1], minlength=n_terms)
+        found = np.flatnonzero(own)
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(own[found])], names=["term", "n"])
+
+    df = np.zeros(n_terms)
+    for r in entries.select("terms").mapInArrow(work, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toLocalIterator():
+        df[r["term"]] = r["n"]
+    return df
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, keep: list, key_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limit: int = EXAMPLES) -> DataFrame:
     """``keep`` and, for every row of ``docs``, ``score`` and ``evidence``: the nearest examples
     (``id``, ``label``, ``cosine``), best first.
@@ -347,10 +363,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, keep: list, key_col: str = "doc
 
     entries = cut_lineage(_entries(docs, keep, text_col, terms), "entries")
     counted = entries.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    df = np.zeros(len(terms))
-    for r in entries.select(F.explode("terms").alias("term")).groupBy("term").count().toLocalIterator():
-        df[r["term"]] = r["count"]
-    idf = np.log((1.0 + counted) / (1.0 + df)) + 1.0
+    idf = np.log((1.0 + counted) / (1.0 + document_frequencies(entries, len(terms)))) + 1.0
 
     ids, own_labels, own_rows, own_terms, own_tf = _example_entries(sample, terms)
     model = fit(terms, idf, ids, own_labels, own_rows, own_terms, own_tf)

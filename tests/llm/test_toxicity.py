@@ -99,3 +99,12 @@ def test_odd_inputs(spark, odd_docs, no_docs):
     assert {r["score"] for r in toxicity(odd_docs, labels.where("false"), ["doc_id"]).collect()} == {0.0}
     empty = toxicity(no_docs, labels, ["doc_id"])
     assert empty.columns == ["doc_id", "score", "evidence"] and empty.count() == 0
+
+
+def test_terms_are_counted_where_they_lie(spark):
+    """Rows that share their terms are counted in their tasks: nothing is made per row and term."""
+    from flowops.llm.toxicity import document_frequencies
+
+    rows = spark.createDataFrame([([0, 2, 3],)] * 500 + [([],), ([3],)], "terms array<int>").repartition(3)
+    assert document_frequencies(rows, 5).tolist() == [500, 0, 500, 501, 0]
+    assert document_frequencies(rows.where("false"), 2).tolist() == [0, 0]
