@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import bz2
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyarrow import fs
@@ -63,7 +65,7 @@ def decompress(data: bytes, codec: str) -> bytes:
 
 def _blocks(data: bytes, codec: str) -> bytes:
     """Blocks of (bytes in the block, then chunks of it: compressed bytes, chunk)."""
-    raw = pa.Codec("lz4_raw" if codec == "lz4" else codec)
+    raw = pa.Codec("snappy")
     out, at = [], 0
     while at < len(data):
         left = struct.unpack_from(">I", data, at)[0]
@@ -74,9 +76,8 @@ def _blocks(data: bytes, codec: str) -> bytes:
             if len(chunk) < size:
                 raise ValueError("the file ends within a block")
             at += 4 + size
-            n = _snappy_size(chunk) if codec == "snappy" else _lz4_size(chunk)
-            out.append(raw.decompress(chunk, decompressed_size=n, asbytes=True))
-            left -= n
+            out.append(raw.decompress(chunk, decompressed_size=_snappy_size(chunk), asbytes=True) if codec == "snappy" else _lz4_chunk(chunk))
+            left -= len(out[-1])
         if left < 0:
             raise ValueError("a block is longer than it says")
     return b"".join(out)
@@ -92,6 +93,20 @@ def _snappy_size(chunk: bytes) -> int:
     raise ValueError("no length in front of a chunk")
 
 
+# A frame whose blocks stand alone, of 4 MB at most, without sums or sizes.
+_LZ4_FRAME = b"\x04\x22\x4d\x18\x60\x70\x73"
+
+
+def _lz4_chunk(chunk: bytes) -> bytes:
+    """A raw chunk, read as the block of a frame: that needs no size, which only a walk over all its sequences tells."""
+    framed = _LZ4_FRAME + struct.pack("<I", len(chunk)) + chunk + bytes(4)
+    try:
+        with pa.CompressedInputStream(pa.BufferReader(framed), "lz4") as stream:
+            return stream.read()
+    except (OSError, pa.ArrowException):  # more than 4 MB, or no such chunk
+        return pa.Codec("lz4_raw").decompress(chunk, decompressed_size=_lz4_size(chunk), asbytes=True)
+
+
 def _lz4_size(chunk: bytes) -> int:
     """Bytes that a raw chunk expands to, counted over its sequences of literals and matches."""
     size = at = 0
@@ -150,8 +165,12 @@ def _inflate(codec: str):
 
 def _skipped(spark: SparkSession, directory: str) -> list[tuple[str, str]]:
     """(URI, name) of the files of a directory that Spark's readers never list."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(directory)
-    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    place = Path(directory)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    # a call for every file of a large folder takes the driver longer than reading it takes the tasks
+    plain = not re.search(r"[\\*?{}\[\]^]", directory)
+    found = (system.globStatus(Path(place, "{[._]*,*._COPYING_}")) if plain else system.listStatus(place)) or []
     files = [(s.getPath().toString(), s.getPath().getName()) for s in found if s.isFile()]
     return [(uri, n) for uri, n in files if n.startswith(".") or (n.startswith("_") and "=" not in n) or n.endswith("._COPYING_")]
 
@@ -266,10 +285,18 @@ def stream_files(
 
 def rename_files(spark: SparkSession, directory: str, ending: str, other: str) -> int:
     """Give the files of a directory whose names end so another ending; returns how many there were."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    Path = spark._jvm.org.apache.hadoop.fs.Path  # looked up once: every step of the name is a call
+    place = Path(directory)
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    paths = [s.getPath() for s in system.listStatus(place) if s.isFile() and s.getPath().getName().endswith(ending)]
-    return sum(system.rename(p, spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), p.getName()[: -len(ending)] + other)) for p in paths)
+
+    def rename(status) -> bool:
+        path = status.getPath()
+        name = path.getName()
+        return name.endswith(ending) and status.isFile() and system.rename(path, Path(place, name[: -len(ending)] + other))
+
+    # the calls for each file go side by side
+    with ThreadPoolExecutor(16) as pool:
+        return sum(pool.map(rename, system.listStatus(place)))
 
 
 def delete_files(spark: SparkSession, directory: str, names: Iterable[str]) -> int:

@@ -317,3 +317,25 @@ def test_forced_formats_and_names_that_spark_skips(spark, tmp_path):
     got = {r["filename"]: r["content"] for r in read_files(spark, str(tmp_path / "auto")).collect()}
     assert got == {"_x": text, "y.txt": text, "_z": text}
     assert [r["filename"] for r in read_files(spark, str(tmp_path / "auto"), regex="_x.*").collect()] == ["_x"]
+
+
+def test_lz4_chunks_need_no_walk(monkeypatch):
+    """The size of a raw chunk is only looked for where no frame can hold it."""
+    import struct
+
+    import pyarrow as pa
+
+    from flowops.sources import files as sources
+
+    def blocks(*parts):
+        packed = [pa.Codec("lz4_raw").compress(p, asbytes=True) for p in parts]
+        return b"".join(struct.pack(">II", len(p), len(c)) + c for p, c in zip(parts, packed, strict=True))
+
+    large = b"abcdefg" * 700_000
+    assert sources.decompress(blocks(large, b"x"), "lz4") == large + b"x"
+
+    def walk(chunk):
+        raise AssertionError("walked")
+
+    monkeypatch.setattr(sources, "_lz4_size", walk)
+    assert sources.decompress(blocks(b"one " * 9000, b"2" * 262144, b"three"), "lz4") == b"one " * 9000 + b"2" * 262144 + b"three"
