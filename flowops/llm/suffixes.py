@@ -226,19 +226,20 @@ def _passages(rows: DataFrame, min_words: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, int, int, int, int, int]] = []
-            for seed, area, low, high, before, after, l, r in zip(*(batch.column(n).to_pylist() for n in ("seed", "area", "low", "high", "before", "after", "l", "r")), strict=True):  # noqa: E741
+            out: list[tuple[int, int, int, int, bool, int, int]] = []
+            for seed, area, low, high, open_, before, after, l, r in zip(*(batch.column(n).to_pylist() for n in ("seed", "area", "low", "high", "open", "before", "after", "l", "r")), strict=True):  # noqa: E741
                 left, right = _numbers(np.frombuffer(before, np.uint8))[::-1], _numbers(np.frombuffer(after, np.uint8))
                 words = np.concatenate([left, np.zeros(SEED, np.uint64), right])  # the seed is equal anyway
                 at = len(left)
                 starts = np.arange(max(at - l, 0), min(at, at + r - min_words) + 1)
                 if len(starts):
                     hashes = _span_hash(words, starts, starts + min_words).view(np.int64)
-                    out += [(seed, area, low, high, int(s - at), int(h)) for s, h in zip(starts, hashes, strict=True)]
-            columns = list(zip(*out, strict=True)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["seed", "area", "low", "high", "start", "passage"])
+                    out += [(seed, area, low, high, open_, int(s - at), int(h)) for s, h in zip(starts, hashes, strict=True)]
+            columns = list(zip(*out, strict=True)) or [[]] * 7
+            names = ["seed", "area", "low", "high", "open", "start", "passage"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.bool_() if n == "open" else pa.int64()) for n, c in zip(names, columns, strict=True)], names=names)
 
-    return rows.mapInArrow(work, "seed long, area long, low long, high long, start long, passage long")
+    return rows.mapInArrow(work, "seed long, area long, low long, high long, open boolean, start long, passage long")
 
 
 def _covered(pairs, l, r, min_words: int):  # noqa: E741
@@ -262,9 +263,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     contexts = cut_lineage(_contexts(texts, min_words, wanted), "contexts")
 
     seen = _compared(contexts, ["after", "before"], min_words).unionByName(_compared(contexts, ["before", "after"], min_words))
+    # the areas go through the same shuffle as what was seen of them; some are seen that are not wanted
+    known = ["left", "right", "low", "high"]
+    seen = seen.unionByName(wanted.select("seed", "area", *known), allowMissingColumns=True)
     match = F.when(F.col("l").isNotNull(), F.struct("l", "r"))
-    best = seen.groupBy("seed", "area").agg(F.max("l").alias("l"), F.max("r").alias("r"), F.collect_set(match).alias("pairs"), F.bool_or(F.col("l").isNull()).alias("hidden"))
-    best = wanted.join(cut_lineage(best, "best"), ["seed", "area"])
+    hidden = F.bool_or(F.when(F.col("low").isNull(), F.col("l").isNull())).alias("hidden")
+    best = seen.groupBy("seed", "area").agg(F.max("l").alias("l"), F.max("r").alias("r"), F.collect_set(match).alias("pairs"), hidden, *[F.max(c).alias(c) for c in known])
+    best = best.where("low is not null and hidden is not null")
     # a hidden neighbour may match as far as the neighbourhood goes
     free = F.col("hidden") | (F.col("low") != F.col("high"))
     best = best.withColumn("decided", ~F.col("hidden") & _covered(F.col("pairs"), F.col("l"), F.col("r"), min_words)).drop("pairs")
@@ -276,13 +281,15 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     whole = areas.where("low <> high").select("seed", "area", span(F.col("left"), F.col("right")))
     decided = best.where("low = high and decided").select("seed", "area", span(F.col("l"), F.col("r")))
-    open_ = cut_lineage(best.where("low = high and not decided").select("seed", "area"), "open")
-    involved = best.join(stored(open_.select("seed").distinct(), "open-seeds"), "seed", "left_semi").drop("decided")
+    best = best.withColumn("open", F.expr("low = high and not decided")).drop("decided")
+    involved = best.join(stored(best.where("open").select("seed").distinct(), "open-seeds"), "seed", "left_semi")
     involved = cut_lineage(involved, "involved")
     given = thinned(contexts.select("seed", "area", "before", "after"), F.col("area"), involved.select("area"), "involved-bits").dropDuplicates(["seed", "area"])
     passages = cut_lineage(_passages(involved.join(given, ["seed", "area"]), min_words), "passages")
-    twice = passages.groupBy("seed", "start", "passage").agg(F.min("low").alias("a"), F.max("high").alias("b")).where("a <> b").select("seed", "start", "passage")
-    found = passages.join(cut_lineage(twice, "twice"), ["seed", "start", "passage"], "left_semi").join(open_, ["seed", "area"], "left_semi")
+    # areas that are decided only tell where else a passage is
+    twice = passages.groupBy("seed", "start", "passage").agg(F.min("low").alias("a"), F.max("high").alias("b"), F.bool_or("open").alias("asked"))
+    twice = cut_lineage(twice.where("asked and a <> b").select("seed", "start", "passage"), "twice")
+    found = passages.where("open").join(twice, ["seed", "start", "passage"], "left_semi")
     found = found.groupBy("seed", "area").agg(F.collect_list(F.struct("start", (F.col("start") + min_words).alias("end"))).alias("spans"))
 
     spans = stored(whole.unionByName(decided).unionByName(found), "spans")

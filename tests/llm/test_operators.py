@@ -602,6 +602,31 @@ def test_passages_odd(spark, odd_docs, no_docs):
     assert suffixes.repeated_passages(no_docs).count() == 0
 
 
+def test_passages_of_decided_areas_are_not_joined(spark, monkeypatch):
+    """Only passages that an open area asks for are looked up; what is seen of areas is shuffled to them once."""
+    rng = np.random.default_rng(12)
+    core = prose(rng, 60, 10_000).split()
+    texts = [" ".join(core[: int(rng.integers(20, 60))] + prose(rng, 30, 10_000).split()) for _ in range(60)]
+    saved, labels = {}, []
+    cut = suffixes.cut_lineage
+
+    def keeping(frame, label):
+        saved[label] = cut(frame, label)
+        labels.append(label)
+        return saved[label]
+
+    monkeypatch.setattr(suffixes, "cut_lineage", keeping)
+    got = defaultdict(list)
+    for i, start, n in rows_of(suffixes.repeated_passages(frame_of(spark, texts), min_words=20)):
+        got[i].append((start, n))
+    want = plain_passages(list(enumerate(texts)), 20)
+    assert {i: sorted(x) for i, x in got.items()} == {i: x for i, x in enumerate(want) if x} and got
+    assert labels.count("best") == 1
+    asked = saved["passages"].where("open").select("seed", "start", "passage")
+    assert saved["twice"].exceptAll(asked.distinct()).count() == 0
+    assert saved["passages"].where("not open").count() and asked.count()
+
+
 def test_every_passage_retains_a_suffix():
     rng = np.random.default_rng(10)
     hashes = rng.integers(1, 2**64, 900, dtype=np.uint64)
