@@ -136,8 +136,8 @@ def _suffixes(rows: DataFrame, min_words: int, seeds: DataFrame) -> DataFrame:
 
 def _contexts(rows: DataFrame, min_words: int, wanted: DataFrame) -> DataFrame:
     """``seed``, ``area``, ``doc``, ``before`` (words to the left, nearest first), ``after`` (behind the seed):
-    of the areas wanted and perhaps some more, once in a task each. Words are hashes that sort as bytes."""
-    shared = _bitmap(wanted.select("area"))
+    of the areas wanted, in the document ``low`` that each is wanted from, and perhaps some more. Words are hashes that sort as bytes."""
+    shared = _bitmap(wanted.select(F.col("area").bitwiseXOR(F.col("low")).alias("place")))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # areas this task has given, as many as are wanted at most
@@ -147,12 +147,12 @@ def _contexts(rows: DataFrame, min_words: int, wanted: DataFrame) -> DataFrame:
             if not len(places):
                 continue
             area = _neighbourhoods(hashes, places, left, right)
-            asked = [k for k in _marked(shared.value, area).tolist() if (a := int(area[k])) not in seen and not seen.add(a)]
+            docs = batch.column(0).to_numpy()[np.searchsorted(np.cumsum(counts), places, side="right")]
+            asked = [k for k in _marked(shared.value, area ^ docs.view(np.uint64)).tolist() if (a := int(area[k])) not in seen and not seen.add(a)]
             words = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - WORD_BYTES :]
-            row = np.searchsorted(np.cumsum(counts), places[asked], side="right")
             before = [words[p - n : p][::-1].tobytes() for p, n in zip(places[asked].tolist(), left[asked].tolist(), strict=True)]
             after = [words[p + SEED : p + n].tobytes() for p, n in zip(places[asked].tolist(), right[asked].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(seeds[asked].view(np.int64)), pa.array(area[asked].view(np.int64)), pa.array(batch.column(0).to_numpy()[row]), pa.array(before, pa.binary()), pa.array(after, pa.binary())], names=["seed", "area", "doc", "before", "after"])
+            yield pa.RecordBatch.from_arrays([pa.array(seeds[asked].view(np.int64)), pa.array(area[asked].view(np.int64)), pa.array(docs[asked]), pa.array(before, pa.binary()), pa.array(after, pa.binary())], names=["seed", "area", "doc", "before", "after"])
 
     return rows.mapInArrow(work, "seed long, area long, doc long, before binary, after binary")
 
@@ -289,7 +289,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # areas that are decided only tell where else a passage is
     twice = passages.groupBy("seed", "start", "passage").agg(F.min("low").alias("a"), F.max("high").alias("b"), F.bool_or("open").alias("asked"))
     twice = cut_lineage(twice.where("asked and a <> b").select("seed", "start", "passage"), "twice")
-    found = passages.where("open").join(twice, ["seed", "start", "passage"], "left_semi")
+    found = thinned(passages.where("open"), F.col("passage"), twice.select("passage"), "twice-bits").join(twice, ["seed", "start", "passage"], "left_semi")
     found = found.groupBy("seed", "area").agg(F.collect_list(F.struct("start", (F.col("start") + min_words).alias("end"))).alias("spans"))
 
     spans = stored(whole.unionByName(decided).unionByName(found), "spans")
