@@ -19,6 +19,8 @@ from flowops.llm.quality import quality
 from flowops.session import scratch_path, ship_code
 
 CAPACITY = 2048
+#: Words whose ids a worker remembers: executors also hold what the stages before left in memory.
+REMEMBERED = 50_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +51,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of what is left, placed in sequences."""
-    pieces = token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY)
+    pieces = token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY, remembered=REMEMBERED)
     return pack(pieces, CAPACITY).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

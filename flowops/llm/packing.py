@@ -40,7 +40,7 @@ GENERATIONS = 3
 REPACK_BELOW = 0.98
 #: Partitions that shards are spread over at most; a partition holds its shards one after another.
 MAX_PARTITIONS = 4096
-#: Distinct words, and parts of words, whose ids a Python worker remembers, and their longest.
+#: Distinct words, and parts of words, whose ids a Python worker remembers if nothing else is asked for, and their longest.
 CACHE_WORDS, CACHE_LENGTH = 500_000, 64
 
 # ---------------------------------------------------------------------------------- token ids
@@ -65,6 +65,7 @@ class _Parts(dict):
     """A part of a word, as Latin-1 text, to its packed ids."""
 
     def __init__(self, tokenizer):
+        self.most = CACHE_WORDS
         self.tokenize = tokenizer.model.tokenize
         self.packed = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
         self.characters = _byte_characters()
@@ -72,7 +73,7 @@ class _Parts(dict):
     def __missing__(self, part: str) -> bytes:
         mapped = part if part.isascii() and part.isalnum() else "".join([self.characters[b] for b in part.encode()])
         ids = b"".join([self.packed[t.id] for t in self.tokenize(mapped)])
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= self.most:
             self.clear()
         if len(part) <= CACHE_LENGTH:
             self[part] = ids
@@ -83,6 +84,7 @@ class _Words(dict):
     """A run between ASCII white space, as UTF-8, to its packed ids."""
 
     def __init__(self, tokenizer):
+        self.most = CACHE_WORDS
         self.tokenizer, self.parts = tokenizer, _Parts(tokenizer)
 
     def __missing__(self, word: bytes) -> bytes:
@@ -95,7 +97,7 @@ class _Words(dict):
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         else:
             ids = b"".join(map(self.parts.__getitem__, _LATIN.findall(text.lower())))
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= self.most:
             self.clear()
         if len(word) <= CACHE_LENGTH:
             self[word] = ids
@@ -112,7 +114,7 @@ class TokenIds:
     whatever stands around it, so a worker remembers them; others encode whole texts.
     """
 
-    def __init__(self, path: str, by_words: bool = True):
+    def __init__(self, path: str, by_words: bool = True, remembered: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         if path not in _tokenizers:
@@ -122,6 +124,10 @@ class TokenIds:
             known = said["normalizer"] == NORMALIZER and split.get("pattern") == {"Regex": PATTERN} and said["model"]["type"] == "BPE"
             _tokenizers[path] = (tokenizer, _Words(tokenizer) if known else None)
         self.tokenizer, self.words = _tokenizers[path]
+        for held in (self.words, self.words.parts) if self.words is not None else ():
+            held.most = remembered
+            if len(held) > remembered:
+                held.clear()
         if not by_words:
             self.words = None
 
@@ -132,10 +138,11 @@ class TokenIds:
         return [b"".join(map(ids_of, x.encode("utf-8", "surrogatepass").split())) for x in texts]
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, with_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, with_ids: bool = False, remembered: int = CACHE_WORDS) -> DataFrame:
     """One row per piece: ``id_col``, ``piece``, ``start``, ``length``, ``ids_crc32`` and, ``with_ids``, the ``ids``.
 
-    ``tokenizer`` is the path of a tokenizer file that every executor can read.
+    ``tokenizer`` is the path of a tokenizer file that every executor can read. A worker holds the ids of ``remembered``
+    words, and of as many parts of words: fewer take less memory and more time.
     """
     chosen = spread(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     fields = [T.StructField(id_col, chosen.schema["id"].dataType)] + [T.StructField(x, T.LongType()) for x in ("piece", "start", "length", "ids_crc32")]
@@ -145,7 +152,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_col:
     step = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = TokenIds(tokenizer)
+        ids_of = TokenIds(tokenizer, remembered=remembered)
         for batch in blocks(batches, "text"):
             rows, numbers = [], []
             for row, ids in enumerate(ids_of([x or "" for x in batch.column(1).to_pylist()])):

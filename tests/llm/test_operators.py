@@ -462,6 +462,16 @@ def test_token_ids_by_words_are_the_tokenizers(spark):
     assert packing.TokenIds(TOKENIZER, True)(texts) == packing.TokenIds(TOKENIZER, False)(texts)
 
 
+def test_token_ids_remember_no_more_than_asked():
+    rng = np.random.default_rng(13)
+    texts = [prose(rng, 200, 5_000) + f" Alpha{i % 50}, beta-{i}!" for i in range(60)]
+    many = packing.TokenIds(TOKENIZER)(texts)
+    few = packing.TokenIds(TOKENIZER, remembered=40)
+    for text, ids in zip(texts, many, strict=True):
+        assert few([text]) == [ids] and len(few.words) <= 40 and len(few.words.parts) <= 40
+    assert packing.TokenIds(TOKENIZER)(texts) == many
+
+
 def test_packing_levels_end_with_long_pieces(spark):
     """Pieces of which few fit beside another: every level still hands on its emptiest bins, and none is lost."""
     lengths = [int(x) for x in np.random.default_rng(3).integers(820, 1840, 3000)]
