@@ -32,7 +32,7 @@ from ..functions.template import quoted, template, template_text
 from ..functions.values import TYPE_NAMES, convert, convert_failed
 from ..routes import FAILURE, REASON, ROUTE, SUCCESS, with_route
 from ..session import cut_lineage, spread
-from ..sources.sql import MAX_SHAPES, lateral_first, sql_scalar_content
+from ..sources.sql import lateral_first, sql_scalar_content
 from .cells import lookup_cells, scan
 
 #: Different configs of a table that are read apart from its records, at most.
@@ -232,7 +232,7 @@ def _entry_rows(configs: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def _found(entries: DataFrame, kv: DataFrame | None, cells: DataFrame | None, max_shapes: int) -> DataFrame:
+def _found(entries: DataFrame, kv: DataFrame | None, cells: DataFrame | None, max_shapes: int | None) -> DataFrame:
     """All entries with ``found`` and ``why`` (null unless the lookup failed). Lookups keep the entry's columns, so nothing is joined to them again."""
     keys = entries.columns
     none = F.lit(None).cast("string")
@@ -293,14 +293,14 @@ def enrich_rows(
     cells: DataFrame | None = None,
     content: str = "content",
     attributes: str = "attributes",
-    max_shapes: int = MAX_SHAPES,
+    max_shapes: int | None = None,
 ) -> DataFrame:
     """:func:`enrich` with a config from every record, the JSON text in the column ``config``.
 
     The attributes are a map, since names differ from record to record; records whose config has
     the JSON section get it as ``content``. A text that is no JSON object, a filter that is not
     understood, and a query that Spark cannot analyse, send the record to ``failure`` as well. Queries that differ in
-    literals only share a plan (:func:`~flowops.sources.sql.sql_rows_content`); the text after
+    literals only share a plan (:func:`~flowops.sources.sql.sql_rows_content`), and all of them run; the text after
     filling in must name what it reads, and an ``order-by`` is not taken.
     """
     names = df.columns

@@ -412,3 +412,11 @@ def test_configs_are_read_once_or_with_their_records(spark, monkeypatch):
     assert few == many and len(few) == 40 and (once, never) == (1, 0)
     assert few[0][2] == {"a": "0"} and few[1][1] == '{"b":"one"}' and few[9][3] == "failure" and few[17][1] == '{"b":7}'
     assert {r[3] for r in few if r[0] % 8 in (2, 3, 4, 6, 7)} == {"failure"}
+
+
+def test_enrich_rows_runs_all_queries(spark):
+    """Configs with 70 different queries: none is left out."""
+    spark.range(10).selectExpr("id AS k", "concat('v', id) AS v").createOrReplaceTempView("enrich_shapes")
+    config = F.concat(F.lit('{"extract-to-attributes": {"q": {"type": "SQL", "value": "SELECT max(v) FROM enrich_shapes AS a'), F.col("n").cast("string"), F.lit(' WHERE k = ${n} % 10"}}}'))
+    got = enrich_rows(spark.range(70).select(F.col("id").cast("int").alias("n")).withColumn("content", config)).collect()
+    assert sorted((r["n"], r["route"], r["attributes"]["q"]) for r in got) == [(n, "success", f"v{n % 10}") for n in range(70)]
