@@ -306,6 +306,42 @@ def test_equal_shapes_share_a_plan(spark):
     assert {r["id"]: (r["route"], r["v"]) for r in told.collect()} == {i: ("success", f"v{i}") for i in range(100)}
 
 
+def test_all_shapes_run(spark, monkeypatch):
+    """70 shapes of queries, in several plans; what orders their rows is a number or a text, and some texts cannot run."""
+    monkeypatch.setattr(S, "PLAN_SHAPES", 16)
+    spark.range(10).selectExpr("id AS k", "concat('v', id) AS v").createOrReplaceTempView("all_shapes")
+    queries = [f"SELECT {'k' if n % 2 else 'v'} AS o, v AS c{n % 3} FROM all_shapes AS a{n} WHERE k >= {n % 10} AND k < {n % 10 + 2}" for n in range(70)]
+    queries += ["SELECT nope FROM all_shapes", "SELECT k FROM gone WHERE k = 1", "SELECT k FROM gone WHERE k = 2", "", "SELECT ${k}", "SELECT v -- all\nFROM all_shapes WHERE k = 3"]
+    df = spark.createDataFrame([*enumerate(queries)], "id int, content string")
+    rows = S.sql_rows_content(df, parent=["id"], order_by=["o"]).collect()
+    got = {(r["id"], r["frag_index"]): r for r in rows}
+    assert len(rows) == len(got) == sum(1 if n % 10 == 9 else 2 for n in range(70)) + 6
+    for n in range(70):
+        wanted = [k for k in (n % 10, n % 10 + 1) if k < 10]
+        assert [(got[n, i]["o"], got[n, i][f"c{n % 3}"], got[n, i]["frag_count"]) for i in range(1, len(wanted) + 1)] == [(str(k) if n % 2 else f"v{k}", f"v{k}", len(wanted)) for k in wanted]
+    assert {n: got[n, None]["route"] for n in range(70, 76)} == {70: "failure", 71: "failure", 72: "failure", 73: "failure", 74: "failure", 75: "success"}
+    assert "nope" in got[70, None]["reason"] and "gone" in got[72, None]["reason"] and got[73, None]["reason"] == "the record has no query" and got[74, None]["reason"] == "the query refers to a name"
+    assert got[75, None]["v"] == "v3"
+
+
+def test_every_text_runs_where_literals_cannot_leave_it(spark):
+    """A size of a type is no value, so these are 70 queries; keys that are compared leave them."""
+    spark.range(10).selectExpr("id AS k").createOrReplaceTempView("sizes")
+    query = F.concat(F.lit("SELECT cast(k AS decimal("), (F.col("id") % 35 + 2).cast("string"), F.lit(", "), F.floor(F.col("id") / 35).cast("string"), F.lit(")) FROM sizes WHERE k = "), (F.col("id") % 10).cast("string"))
+    told = S.sql_scalar_content(spark.range(210).where("id < 70 or id >= 140").withColumn("id", F.col("id") % 70).select("id", query.alias("content")), output="out").collect()
+    assert sorted((r["id"], r["route"], r["out"]) for r in told) == sorted((n, "success", f"{n % 10}{'.0' if n >= 35 else ''}") for n in range(70) for _ in range(2))
+
+
+def test_unions_of_any_number_of_frames(spark, monkeypatch):
+    monkeypatch.setattr(S, "PLAN_SHAPES", 2)
+    parts = S._Parts()
+    for n in range(9):
+        parts.add(spark.createDataFrame([(n, "x")], f"n int, c{n % 2} string"))
+    assert len(parts.levels) == 3 and all(len(level) <= 2 for level in parts.levels)
+    assert sorted((r["n"], r["c0"], r["c1"]) for r in parts.whole().collect()) == [(n, *((None, "x") if n % 2 else ("x", None))) for n in range(9)]
+    assert S._Parts().whole() is None
+
+
 def test_enrich_rows_agrees_with_enrich(spark):
     kv = spark.createDataFrame([("a", "A!"), ("b", ""), ("d", "1"), ("d", "2")], "key string, value string")
     cells = spark.createDataFrame(
